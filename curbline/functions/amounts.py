@@ -8,7 +8,7 @@ raises an error. NaN carries no amount and is skipped like NULL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, WindowSpec, functions as F
 
 UNITS = 10_000.0
 
@@ -23,8 +23,9 @@ def exact_units(c: Column | str) -> Column:
     return F.when(~F.isnan(amount), amount).cast("bigint")
 
 
-def exact_sum(c: Column | str) -> Column:
-    return F.sum(exact_units(c)) / F.lit(UNITS)
+def exact_sum(c: Column | str, over: WindowSpec | None = None) -> Column:
+    units = F.sum(exact_units(c))
+    return (units if over is None else units.over(over)) / F.lit(UNITS)
 
 
 def exact_avg(c: Column | str) -> Column:

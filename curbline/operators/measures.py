@@ -83,8 +83,7 @@ def service_mix(trips: DataFrame, zones: DataFrame) -> DataFrame:
     return per_service.select(
         "service_zone", "trips", "total_revenue",
         ratio(F.col("trips"), F.sum("trips").over(whole)).alias("trip_share"),
-        ratio(exact_units("total_revenue"), F.sum(exact_units("total_revenue")).over(whole))
-        .alias("revenue_share"))
+        ratio(F.col("total_revenue"), exact_sum("total_revenue", over=whole)).alias("revenue_share"))
 
 
 def zone_heatmap(trips: DataFrame) -> DataFrame:

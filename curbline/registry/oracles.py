@@ -291,8 +291,7 @@ SELECT m.month_start, m.trips, p.trips AS prev_trips, (m.trips - p.trips) / NULL
 FROM monthly m LEFT JOIN monthly p ON p.month_start = m.month_start - INTERVAL 1 YEAR"""),
         "service_mix": _with(["fct", "zones"], f"""
 SELECT service_zone, trips, total_revenue, trips / sum(trips) OVER () AS trip_share,
-  CAST(CAST(total_revenue AS DECIMAL(18,4)) * 10000 AS BIGINT)
-    / sum(CAST(CAST(total_revenue AS DECIMAL(18,4)) * 10000 AS BIGINT)) OVER () AS revenue_share
+  total_revenue / CAST(sum(CAST(total_revenue AS DECIMAL(18,4))) OVER () AS DOUBLE) AS revenue_share
 FROM (SELECT service_zone, count(*) AS trips, {_sum('total_amount')} AS total_revenue
       FROM fct LEFT JOIN zones ON pickup_zone_id = zone_id GROUP BY service_zone)"""),
         "zone_heatmap": _with(["fct"], """

@@ -120,10 +120,9 @@ def fct_trips_merge(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "fct_trips_merge")
     gold = silver(spark, sf)
     in_month = (F.col("year") == RUN_MONTH.year) & (F.col("month") == RUN_MONTH.month)
-    sinks.merge_upsert(spark, stage_trips(gold).where(~(in_month & (F.col("payment_type") == 2))), path,
-                       layout=sinks.clustered)
+    sinks.merge_upsert(spark, stage_trips(gold).where(~(in_month & (F.col("payment_type") == 2))), path)
     update = stage_month(gold, RUN_MONTH).withColumn("tip_amount", F.col("tip_amount") + 1)
-    sinks.merge_upsert(spark, update, path, layout=sinks.clustered)
+    sinks.merge_upsert(spark, update, path)
     return _read_back(spark, path)
 
 

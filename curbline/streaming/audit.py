@@ -1,0 +1,63 @@
+"""Side outputs of the stream: dead letters and late events.
+
+Spark drops late rows inside a stateful operator and only counts them. The audit reads the same
+source and writes the rows themselves. It judges a batch by the rule the windowed query applies: a row
+is late if its window ended before the watermark left by the batches up to the last but one. Give both
+queries the same source options, so that they see the same batches.
+"""
+
+from __future__ import annotations
+
+from datetime import timedelta
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from ..functions import interval_us, slice_start
+from ..operators.demand import TUMBLE
+from ..schemas import TRIP_EVENT
+from ..sources.files import read_table
+from .contract import VIOLATION, tag_violations
+from .speed import DELAY
+
+
+def _ledger_max(spark: SparkSession, ledger: str, batch_id: int):
+    """Newest event time of all batches up to ``batch_id``, kept as one row per batch."""
+    row = read_table(spark, f"{ledger}/batch_id={batch_id}") if batch_id >= 0 else None
+    return row.first().max_us if row is not None else None
+
+
+def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    # A batch that runs again after a failure overwrites its own folder.
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/batch_id={batch_id}")
+
+
+def audit_batch(batch: DataFrame, batch_id: int, out: str, delay: timedelta = DELAY,
+                size: timedelta = TUMBLE) -> None:
+    spark = batch.sparkSession
+    ledger = f"{out}/ledger"
+    tagged = tag_violations(batch).persist()
+    try:
+        _write_batch(tagged.where(F.col(VIOLATION).isNotNull()), f"{out}/dead_letters", batch_id)
+        valid = tagged.where(F.col(VIOLATION).isNull()).select(*TRIP_EVENT.names)
+        newest = _ledger_max(spark, ledger, batch_id - 2)
+        watermark = F.lit(None if newest is None else newest - interval_us(delay)).cast("bigint")
+        window_end = F.unix_micros(slice_start(F.col("dropoff_datetime"), size)) + interval_us(size)
+        _write_batch(valid.where(window_end <= watermark), f"{out}/late", batch_id)
+        # The demand query sees, and takes its watermark from, events with a zone.
+        here = valid.where(F.col("pickup_zone_id").isNotNull()).agg(
+            F.max(F.unix_micros("dropoff_datetime")).alias("max_us"))
+        before = _ledger_max(spark, ledger, batch_id - 1)
+        _write_batch(here.select(F.greatest("max_us", F.lit(before).cast("bigint")).alias("max_us")), ledger, batch_id)
+    finally:
+        tagged.unpersist()
+
+
+def start_audit(decoded: DataFrame, out: str, checkpoint: str, rollover: timedelta | None = TUMBLE,
+                delay: timedelta = DELAY, size: timedelta = TUMBLE) -> StreamingQuery:
+    """Write dead letters and late events of a decoded stream, each batch exactly once."""
+    writer = (decoded.writeStream.option("checkpointLocation", checkpoint)
+              .foreachBatch(lambda batch, n: audit_batch(batch, n, out, delay, size)))
+    if rollover is None:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=f"{rollover // timedelta(seconds=1)} seconds").start()
