@@ -154,8 +154,17 @@ def assert_empty(rows: DataFrame, name: str) -> DataFrame:
     return run_checks(rows, [Check(name, lambda: F.count("*"), _zero, "= 0")])
 
 
+def _stopped() -> Column:
+    return F.col("pickup_datetime") >= F.col("dropoff_datetime")
+
+
 def zero_duration_trips(trips: DataFrame) -> DataFrame:
-    return trips.where(F.col("pickup_datetime") >= F.col("dropoff_datetime"))
+    """The trips that ``zero_duration`` counts."""
+    return trips.where(_stopped())
+
+
+def zero_duration() -> Check:
+    return Check("zero_duration_trips", lambda: F.count_if(_stopped()), _zero, "= 0")
 
 
 def volume_change(history: DataFrame, runs: int = 7, limit: float = 20.0) -> DataFrame:

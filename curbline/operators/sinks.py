@@ -8,6 +8,8 @@ lost executor costs a retry, not data.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
@@ -73,25 +75,45 @@ def delete_then_append_month(df: DataFrame, path: str, year: int, month: int) ->
     replace_months(lowered, path, [(year, month)])
 
 
+def _within_days(column: str, days: list[date]) -> Column:
+    """Predicate for times on one of ``days``, as ranges that a scan can skip files and row groups by."""
+    one = timedelta(days=1)
+    starts = [d for d in days if d - one not in days]
+    ends = [d + one for d in days if d + one not in days]
+    ts = F.col(column)
+    return reduce(Column.__or__, ((ts >= F.lit(a).cast("timestamp")) & (ts < F.lit(b).cast("timestamp"))
+                                  for a, b in zip(starts, ends)), F.lit(False))
+
+
+def replaced_rows(target: DataFrame, updates: DataFrame, key: str, same_time: str | None) -> DataFrame:
+    """Key and month of the target rows that ``updates`` replaces."""
+    if same_time:
+        # One row per calendar day comes to the driver.
+        found = updates.select(F.to_date(same_time).alias("d")).distinct().where("d IS NOT NULL").collect()
+        target = target.where(_within_days(same_time, sorted(r.d for r in found)))
+    return target.select(key, *MONTH_KEYS).join(updates.select(key), key, "left_semi")
+
+
 def merge_upsert(spark: SparkSession, updates: DataFrame, path: str, key: str = "trip_sk",
+                 same_time: str | None = "pickup_datetime",
                  layout: Callable[[DataFrame], DataFrame] = by_month) -> list[Month]:
     """Insert new keys, replace known ones; the first call builds the table. Returns months rewritten.
 
-    Only months that gain rows or lose a replaced row are rewritten. Rows that vanished upstream stay
-    in the table; ``replace_months`` is the writer that removes them. ``key`` must be unique in
-    ``updates``.
+    Only months that gain rows or lose a replaced row are rewritten. To find them, keys are compared
+    on the days of the updates only: ``same_time`` is a time that rows of one key share, as a trip's
+    key is made from it; None if the key has no such column. Rows that vanished upstream stay in the
+    table; ``replace_months`` is the writer that removes them. ``key`` must be unique in ``updates``.
     """
     target = read_table(spark, path)
     if target is None:
-        months = months_of(updates)
         replace_partition(layout(updates), path)
-        return months
-    # Updates are read three times below; written once, they are not computed three times.
+        built = read_table(spark, path)
+        return months_of(built) if built is not None else []
+    # Updates are read several times below; written once, they are not computed again.
     staged_at = scratch_dir(spark, "merge")
     updates.write.parquet(staged_at)
     staged = spark.read.schema(updates.schema).parquet(staged_at)
-    hit = target.select(key, *MONTH_KEYS).join(staged.select(key), key, "left_semi")
-    months = sorted(set(months_of(staged)) | set(months_of(hit)))
+    months = sorted(set(months_of(staged)) | set(months_of(replaced_rows(target, staged, key, same_time))))
     if months:
         kept = target.where(in_months(months)).join(staged.select(key), key, "left_anti")
         replace_months(layout(kept.unionByName(staged)), path, months)

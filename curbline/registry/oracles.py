@@ -322,6 +322,18 @@ FROM fct LEFT JOIN zones ON pickup_zone_id = zones.zone_id GROUP BY borough, zon
         "dq_zero_duration": _with(["bronze"], _check(
             "zero_duration_trips", "count(*)", "o = 0", "= 0",
             "(SELECT * FROM bronze WHERE pickup_datetime >= dropoff_datetime)")),
+        "build_checks": _with(["fct", "zones", "dates"], _all(
+            *(_null_check("fct_trips", "fct", c) for c in ("trip_sk", "pickup_zone_id", "trip_duration_minutes")),
+            _check("accepted_values(fct_trips.payment_type)",
+                   "count(*) FILTER (WHERE payment_type NOT IN (1, 2, 3, 4, 5, 6))", "o = 0", "= 0", "fct"),
+            _check("zero_duration_trips", "count(*) FILTER (WHERE pickup_datetime >= dropoff_datetime)",
+                   "o = 0", "= 0", "fct"),
+            _null_check("dim_zones", "zones", "zone_id"), _null_check("dim_date", "dates", "date_day"),
+            *(_check(f"unique({t}.{c})", "count(*)", "o = 0", "= 0", _repeated(s, c))
+              for t, s, c in (("fct_trips", "fct", "trip_sk"), ("dim_zones", "zones", "zone_id"),
+                              ("dim_date", "dates", "date_day"))),
+            _check("relationships(fct_trips.pickup_zone_id)", "count(*)", "o = 0", "= 0",
+                   "(SELECT * FROM fct WHERE pickup_zone_id NOT IN (SELECT zone_id FROM zones))"))),
         "dq_source_freshness": _with(["bronze"], _check(
             "freshness(_ingested_at)",
             _age("CAST(CAST(dropoff_datetime AS DATE) + 1 AS TIMESTAMP)", _TRIPS_AS_OF), "o <= 26",

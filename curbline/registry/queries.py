@@ -23,7 +23,7 @@ from ..operators.rules import REASON, reject_reason, run_metrics, split_valid, t
 from ..operators.staging import gate_rejects, stage_month, stage_trips, staging_loss, trip_gate
 from ..operators.dedup import first_per_key
 from ..plans.lake import clean_trips
-from ..plans.marts import not_null_checks, unique_checks
+from ..plans.marts import build_checks, not_null_checks, unique_checks
 from ..session import scratch_dir
 from ..sources import read_month, read_table
 from ..sources.star_tables import raw_trips, raw_trips_with_fee, trip_events, zone_lookup
@@ -246,8 +246,8 @@ QUERIES: dict[str, Query] = {
     "dq_accepted_values": dq_accepted_values,
     "dq_relationships": lambda spark, sf: checks.relationships(
         fct(spark, sf), "pickup_zone_id", zones(spark, sf), "zone_id", "fct_trips"),
-    "dq_zero_duration": lambda spark, sf: checks.assert_empty(
-        checks.zero_duration_trips(bronze(spark, sf)), "zero_duration_trips"),
+    "dq_zero_duration": lambda spark, sf: checks.run_checks(bronze(spark, sf), [checks.zero_duration()]),
+    "build_checks": lambda spark, sf: build_checks(fct(spark, sf), zones(spark, sf), dates(spark, sf)),
     "dq_source_freshness": lambda spark, sf: checks.run_checks(
         _bronze_stamped(spark, sf), [checks.source_freshness(TRIPS_AS_OF)]),
     "dq_freshness": dq_freshness,

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import final_plan
 from curbline.operators import sinks
 from curbline.operators.staging import stage_trips
 from curbline.plans.lake import bad_months
@@ -67,6 +68,21 @@ def test_merge_moves_a_trip_between_months(spark, make_trips, path):
     assert months(spark, path) == {(2024, 2): 1}
 
 
+def test_merge_looks_for_replaced_rows_on_the_days_of_the_updates(spark, make_trips, path):
+    days = ["2024-01-01", "2024-01-05", "2024-01-06", "2024-01-09"]
+    trip = lambda d, total: dict(pickup_datetime=f"{d} 23:59:59", dropoff_datetime=f"{d} 23:59:59.5",
+                                 total_amount=total)
+    sinks.merge_upsert(spark, stage_trips(make_trips(*[trip(d, float(n)) for d in days for n in range(3)])), path)
+    updates = stage_trips(make_trips(*[trip(d, 1.0) for d in days[1:]]))
+    hit = sinks.replaced_rows(spark.read.parquet(path), updates, "trip_sk", "pickup_datetime")
+    plan = final_plan(hit)
+    scan = next(line for line in plan.splitlines() if "FileScan" in line)
+    pushed = scan.split("PushedFilters")[1].split("ReadSchema")[0]
+    assert pushed.count("GreaterThanOrEqual(pickup_datetime") == 2 and hit.count() == 3
+    whole = sinks.replaced_rows(spark.read.parquet(path), updates, "trip_sk", None)
+    assert sorted(whole.collect()) == sorted(hit.collect())
+
+
 def test_merge_of_nothing_changes_nothing(spark, make_trips, path):
     sinks.merge_upsert(spark, stage_trips(make_trips({})), path)
     assert sinks.merge_upsert(spark, stage_trips(make_trips(dict(fare_amount=None))), path) == []
