@@ -1,6 +1,6 @@
 """Wall time per query, one JSON line on stdout.
 
-Every query runs once to warm up, then ``BENCH_RUNS`` times (default 3, the median counts). Results go
+Every query runs once to warm up, then ``BENCH_RUNS`` times (default 2, the median counts). Results go
 to the no-op sink: all rows and columns are computed, none travel to the driver.
 """
 
@@ -17,7 +17,7 @@ from curbline.session import build_session
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
 
 def timed(spark, query) -> float:

@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import trip_key
 from ..schemas import TRIP_EVENT
 from .normalize import RAW_COLUMNS
+from .rules import split_valid
+from .staging import trip_gate
 
 
 def _without_nan(df: DataFrame) -> DataFrame:
@@ -28,6 +30,12 @@ def to_events(raw: DataFrame, produced_at: Column | None = None) -> DataFrame:
             .select(*TRIP_EVENT.names))
 
 
+def batch_grade(events: DataFrame) -> DataFrame:
+    """Events that the batch would accept as trips too; what is left to differ are copies and late rows."""
+    clean, _ = split_valid(events)
+    return trip_gate(clean)
+
+
 def event_key() -> Column:
     """Routing key: the pickup zone as text, "0" where there is none."""
     return F.coalesce(F.col("pickup_zone_id"), F.lit(0)).cast("string")

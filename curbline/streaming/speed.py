@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions import exact_avg, ratio
+from ..functions import exact_avg, interval_us, ratio
 from ..functions.clock import interval_text
 from ..operators.demand import HOP_SIZE, HOP_SLIDE, TUMBLE, zone_demand
 from ..schemas import FARE_ANOMALIES
@@ -32,26 +32,34 @@ def fare_anomaly_stream(events: DataFrame, size: timedelta = HOP_SIZE, slide: ti
                         factor: float = 3.0, delay: timedelta = DELAY, salts: int = 16) -> DataFrame:
     """Events above ``factor`` times the average of a hopping window around them.
 
-    Stream-stream join on (zone, window): the window is part of the key on both sides, so its
-    watermark bounds the join state. A range condition on the event time would keep all events for
-    ever. The events of one busy zone are spread over ``salts`` state partitions; the averages, one
-    row per zone and window, are copied to each.
+    Stream-stream join on (zone, pane). An event waits in the state once, not once per window: its key
+    is the slide-wide pane that ends when the last window around the event ends, so the watermark
+    removes it exactly then. A range condition on the event time would keep all events for ever.
+    Averages, one row per zone and window, are copied to the panes of the window and to ``salts``
+    state partitions, over which the events of one busy zone are spread.
     """
+    fare, known_zone = F.col("fare_amount"), F.col("pickup_zone_id").isNotNull()
     size_text, slide_text = interval_text(size), interval_text(slide)
-    timed = events.where(F.col("pickup_zone_id").isNotNull()).withWatermark(
-        "dropoff_datetime", interval_text(delay))
-    hop = F.window("dropoff_datetime", size_text, slide_text).alias("w")
-    averages = (timed.groupBy(hop, "pickup_zone_id").agg(exact_avg("fare_amount").alias("zone_avg_fare"))
-                .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
-    fare = F.col("fare_amount")
-    # A copy of the time: only one column of the join result may be the event time.
-    seen_at = F.timestamp_micros(F.unix_micros("dropoff_datetime")).alias("seen_at")
-    priced = (timed.where(fare.isNotNull() & ~F.isnan(fare))
-              .select(hop, "pickup_zone_id", "trip_id", "fare_amount", seen_at,
-                      F.pmod(F.xxhash64("trip_id"), F.lit(salts)).cast("int").alias("salt")))
-    return (priced.join(averages, ["w", "pickup_zone_id", "salt"])
+    shift, step = interval_us(size - slide), interval_us(slide)
+
+    pane_start = F.unix_micros("hop.start") + shift
+    pane = F.struct(F.timestamp_micros("pane_us").alias("start"),
+                    F.timestamp_micros(F.col("pane_us") + step).alias("end")).alias("pane")
+    averages = (events.where(known_zone).withWatermark("dropoff_datetime", interval_text(delay))
+                .groupBy(F.window("dropoff_datetime", size_text, slide_text).alias("hop"), "pickup_zone_id")
+                .agg(exact_avg("fare_amount").alias("zone_avg_fare"))
+                .select("pickup_zone_id", "zone_avg_fare",
+                        F.explode(F.sequence(pane_start, pane_start + shift, F.lit(step))).alias("pane_us"))
+                .select("pickup_zone_id", "zone_avg_fare", pane,
+                        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")))
+    # The event time of this side is shifted; the dropoff time stays a plain column.
+    closes_at = F.timestamp_micros(F.unix_micros("dropoff_datetime") + shift)
+    priced = (events.where(known_zone & fare.isNotNull() & ~F.isnan(fare))
+              .withColumn("closes_at", closes_at).withWatermark("closes_at", interval_text(delay))
+              .select(F.window("closes_at", slide_text).alias("pane"), "pickup_zone_id", "trip_id", "fare_amount",
+                      "dropoff_datetime", F.pmod(F.xxhash64("trip_id"), F.lit(salts)).cast("int").alias("salt")))
+    return (priced.join(averages, ["pane", "pickup_zone_id", "salt"])
             .where(fare > factor * F.col("zone_avg_fare"))
-            .withColumn("dropoff_datetime", F.col("seen_at"))
             .withColumn("deviation_ratio", ratio(fare, F.col("zone_avg_fare")))
             .select(*FARE_ANOMALIES.names))
 

@@ -37,6 +37,13 @@ def test_drift_is_reported_with_both_counts(make_trips):
         assert_reconciled(drifts(trips))
 
 
+def test_with_shared_validity_only_copies_differ(make_trips):
+    from curbline.operators.events import batch_grade
+    trips = make_trips({}, {}, dict(pickup_zone_id=3, fare_amount=-2.0), dict(pickup_zone_id=4, payment_type=0))
+    speed = zone_demand(batch_grade(to_events(as_raw(trips))))
+    assert [r.zone_id for r in reconcile(stage_trips(trips), speed, AS_OF).collect()] == [1]
+
+
 def test_tolerance_is_strict_and_only_the_lookback_counts(make_trips):
     trips = make_trips({}, {})
     assert drifts(trips, tolerance=0.5).count() == 0

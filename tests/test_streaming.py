@@ -55,6 +55,29 @@ def test_streams_equal_the_batch(spark, make_events, dirs):
     assert got and got == as_set(fare_anomalies(closed))
 
 
+def test_disorder_inside_the_delay_changes_nothing(spark, make_events, dirs):
+    rows = random_rows(300, seed=5)
+    mixed = streaming.disorder(make_events(*rows), fraction=0.4, longest=140 * SECOND)
+    streaming.write_in_arrival_order(mixed, dirs("in"), timedelta(minutes=12))
+    write_files(make_events, dirs("in"), [("f1", FLUSH, 1, 1.0)], [("f2", FLUSH + SECOND, 1, 1.0)])
+    events = streaming.read_event_files(spark, dirs("in"), max_files=1)
+    drain(*streaming.start_speed_layer(events, dirs("out"), dirs("cp"), rollover=None))
+    assert as_set(spark.read.parquet(dirs("out/zone_demand_5min"))) == as_set(zone_demand(make_events(*rows)))
+    assert as_set(spark.read.parquet(dirs("out/fare_anomalies"))) == as_set(fare_anomalies(make_events(*rows)))
+
+
+def test_event_after_some_of_its_windows_closed_is_judged_by_their_averages(spark, make_events, dirs):
+    quiet = [(f"q{m}", START + m * MIN, 1, 1.0) for m in (1, 2, 3)]
+    # 00:15 closes the windows that end at 00:05 and 00:10; the spike of 00:04 comes after that.
+    write_files(make_events, dirs("in"), quiet, [("x", START + 15 * MIN, 1, 1.0)], [("y", START + 15 * MIN, 2, 1.0)],
+                [("spike", START + 4 * MIN, 1, 50.0)], [("f", FLUSH, 1, 1.0)], [("g", FLUSH + SECOND, 1, 1.0)])
+    events = streaming.read_event_files(spark, dirs("in"), max_files=1)
+    drain(streaming.start_file_sink(streaming.fare_anomaly_stream(events), dirs("out"), dirs("cp"), None))
+    rows = spark.read.parquet(dirs("out")).collect()
+    assert {r.trip_id for r in rows} == {"spike"}
+    assert sorted(r.zone_avg_fare for r in rows) == [1.0, 1.0, 10.8, 10.8, 10.8, 13.25]
+
+
 def test_restart_adds_nothing_and_then_only_what_is_new(spark, make_events, dirs):
     def run():
         events = streaming.read_event_files(spark, dirs("in"))
