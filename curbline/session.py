@@ -32,6 +32,18 @@ def build_session(app: str = "curbline", master: str | None = None, **conf: str)
     return pin_utc(builder.getOrCreate())
 
 
+def shuffle_settings(shuffled_bytes: int, target_bytes: int = 200 << 20) -> dict[str, str]:
+    """Initial number of shuffle partitions for a job that shuffles about ``shuffled_bytes``.
+
+    Adaptive execution merges partitions that turn out small but never makes more, except to split
+    skew. Above 40,000 the bookkeeping of the driver costs more than larger, spilling partitions.
+    A stream keeps the number it had when its checkpoint was made.
+    """
+    parts = min(max(-(-shuffled_bytes // target_bytes), 200), 40_000)
+    return {"spark.sql.shuffle.partitions": str(parts),
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes)}
+
+
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Trip times are naive UTC readings, so every session that touches them must read UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

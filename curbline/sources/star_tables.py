@@ -1,6 +1,6 @@
 """Trips, zones and events read from the order-line star schema.
 
-The benchmark data holds no taxi trips, so a line of an order stands for one trip. The mapping is
+The benchmark data holds no trips, so a line of an order stands for one trip. The mapping is
 a projection of one scan, without joins: what a query costs is the cost of its own operators.
 """
 

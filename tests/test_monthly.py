@@ -67,7 +67,7 @@ def test_a_failing_check_stops_the_run(spark, files, tmp_path):
     few.write_text("LocationID,Borough,Zone,service_zone\n1,B,Z,S\n")
     with pytest.raises(CheckFailed, match="relationships"):
         run_month(spark, Lake(str(tmp_path / "a")), raw_path(files)(MONTHS[0]), MONTHS[0], str(few), CALENDAR)
-    # Fares of the stand-in trips are a thousand times a taxi fare: the runtime gate sees it.
+    # Fares of the stand-in trips are a thousand times a real fare: the runtime gate sees it.
     with pytest.raises(CheckFailed, match="avg\\(fare_amount\\)"):
         run_month(spark, Lake(str(tmp_path / "b")), raw_path(files)(MONTHS[0]), MONTHS[0], str(files / "zones.csv"),
                   CALENDAR, as_of=ts("1998-03-01"))
