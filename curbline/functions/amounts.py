@@ -3,7 +3,7 @@
 A double sum changes in its last digits between runs, so a rerun would rewrite a partition with
 other bytes, and a total over 10^12 trips is off by whole cents. Amounts are therefore summed as
 64-bit counts of 1/10000: exact, as cheap as a double sum inside generated code, and any overflow
-raises an error. NaN carries no amount and is skipped like NULL.
+raises an error (ANSI mode, Spark's default). NaN carries no amount and is skipped like NULL.
 """
 
 from __future__ import annotations

@@ -6,14 +6,15 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..fixed import ANOMALY_FACTOR, HOP_SIZE, HOP_SLIDE
 from ..functions import ratio, slice_start
 from ..schemas import FARE_ANOMALIES
 from .dedup import first_per_key
-from .demand import HOP_SIZE, HOP_SLIDE, hop_windows
+from .demand import hop_windows
 
 
 def fare_anomalies(events: DataFrame, size: timedelta = HOP_SIZE, slide: timedelta = HOP_SLIDE,
-                   factor: float = 3.0, one_per_trip: bool = False) -> DataFrame:
+                   factor: float = ANOMALY_FACTOR, one_per_trip: bool = False) -> DataFrame:
     """Events whose fare is above ``factor`` times the average of a hopping window around them.
 
     Every window that holds the event is judged on its own, so one trip may appear up to size/slide

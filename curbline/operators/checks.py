@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .. import fixed
 from ..functions import exact_avg, ratio
 from ..functions.clock import age_hours
 from .dedup import duplicate_keys
@@ -119,7 +120,7 @@ def freshness(column: str, as_of: datetime | Column, limit: timedelta,
 
 
 def source_freshness(as_of: datetime | Column, column: str = "_ingested_at") -> Check:
-    return freshness(column, as_of, timedelta(hours=48), warn_after=timedelta(hours=26))
+    return freshness(column, as_of, fixed.SOURCE_ERROR_AFTER, warn_after=fixed.SOURCE_WARN_AFTER)
 
 
 # Checks with a shuffle of their own: each yields the same four columns.
@@ -167,7 +168,8 @@ def zero_duration() -> Check:
     return Check("zero_duration_trips", lambda: F.count_if(_stopped()), _zero, "= 0")
 
 
-def volume_change(history: DataFrame, runs: int = 7, limit: float = 20.0) -> DataFrame:
+def volume_change(history: DataFrame, runs: int = fixed.VOLUME_RUNS,
+                  limit: float = fixed.VOLUME_CHANGE_PERCENT) -> DataFrame:
     """Row count of each run against the average of up to ``runs`` runs before it, in percent.
 
     ``history`` has one row per table and run: (table_name, run_at, row_count). The first run of a
@@ -183,18 +185,17 @@ def volume_change(history: DataFrame, runs: int = 7, limit: float = 20.0) -> Dat
 
 def fact_checks(as_of: datetime | Column) -> list[Check]:
     """Runtime checks of the fact table."""
-    from ..schemas import PAYMENT_TYPES
     return [
-        freshness("pickup_datetime", as_of, timedelta(hours=26)),
+        freshness("pickup_datetime", as_of, fixed.FACT_FRESHNESS),
         row_count("fct_trips"),
         missing_count("fare_amount"),
         min_at_least("fare_amount", 0),
-        max_below("trip_duration_minutes", 300),
-        invalid_percent("payment_type", PAYMENT_TYPES, 0.1),
-        avg_between("fare_amount", 5, 60),
+        max_below("trip_duration_minutes", fixed.MAX_TRIP_MINUTES),
+        invalid_percent("payment_type", fixed.PAYMENT_TYPES, fixed.MAX_INVALID_PERCENT),
+        avg_between("fare_amount", *fixed.AVERAGE_FARE),
     ]
 
 
 def demand_checks(as_of: datetime | Column) -> list[Check]:
     """Runtime checks of the live demand table."""
-    return [freshness("window_end", as_of, timedelta(minutes=15)), row_count("rt_zone_demand")]
+    return [freshness("window_end", as_of, fixed.LIVE_FRESHNESS), row_count("rt_zone_demand")]

@@ -6,15 +6,13 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..fixed import DEMAND_WINDOW, HOP_SIZE, HOP_SLIDE
 from ..functions import exact_avg, exact_sum, exact_units, interval_us, ratio, slice_start
 from ..functions.amounts import UNITS
 from ..functions.clock import interval_text
 
-TUMBLE = timedelta(minutes=5)
-HOP_SIZE, HOP_SLIDE = timedelta(minutes=30), timedelta(minutes=5)
 
-
-def zone_demand(events: DataFrame, size: timedelta = TUMBLE) -> DataFrame:
+def zone_demand(events: DataFrame, size: timedelta = DEMAND_WINDOW) -> DataFrame:
     """Trips, average fare and revenue per zone and tumbling window of the dropoff time."""
     return (events.where(F.col("pickup_zone_id").isNotNull())
             .groupBy(F.window("dropoff_datetime", interval_text(size)).alias("w"), "pickup_zone_id")
@@ -60,7 +58,7 @@ def hop_average(events: DataFrame, size: timedelta = HOP_SIZE, slide: timedelta
     return hop_windows(events, size, slide).drop("panes")
 
 
-def recount(trips: DataFrame, size: timedelta = TUMBLE) -> DataFrame:
+def recount(trips: DataFrame, size: timedelta = DEMAND_WINDOW) -> DataFrame:
     """Trips per dropoff slice and zone, counted from the fact table."""
     return (trips.groupBy(slice_start(F.col("dropoff_datetime"), size).alias("window_start"), "pickup_zone_id")
             .agg(F.count("*").alias("batch_count")))

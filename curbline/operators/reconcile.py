@@ -6,9 +6,8 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .demand import TUMBLE, recount
-
-TOLERANCE = 0.01
+from ..fixed import DEMAND_WINDOW, DRIFT_LOOKBACK, DRIFT_ROWS, DRIFT_SAMPLE, DRIFT_TOLERANCE
+from .demand import recount
 
 
 class DriftError(ValueError):
@@ -37,19 +36,19 @@ def compare_layers(batch_counts: DataFrame, speed: DataFrame) -> DataFrame:
 
 
 def reconcile(trips: DataFrame, speed: DataFrame, as_of: datetime | Column,
-              lookback: timedelta = timedelta(days=1), tolerance: float = TOLERANCE,
-              size: timedelta = TUMBLE) -> DataFrame:
+              lookback: timedelta = DRIFT_LOOKBACK, tolerance: float = DRIFT_TOLERANCE,
+              size: timedelta = DEMAND_WINDOW) -> DataFrame:
     """Windows of the last ``lookback`` whose counts differ by more than ``tolerance``."""
     batch_counts = recount(since(trips, "dropoff_datetime", as_of, lookback), size)
     recent = since(speed, "window_start", as_of, lookback)
     return compare_layers(batch_counts, recent).where(F.col("rel_diff") > tolerance)
 
 
-def worst_drifts(drifts: DataFrame, n: int = 50) -> DataFrame:
+def worst_drifts(drifts: DataFrame, n: int = DRIFT_ROWS) -> DataFrame:
     return drifts.orderBy(F.desc("rel_diff"), "window_start", "zone_id").limit(n)
 
 
-def assert_reconciled(drifts: DataFrame, sample: int = 10) -> None:
+def assert_reconciled(drifts: DataFrame, sample: int = DRIFT_SAMPLE) -> None:
     """Raise with a sample of the worst drifts if there is any."""
     worst = worst_drifts(drifts, sample).collect()
     if worst:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..fixed import MAX_DISTANCE
+
 REASON = "_reject_reason"
 
 
-def trip_rules(max_distance: float = 200.0) -> list[tuple[str, Column]]:
+def trip_rules(max_distance: float = MAX_DISTANCE) -> list[tuple[str, Column]]:
     """Rules of the silver layer, first match wins. A NULL operand never matches."""
     pickup, dropoff = F.col("pickup_datetime"), F.col("dropoff_datetime")
     return [

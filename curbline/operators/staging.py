@@ -6,8 +6,9 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..fixed import PAYMENT_TYPES
 from ..functions import minute_boundaries, trip_key
-from ..schemas import FCT_TRIPS, PAYMENT_TYPES, TRIP_KEY
+from ..schemas import FCT_TRIPS, TRIP_KEY
 from .dedup import first_per_key
 
 GATE_REASON = "_gate_reason"

@@ -6,7 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from .. import schemas
+from ..fixed import PAYMENT_TYPES
 from ..operators import checks
 from ..operators.dimensions import date_spine, dim_date, dim_zones
 from ..operators.sinks import clustered, delete_then_append_month, merge_upsert
@@ -37,7 +37,7 @@ def build_fct_trips(spark: SparkSession, lake: Lake, run_month: date) -> None:
 def fct_contract() -> list[checks.Check]:
     """Checks of the fact table that one aggregation answers."""
     return [*(checks.not_null(c, "fct_trips") for c in ("trip_sk", "pickup_zone_id", "trip_duration_minutes")),
-            checks.accepted_values("payment_type", schemas.PAYMENT_TYPES, "fct_trips"),
+            checks.accepted_values("payment_type", PAYMENT_TYPES, "fct_trips"),
             checks.zero_duration()]
 
 

@@ -12,6 +12,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
+from ..fixed import PAYMENT_TYPES
 from ..functions import exact_sum
 from ..operators import checks, measures, reconcile as recon, sinks
 from ..operators.anomalies import anomaly_feed, fare_anomalies
@@ -178,7 +179,7 @@ def dq_freshness(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_accepted_values(spark: SparkSession, sf: str) -> DataFrame:
-    check = checks.accepted_values("payment_type", schemas.PAYMENT_TYPES, "silver")
+    check = checks.accepted_values("payment_type", PAYMENT_TYPES, "silver")
     return checks.run_checks(silver(spark, sf), [check])
 
 

@@ -7,9 +7,6 @@ MONTH_KEYS = ["year", "month"]
 # Two rows with equal values here are the same trip.
 TRIP_KEY = ["pickup_datetime", "dropoff_datetime", "pickup_zone_id", "dropoff_zone_id", "total_amount"]
 
-# Payment codes of the trip contract.
-PAYMENT_TYPES = [1, 2, 3, 4, 5, 6]
-
 
 _TYPES = {"timestamp": T.TimestampType(), "int": T.IntegerType(), "bigint": T.LongType(),
           "double": T.DoubleType(), "string": T.StringType()}

@@ -6,6 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..fixed import LATE_FRACTION, LONGEST_DELAY, SHORTEST_DELAY
 from ..functions import interval_us
 
 _STEPS = 1_000_000
@@ -16,8 +17,8 @@ def _uniform(seed: int) -> Column:
     return F.pmod(F.xxhash64("trip_id", F.lit(seed)), F.lit(_STEPS)) / F.lit(float(_STEPS))
 
 
-def disorder(events: DataFrame, fraction: float = 0.02, longest: timedelta = timedelta(seconds=90),
-             shortest: timedelta = timedelta(seconds=5), seed: int = 0) -> DataFrame:
+def disorder(events: DataFrame, fraction: float = LATE_FRACTION, longest: timedelta = LONGEST_DELAY,
+             shortest: timedelta = SHORTEST_DELAY, seed: int = 0) -> DataFrame:
     """Add ``arrival_time``: ``fraction`` of the events is held back between the two delays of event time."""
     low, high = interval_us(shortest), interval_us(longest)
     held = (F.lit(low) + _uniform(seed + 1) * (high - low)).cast("bigint")

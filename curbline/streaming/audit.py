@@ -13,8 +13,8 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..fixed import DEMAND_WINDOW, FILE_ROLLOVER
 from ..functions import interval_us, slice_start
-from ..operators.demand import TUMBLE
 from ..schemas import TRIP_EVENT
 from ..sources.files import read_table
 from .contract import VIOLATION, tag_violations
@@ -33,7 +33,7 @@ def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def audit_batch(batch: DataFrame, batch_id: int, out: str, delay: timedelta = DELAY,
-                size: timedelta = TUMBLE) -> None:
+                size: timedelta = DEMAND_WINDOW) -> None:
     spark = batch.sparkSession
     ledger = f"{out}/ledger"
     tagged = tag_violations(batch).persist()
@@ -53,8 +53,8 @@ def audit_batch(batch: DataFrame, batch_id: int, out: str, delay: timedelta = DE
         tagged.unpersist()
 
 
-def start_audit(decoded: DataFrame, out: str, checkpoint: str, rollover: timedelta | None = TUMBLE,
-                delay: timedelta = DELAY, size: timedelta = TUMBLE) -> StreamingQuery:
+def start_audit(decoded: DataFrame, out: str, checkpoint: str, rollover: timedelta | None = FILE_ROLLOVER,
+                delay: timedelta = DELAY, size: timedelta = DEMAND_WINDOW) -> StreamingQuery:
     """Write dead letters and late events of a decoded stream, each batch exactly once."""
     writer = (decoded.writeStream.option("checkpointLocation", checkpoint)
               .foreachBatch(lambda batch, n: audit_batch(batch, n, out, delay, size)))

@@ -7,15 +7,15 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..fixed import (ALLOWED_LATENESS, ANOMALY_FACTOR, DEMAND_WINDOW, FILE_ROLLOVER, HOP_SIZE, HOP_SLIDE,
+                     WATERMARK)
 from ..functions import exact_avg, interval_us, ratio
 from ..functions.clock import interval_text
-from ..operators.demand import HOP_SIZE, HOP_SLIDE, TUMBLE, zone_demand
+from ..operators.demand import zone_demand
 from ..schemas import FARE_ANOMALIES
 
-WATERMARK = timedelta(seconds=30)
-LATENESS = timedelta(minutes=2)
 # Spark has one delay: the out-of-orderness bound plus the allowed lateness.
-DELAY = WATERMARK + LATENESS
+DELAY = WATERMARK + ALLOWED_LATENESS
 
 
 def once_per_trip(events: DataFrame, delay: timedelta = DELAY) -> DataFrame:
@@ -24,12 +24,12 @@ def once_per_trip(events: DataFrame, delay: timedelta = DELAY) -> DataFrame:
             .dropDuplicatesWithinWatermark(["trip_id"]))
 
 
-def zone_demand_stream(events: DataFrame, size: timedelta = TUMBLE, delay: timedelta = DELAY) -> DataFrame:
+def zone_demand_stream(events: DataFrame, size: timedelta = DEMAND_WINDOW, delay: timedelta = DELAY) -> DataFrame:
     return zone_demand(events.withWatermark("dropoff_datetime", interval_text(delay)), size)
 
 
 def fare_anomaly_stream(events: DataFrame, size: timedelta = HOP_SIZE, slide: timedelta = HOP_SLIDE,
-                        factor: float = 3.0, delay: timedelta = DELAY, salts: int = 16) -> DataFrame:
+                        factor: float = ANOMALY_FACTOR, delay: timedelta = DELAY, salts: int = 16) -> DataFrame:
     """Events above ``factor`` times the average of a hopping window around them.
 
     Stream-stream join on (zone, pane). An event waits in the state once, not once per window: its key
@@ -64,7 +64,7 @@ def fare_anomaly_stream(events: DataFrame, size: timedelta = HOP_SIZE, slide: ti
             .select(*FARE_ANOMALIES.names))
 
 
-def start_file_sink(df: DataFrame, path: str, checkpoint: str, rollover: timedelta | None = TUMBLE,
+def start_file_sink(df: DataFrame, path: str, checkpoint: str, rollover: timedelta | None = FILE_ROLLOVER,
                     name: str | None = None) -> StreamingQuery:
     """Exactly-once Parquet sink that closes files every ``rollover``; None drains what is there."""
     writer = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
@@ -75,7 +75,7 @@ def start_file_sink(df: DataFrame, path: str, checkpoint: str, rollover: timedel
     return writer.trigger(processingTime=f"{rollover // timedelta(seconds=1)} seconds").start()
 
 
-def start_speed_layer(events: DataFrame, out: str, checkpoints: str, rollover: timedelta | None = TUMBLE,
+def start_speed_layer(events: DataFrame, out: str, checkpoints: str, rollover: timedelta | None = FILE_ROLLOVER,
                       delay: timedelta = DELAY, hop: tuple[timedelta, timedelta] = (HOP_SIZE, HOP_SLIDE)
                       ) -> list[StreamingQuery]:
     """Both results of one source, each a query with a checkpoint of its own."""

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import ts
-from curbline import schemas
+from curbline.fixed import PAYMENT_TYPES
 from curbline.operators import checks
 from curbline.operators.staging import stage_trips
 from curbline.plans.marts import build_checks, runtime_checks
@@ -56,8 +56,8 @@ def test_each_build_check_finds_its_fault(fct, zones, dates):
 def test_nulls_pass_the_checks_that_are_not_about_nulls(spark, zones):
     rows = spark.createDataFrame([(None, None)], "payment_type int, pickup_zone_id int")
     ok = checks.all_checks(
-        checks.run_checks(rows, [checks.accepted_values("payment_type", schemas.PAYMENT_TYPES, "t"),
-                                 checks.invalid_percent("payment_type", schemas.PAYMENT_TYPES, 0.1)]),
+        checks.run_checks(rows, [checks.accepted_values("payment_type", PAYMENT_TYPES, "t"),
+                                 checks.invalid_percent("payment_type", PAYMENT_TYPES, 0.1)]),
         checks.relationships(rows, "pickup_zone_id", zones, "zone_id", "t"), checks.unique(rows, "payment_type", "t"))
     assert {s for s, _ in results(ok).values()} == {"pass"}
 
