@@ -20,13 +20,13 @@ from ..operators.demand import hop_average, live_demand, recount, zone_demand
 from ..operators.dimensions import dim_date, dim_zones, spine_between, trip_day_bounds
 from ..operators.events import in_event_order, to_events, to_wire
 from ..operators.normalize import normalize_trips, out_of_month
-from ..operators.rules import REASON, reject_reason, run_metrics, split_valid, trip_rules
+from ..operators.rules import reject_reason, run_metrics, split_valid, trip_rules
 from ..operators.staging import gate_rejects, stage_month, stage_trips, staging_loss, trip_gate
 from ..operators.dedup import first_per_key
 from ..plans.lake import clean_trips
 from ..plans.marts import build_checks, not_null_checks, unique_checks
 from ..session import scratch_dir
-from ..sources import read_month, read_table
+from ..sources import read_month
 from ..sources.star_tables import raw_trips, raw_trips_with_fee, trip_events, zone_lookup
 
 Query = Callable[[SparkSession, str], DataFrame]

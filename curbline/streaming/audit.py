@@ -2,8 +2,9 @@
 
 Spark drops late rows inside a stateful operator and only counts them. The audit reads the same
 source and writes the rows themselves. It judges a batch by the rule the windowed query applies: a row
-is late if its window ended before the watermark left by the batches up to the last but one. Give both
-queries the same source options, so that they see the same batches.
+is late if its window ended before the watermark left by the batches up to the last but one. The two
+agree row by row while they see the same batches: give the source ``max_files=1``, so that each file is a
+batch, and the windowed query ``idle_batches=False``.
 """
 
 from __future__ import annotations

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..fixed import (ALLOWED_LATENESS, ANOMALY_FACTOR, DEMAND_WINDOW, FILE_ROLLOVER, HOP_SIZE, HOP_SLIDE,
@@ -19,7 +20,10 @@ DELAY = WATERMARK + ALLOWED_LATENESS
 
 
 def once_per_trip(events: DataFrame, delay: timedelta = DELAY) -> DataFrame:
-    """Drop replayed events; their ids are hashes of the trip and so repeat."""
+    """Drop replayed events; their ids are hashes of the trip and so repeat.
+
+    The result carries its watermark: group it directly, with ``operators.demand.zone_demand``.
+    """
     return (events.withWatermark("dropoff_datetime", interval_text(delay))
             .dropDuplicatesWithinWatermark(["trip_id"]))
 
@@ -64,24 +68,46 @@ def fare_anomaly_stream(events: DataFrame, size: timedelta = HOP_SIZE, slide: ti
             .select(*FARE_ANOMALIES.names))
 
 
+@contextmanager
+def _idle_batches(spark: SparkSession, enabled: bool):
+    """A query keeps the setting it was started under."""
+    key = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(enabled).lower())
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def start_file_sink(df: DataFrame, path: str, checkpoint: str, rollover: timedelta | None = FILE_ROLLOVER,
-                    name: str | None = None) -> StreamingQuery:
-    """Exactly-once Parquet sink that closes files every ``rollover``; None drains what is there."""
-    writer = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+                    files: int | None = None, idle_batches: bool = True, name: str | None = None) -> StreamingQuery:
+    """Exactly-once Parquet sink that closes files every ``rollover``; None drains what is there.
+
+    ``files`` is the number of files per rollover; without it each shuffle partition writes its own.
+    ``idle_batches=False`` lets time move with the data alone: a window closes with the next data and
+    not while the source is idle, and the query sees the same batches as an audit of the source.
+    """
+    out = df.repartition(files) if files else df
+    writer = out.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
-    if rollover is None:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=f"{rollover // timedelta(seconds=1)} seconds").start()
+    trigger = ({"availableNow": True} if rollover is None
+               else {"processingTime": f"{rollover // timedelta(seconds=1)} seconds"})
+    with _idle_batches(df.sparkSession, idle_batches):
+        return writer.trigger(**trigger).start()
 
 
 def start_speed_layer(events: DataFrame, out: str, checkpoints: str, rollover: timedelta | None = FILE_ROLLOVER,
-                      delay: timedelta = DELAY, hop: tuple[timedelta, timedelta] = (HOP_SIZE, HOP_SLIDE)
-                      ) -> list[StreamingQuery]:
-    """Both results of one source, each a query with a checkpoint of its own."""
+                      delay: timedelta = DELAY, hop: tuple[timedelta, timedelta] = (HOP_SIZE, HOP_SLIDE),
+                      idle_batches: bool = True) -> list[StreamingQuery]:
+    """Both results of one source, each a query with a checkpoint of its own.
+
+    Demand is a few rows per zone and window; anomalies grow with the trips, hence more files.
+    """
     return [
         start_file_sink(zone_demand_stream(events, delay=delay), f"{out}/zone_demand_5min",
-                        f"{checkpoints}/zone_demand_5min", rollover),
+                        f"{checkpoints}/zone_demand_5min", rollover, 2, idle_batches),
         start_file_sink(fare_anomaly_stream(events, *hop, delay=delay), f"{out}/fare_anomalies",
-                        f"{checkpoints}/fare_anomalies", rollover),
+                        f"{checkpoints}/fare_anomalies", rollover, 16, idle_batches),
     ]

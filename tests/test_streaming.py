@@ -162,7 +162,8 @@ def test_late_rows_are_exactly_those_the_windows_drop(spark, make_events, dirs):
     events = streaming.read_event_files(spark, dirs("in"), max_files=1)
     audit = streaming.start_audit(events, dirs("audit"), dirs("cp/audit"), rollover=None)
     valid, _ = streaming.split_contract(events)
-    demand = streaming.start_file_sink(streaming.zone_demand_stream(valid), dirs("out"), dirs("cp/demand"), None)
+    demand = streaming.start_file_sink(streaming.zone_demand_stream(valid), dirs("out"), dirs("cp/demand"), None,
+                                       idle_batches=False)
     drain(audit, demand)
     late = {r.trip_id for r in spark.read.parquet(dirs("audit/late")).collect()}
     dead = spark.read.parquet(dirs("audit/dead_letters")).collect()
@@ -178,12 +179,21 @@ def test_no_event_is_lost_between_windows_and_side_outputs(spark, make_events, d
     """Disorder in three bands: inside the watermark, inside the lateness, beyond both."""
     rows = [(f"t{i}", START + timedelta(seconds=24 * i), 1 + i % 3, 1.0) for i in range(600)]
     events = streaming.disorder(make_events(*rows), fraction=0.3, longest=timedelta(minutes=40), seed=seed)
-    slices = streaming.write_in_arrival_order(events, dirs("in"), timedelta(minutes=30))
-    assert slices >= 8
+    arrived = events.where("arrival_time < TIMESTAMP '2024-01-01 02:00:00'")
+
+    def run():
+        stream = streaming.read_event_files(spark, dirs("in"), max_files=1)
+        drain(streaming.start_audit(stream, dirs("audit"), dirs("cp/a"), rollover=None),
+              streaming.start_file_sink(streaming.zone_demand_stream(stream), dirs("out"), dirs("cp/d"), None,
+                                        idle_batches=False))
+
+    # Both queries stop in between and start again.
+    assert streaming.write_in_arrival_order(arrived, dirs("in"), timedelta(minutes=30)) == 4
+    run()
+    rest = events.where("arrival_time >= TIMESTAMP '2024-01-01 02:00:00'")
+    assert streaming.write_in_arrival_order(rest, dirs("in"), timedelta(minutes=30)) >= 4
     write_files(make_events, dirs("in"), [("f1", FLUSH, 1, 1.0)], [("f2", FLUSH + SECOND, 1, 1.0)])
-    stream = streaming.read_event_files(spark, dirs("in"), max_files=1)
-    drain(streaming.start_audit(stream, dirs("audit"), dirs("cp/a"), rollover=None),
-          streaming.start_file_sink(streaming.zone_demand_stream(stream), dirs("out"), dirs("cp/d"), None))
+    run()
     late = spark.read.parquet(dirs("audit/late")).count()
     counted = spark.read.parquet(dirs("out")).agg(F.sum("trip_count")).first()[0]
     assert late > 0 and counted + late == len(rows)
