@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, functions as F
 
@@ -28,5 +28,12 @@ def minute_boundaries(start: Column, end: Column) -> Column:
     return (minute(end) - minute(start)).cast("bigint")
 
 
+def moment(t: datetime | Column) -> Column:
+    """A time given by the caller. A datetime without a zone is a UTC reading, wherever the driver runs."""
+    if isinstance(t, Column):
+        return t
+    return F.lit(t if t.tzinfo else t.replace(tzinfo=timezone.utc))
+
+
 def age_hours(ts: Column, as_of: Column) -> Column:
     return (F.unix_micros(as_of) - F.unix_micros(ts)) / F.lit(3.6e9)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import fixed
 from ..functions import exact_avg, ratio
-from ..functions.clock import age_hours
+from ..functions.clock import age_hours, moment
 from .dedup import duplicate_keys
 
 
@@ -109,7 +109,7 @@ def freshness(column: str, as_of: datetime | Column, limit: timedelta,
 
     Fails from ``limit`` on. With ``warn_after`` ages above it and up to ``limit`` warn.
     """
-    now = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    now = moment(as_of)
     hours = limit / timedelta(hours=1)
     metric = lambda: age_hours(F.max(column), now)
     if warn_after is None:

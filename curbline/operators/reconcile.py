@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed import DEMAND_WINDOW, DRIFT_LOOKBACK, DRIFT_ROWS, DRIFT_SAMPLE, DRIFT_TOLERANCE
+from ..functions.clock import moment
 from .demand import recount
 
 
@@ -16,8 +17,7 @@ class DriftError(ValueError):
 
 def since(df: DataFrame, ts: str, as_of: datetime | Column, lookback: timedelta) -> DataFrame:
     """Rows from ``lookback`` before ``as_of`` on."""
-    now = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    return df.where(F.col(ts) >= now - F.lit(lookback))
+    return df.where(F.col(ts) >= moment(as_of) - F.lit(lookback))
 
 
 def compare_layers(batch_counts: DataFrame, speed: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from ..session import scratch_dir
 from ..sources.files import read_table
 
 Month = tuple[int, int]
+MAX_DAY_RANGES = 100
 
 
 def in_months(months: list[Month]) -> Column:
@@ -75,11 +76,16 @@ def delete_then_append_month(df: DataFrame, path: str, year: int, month: int) ->
     replace_months(lowered, path, [(year, month)])
 
 
-def _within_days(column: str, days: list[date]) -> Column:
-    """Predicate for times on one of ``days``, as ranges that a scan can skip files and row groups by."""
+def _within_days(column: str, days: set[date]) -> Column:
+    """Predicate for times on one of ``days``, as ranges that a scan can skip files and row groups by.
+
+    Days with very many gaps become one range from the first to the last: more is read, none is missed.
+    """
     one = timedelta(days=1)
-    starts = [d for d in days if d - one not in days]
-    ends = [d + one for d in days if d + one not in days]
+    starts = sorted(d for d in days if d - one not in days)
+    ends = sorted(d + one for d in days if d + one not in days)
+    if len(starts) > MAX_DAY_RANGES:
+        starts, ends = starts[:1], ends[-1:]
     ts = F.col(column)
     return reduce(Column.__or__, ((ts >= F.lit(a).cast("timestamp")) & (ts < F.lit(b).cast("timestamp"))
                                   for a, b in zip(starts, ends)), F.lit(False))
@@ -90,7 +96,7 @@ def replaced_rows(target: DataFrame, updates: DataFrame, key: str, same_time: st
     if same_time:
         # One row per calendar day comes to the driver.
         found = updates.select(F.to_date(same_time).alias("d")).distinct().where("d IS NOT NULL").collect()
-        target = target.where(_within_days(same_time, sorted(r.d for r in found)))
+        target = target.where(_within_days(same_time, {r.d for r in found}))
     return target.select(key, *MONTH_KEYS).join(updates.select(key), key, "left_semi")
 
 

@@ -5,6 +5,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from conftest import ts
+from curbline.functions.clock import moment
 from curbline.functions import exact_avg, exact_sum, minute_boundaries, slice_start, surrogate_key
 
 
@@ -41,6 +42,20 @@ def test_sums_are_exact_and_independent_of_order(spark, cents):
         assert got.a == (sum(known) / 100 / len(known) if known else None)
 
 
+def test_a_time_without_zone_is_utc_wherever_the_driver_runs(spark, monkeypatch):
+    from datetime import datetime, timezone
+    import time
+    for zone in ("UTC", "America/New_York"):
+        monkeypatch.setenv("TZ", zone)
+        time.tzset()
+        try:
+            for t in (datetime(2024, 1, 1), datetime(2024, 1, 1, tzinfo=timezone.utc)):
+                assert one(spark, s=F.unix_seconds(moment(t))) == 1704067200
+        finally:
+            monkeypatch.undo()
+            time.tzset()
+
+
 def test_nan_is_no_amount(spark):
     df = spark.createDataFrame([(1.5,), (float("nan"),), (None,)], "x double")
     got = df.agg(exact_sum("x").alias("s"), exact_avg("x").alias("a")).first()

@@ -1,3 +1,5 @@
+from datetime import date, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +85,15 @@ def test_merge_looks_for_replaced_rows_on_the_days_of_the_updates(spark, make_tr
     assert sorted(whole.collect()) == sorted(hit.collect())
 
 
+def test_days_with_many_gaps_become_one_range(spark, make_trips, path):
+    every_other = [date(2023, 1, 1) + timedelta(days=2 * i) for i in range(sinks.MAX_DAY_RANGES + 1)]
+    for days, ranges in ((set(every_other), 1), (set(every_other[:3]), 3)):
+        condition = str(sinks._within_days("pickup_datetime", days))
+        assert condition.count(">=") == ranges
+        inside = spark.createDataFrame([(d,) for d in days], "d date").select(F.col("d").cast("timestamp").alias("pickup_datetime"))
+        assert inside.where(sinks._within_days("pickup_datetime", days)).count() == len(days)
+
+
 def test_merge_of_nothing_changes_nothing(spark, make_trips, path):
     sinks.merge_upsert(spark, stage_trips(make_trips({})), path)
     assert sinks.merge_upsert(spark, stage_trips(make_trips(dict(fare_amount=None))), path) == []
