@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import packing, pu_quality, toxicity
+from . import mixing, packing, pu_quality, sharding, simhash, toxicity
 from .runtime import table
 
 
@@ -12,6 +12,15 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("bigint").alias("taken"), "rate", "copies")
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.classes(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -20,6 +29,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {q.__name__: q for q in (op1_toxicity, op5_best_fit_packing, op8_quality)}
+def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+QUERIES = {q.__name__: q for q in (op1_toxicity, op3_entropy_balancing, op4_simhash, op5_best_fit_packing, op8_quality, op9_byte_shards)}
 
 ORACLES: dict[str, str] = {}
