@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, order_minhash, packing, pu_quality, sharding, simhash, toxicity
+from . import langid, mixing, order_minhash, packing, pu_quality, sharding, simhash, toxicity
 from .runtime import table
 
 
@@ -25,6 +25,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op6_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.documents_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -38,6 +42,6 @@ def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {q.__name__: q for q in (op1_toxicity, op3_entropy_balancing, op4_simhash, op5_best_fit_packing, op7_order_minhash, op8_quality, op9_byte_shards)}
+QUERIES = {q.__name__: q for q in (op1_toxicity, op3_entropy_balancing, op4_simhash, op5_best_fit_packing, op6_byte_gru, op7_order_minhash, op8_quality, op9_byte_shards)}
 
 ORACLES: dict[str, str] = {}
