@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, mixing, order_minhash, packing, pu_quality, sharding, simhash, toxicity
+from . import langid, mixing, order_minhash, packing, pu_quality, sharding, simhash, toxicity, vptree
 from .runtime import table
 
 
@@ -12,6 +12,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_vantage_point_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("bigint").alias("taken"), "rate", "copies")
@@ -42,6 +46,6 @@ def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {q.__name__: q for q in (op1_toxicity, op3_entropy_balancing, op4_simhash, op5_best_fit_packing, op6_byte_gru, op7_order_minhash, op8_quality, op9_byte_shards)}
+QUERIES = {q.__name__: q for q in (op1_toxicity, op2_vantage_point_trees, op3_entropy_balancing, op4_simhash, op5_best_fit_packing, op6_byte_gru, op7_order_minhash, op8_quality, op9_byte_shards)}
 
 ORACLES: dict[str, str] = {}
