@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, mixing, order_minhash, packing, pu_quality, sharding, simhash, toxicity, vptree
+from . import langid, mixing, order_minhash, packing, pu_quality, sharding, simhash, token_store, toxicity, vptree
 from .runtime import table
 
 
@@ -46,6 +46,10 @@ def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {q.__name__: q for q in (op1_toxicity, op2_vantage_point_trees, op3_entropy_balancing, op4_simhash, op5_best_fit_packing, op6_byte_gru, op7_order_minhash, op8_quality, op9_byte_shards)}
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.written_and_read(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {q.__name__: q for q in (op1_toxicity, op2_vantage_point_trees, op3_entropy_balancing, op4_simhash, op5_best_fit_packing, op6_byte_gru, op7_order_minhash, op8_quality, op9_byte_shards, op10_token_files)}
 
 ORACLES: dict[str, str] = {}
