@@ -22,7 +22,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .runtime import stored
+from .runtime import stored, whole_row
 
 #: Weights of the sources in the order of their names, repeated as often as needed.
 WEIGHTS = (1.0, 2.0, 3.0)
@@ -159,12 +159,10 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST) -
 
 def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST) -> DataFrame:
     """``docs`` with each row as often as the mix takes it, columns unchanged."""
-    key = ["doc_id", "text_hash"]
-    taken = mix(docs, weights, most).groupBy(*key).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    hashed = docs.withColumn("_hash", F.xxhash64("text"))
+    taken = (mix(docs, weights, most).groupBy(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+             .agg(F.sum("copies").cast("int").alias("times")).where("times > 0"))
+    rows = docs.select(whole_row(docs).alias("row"), F.col("doc_id").alias("own"), F.xxhash64("text").alias("tie"))
     # Rows equal in id and text stand for each other: the first of them carries the copies of all.
-    nth = F.row_number().over(Window.partitionBy("doc_id", "_hash").orderBy("_hash"))
-    hashed = hashed.withColumn("_nth", nth)
-    on = F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & F.col("d._hash").eqNullSafe(F.col("t.text_hash"))
-    rows = hashed.alias("d").join(taken.alias("t"), on).where("_nth = 1 and _copies > 0")
-    return rows.select("d.*", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")).select(*docs.columns)
+    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("own", "tie").orderBy("tie"))).where("nth = 1")
+    joined = rows.join(taken, F.col("own").eqNullSafe(F.col("id")) & F.col("tie").eqNullSafe(F.col("hash")))
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .runtime import drawn, held_out, ship, stored
+from .runtime import drawn, held_out, kept_rows, ship, stored
 
 #: Rows at most that a fit reads: trusted positives, and unlabelled texts.
 POSITIVE_ROWS = 10_000
@@ -184,3 +184,17 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     return stats.mapInArrow(run, "doc_id bigint, score double").select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the rows predicted bad; all rows stay where nothing could be learnt."""
+    ship(docs.sparkSession)
+    fitted = fit(stored(measured(docs), "quality-statistics"), labels)
+    if not fitted:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(fitted[0])
+
+    def keep(texts: list[str | None]) -> list[bool]:
+        return (sigmoid(shared.value.forward(np.array([statistics(t) for t in texts]))[0]) >= threshold).tolist() if texts else []
+
+    return kept_rows(docs, keep)

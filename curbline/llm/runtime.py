@@ -50,3 +50,22 @@ def held_out(doc_id: Column) -> Column:
 def drawn(ids: DataFrame, column: str, rows: int) -> DataFrame:
     """At most ``rows`` of ``ids``, the same on each run: those whose hashed id is least."""
     return ids.orderBy(F.xxhash64(column), column).limit(rows)
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one, so that columns added beside it clash with none of them."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
+
+
+def kept_rows(docs: DataFrame, keep) -> DataFrame:
+    """``docs`` without the rows whose text ``keep`` (texts to booleans) refuses, all columns as they were."""
+    at = docs.columns.index("text")
+
+    def run(batches):
+        import pyarrow as pa
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                yield part.filter(pa.array(keep(part.column(at).to_pylist()), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .components import components
-from .runtime import ship, stored
+from .runtime import ship, stored, whole_row
 
 BITS, SEGMENTS, WIDTH = 64, 4, 16
 DISTANCE = 3
@@ -130,9 +130,9 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each class: that of its smallest id."""
-    first = classes(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["_id"]), "left_semi")
-    # Ids that repeat are one document each.
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return kept.withColumn("_n", F.row_number().over(one)).where("_n = 1").drop("_n")
+    """``docs`` with one row of each class: that of its smallest id. Of rows that share that id one stays."""
+    first = classes(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("id")).distinct()
+    rows = docs.select(whole_row(docs).alias("row"), F.col("doc_id").cast("bigint").alias("own"), F.xxhash64("text").alias("tie"))
+    kept = rows.join(first, F.col("own").eqNullSafe(F.col("id")), "left_semi")
+    nth = F.row_number().over(Window.partitionBy("own").orderBy("tie"))
+    return kept.withColumn("nth", nth).where("nth = 1").select("row.*")

@@ -19,7 +19,7 @@ import numpy as np
 import re
 from pyspark.sql import DataFrame, functions as F
 
-from .runtime import drawn, held_out, ship, stored
+from .runtime import drawn, held_out, kept_rows, ship, stored
 
 SIZES = (3, 4, 5)
 #: Training rows at most; the sample is the same on each run.
@@ -193,3 +193,19 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     return score(docs, fit(docs, labels)).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the rows predicted toxic. Rows are judged where they are read; nothing is joined."""
+    model = fit(docs, labels)
+    shared = docs.sparkSession.sparkContext.broadcast((model.hashes, model.weights, model.intercept))
+    limit = float(np.log(threshold / (1 - threshold)))
+    ready: list[Lookup] = []
+
+    def keep(texts: list[str | None]) -> list[bool]:
+        hashes, weights, intercept = shared.value
+        if not ready:
+            ready.append(Lookup(hashes))
+        return [bool(weights[ready[0](t)].sum() + intercept < limit) for t in texts]
+
+    return kept_rows(docs, keep)
