@@ -17,7 +17,6 @@ _PIECES = re.compile(r"\s*\S+|\s+")
 _LETTERS = "".join(map(re.escape, (c for c in map(chr, range(0x250)) if unicodedata.category(c)[0] == "L" and c != "İ")))
 #: Pieces of these letters, ASCII digits and signs fall into runs, whatever else the tokenizer cuts at.
 _SIGNS = "".join(map(re.escape, (c for c in map(chr, range(0x21, 0x7f)) if not c.isalnum() and c != "'")))
-_PLAIN = re.compile(f" ?[{_LETTERS}0-9{_SIGNS}]+")
 _RUNS = re.compile(f" ?(?:[{_LETTERS}]+|[0-9]+|[{_SIGNS}]+)")
 
 
@@ -29,22 +28,41 @@ def packed(ids) -> bytes:
     return out.tobytes()
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for a byte in these vocabularies: itself where it prints, else the next from 256 on."""
+    printed = [*range(0x21, 0x7f), *range(0xa1, 0xad), *range(0xae, 0x100)]
+    hidden = [b for b in range(256) if b not in set(printed)]
+    return {b: chr(b) for b in printed} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+class _Memory(dict):
+    """Computes what it does not hold yet."""
+
+    def __init__(self, compute):
+        super().__init__()
+        self.compute = compute
+
+    def __missing__(self, key):
+        value = self[key] = self.compute(key)
+        return value
+
+
 class Encoder:
     """``Encoder(path)(texts)``: one bytes object of little-endian 32-bit ids per text.
 
     ``most`` bounds what is remembered, not the result. Null is an empty text.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 800_000):
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(path)
+        self.model = self.whole.model
         self.most = most
-        self.pieces: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        spaced = self.whole.encode("a b", add_special_tokens=False).tokens[1][0] == "Ġ"
-        self.cut = self._spaced if spaced else self._words
-        self.lower = not spaced
+        self.spaced = self.whole.encode("a b", add_special_tokens=False).tokens[1][0] == "Ġ"
+        self.cut = self._spaced if self.spaced else self._words
+        self.letters = {chr(b): c for b, c in _byte_letters().items()}
+        self.pieces, self.runs = _Memory(self._piece), _Memory(self._run)
 
     def _words(self, text: str) -> list[str] | None:
         """White space yields no id: the pieces are the words."""
@@ -60,38 +78,37 @@ class Encoder:
         first, *rest = text.replace("\n", " \n").split(" ")
         return [*([first] if first else []), *[p if p[:1] == "\n" else " " + p for p in rest]]
 
-    def _encoded(self, parts: list[str]) -> list[bytes]:
-        return [packed(e.ids) for e in self.whole.encode_batch_fast(parts, add_special_tokens=False)]
+    def _encoded(self, text: str) -> bytes:
+        return packed(self.whole.encode(text, add_special_tokens=False).ids)
+
+    def _piece(self, piece: str) -> bytes:
+        """Pieces share their runs ("the", "the,", "the."), so runs are remembered too."""
+        runs = _RUNS.findall(piece)
+        if sum(map(len, runs)) != len(piece) or "<" in piece and any(s in piece for s in self.special):
+            return self._encoded(piece)
+        return b"".join(map(self.runs.__getitem__, runs))
 
     def _run(self, run: str) -> bytes:
-        """Ids of one run of ASCII letters, which only the merges of the model still act on."""
-        run = run.lower() if self.lower else run.replace(" ", "Ġ")
-        return packed([t.id for t in self.whole.model.tokenize(run)])
-
-    def _learn(self, new: list[str]) -> None:
-        """Pieces share their runs ("the", "the,", "the."), so runs are encoded, and only once."""
-        plain = [p for p in new if _PLAIN.fullmatch(p) and not any(s in p for s in self.special)]
-        cut = {p: _RUNS.findall(p) for p in plain}
-        runs = {r for rs in cut.values() for r in rs if r not in self.runs}
-        simple = {r for r in runs if r.isascii() and r.lstrip().isalpha()}
-        self.runs.update({r: self._run(r) for r in simple})
-        other = list(runs - simple)
-        self.runs.update(zip(other, self._encoded(other), strict=True))
-        get = self.runs.__getitem__
-        self.pieces.update({p: b"".join(map(get, rs)) for p, rs in cut.items()})
-        rest = [p for p in new if p not in self.pieces]
-        self.pieces.update(zip(rest, self._encoded(rest), strict=True))
+        """Runs of Latin letters need no more than case, byte letters and the merges of the model."""
+        if not run.lstrip(" ").isalpha():
+            return self._encoded(run)
+        if not self.spaced:
+            run = run.lower()
+        if run.isascii():
+            run = run.replace(" ", "Ġ")
+        else:
+            run = "".join(map(self.letters.__getitem__, run.encode().decode("latin-1")))
+        return packed([t.id for t in self.model.tokenize(run)])
 
     def __call__(self, texts) -> list[bytes]:
-        cuts = [self.cut(t) if t else [] for t in texts]
         if len(self.pieces) > self.most or len(self.runs) > self.most:
             self.pieces.clear()
             self.runs.clear()
-        known = self.pieces
-        self._learn(list({p for pieces in cuts if pieces for p in pieces if p not in known}))
-        get = known.__getitem__
-        return [packed(self.whole.encode(t, add_special_tokens=False).ids) if pieces is None else b"".join(map(get, pieces))
-                for t, pieces in zip(texts, cuts, strict=True)]
+        get, out = self.pieces.__getitem__, []
+        for text in texts:
+            pieces = self.cut(text) if text else []
+            out.append(self._encoded(text) if pieces is None else b"".join(map(get, pieces)))
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
