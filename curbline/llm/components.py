@@ -7,27 +7,23 @@ from pyspark.sql import DataFrame, functions as F
 from .runtime import stored
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     """node, component (its smallest node) for every node of ``edges`` (a, b).
 
-    Large-star and small-star steps by turns: every node hangs its larger neighbours, then itself and its smaller
-    ones, on the smallest node it sees, until nothing moves. Steps are logarithmic in the number of nodes in
-    practice, and no step gathers the neighbours of a node: each is a minimum and a join.
+    Every node takes the least label among its own and its neighbours', then the label of that label, until no
+    label changes: rounds grow with the logarithm of a component's diameter in practice. No step gathers the
+    neighbours of a node; each is a minimum and a join, and its result is written to the shared folder.
     """
-    pairs = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    half = edges.where("a <> b").select("a", "b")
+    both = stored(half.unionByName(half.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    labels = stored(both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")).withColumnRenamed("a", "node"), "labels")
     for _ in range(rounds):
-        both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        small = small.where("a <> b").unionByName(least.select("a", F.col("m").alias("b"))).distinct()
-        after = stored(small, "links")
-        moved = after.join(pairs, ["a", "b"], "left_anti").isEmpty() and pairs.join(after, ["a", "b"], "left_anti").isEmpty()
-        pairs = after
-        if moved:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
-    return pairs.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-        pairs.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
+        least = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("least"))
+        jump = labels.select(F.col("node").alias("least"), F.col("label").alias("beyond"))
+        after = least.join(jump, "least").select("node", F.least("least", "beyond").alias("label"), (F.least("least", "beyond") < F.col("label")).alias("moved"))
+        after = stored(after, "labels")
+        labels = after.select("node", "label")
+        if after.where("moved").isEmpty():
+            return labels.withColumnRenamed("label", "component")
+    raise RuntimeError(f"components did not settle in {rounds} rounds")

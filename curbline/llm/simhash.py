@@ -7,9 +7,9 @@ half of the next segment, since one bit at most differs there. Pairs that meet o
 rest of the chain, and then in full.
 
 Fingerprints, not documents, are joined: exact copies meet once. Within a key the fingerprints close to
-the smallest one are linked to it first; keys whose fingerprints are then all in one component are done, and
-in the others only those outside the key's largest component are compared with the rest. So a group of near
-copies costs a link each and not a link for each pair, and still no link between components is lost.
+the smallest one are linked to it first; keys whose fingerprints then share one hub are done, and in the others
+only those outside the key's largest group are compared with the rest. So a group of near copies costs a
+link each and not a link for each pair, and still no link between groups is lost.
 
 Defined results: null and empty texts, and texts of white space, have fingerprint 0 and are linked like any
 other; fewer than three words are one shingle; repeated rows are linked; null ids take part and count as
@@ -101,7 +101,8 @@ def links(fps: DataFrame) -> DataFrame:
     met = stored(keys.join(shared, "key"), "keys")
     stars = stored(met.where(F.col("fp") != F.col("hub")).where(near(F.col("fp"), F.col("hub")))
                    .select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct(), "stars")
-    merged = components(stars)
+    # Fingerprints with the same nearest hub are connected; more need not be known here.
+    merged = stars.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
     named = met.join(merged, met["fp"] == merged["node"], "left").select(
         "key", "fp", F.coalesce("component", "fp").alias("component"))
     sizes = named.groupBy("key", "component").agg(F.count("*").alias("n"))
