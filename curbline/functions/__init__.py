@@ -1,8 +1,8 @@
-from .amounts import exact_avg, exact_sum, exact_units, ratio
+from .amounts import exact_avg, exact_rest, exact_sum, exact_total, exact_units, ratio
 from .clock import interval_us, minute_boundaries, slice_start
 from .keys import surrogate_key, trip_key
 
 __all__ = [
-    "exact_avg", "exact_sum", "exact_units", "interval_us", "minute_boundaries", "ratio",
+    "exact_avg", "exact_rest", "exact_sum", "exact_total", "exact_units", "interval_us", "minute_boundaries", "ratio",
     "slice_start", "surrogate_key", "trip_key",
 ]

@@ -2,8 +2,9 @@
 
 A double sum changes in its last digits between runs, so a rerun would rewrite a partition with
 other bytes, and a total over 10^12 trips is off by whole cents. Amounts are therefore summed as
-64-bit counts of 1/10000: exact, as cheap as a double sum inside generated code, and any overflow
-raises an error (ANSI mode, Spark's default). NaN carries no amount and is skipped like NULL.
+64-bit counts of 1/10000: exact, and as cheap as a double sum inside generated code. What such a count
+cannot hold, a residue below 1/10000 or an amount of ``LARGE`` and more, infinities among them, is summed beside
+it as a double: nothing is cut and nothing raises. NaN carries no amount and is skipped like NULL.
 """
 
 from __future__ import annotations
@@ -11,26 +12,43 @@ from __future__ import annotations
 from pyspark.sql import Column, WindowSpec, functions as F
 
 UNITS = 10_000.0
+#: Amounts from here on are summed as doubles. Below it, 10^9 rows of the largest amount still fit 64 bits.
+LARGE = 900_000.0
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _known(amount: Column) -> Column:
+    return amount.isNotNull() & ~F.isnan(amount)
+
+
 def exact_units(c: Column | str) -> Column:
-    """Amount as a whole number of 1/10000."""
-    amount = F.rint(_col(c) * F.lit(UNITS))
-    return F.when(~F.isnan(amount), amount).cast("bigint")
+    """The part of an amount that is a whole number of 1/10000; 0 of one too large, NULL of none."""
+    amount = _col(c)
+    return F.when(_known(amount), F.when(F.abs(amount) < LARGE, F.rint(amount * F.lit(UNITS))).otherwise(0.0).cast("bigint"))
+
+
+def exact_rest(c: Column | str) -> Column:
+    """What ``exact_units`` leaves of an amount; 0 for money as it is usually written."""
+    amount = _col(c)
+    whole = F.rint(amount * F.lit(UNITS)) / F.lit(UNITS)
+    return F.when(_known(amount), F.when(F.abs(amount) < LARGE, amount - whole).otherwise(amount))
+
+
+def exact_total(units: Column | str, rest: Column | str) -> Column:
+    """Amount from sums of both parts."""
+    return _col(units) / F.lit(UNITS) + _col(rest)
 
 
 def exact_sum(c: Column | str, over: WindowSpec | None = None) -> Column:
-    units = F.sum(exact_units(c))
-    return (units if over is None else units.over(over)) / F.lit(UNITS)
+    units, rest = F.sum(exact_units(c)), F.sum(exact_rest(c))
+    return exact_total(units, rest) if over is None else exact_total(units.over(over), rest.over(over))
 
 
 def exact_avg(c: Column | str) -> Column:
-    units = exact_units(c)
-    return ratio(F.sum(units) / F.lit(UNITS), F.count(units))
+    return ratio(exact_sum(c), F.count(exact_units(c)))
 
 
 def ratio(num: Column, den: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from ..schemas import TRIP_KEY
-from .amounts import exact_units
+from .amounts import exact_rest, exact_units
 
 NULL_TEXT = "<null>"
 
@@ -20,8 +20,9 @@ def trip_key() -> Column:
     """Key of a trip from its natural key.
 
     Times go in as epoch microseconds and money as whole 1/10000: integers print the same in every
-    engine and session, doubles and timestamps do not.
+    engine and session, doubles and timestamps do not. An amount that is no such number goes in as the
+    shortest decimal text that reads back as it, so different amounts never share a key.
     """
     pickup, dropoff, pickup_zone, dropoff_zone, total = (F.col(c) for c in TRIP_KEY)
     return surrogate_key(F.unix_micros(pickup), F.unix_micros(dropoff), pickup_zone, dropoff_zone,
-                         exact_units(total))
+                         F.when(exact_rest(total) == 0, exact_units(total).cast("string")).otherwise(total.cast("string")))

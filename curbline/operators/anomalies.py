@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..fixed import ANOMALY_FACTOR, HOP_SIZE, HOP_SLIDE
 from ..functions import ratio, slice_start
 from ..schemas import FARE_ANOMALIES
+from ..session import scratch_dir
 from .dedup import first_per_key
 from .demand import hop_windows
 
@@ -22,9 +23,10 @@ def fare_anomalies(events: DataFrame, size: timedelta = HOP_SIZE, slide: timedel
 
     The range condition "event time inside window" is an equality on the pane, so this is a hash
     join on (zone, pane). Events are not copied. The window side is aggregated, holds at most
-    size/slide rows per key and only panes whose largest fare is an anomaly; it is the build side.
-    A pane with very many events is a skewed key on the event side only, which adaptive execution
-    splits, as the build side of one key is a few rows.
+    size/slide rows per key and only panes whose largest fare is an anomaly. It is written to the
+    working folder first, so its size is known when the join is planned: a few hits are broadcast and the
+    events stay where they are; many are shuffled, where a pane with very many events is skewed on the
+    event side only, which adaptive execution splits.
     """
     hot = (hop_windows(events, size, slide)
            .where(F.col("pickup_zone_id").isNotNull())
@@ -35,13 +37,19 @@ def fare_anomalies(events: DataFrame, size: timedelta = HOP_SIZE, slide: timedel
     priced = (events.where(fare.isNotNull() & ~F.isnan(fare) & F.col("pickup_zone_id").isNotNull())
               .select("trip_id", "dropoff_datetime", "pickup_zone_id", "fare_amount",
                       slice_start(F.col("dropoff_datetime"), slide).alias("pane")))
-    found = (priced.join(hot.hint("shuffle_hash"), ["pickup_zone_id", "pane"])
+    found = (priced.join(_written(hot), ["pickup_zone_id", "pane"])
              .where(F.col("fare_amount") > factor * F.col("zone_avg_fare"))
              .withColumn("deviation_ratio", ratio(F.col("fare_amount"), F.col("zone_avg_fare")))
              .select(*FARE_ANOMALIES.names))
     return _largest_ratio(found) if one_per_trip else found
 
 
+def _written(hot: DataFrame) -> DataFrame:
+    path = scratch_dir(hot.sparkSession, "hot-panes")
+    hot.write.parquet(path)
+    return hot.sparkSession.read.schema(hot.schema).parquet(path)
+
+
 def _largest_ratio(found: DataFrame) -> DataFrame:
     trip = ["trip_id", "dropoff_datetime", "pickup_zone_id", "fare_amount"]
     ranked = found.select(*trip, (-F.col("deviation_ratio")).alias("_neg_ratio"), "zone_avg_fare")

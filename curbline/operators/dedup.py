@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def first_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Keep one row per key: the smallest by the remaining columns in order, NULLs first.
+    """Keep one row per key: the smallest by the remaining columns in order, NULLs last.
+
+    A copy that lacks a value loses to one that has it, so a valid copy is never given up for a poorer one
+    where the columns before agree.
 
     The rule makes reruns and retried tasks keep the same row. It is an aggregate and not a
     row_number window, because an aggregate drops copies inside each task before the shuffle: a key
@@ -15,7 +18,8 @@ def first_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    kept = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_kept"))
+    ordered = [part for c in rest for part in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))]
+    kept = df.groupBy(*keys).agg(F.min(F.struct(*ordered)).alias("_kept"))
     return kept.select(*(F.col(c) if c in keys else F.col(f"_kept.{c}").alias(c) for c in df.columns))
 
 

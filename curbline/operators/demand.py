@@ -7,8 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, functions as F
 
 from ..fixed import DEMAND_WINDOW, HOP_SIZE, HOP_SLIDE
-from ..functions import exact_avg, exact_sum, exact_units, interval_us, ratio, slice_start
-from ..functions.amounts import UNITS
+from ..functions import exact_avg, exact_rest, exact_sum, exact_total, exact_units, interval_us, ratio, slice_start
 from ..functions.clock import interval_text
 
 
@@ -27,7 +26,7 @@ def _panes(events: DataFrame, slide: timedelta) -> DataFrame:
     units = exact_units("fare_amount")
     return (events.where(F.col("dropoff_datetime").isNotNull())
             .groupBy("pickup_zone_id", slice_start(F.col("dropoff_datetime"), slide).alias("pane"))
-            .agg(F.sum(units).alias("units"), F.count(units).alias("fares"),
+            .agg(F.sum(units).alias("units"), F.sum(exact_rest("fare_amount")).alias("rest"), F.count(units).alias("fares"),
                  F.max("fare_amount").alias("max_fare")))
 
 
@@ -45,7 +44,7 @@ def hop_windows(events: DataFrame, size: timedelta = HOP_SIZE, slide: timedelta
     return (_panes(events, slide)
             .withColumn("start_us", F.explode(starts))
             .groupBy("pickup_zone_id", "start_us")
-            .agg(ratio(F.sum("units") / F.lit(UNITS), F.sum("fares")).alias("zone_avg_fare"),
+            .agg(ratio(exact_total(F.sum("units"), F.sum("rest")), F.sum("fares")).alias("zone_avg_fare"),
                  F.collect_list(F.struct("pane", "max_fare")).alias("panes"))
             .select("pickup_zone_id",
                     F.timestamp_micros("start_us").alias("window_start"),

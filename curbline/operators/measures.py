@@ -8,8 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions import exact_avg, exact_sum, exact_units, ratio
-from ..functions.amounts import UNITS
+from ..functions import exact_avg, exact_rest, exact_sum, exact_total, exact_units, ratio
 
 PICKUP_MONTH = "month_start"
 
@@ -73,21 +72,22 @@ def _by_zone(trips: DataFrame) -> DataFrame:
     fare = exact_units("fare_amount")
     return (trips.groupBy(F.col("pickup_zone_id").alias("zone_id"))
             .agg(F.count("*").alias("trips"),
-                 F.sum(exact_units("total_amount")).alias("total_units"),
-                 F.sum(fare).alias("fare_units"), F.count(fare).alias("fares")))
+                 F.sum(exact_units("total_amount")).alias("total_units"), F.sum(exact_rest("total_amount")).alias("total_rest"),
+                 F.sum(fare).alias("fare_units"), F.sum(exact_rest("fare_amount")).alias("fare_rest"),
+                 F.count(fare).alias("fares")))
 
 
 def service_mix(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Trips and revenue per service zone and their shares of the whole."""
     per_service = (_by_zone(trips).join(zones, "zone_id", "left").groupBy("service_zone")
-                   .agg(F.sum("trips").alias("trips"),
-                        (F.sum("total_units") / F.lit(UNITS)).alias("total_revenue")))
+                   .agg(F.sum("trips").alias("trips"), F.sum("total_units").alias("units"), F.sum("total_rest").alias("rest"))
+                   .withColumn("total_revenue", exact_total("units", "rest")))
     # One row per service zone reaches this window.
     whole = Window.partitionBy(F.lit(1))
     return per_service.select(
         "service_zone", "trips", "total_revenue",
         ratio(F.col("trips"), F.sum("trips").over(whole)).alias("trip_share"),
-        ratio(F.col("total_revenue"), exact_sum("total_revenue", over=whole)).alias("revenue_share"))
+        ratio(F.col("total_revenue"), exact_total(F.sum("units").over(whole), F.sum("rest").over(whole))).alias("revenue_share"))
 
 
 def zone_heatmap(trips: DataFrame) -> DataFrame:
@@ -110,5 +110,5 @@ def borough_drilldown(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Trips, revenue and average fare per zone under its borough."""
     return _by_zone(trips).join(zones, "zone_id", "left").select(
         "borough", "zone_name", "zone_id", "trips",
-        (F.col("total_units") / F.lit(UNITS)).alias("total_revenue"),
-        ratio(F.col("fare_units") / F.lit(UNITS), F.col("fares")).alias("avg_fare"))
+        exact_total("total_units", "total_rest").alias("total_revenue"),
+        ratio(exact_total("fare_units", "fare_rest"), F.col("fares")).alias("avg_fare"))

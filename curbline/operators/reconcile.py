@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed import DEMAND_WINDOW, DRIFT_LOOKBACK, DRIFT_ROWS, DRIFT_SAMPLE, DRIFT_TOLERANCE
-from ..functions.clock import moment
+from ..functions.clock import moment, slice_start
 from .demand import recount
 
 
@@ -15,9 +15,12 @@ class DriftError(ValueError):
     """The two layers differ by more than the tolerance."""
 
 
-def since(df: DataFrame, ts: str, as_of: datetime | Column, lookback: timedelta) -> DataFrame:
-    """Rows from ``lookback`` before ``as_of`` on."""
-    return df.where(F.col(ts) >= moment(as_of) - F.lit(lookback))
+def since(df: DataFrame, ts: str, as_of: datetime | Column, lookback: timedelta, size: timedelta = DEMAND_WINDOW) -> DataFrame:
+    """Rows from the window on that holds the moment ``lookback`` before ``as_of``.
+
+    The bound is the start of a window for either layer: a first window cut in two would look like drift.
+    """
+    return df.where(F.col(ts) >= slice_start(moment(as_of) - F.lit(lookback), size))
 
 
 def compare_layers(batch_counts: DataFrame, speed: DataFrame) -> DataFrame:
@@ -39,8 +42,8 @@ def reconcile(trips: DataFrame, speed: DataFrame, as_of: datetime | Column,
               lookback: timedelta = DRIFT_LOOKBACK, tolerance: float = DRIFT_TOLERANCE,
               size: timedelta = DEMAND_WINDOW) -> DataFrame:
     """Windows of the last ``lookback`` whose counts differ by more than ``tolerance``."""
-    batch_counts = recount(since(trips, "dropoff_datetime", as_of, lookback), size)
-    recent = since(speed, "window_start", as_of, lookback)
+    batch_counts = recount(since(trips, "dropoff_datetime", as_of, lookback, size), size)
+    recent = since(speed, "window_start", as_of, lookback, size)
     return compare_layers(batch_counts, recent).where(F.col("rel_diff") > tolerance)
 
 
@@ -48,6 +51,11 @@ def worst_drifts(drifts: DataFrame, n: int = DRIFT_ROWS) -> DataFrame:
     return drifts.orderBy(F.desc("rel_diff"), "window_start", "zone_id").limit(n)
 
 
+def verdict(drifts: DataFrame) -> DataFrame:
+    """One row: how many windows drift, the largest difference, and whether the layers agree."""
+    return drifts.agg(F.count("*").alias("drifts"), F.max("rel_diff").alias("largest"), (F.count("*") == 0).alias("agree"))
+
+
 def assert_reconciled(drifts: DataFrame, sample: int = DRIFT_SAMPLE) -> None:
     """Raise with a sample of the worst drifts if there is any."""
     worst = worst_drifts(drifts, sample).collect()

@@ -8,17 +8,14 @@ lost executor costs a retry, not data.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, timedelta
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..schemas import MONTH_KEYS
-from ..session import scratch_dir
+from ..session import remove_folder, scratch_dir
 from ..sources.files import read_table
 
 Month = tuple[int, int]
-MAX_DAY_RANGES = 100
 
 
 def in_months(months: list[Month]) -> Column:
@@ -30,8 +27,11 @@ def in_months(months: list[Month]) -> Column:
 
 
 def months_of(df: DataFrame) -> list[Month]:
-    """The months present: one row per calendar month comes to the driver."""
-    return sorted((r.year, r.month) for r in df.select(*MONTH_KEYS).distinct().collect())
+    """The months present: one row per calendar month comes to the driver. Rows without one raise."""
+    found = [(r.year, r.month) for r in df.select(*MONTH_KEYS).distinct().collect()]
+    if any(y is None or m is None for y, m in found):
+        raise ValueError("rows without a year or month")
+    return sorted(found)
 
 
 def replace_partition(df: DataFrame, path: str) -> None:
@@ -50,7 +50,8 @@ def by_month(df: DataFrame) -> DataFrame:
 
 
 def replace_months(df: DataFrame, path: str, months: list[Month]) -> None:
-    """Replace exactly ``months``; a month without rows ends up empty.
+    """Replace exactly ``months``; a month without rows ends up empty. A row of another month, or of none,
+    fails the write before it is committed.
 
     A dynamic overwrite leaves a partition alone if no new row falls into it, so a month whose last
     bad row was repaired would keep its old rejects. The row counts come out of the write itself.
@@ -58,7 +59,10 @@ def replace_months(df: DataFrame, path: str, months: list[Month]) -> None:
     """
     seen = Observation()
     counts = [F.count_if((F.col("year") == y) & (F.col("month") == m)).alias(f"y{y}m{m}") for y, m in months]
-    replace_partition(df.where(in_months(months)).observe(seen, *counts), path)
+    stray = F.raise_error(F.concat(F.lit("row of another month: "), F.coalesce(F.col("year").cast("string"), F.lit("none")),
+                                   F.lit("-"), F.coalesce(F.col("month").cast("string"), F.lit("none"))))
+    own = df.where(F.when(in_months(months), F.lit(True)).otherwise(stray.cast("boolean")))
+    replace_partition(own.observe(seen, *counts), path)
     # A plan that the optimizer finds empty runs no observation: every month is empty then.
     empty = [(y, m) for y, m in months if not seen.get.get(f"y{y}m{m}")]
     for year, month in empty:
@@ -76,54 +80,56 @@ def delete_then_append_month(df: DataFrame, path: str, year: int, month: int) ->
     replace_months(lowered, path, [(year, month)])
 
 
-def _within_days(column: str, days: set[date]) -> Column:
-    """Predicate for times on one of ``days``, as ranges that a scan can skip files and row groups by.
-
-    Days with very many gaps become one range from the first to the last: more is read, none is missed.
-    """
-    one = timedelta(days=1)
-    starts = sorted(d for d in days if d - one not in days)
-    ends = sorted(d + one for d in days if d + one not in days)
-    if len(starts) > MAX_DAY_RANGES:
-        starts, ends = starts[:1], ends[-1:]
-    ts = F.col(column)
-    return reduce(Column.__or__, ((ts >= F.lit(a).cast("timestamp")) & (ts < F.lit(b).cast("timestamp"))
-                                  for a, b in zip(starts, ends)), F.lit(False))
-
-
 def replaced_rows(target: DataFrame, updates: DataFrame, key: str, same_time: str | None) -> DataFrame:
     """Key and month of the target rows that ``updates`` replaces."""
     if same_time:
-        # One row per calendar day comes to the driver.
-        found = updates.select(F.to_date(same_time).alias("d")).distinct().where("d IS NOT NULL").collect()
-        target = target.where(_within_days(same_time, {r.d for r in found}))
+        # The span of the updates' times, one row, lets the scan skip files and row groups outside it.
+        span = updates.agg(F.min(same_time).alias("first"), F.max(same_time).alias("last"),
+                           F.count_if(F.col(same_time).isNull()).alias("without")).first()
+        ts = F.col(same_time)
+        inside = (ts >= F.lit(span["first"])) & (ts <= F.lit(span["last"])) if span["first"] is not None else F.lit(False)
+        target = target.where(inside | ts.isNull() if span["without"] else inside)
     return target.select(key, *MONTH_KEYS).join(updates.select(key), key, "left_semi")
 
 
+def _checked_updates(staged: DataFrame, key: str) -> None:
+    """Raise before anything is written where a MERGE would, and where a row has no month to go to."""
+    if not staged.where(F.col("year").isNull() | F.col("month").isNull()).isEmpty():
+        raise ValueError("updates hold rows without a year or month")
+    twice = staged.groupBy(key).count().where("count > 1").first()
+    if twice:
+        raise ValueError(f"updates hold the key {twice[key]} {twice['count']} times")
+
+
 def merge_upsert(spark: SparkSession, updates: DataFrame, path: str, key: str = "trip_sk",
                  same_time: str | None = "pickup_datetime",
                  layout: Callable[[DataFrame], DataFrame] = by_month) -> list[Month]:
     """Insert new keys, replace known ones; the first call builds the table. Returns months rewritten.
 
     Only months that gain rows or lose a replaced row are rewritten. To find them, keys are compared
-    on the days of the updates only: ``same_time`` is a time that rows of one key share, as a trip's
+    in the time span of the updates only: ``same_time`` is a time that rows of one key share, as a trip's
     key is made from it; None if the key has no such column. Rows that vanished upstream stay in the
-    table; ``replace_months`` is the writer that removes them. ``key`` must be unique in ``updates``.
+    table; ``replace_months`` is the writer that removes them. Updates that repeat a key, or have no
+    month, raise before anything is written.
     """
-    target = read_table(spark, path)
-    if target is None:
-        replace_partition(layout(updates), path)
-        built = read_table(spark, path)
-        return months_of(built) if built is not None else []
     # Updates are read several times below; written once, they are not computed again.
     staged_at = scratch_dir(spark, "merge")
-    updates.write.parquet(staged_at)
-    staged = spark.read.schema(updates.schema).parquet(staged_at)
-    months = sorted(set(months_of(staged)) | set(months_of(replaced_rows(target, staged, key, same_time))))
-    if months:
-        kept = target.where(in_months(months)).join(staged.select(key), key, "left_anti")
-        replace_months(layout(kept.unionByName(staged)), path, months)
-    return months
+    try:
+        updates.write.parquet(staged_at)
+        staged = spark.read.schema(updates.schema).parquet(staged_at)
+        _checked_updates(staged, key)
+        months = months_of(staged)
+        target = read_table(spark, path)
+        if target is None:
+            replace_partition(layout(staged), path)
+            return months
+        months = sorted(set(months) | set(months_of(replaced_rows(target, staged, key, same_time))))
+        if months:
+            kept = target.where(in_months(months)).join(staged.select(key), key, "left_anti")
+            replace_months(layout(kept.unionByName(staged)), path, months)
+        return months
+    finally:
+        remove_folder(spark, staged_at)
 
 
 def clustered(trips: DataFrame) -> DataFrame:

@@ -63,7 +63,8 @@ _cte("raw_once", [], """
     CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month
   FROM lineitem""")
 _cte("raw_trips", ["raw_once"], """
-  SELECT * FROM raw_once UNION ALL SELECT * FROM raw_once WHERE l_orderkey % 211 = 0""")
+  SELECT * FROM raw_once UNION ALL SELECT * FROM raw_once WHERE l_orderkey % 211 = 0
+  UNION ALL SELECT * REPLACE (CAST(NULL AS DOUBLE) AS fare_amount) FROM raw_once WHERE l_orderkey % 211 <> 0 AND l_orderkey % 223 = 0""")
 _cte("bronze", ["raw_trips"], """
   SELECT tpep_pickup_datetime AS pickup_datetime, tpep_dropoff_datetime AS dropoff_datetime,
     CAST(PULocationID AS INTEGER) AS pickup_zone_id, CAST(DOLocationID AS INTEGER) AS dropoff_zone_id,
@@ -81,8 +82,8 @@ _cte("tagged", ["bronze"], """
 _cte("silver", ["tagged"], f"""
   SELECT * EXCLUDE (_reject_reason) FROM tagged WHERE _reject_reason IS NULL
   QUALIFY row_number() OVER (PARTITION BY {_KEY}, year, month
-    ORDER BY passenger_count NULLS FIRST, trip_distance NULLS FIRST, fare_amount NULLS FIRST,
-             tip_amount NULLS FIRST, payment_type NULLS FIRST) = 1""")
+    ORDER BY passenger_count NULLS LAST, trip_distance NULLS LAST, fare_amount NULLS LAST,
+             tip_amount NULLS LAST, payment_type NULLS LAST) = 1""")
 
 
 def _staged(name: str, source: str, where: str = "TRUE") -> None:
@@ -93,8 +94,8 @@ def _staged(name: str, source: str, where: str = "TRUE") -> None:
     total_amount, payment_type, year, month
   FROM (SELECT * FROM {source} WHERE {where} AND {_GATE}
         QUALIFY row_number() OVER (PARTITION BY {_KEY}
-          ORDER BY passenger_count NULLS FIRST, trip_distance NULLS FIRST, fare_amount NULLS FIRST,
-                   tip_amount NULLS FIRST, payment_type NULLS FIRST, year, month) = 1)""")
+          ORDER BY passenger_count NULLS LAST, trip_distance NULLS LAST, fare_amount NULLS LAST,
+                   tip_amount NULLS LAST, payment_type NULLS LAST, year, month) = 1)""")
 
 
 _staged("fct", "silver")
@@ -155,16 +156,24 @@ _hop("wide", 36 * 60, 6 * 60)
 _cte("batch_recount", ["fct"], """
   SELECT time_bucket(INTERVAL 5 MINUTE, dropoff_datetime) AS window_start, pickup_zone_id, count(*) AS batch_count
   FROM fct GROUP BY ALL""")
-_cte("drifts", ["batch_recount", "speed"], """
+def _drifts(name: str, batch: str, speed: str) -> None:
+    _cte(name, [batch, speed], f"""
   SELECT * FROM (
     SELECT COALESCE(b.window_start, s.window_start) AS window_start,
       COALESCE(b.pickup_zone_id, s.pickup_zone_id) AS zone_id,
       COALESCE(b.batch_count, 0) AS batch_count, COALESCE(s.trip_count, 0) AS speed_count,
       abs(COALESCE(b.batch_count, 0) - COALESCE(s.trip_count, 0))
         / NULLIF(greatest(COALESCE(b.batch_count, 0), COALESCE(s.trip_count, 0)), 0) AS rel_diff
-    FROM batch_recount b FULL OUTER JOIN speed s
+    FROM {batch} b FULL OUTER JOIN {speed} s
       ON b.window_start = s.window_start AND b.pickup_zone_id = s.pickup_zone_id)
   WHERE rel_diff > 0.01""")
+
+
+_drifts("drifts", "batch_recount", "speed")
+_DAY = "TIMESTAMP '2001-06-14 12:05:00'"
+_cte("batch_recount_day", ["batch_recount"], f"SELECT * FROM batch_recount WHERE window_start >= {_DAY}")
+_cte("speed_day", ["speed"], f"SELECT * FROM speed WHERE window_start >= {_DAY}")
+_drifts("drifts_day", "batch_recount_day", "speed_day")
 _cte("monthly", ["fct"], """
   SELECT CAST(date_trunc('month', pickup_datetime) AS DATE) AS month_start, count(*) AS trips FROM fct GROUP BY ALL""")
 
@@ -214,6 +223,23 @@ SELECT COALESCE(_reject_reason, 'none') AS reject_reason, year, month, count(*)
         "silver_metrics": _with(["tagged"], """
 SELECT year, month, count(*) AS silver_total, count(_reject_reason) AS silver_quarantined,
   count(_reject_reason) / greatest(count(*), 1) AS quarantine_pct FROM tagged GROUP BY ALL"""),
+        "fct_trips_merge_moved": _with(["fct"], _totals(f"""(
+  SELECT * REPLACE (CASE WHEN {_MARCH} AND payment_type = 1 THEN month + 1 ELSE month END AS month) FROM fct)""")),
+        "clustered_write": _with(["fct"], _totals("fct")),
+        "zone_csv": """SELECT n_nationkey AS zone_id, r_name AS borough,
+  CASE WHEN n_nationkey % 7 = 0 THEN 'N/A' ELSE n_name END AS zone_name,
+  CASE WHEN n_nationkey % 5 = 0 THEN 'Yellow Zone' ELSE 'Boro Zone' END AS service_zone
+FROM nation JOIN region ON n_regionkey = r_regionkey""",
+        "reconcile_day": _with(["drifts_day"], "SELECT * FROM drifts_day"),
+        "reconcile_gate": _with(["drifts_day"], """SELECT count(*) AS drifts, max(rel_diff) AS largest, count(*) = 0 AS agree
+FROM drifts_day"""),
+        "amount_extremes": """WITH a AS (SELECT l_linenumber, l_orderkey % 1000 = 7 AS rare,
+  CAST(l_extendedprice AS DECIMAL(18,2)) AS usual,
+  CASE WHEN l_linenumber % 2 = 0 THEN l_quantity * 1099511627776.0::DOUBLE ELSE l_quantity / 1048576.0::DOUBLE END AS odd FROM lineitem)
+, s AS (SELECT l_linenumber, rare, sum(odd) AS odd, CAST(sum(usual) AS DOUBLE) AS usual, count(*) AS n FROM a
+  GROUP BY l_linenumber, rare)
+SELECT l_linenumber, rare, CASE WHEN rare THEN odd ELSE usual END AS total,
+  CASE WHEN rare THEN odd ELSE usual END / n AS average FROM s""",
         "daily_zone_agg": _with(["silver"], f"""
 SELECT CAST(pickup_datetime AS DATE) AS trip_date, pickup_zone_id, count(*) AS trip_count,
   {_sum('total_amount')} AS total_revenue, {_avg('fare_amount')} AS avg_fare, {_avg('tip_amount')} AS avg_tip, year, month
@@ -245,8 +271,8 @@ SELECT reason, count(*) AS rows FROM (
         "stg_dedup": _with(["bronze"], f"""
 SELECT * FROM bronze WHERE {_GATE}
 QUALIFY row_number() OVER (PARTITION BY {_KEY}
-  ORDER BY passenger_count NULLS FIRST, trip_distance NULLS FIRST, fare_amount NULLS FIRST,
-           tip_amount NULLS FIRST, payment_type NULLS FIRST, year, month) = 1"""),
+  ORDER BY passenger_count NULLS LAST, trip_distance NULLS LAST, fare_amount NULLS LAST,
+           tip_amount NULLS LAST, payment_type NULLS LAST, year, month) = 1"""),
         "stg_trips": _with(["fct"], "SELECT * FROM fct"),
         "fct_trips_month": _with(["fct_march"], "SELECT * FROM fct_march"),
         "fct_trips_merge": _with(["fct", "fct_march"], f"""

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..fixed import PAYMENT_TYPES
-from ..functions import exact_sum
+from ..functions import exact_avg, exact_sum
 from ..operators import checks, measures, reconcile as recon, sinks
 from ..operators.anomalies import anomaly_feed, fare_anomalies
 from ..operators.demand import hop_average, live_demand, recount, zone_demand
@@ -27,6 +27,7 @@ from ..plans.lake import clean_trips
 from ..plans.marts import build_checks, not_null_checks, unique_checks
 from ..session import scratch_dir
 from ..sources import read_month
+from ..sources.files import read_zone_lookup
 from ..sources.star_tables import raw_trips, raw_trips_with_fee, trip_events, zone_lookup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +36,8 @@ RUN_MONTH = date(1998, 3, 1)
 EVENTS_AS_OF = datetime(2024, 1, 31)
 TRIPS_AS_OF = datetime(2002, 1, 1)
 ALL_TIME = timedelta(days=36_500)
+#: Inside the data, and not at the edge of a window.
+DAY_AS_OF = datetime(2001, 6, 15, 12, 7, 30)
 WIDE_HOP = (timedelta(hours=36), timedelta(hours=6))
 
 
@@ -127,6 +130,41 @@ def fct_trips_merge(spark: SparkSession, sf: str) -> DataFrame:
     return _read_back(spark, path)
 
 
+def fct_trips_merge_moved(spark: SparkSession, sf: str) -> DataFrame:
+    """Fact table of all trips, then the card trips of one month arrive again in the file of the next month."""
+    path = scratch_dir(spark, "fct_trips_merge_moved")
+    trips = fct(spark, sf)
+    sinks.merge_upsert(spark, trips, path)
+    in_month = (F.col("year") == RUN_MONTH.year) & (F.col("month") == RUN_MONTH.month)
+    moved = trips.where(in_month & (F.col("payment_type") == 1)).withColumn("month", F.col("month") + 1)
+    sinks.merge_upsert(spark, moved, path)
+    return _month_totals(_read_back(spark, path))
+
+
+def amount_extremes(spark: SparkSession, sf: str) -> DataFrame:
+    """Sums of prices of which some are far beyond, and others far below, what money usually is."""
+    line = spark.read.parquet(f"{sf}/lineitem.parquet")
+    rare = F.col("l_orderkey") % 1000 == 7
+    amount = F.when(rare & (F.col("l_linenumber") % 2 == 0), F.col("l_quantity") * 2.0 ** 40).when(
+        rare, F.col("l_quantity") / 2.0 ** 20).otherwise(F.rint(F.col("l_extendedprice") * 100) / 100)
+    return line.withColumn("amount", amount).groupBy("l_linenumber", rare.alias("rare")).agg(
+        exact_sum("amount").alias("total"), exact_avg("amount").alias("average"))
+
+
+def zone_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The zone lookup as the CSV file it comes as, with "N/A" as a name."""
+    path = scratch_dir(spark, "zone_csv")
+    lookup = zone_lookup(spark, sf).withColumn("Zone", F.when(F.col("LocationID") % 7 == 0, "N/A").otherwise(F.col("Zone")))
+    lookup.write.csv(path, header=True, quoteAll=True)
+    return dim_zones(read_zone_lookup(spark, path))
+
+
+def clustered_write(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_dir(spark, "clustered_write")
+    sinks.replace_partition(sinks.clustered(fct(spark, sf)), path)
+    return _month_totals(_read_back(spark, path))
+
+
 def reject_reasons(spark: SparkSession, sf: str) -> DataFrame:
     reason = F.coalesce(reject_reason(trip_rules()), F.lit("none")).alias("reject_reason")
     return bronze(spark, sf).groupBy(reason, "year", "month").agg(F.count("*").alias("row_count"))
@@ -151,6 +189,11 @@ def reconcile(spark: SparkSession, sf: str) -> DataFrame:
     return recon.reconcile(fct(spark, sf), _speed(spark, sf), TRIPS_AS_OF, lookback=ALL_TIME)
 
 
+def reconcile_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Both layers from a day before a moment inside the data on."""
+    return recon.reconcile(fct(spark, sf), _speed(spark, sf), DAY_AS_OF)
+
+
 def fare_anomalies_once(spark: SparkSession, sf: str) -> DataFrame:
     return fare_anomalies(trip_events(spark, sf), *WIDE_HOP, one_per_trip=True)
 
@@ -217,6 +260,9 @@ QUERIES: dict[str, Query] = {
     "stg_trips": fct,
     "fct_trips_month": lambda spark, sf: stage_month(silver(spark, sf), RUN_MONTH),
     "fct_trips_merge": fct_trips_merge,
+    "fct_trips_merge_moved": fct_trips_merge_moved,
+    "clustered_write": clustered_write,
+    "zone_csv": zone_csv,
     "dim_zones": zones,
     "dim_date": dates,
     # Speed layer, batch form
@@ -231,6 +277,8 @@ QUERIES: dict[str, Query] = {
     # Reconciliation
     "batch_recount": lambda spark, sf: recount(fct(spark, sf)),
     "reconcile": reconcile,
+    "reconcile_day": reconcile_day,
+    "reconcile_gate": lambda spark, sf: recon.verdict(reconcile_day(spark, sf)),
     "reconcile_top": lambda spark, sf: recon.worst_drifts(reconcile(spark, sf)),
     # Dashboards
     "star_join": lambda spark, sf: measures.star_join(fct(spark, sf), zones(spark, sf), dates(spark, sf)),
@@ -241,6 +289,7 @@ QUERIES: dict[str, Query] = {
     "zone_heatmap": lambda spark, sf: measures.zone_heatmap(fct(spark, sf)),
     "top_zones": lambda spark, sf: measures.top_zones(fct(spark, sf)),
     "borough_drilldown": lambda spark, sf: measures.borough_drilldown(fct(spark, sf), zones(spark, sf)),
+    "amount_extremes": amount_extremes,
     # Checks
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,

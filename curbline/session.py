@@ -32,14 +32,15 @@ def build_session(app: str = "curbline", master: str | None = None, **conf: str)
     return pin_utc(builder.getOrCreate())
 
 
-def shuffle_settings(shuffled_bytes: int, target_bytes: int = 200 << 20) -> dict[str, str]:
+def shuffle_settings(shuffled_bytes: int, target_bytes: int = 200 << 20, least: int = 200,
+                     most: int = 40_000) -> dict[str, str]:
     """Initial number of shuffle partitions for a job that shuffles about ``shuffled_bytes``.
 
     Adaptive execution merges partitions that turn out small but never makes more, except to split
-    skew. Above 40,000 the bookkeeping of the driver costs more than larger, spilling partitions.
+    skew. Above ``most`` the bookkeeping of the driver costs more than larger, spilling partitions.
     A stream keeps the number it had when its checkpoint was made.
     """
-    parts = min(max(-(-shuffled_bytes // target_bytes), 200), 40_000)
+    parts = min(max(-(-shuffled_bytes // target_bytes), least), most)
     return {"spark.sql.shuffle.partitions": str(parts),
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes)}
 
@@ -70,3 +71,23 @@ def _local_scratch_root(spark: SparkSession) -> str:
         _local_root = tempfile.mkdtemp(prefix="curbline-")
         atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
     return _local_root
+
+
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of ``path``, and the path in it."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(conf), place
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    fs, place = _file_system(spark, path)
+    return fs.exists(place)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a working folder made by ``scratch_dir``, with all it holds."""
+    if "/curbline/" not in path and not (_local_root and path.startswith(_local_root)):
+        raise ValueError(f"not a working folder: {path}")
+    fs, place = _file_system(spark, path)
+    fs.delete(place, True)

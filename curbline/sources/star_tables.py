@@ -27,14 +27,16 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trip rows in the source's column names, with the file's year and month.
 
     NULL times, NULL zones, NULL fares, stopped clocks, negative amounts, long distances, an
-    unknown payment code, a zone outside the dimension and exact copies all occur.
+    unknown payment code, a zone outside the dimension, exact copies and copies without a fare all occur.
     """
     line = _table(spark, sf_dir, "lineitem")
     order, number, part = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
     start = (order * 37 + number * 11) % 1440
     tip = F.rint(F.col("l_discount") * 100)
     fare = _cents(F.col("l_extendedprice") - 3000)
-    copies = F.sequence(F.lit(1), F.when(order % 211 == 0, 2).otherwise(1))
+    exact, poor = order % 211 == 0, order % 223 == 0
+    copies = F.sequence(F.lit(1), F.when(exact | poor, 2).otherwise(1))
+    has_fare = (F.col("_copy") == 1) | F.col("_exact")
     return line.select(
         F.when(order % 101 != 0, _add_minutes(F.col("l_shipdate"), start)).alias("tpep_pickup_datetime"),
         F.when(order % 103 != 0, _add_minutes(F.col("l_shipdate"), start + F.col("l_quantity") - 3))
@@ -49,8 +51,9 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         number.alias("payment_type"),
         F.year("l_shipdate").alias("year"),
         F.month("l_shipdate").alias("month"),
+        exact.alias("_exact"),
         F.explode(copies).alias("_copy"),
-    ).drop("_copy")
+    ).withColumn("fare_amount", F.when(has_fare, F.col("fare_amount"))).drop("_copy", "_exact")
 
 
 def raw_trips_with_fee(spark: SparkSession, sf_dir: str) -> DataFrame:

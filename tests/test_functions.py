@@ -62,10 +62,23 @@ def test_nan_is_no_amount(spark):
     assert (got.s, got.a) == (1.5, 1.5)
 
 
-def test_a_sum_that_overflows_raises(spark):
-    df = spark.createDataFrame([(9e14,), (9e14,)], "x double")
-    with pytest.raises(Exception, match="OVERFLOW"):
-        df.agg(exact_sum("x")).collect()
+@pytest.mark.parametrize("amounts, total", [
+    ([9e14, 9e14], 1.8e15), ([1e15, 20.5], 1e15 + 20.5), ([float("inf"), 1.0], float("inf")),
+    ([0.00004] * 3, 0.00004 * 3), ([-1e300, 1e300, 0.25], 0.25)])
+def test_no_amount_is_cut_or_raises(spark, amounts, total):
+    got = spark.createDataFrame([(a,) for a in amounts], "x double").coalesce(1).agg(
+        exact_sum("x").alias("s"), exact_avg("x").alias("a")).first()
+    assert got.s == pytest.approx(total) and got.a == pytest.approx(total / len(amounts))
+
+
+def test_different_totals_never_share_a_trip_key(spark):
+    from curbline.functions import trip_key
+    totals = [12.0, 12.00001, 12.00002, 12.0001, 120000.0, float("inf"), float("nan"), 1e15, None]
+    t = ts("2024-01-01 00:00:00")
+    rows = [(t, t, 1, 2, x) for x in [*totals, -0.0, 0.0]]
+    frame = spark.createDataFrame(rows, "pickup_datetime timestamp, dropoff_datetime timestamp, pickup_zone_id int, dropoff_zone_id int, total_amount double")
+    keys = [r[0] for r in frame.select(trip_key()).collect()]
+    assert len(set(keys[:-2])) == len(totals) and keys[-1] == keys[-2]
 
 
 def test_key_tells_null_from_empty_and_keeps_positions(spark):

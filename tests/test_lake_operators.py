@@ -91,11 +91,16 @@ def test_loss_adds_up(make_trips):
     assert staging.stage_trips(rows).count() == rows.count() - sum(loss.values())
 
 
-def test_survivor_is_the_smallest_row_whatever_the_order(make_trips):
+def test_survivor_is_the_smallest_complete_row_whatever_the_order(make_trips):
     rows = [dict(passenger_count=n, tip_amount=t) for n, t in ((3, 1.0), (2, 9.0), (2, 4.0), (None, 7.0))]
     for order in (rows, rows[::-1]):
         kept = first_per_key(make_trips(*order).repartition(4), schemas.TRIP_KEY).collect()
-        assert [(r.passenger_count, r.tip_amount) for r in kept] == [(None, 7.0)]
+        assert [(r.passenger_count, r.tip_amount) for r in kept] == [(2, 4.0)]
+
+
+def test_a_valid_copy_always_reaches_the_fact_table(make_trips):
+    rows = make_trips(dict(fare_amount=None), {}, dict(tip_amount=None))
+    assert [r.fare_amount for r in staging.stage_trips(first_per_key(rows, schemas.TRIP_KEY)).collect()] == [15.0]
 
 
 def test_null_keys_group_like_values(make_trips):

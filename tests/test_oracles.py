@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from curbline import registry
 from conftest import DATA
 from oracle import connect, duck_rows, spark_rows, type_mismatches
 
@@ -15,12 +16,14 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert entry_module.queries().keys() == entry_module.oracle_sql().keys()
+    assert registry.QUERIES.keys() == registry.oracle_sql().keys()
+    assert registry.QUERIES.keys() <= entry_module.queries().keys()
+    assert registry.oracle_sql().keys() <= entry_module.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", entry_module.queries())
+@pytest.mark.parametrize("name", registry.QUERIES)
 def test_query_equals_oracle(spark, con, name):
-    df, sql = entry_module.queries()[name](spark, SF), entry_module.oracle_sql()[name]
+    df, sql = registry.QUERIES[name](spark, SF), registry.oracle_sql()[name]
     names, rows = spark_rows(df)
     duck_names, expected = duck_rows(con, sql)
     assert names == duck_names

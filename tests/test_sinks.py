@@ -1,5 +1,3 @@
-from datetime import date, timedelta
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,13 +31,16 @@ def test_a_month_without_rows_is_emptied(spark, make_trips, path, empty):
     none = trips.where("fare_amount < 0") if empty == "no row passes" else trips.where(F.lit(False))
     sinks.replace_months(none, path, [(2024, 1)])
     assert months(spark, path) == {(2024, 2): 1}
-    sinks.replace_months(trips, path, [(2024, 1)])
+    sinks.replace_months(trips.where("month = 1"), path, [(2024, 1)])
     assert months(spark, path) == {(2024, 1): 1, (2024, 2): 1}
 
 
-def test_replace_months_writes_only_its_months(spark, make_trips, path):
-    sinks.replace_months(make_trips({}, dict(month=2), dict(month=3)), path, [(2024, 1), (2024, 3)])
-    assert months(spark, path) == {(2024, 1): 1, (2024, 3): 1}
+@pytest.mark.parametrize("stray", [dict(month=2), dict(month=None), dict(year=None, month=None)])
+def test_rows_of_other_months_fail_the_write_and_change_nothing(spark, make_trips, path, stray):
+    sinks.replace_months(make_trips({}, {}), path, [(2024, 1)])
+    with pytest.raises(Exception, match="row of another month"):
+        sinks.replace_months(make_trips({}, stray), path, [(2024, 1)])
+    assert months(spark, path) == {(2024, 1): 2}
 
 
 def test_delete_then_append_creates_replaces_and_folds_case(spark, make_trips, path):
@@ -70,7 +71,7 @@ def test_merge_moves_a_trip_between_months(spark, make_trips, path):
     assert months(spark, path) == {(2024, 2): 1}
 
 
-def test_merge_looks_for_replaced_rows_on_the_days_of_the_updates(spark, make_trips, path):
+def test_merge_looks_for_replaced_rows_in_the_span_of_the_updates(spark, make_trips, path):
     days = ["2024-01-01", "2024-01-05", "2024-01-06", "2024-01-09"]
     trip = lambda d, total: dict(pickup_datetime=f"{d} 23:59:59", dropoff_datetime=f"{d} 23:59:59.5",
                                  total_amount=total)
@@ -80,18 +81,34 @@ def test_merge_looks_for_replaced_rows_on_the_days_of_the_updates(spark, make_tr
     plan = final_plan(hit)
     scan = next(line for line in plan.splitlines() if "FileScan" in line)
     pushed = scan.split("PushedFilters")[1].split("ReadSchema")[0]
-    assert pushed.count("GreaterThanOrEqual(pickup_datetime") == 2 and hit.count() == 3
+    assert pushed.count("GreaterThanOrEqual(pickup_datetime") == 1 and hit.count() == 3
     whole = sinks.replaced_rows(spark.read.parquet(path), updates, "trip_sk", None)
     assert sorted(whole.collect()) == sorted(hit.collect())
 
 
-def test_days_with_many_gaps_become_one_range(spark, make_trips, path):
-    every_other = [date(2023, 1, 1) + timedelta(days=2 * i) for i in range(sinks.MAX_DAY_RANGES + 1)]
-    for days, ranges in ((set(every_other), 1), (set(every_other[:3]), 3)):
-        condition = str(sinks._within_days("pickup_datetime", days))
-        assert condition.count(">=") == ranges
-        inside = spark.createDataFrame([(d,) for d in days], "d date").select(F.col("d").cast("timestamp").alias("pickup_datetime"))
-        assert inside.where(sinks._within_days("pickup_datetime", days)).count() == len(days)
+def test_merge_finds_a_replaced_row_without_a_time(spark, make_trips, path):
+    """A table made elsewhere may hold trips without a pickup time."""
+    keyed = lambda **c: make_trips(c).withColumn("trip_sk", F.lit("k"))
+    sinks.merge_upsert(spark, keyed(pickup_datetime=None), path)
+    assert sinks.merge_upsert(spark, keyed(pickup_datetime=None, month=2), path) == [(2024, 1), (2024, 2)]
+    assert months(spark, path) == {(2024, 2): 1}
+
+
+@pytest.mark.parametrize("bad, message", [
+    ([dict(month=None)], "without a year or month"), ([{}, dict(month=None)], "without a year or month"), ([{}, {}], "2 times")])
+def test_merge_refuses_bad_updates_before_it_writes(spark, make_trips, path, bad, message):
+    keyed = lambda *rows: make_trips(*rows).withColumn("trip_sk", F.lit("k"))
+    sinks.merge_upsert(spark, keyed({}), path)
+    with pytest.raises(ValueError, match=message):
+        sinks.merge_upsert(spark, keyed(*bad), path)
+    assert months(spark, path) == {(2024, 1): 1}
+
+
+def test_merge_leaves_no_working_folder(spark, make_trips, path, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "scratch_dir", lambda spark, label: str(tmp_path / "curbline" / label))
+    for _ in range(2):
+        sinks.merge_upsert(spark, stage_trips(make_trips({})), path)
+        assert not list((tmp_path / "curbline").glob("*"))
 
 
 def test_merge_of_nothing_changes_nothing(spark, make_trips, path):

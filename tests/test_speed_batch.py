@@ -92,10 +92,17 @@ def test_live_views(make_events):
     assert len(feed) == 3 and feed[0].dropoff_datetime >= feed[2].dropoff_datetime
 
 
-def test_anomaly_join_is_hashed_on_the_pane_and_events_are_not_copied(spark, make_events):
-    plan = final_plan(fare_anomalies(make_events(*random_rows(50))))
+def test_few_hot_panes_are_broadcast_and_events_stay_where_they_are(spark, make_events):
+    plan = final_plan(fare_anomalies(make_events(*random_rows(200)))).split("== Initial Plan ==")[0]
     assert "NestedLoop" not in plan and "Cartesian" not in plan
-    assert "ShuffledHashJoin [pickup_zone_id" in plan
+    assert "BroadcastHashJoin [pickup_zone_id" in plan and "hashpartitioning" not in plan
+
+
+def test_a_first_window_cut_by_the_look_back_is_no_drift(make_events):
+    from curbline.operators.reconcile import reconcile
+    events = make_events(*[(f"e{i}", START + timedelta(minutes=i), 1, 5.0) for i in range(60)])
+    as_of = START + timedelta(minutes=32, seconds=17)
+    assert reconcile(events, zone_demand(events), as_of, lookback=timedelta(minutes=20)).count() == 0
 
 
 def test_hot_pane_is_split(spark, make_events):
@@ -105,7 +112,7 @@ def test_hot_pane_is_split(spark, make_events):
         F.concat(F.lit("h"), "id").alias("trip_id"), F.lit(START).alias("dropoff_datetime"),
         F.lit(1).alias("pickup_zone_id"), F.when(F.col("id") % 100 == 0, 50.0).otherwise(1.0).alias("fare_amount")))
     events = quiet.select(*crowd.columns).unionByName(crowd)
-    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
                 "spark.sql.shuffle.partitions": "16"}
     before = {k: spark.conf.get(k) for k in settings}
