@@ -91,13 +91,13 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def successors(keys: DataFrame) -> DataFrame:
-    """Every row of ``keys`` (doc_id, tie, ...) with the doc_id and tie of the row after it in that order.
+    """Every row of ``keys`` (doc_id, key, tie, ...) with key and tie of the row after it by doc_id and tie.
 
     Rows are numbered in ranges of the order. Inside a range a window sees the successor; the last row of a
     range takes the first one of the next range, and the last of all the first of all: a row per range.
     """
     ordered = numbered(keys, "doc_id", "tie", label="successors")
-    first = F.struct(F.col("doc_id").alias("next_id"), F.col("tie").alias("next_tie"))
+    first = F.struct(F.col("key").alias("next_key"), F.col("tie").alias("next_tie"))
     ends = ordered.groupBy("chunk").agg(F.min(F.struct("nth", first.alias("first"))).alias("f"), F.max("nth").alias("last"))
     ahead = Window.orderBy("chunk")
     everywhere = ahead.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -105,7 +105,7 @@ def successors(keys: DataFrame) -> DataFrame:
     inside = F.lead(first).over(Window.partitionBy("chunk").orderBy("nth"))
     return (ordered.withColumn("_inside", inside).join(ends, "chunk")
             .withColumn("_next", F.when(F.col("nth") < F.col("last"), F.col("_inside")).otherwise(F.col("over")))
-            .select(*keys.columns, "_next.next_id", "_next.next_tie"))
+            .select(*keys.columns, "_next.next_key", "_next.next_tie"))
 
 
 def documents_fingerprints(docs: DataFrame) -> DataFrame:
@@ -113,28 +113,31 @@ def documents_fingerprints(docs: DataFrame) -> DataFrame:
 
     The edited text has the last quarter of the code points replaced by as many (or all) of the next document's first.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
-    own = stored(rows.select("doc_id", "tie", F.length("text").cast("bigint").alias("n_chars"), fingerprint(F.col("text")).alias("fp")), "fingerprints")
-    pairs = stored(successors(own.select("doc_id", "tie", "n_chars")), "pairs")
+    doc_id = F.col("doc_id").cast("bigint")
+    # Neither key nor tie is null, so all joins below are on one plain equality, and texts are shuffled once.
+    rows = docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(0)).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("tie", F.xxhash64("text", F.col("doc_id").isNull()))
+    own = stored(rows.select("doc_id", "key", "tie", F.length("text").cast("bigint").alias("n_chars"),
+                             fingerprint(F.col("text")).alias("fp")), "fingerprints")
+    pairs = stored(successors(own.select("doc_id", "key", "tie", "n_chars")), "pairs")
     # Rows equal in id and text share a text here; each keeps its own row in ``pairs``.
-    key = ["doc_id", "tie"]
-    texts = rows.groupBy(*key).agg(F.first("text").alias("text"))
-    fps = own.groupBy(*key).agg(F.first("fp").alias("fp"))
+    texts = rows.groupBy("key", "tie").agg(F.first("text").alias("text"))
+    fps = own.groupBy("key", "tie").agg(F.first("fp").alias("fp"))
 
-    def same(a: str, b: str, left: tuple[str, str]) -> Column:
-        return F.col(f"{a}.{left[0]}").eqNullSafe(F.col(f"{b}.doc_id")) & F.col(f"{a}.{left[1]}").eqNullSafe(F.col(f"{b}.tie"))
+    def same(a: str, b: str, key: str = "key", tie: str = "tie") -> Column:
+        return (F.col(f"{a}.{key}") == F.col(f"{b}.key")) & (F.col(f"{a}.{tie}") == F.col(f"{b}.tie"))
 
     quarter = F.floor(F.col("n_chars") / 4).cast("int")
-    heads = (pairs.alias("p").join(texts.alias("t"), same("p", "t", ("next_id", "next_tie")))
+    heads = (pairs.alias("p").join(texts.alias("t"), same("p", "t", "next_key", "next_tie"))
              .select("p.*", F.substr("text", F.lit(1), quarter).alias("head")))
-    heads = (heads.alias("h").join(fps.alias("n"), same("h", "n", ("next_id", "next_tie")))
+    heads = (heads.alias("h").join(fps.alias("n"), same("h", "n", "next_key", "next_tie"))
              .select("h.*", F.col("n.fp").alias("next_fp")))
-    edited = (heads.alias("h").join(texts.alias("t"), same("h", "t", ("doc_id", "tie")))
-              .select("h.doc_id", "h.tie", "n_chars", "next_fp",
+    edited = (heads.alias("h").join(texts.alias("t"), same("h", "t"))
+              .select("h.doc_id", "h.key", "h.tie", "n_chars", "next_fp",
                       F.concat(F.substr("text", F.lit(1), (F.col("n_chars") - quarter).cast("int")), "head").alias("edited")))
-    edited = edited.select("doc_id", "tie", "n_chars", "next_fp", F.sha2("edited", 256).alias("edited_sha256"),
+    edited = edited.select("doc_id", "key", "tie", "n_chars", "next_fp", F.sha2("edited", 256).alias("edited_sha256"),
                            fingerprint(F.col("edited")).alias("edited_fingerprint"))
-    out = edited.alias("e").join(fps.alias("o"), same("e", "o", ("doc_id", "tie")))
+    out = edited.alias("e").join(fps.alias("o"), same("e", "o"))
     return out.select("e.doc_id", "n_chars", "edited_sha256", F.col("o.fp").alias("fingerprint"), "edited_fingerprint",
                       likeness(F.col("o.fp"), F.col("edited_fingerprint")).alias("near_edited"),
                       likeness(F.col("o.fp"), F.col("next_fp")).alias("near_next"))
