@@ -46,7 +46,7 @@ def test_odd_rows_and_tables(odd_docs, no_docs, labels, no_labels):
         assert len(rows) == odd_docs.count() and all(0 <= r.score <= 1 for r in rows)
         assert len({r.score for r in rows if r.doc_id == 7}) == 1
         assert run(odd_docs, no_labels).count() == odd_docs.count() and run(no_docs, labels).count() == 0
-    assert {r.score for r in toxicity.classify(odd_docs, no_labels).collect()} == {pytest.approx(0, abs=1e-8)}
+    assert all(r.score < 1e-8 for r in toxicity.classify(odd_docs, no_labels).collect())
     for keep in (toxicity.keep_clean, pu_quality.keep_good):
         kept = keep(odd_docs, no_labels)
         assert kept.schema == odd_docs.schema and kept.count() == odd_docs.count()
