@@ -7,14 +7,19 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import time
 from datetime import timedelta
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from curbline import schemas, streaming
-from curbline.session import build_session, scratch_dir
-from curbline.sources.star_tables import trip_events
+sys.path.insert(0, str(Path(__file__).resolve().parent / "tests"))
+
+import arrival  # noqa: E402
+from curbline import schemas, streaming  # noqa: E402
+from curbline.session import build_session, scratch_dir  # noqa: E402
+from curbline.sources.star_tables import trip_events  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -38,7 +43,7 @@ def main() -> None:
     events = contract_events(spark)
     low, high = events.agg(F.min("dropoff_datetime"), F.max("dropoff_datetime")).first()
     arrivals = events.withColumn("arrival_time", F.col("dropoff_datetime"))
-    streaming.write_in_arrival_order(arrivals, f"{root}/in", (high - low) / FILES + timedelta(seconds=1))
+    arrival.write_in_arrival_order(arrivals, f"{root}/in", (high - low) / FILES + timedelta(seconds=1))
     rows, result = events.count(), {}
     for name, build in (("zone_demand", streaming.zone_demand_stream), ("fare_anomalies", streaming.fare_anomaly_stream)):
         stream = streaming.read_event_files(spark, f"{root}/in", max_files=1)

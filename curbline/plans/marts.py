@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..fixed import PAYMENT_TYPES
+from ..fixed import PAYMENT_TYPES, VOLUME_CHANGE_PERCENT
 from ..operators import checks
 from ..operators.dimensions import date_spine, dim_date, dim_zones
 from ..operators.sinks import clustered, delete_then_append_month, merge_upsert
-from ..operators.staging import stage_month, stage_trips
+from ..operators.staging import month_of, stage_month, stage_trips
 from ..sources.files import read_gold_for_load, read_table, read_zone_lookup
 from .lake import Lake
 
@@ -65,6 +65,24 @@ def unique_checks(fct: DataFrame, zones: DataFrame, dates: DataFrame) -> DataFra
         checks.unique(dates, "date_day", "dim_date"))
 
 
+def record_run(spark: SparkSession, lake: Lake, fct: DataFrame, run_month: date) -> DataFrame:
+    """Store how many trips the run's month has in the fact table, a row per month, and return the history.
+
+    A repeated run replaces its own row, so reruns change nothing.
+    """
+    run_at = F.lit(run_month).cast("timestamp")
+    counted = month_of(fct, run_month).agg(F.count("*").alias("row_count")).select(F.lit("fct_trips").alias("table_name"), run_at.alias("run_at"), "row_count")
+    counted.coalesce(1).write.mode("overwrite").parquet(f"{lake.run_history}/run={run_month:%Y-%m}")
+    return spark.read.parquet(lake.run_history).select("table_name", "run_at", "row_count")
+
+
+def volume_check(history: DataFrame, run_month: date) -> DataFrame:
+    """The month's row count against those of the months before it, as a check."""
+    own = checks.volume_change(history).where(F.col("run_at") == F.lit(run_month).cast("timestamp"))
+    return own.select(F.lit("row_count_change(fct_trips)").alias("check"), "status", F.col("change_pct").alias("observed"),
+                      F.lit(f"< {VOLUME_CHANGE_PERCENT} %").alias("threshold"))
+
+
 def runtime_checks(fct: DataFrame, as_of: datetime | Column) -> DataFrame:
     return checks.all_checks(
         checks.run_checks(fct, checks.fact_checks(as_of)),

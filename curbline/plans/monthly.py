@@ -10,15 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import schemas
 from ..operators.checks import gate
 from .lake import Lake, build_gold, build_silver, ingest_bronze
-from .marts import build_checks, build_dimensions, build_fct_trips, load_warehouse_month, runtime_checks
+from .marts import build_checks, build_dimensions, build_fct_trips, load_warehouse_month, record_run, runtime_checks, volume_check
 
 
 def run_month(spark: SparkSession, lake: Lake, raw_path: str, run_month: date, zone_csv: str,
               calendar: tuple[date, date], as_of: datetime | None = None) -> dict[str, float]:
     """Raw file to checked marts. Stops at the first failing gate; running it again changes nothing.
 
-    The build checks gate the marts. With ``as_of`` the runtime checks gate the run as well; replayed
-    history fails their freshness unless ``as_of`` lies in that time.
+    The build checks gate the marts. The month's volume is stored. With ``as_of`` the runtime checks gate the
+    run as well, and so does its volume against the months before; replayed history fails their freshness
+    unless ``as_of`` lies in that time.
     """
     year, month = run_month.year, run_month.month
     ingest_bronze(spark, lake, raw_path, year, month)
@@ -29,8 +30,10 @@ def run_month(spark: SparkSession, lake: Lake, raw_path: str, run_month: date, z
     build_fct_trips(spark, lake, run_month)
     fct, zones, dates = read_marts(spark, lake)
     gate(build_checks(fct, zones, dates))
+    history = record_run(spark, lake, fct, run_month)
     if as_of is not None:
         gate(runtime_checks(fct, as_of))
+        gate(volume_check(history, run_month))
     return metrics
 
 
@@ -40,6 +43,10 @@ def read_marts(spark: SparkSession, lake: Lake) -> tuple[DataFrame, DataFrame, D
 
 
 def backfill(spark: SparkSession, lake: Lake, raw_path_of: Callable[[date], str],
-             months: Iterable[date], zone_csv: str, calendar: tuple[date, date]) -> dict[date, dict[str, float]]:
-    """Run months in order. Each is one set of jobs over its own files and partitions."""
-    return {m: run_month(spark, lake, raw_path_of(m), m, zone_csv, calendar) for m in months}
+             months: Iterable[date], zone_csv: str, calendar: tuple[date, date],
+             as_of: Callable[[date], datetime] | None = None) -> dict[date, dict[str, float]]:
+    """Run months in order. Each is one set of jobs over its own files and partitions.
+
+    ``as_of`` says for a month the time that its runtime checks compare with; without it they don't run.
+    """
+    return {m: run_month(spark, lake, raw_path_of(m), m, zone_csv, calendar, as_of(m) if as_of else None) for m in months}

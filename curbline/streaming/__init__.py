@@ -1,4 +1,3 @@
-from .arrival import disorder, write_in_arrival_order
 from .audit import start_audit
 from .contract import ContractError, contract_violation, decode_json, require_schema, split_contract
 from .speed import (fare_anomaly_stream, once_per_trip, start_file_sink, start_speed_layer,
@@ -6,8 +5,8 @@ from .speed import (fare_anomaly_stream, once_per_trip, start_file_sink, start_s
 from .source import kafka_values, read_event_files, read_json_lines
 
 __all__ = [
-    "ContractError", "contract_violation", "decode_json", "disorder", "fare_anomaly_stream",
+    "ContractError", "contract_violation", "decode_json", "fare_anomaly_stream",
     "kafka_values", "once_per_trip", "read_event_files", "read_json_lines", "require_schema",
-    "split_contract", "start_audit", "start_file_sink", "start_speed_layer", "write_in_arrival_order",
+    "split_contract", "start_audit", "start_file_sink", "start_speed_layer",
     "zone_demand_stream",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
@@ -9,6 +11,8 @@ from ..schemas import REQUIRED_EVENT_FIELDS, TRIP_EVENT
 
 VIOLATION = "_violation"
 _CORRUPT = "_corrupt"
+#: Epoch milliseconds of the year 9999, about.
+LATEST_MS = 2.5e14
 
 
 class ContractError(TypeError):
@@ -31,12 +35,18 @@ def wire_schema() -> StructType:
 
 
 def decode_json(raw: DataFrame) -> DataFrame:
-    """JSON ``value`` to event columns; the text stays in ``value`` for the dead letters."""
+    """JSON ``value`` to event columns; the text stays in ``value`` for the dead letters.
+
+    A time beyond what a timestamp holds makes the message malformed, and not the query fail.
+    """
     wire = wire_schema().add(_CORRUPT, StringType())
     parsed = F.from_json(F.col("value"), wire, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    fields = [F.timestamp_millis(f"e.{f.name}").alias(f.name) if f.dataType == TimestampType()
-              else F.col(f"e.{f.name}") for f in TRIP_EVENT]
-    return raw.select("value", parsed.alias("e")).select("value", *fields, F.col(f"e.{_CORRUPT}"))
+    times = [F.col(f"e.{f.name}") for f in TRIP_EVENT if f.dataType == TimestampType()]
+    absurd = reduce(Column.__or__, (F.coalesce(F.abs(t.cast("double")) > LATEST_MS, F.lit(False)) for t in times))
+    fields = [F.timestamp_millis(F.when(F.abs(F.col(f"e.{f.name}").cast("double")) <= LATEST_MS, F.col(f"e.{f.name}"))).alias(f.name)
+              if f.dataType == TimestampType() else F.col(f"e.{f.name}") for f in TRIP_EVENT]
+    corrupt = F.coalesce(F.col(f"e.{_CORRUPT}"), F.when(absurd, F.col("value"))).alias(_CORRUPT)
+    return raw.select("value", parsed.alias("e")).select("value", *fields, corrupt)
 
 
 def contract_violation(df: DataFrame) -> Column:

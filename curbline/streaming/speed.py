@@ -100,14 +100,16 @@ def start_file_sink(df: DataFrame, path: str, checkpoint: str, rollover: timedel
 
 def start_speed_layer(events: DataFrame, out: str, checkpoints: str, rollover: timedelta | None = FILE_ROLLOVER,
                       delay: timedelta = DELAY, hop: tuple[timedelta, timedelta] = (HOP_SIZE, HOP_SLIDE),
-                      idle_batches: bool = True) -> list[StreamingQuery]:
+                      idle_batches: bool = True, demand_files: int | None = None, anomaly_files: int | None = None,
+                      salts: int = 16) -> list[StreamingQuery]:
     """Both results of one source, each a query with a checkpoint of its own.
 
-    Demand is a few rows per zone and window; anomalies grow with the trips, hence more files.
+    Demand is a few rows per zone and window and anomalies grow with the trips; ``demand_files`` and
+    ``anomaly_files`` bound the files per rollover, without them each shuffle partition writes its own.
     """
     return [
         start_file_sink(zone_demand_stream(events, delay=delay), f"{out}/zone_demand_5min",
-                        f"{checkpoints}/zone_demand_5min", rollover, 2, idle_batches),
-        start_file_sink(fare_anomaly_stream(events, *hop, delay=delay), f"{out}/fare_anomalies",
-                        f"{checkpoints}/fare_anomalies", rollover, 16, idle_batches),
+                        f"{checkpoints}/zone_demand_5min", rollover, demand_files, idle_batches),
+        start_file_sink(fare_anomaly_stream(events, *hop, delay=delay, salts=salts), f"{out}/fare_anomalies",
+                        f"{checkpoints}/fare_anomalies", rollover, anomaly_files, idle_batches),
     ]

@@ -6,8 +6,8 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..fixed import LATE_FRACTION, LONGEST_DELAY, SHORTEST_DELAY
-from ..functions import interval_us
+from curbline.fixed import LATE_FRACTION, LONGEST_DELAY, SHORTEST_DELAY
+from curbline.functions import interval_us
 
 _STEPS = 1_000_000
 

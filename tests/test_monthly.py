@@ -87,3 +87,19 @@ def test_first_build_takes_all_loaded_months(spark, files, tmp_path):
     fct, zones, dates = read_marts(spark, lake)
     assert {r.month for r in fct.select("month").distinct().collect()} == {2, 3}
     assert (zones.count(), dates.count()) == (25, 365)
+
+
+def test_backfill_runs_the_runtime_checks_where_it_is_told_the_time(spark, files, tmp_path):
+    with pytest.raises(CheckFailed, match="avg\\(fare_amount\\)"):
+        backfill(spark, Lake(str(tmp_path)), raw_path(files), MONTHS[:1], str(files / "zones.csv"), CALENDAR,
+                 as_of=lambda m: ts("1998-03-01"))
+
+
+def test_a_jump_in_volume_fails(spark, tmp_path):
+    from curbline.plans.marts import record_run, volume_check
+    lake = Lake(str(tmp_path))
+    for month, rows, status in ((1, 100, "not_evaluated"), (2, 110, "pass"), (3, 1000, "fail"), (3, 1000, "fail")):
+        day = date(2024, month, 1)
+        got = volume_check(record_run(spark, lake, spark.range(rows).withColumns({"year": F.lit(2024), "month": F.lit(month)}), day), day).collect()
+        assert [r.status for r in got] == [status]
+    assert spark.read.parquet(lake.run_history).count() == 3
