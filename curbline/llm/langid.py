@@ -12,7 +12,6 @@ first in order. Only ``doc_id``, ``text`` and, for training, ``lang`` are read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +30,6 @@ BATCH = 192
 LANES = 8192
 PAD = 256
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def windows(raw: bytes) -> np.ndarray:
@@ -200,7 +198,7 @@ def predict(docs: DataFrame, fitted: tuple[list[str], Network] | None) -> DataFr
                 part = batch.slice(at, 256)
                 texts = part.column(1).to_pylist()
                 langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-                real = [i for i, t in enumerate(texts) if shared.value and t and _LETTER.search(t)]
+                real = [i for i, t in enumerate(texts) if shared.value and t and any(map(str.isalpha, t))]
                 if real:
                     sums = pooled(net, [texts[i] for i in real])
                     share = sums / sums.sum(1, keepdims=True)

@@ -26,14 +26,14 @@ def shard(docs: DataFrame, shards: int = 40, overhead: int = OVERHEAD) -> DataFr
                        F.crc32(raw).alias("text_crc32"))
     ordered = numbered(rows, "doc_id", "size", "text_crc32", label="shard-order")
     before = before_chunk(ordered, bytes=F.col("size"), rows=F.lit(1))
-    all_bytes = F.broadcast(ordered.agg(F.coalesce(F.sum("size"), F.lit(1)).alias("all_bytes")))  # one row
+    all_bytes = ordered.agg(F.sum("size")).first()[0] or 1
     running = Window.partitionBy("chunk").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("bytes_before") + F.coalesce(F.sum("size").over(running), F.lit(0))
-    placed = ordered.join(before, "chunk").join(all_bytes).withColumn("_start", start)
+    placed = ordered.join(before, "chunk").withColumn("_start", start)
     # In decimals: twice the bytes times the shards may exceed 64 bits.
     middle = (F.col("_start") * 2 + F.col("size")).cast("decimal(24,0)")
     placed = placed.withColumn("shard", F.least(
-        F.lit(shards - 1), F.floor(middle * shards / (F.col("all_bytes") * 2).cast("decimal(24,0)")).cast("int")))
+        F.lit(shards - 1), F.floor(middle * shards / F.lit(2 * all_bytes).cast("decimal(24,0)")).cast("int")))
     placed = placed.withColumn("_rank", F.col("rows_before") + F.col("nth"))
     first = placed.groupBy("shard").agg(F.min("_rank").alias("_first"))
     return placed.join(F.broadcast(first), "shard").select(  # at most ``shards`` rows

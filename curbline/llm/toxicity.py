@@ -13,10 +13,10 @@ toxic label counts. Other columns of the tables are not read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
-import re
 from pyspark.sql import DataFrame, functions as F
 
 from .runtime import drawn, held_out, kept_rows, ship, stored
