@@ -1,6 +1,6 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-A text is lower-cased and white space runs become one space; its features are the 3- to 5-character
+A text is lower-cased and white space runs become one space; its features are the 4-, 5-, 6- and 8-character
 n-grams it holds, each counted once, named by a 32-bit hash. On the training rows the document counts of a
 feature in either class give its log-count ratio. The features whose ratio stands out most from chance
 are kept, and a logistic regression with an L2 penalty is fitted on the ratios as feature values.
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .runtime import drawn, held_out, kept_rows, ship, stored
 
-SIZES = (3, 4, 5)
+SIZES = (4, 5, 6, 8)
 #: Training rows at most; the sample is the same on each run.
 TRAIN_ROWS = 8_000
 FEATURES = 10_000
