@@ -22,7 +22,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .runtime import stored, whole_row
+from ..session import remove_folder
+from .runtime import stored, stored_at, whole_row
 
 #: Weights of the sources in the order of their names, repeated as often as needed.
 WEIGHTS = (1.0, 2.0, 3.0)
@@ -78,7 +79,7 @@ def balance(counts: DataFrame, sources: DataFrame, most: float = MOST) -> DataFr
         "source", "own", "target", (F.col("own") / F.col("docs")).alias("mean"),
         (F.col("target") >= most * F.col("own") * (1 - 1e-12)).alias("full"),
         F.lit(0.0).alias("multiplier"), F.lit(-300.0).alias("low"), F.lit(300.0).alias("high"), F.lit(False).alias("done")).where("own > 0")
-    state = stored(state, "multipliers")
+    state, folder = stored_at(state, "multipliers")
     columns = state.columns
     counts = counts.where("size > 0")
 
@@ -99,7 +100,9 @@ def balance(counts: DataFrame, sources: DataFrame, most: float = MOST) -> DataFr
             F.when(close, multiplier).when((F.col("slope") > 0) & (step > low) & (step < high), step)
             .otherwise((low + high) / 2).alias("multiplier"),
             low.alias("low"), high.alias("high"), close.alias("done"))
-        state = stored(after.select(*columns), "multipliers")
+        last = folder
+        state, folder = stored_at(after.select(*columns), "multipliers")
+        remove_folder(counts.sparkSession, last)  # the round before; nothing reads it any more
         if state.where(~F.col("done")).isEmpty():
             break
     return joined(state).select("source", "size", "n", "target", "own", rate.alias("rate"))

@@ -34,12 +34,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared working folder and read it back: lineage ends, values stay as they are."""
+def stored_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``stored``, and the folder, for callers that remove it when they are done."""
     spark = df.sparkSession
     path = scratch_dir(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared working folder and read it back: lineage ends, values stay as they are."""
+    return stored_at(df, label)[0]
 
 
 def held_out(doc_id: Column) -> Column:
