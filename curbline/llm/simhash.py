@@ -21,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .components import components
 from .runtime import ship, stored, whole_row
@@ -51,17 +51,18 @@ def fingerprint(text: str | None, seed: int = SEED, k: int = SHINGLE) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long) of every row."""
+def fingerprints(docs: DataFrame, tie: Column | None = None) -> DataFrame:
+    """doc_id, tie (a long, 0 unless given) and fp (the 64 bits as a signed long) of every row."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         for batch in batches:
             fps = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps.view(np.int64))], names=["doc_id", "tie", "fp"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    tie = F.lit(0).cast("bigint") if tie is None else tie
+    return docs.select(F.col("doc_id").cast("bigint"), "text", tie.alias("tie")).mapInArrow(run, "doc_id bigint, tie bigint, fp bigint")
 
 
 def _segment(fp: Column, i: int) -> Column:
@@ -116,14 +117,18 @@ def links(fps: DataFrame) -> DataFrame:
     return stars.unionByName(across)
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (smallest id reachable) of every row."""
-    marked = stored(fingerprints(docs), "fingerprints")
-    # A row per distinct fingerprint from here on, with the smallest id that has it.
-    distinct = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+def grouped(marked: DataFrame, least: Column) -> DataFrame:
+    """fp, least (the smallest over its rows), component (the label of its class) of every distinct fingerprint."""
+    distinct = stored(marked.groupBy("fp").agg(F.min(least).alias("least")), "distinct")
     reach = components(links(distinct.select("fp")))
-    joined = distinct.join(reach, distinct["fp"] == reach["node"], "left").select(
+    return distinct.join(reach, distinct["fp"] == reach["node"], "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("component"))
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id (smallest id reachable) of every row."""
+    marked = stored(fingerprints(docs).drop("tie"), "fingerprints")
+    joined = grouped(marked, F.col("doc_id"))
     smallest = joined.groupBy("component").agg(F.min("least").alias("component_id"))
     named = joined.join(smallest, "component").select("fp", "component_id")
     return marked.join(named, "fp").select(
@@ -131,9 +136,19 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each class: that of its smallest id. Of rows that share that id one stays."""
-    first = classes(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("id")).distinct()
-    rows = docs.select(whole_row(docs).alias("row"), F.col("doc_id").cast("bigint").alias("own"), F.xxhash64("text").alias("tie"))
-    kept = rows.join(first, F.col("own").eqNullSafe(F.col("id")), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("own").orderBy("tie"))
-    return kept.withColumn("nth", nth).where("nth = 1").select("row.*")
+    """``docs`` with one row of each class: that of its smallest id (null last), then of the least text hash in the class.
+
+    Classes are told apart by label, not by id: each keeps a row, also where ids are null or shared with other
+    classes. Rows equal in id and text are folded before the shuffle.
+    """
+    doc_id, tie = F.col("doc_id").cast("bigint"), F.xxhash64("text")
+    # No key is null, so all joins are on plain equalities.
+    marked = stored(fingerprints(docs, tie), "fingerprints")
+    least = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("own"), F.col("tie"))
+    first = grouped(marked, least).groupBy("component").agg(F.min("least").alias("least")).select("least.*")
+    others = [F.col("row")[c] for c in docs.columns if c not in ("doc_id", "text")]
+    rest = F.to_json(F.struct(*others)) if others else F.lit("")
+    rows = docs.select(whole_row(docs).alias("row"), doc_id.isNull().alias("none"), F.coalesce(doc_id, F.lit(0)).alias("own"), tie.alias("tie"))
+    keys = ["none", "own", "tie"]
+    folded = rows.groupBy(*keys).agg(F.min_by("row", rest).alias("row"))
+    return folded.join(first, keys, "left_semi").select("row.*")

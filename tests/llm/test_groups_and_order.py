@@ -87,6 +87,18 @@ def test_keep_first_keeps_one_of_each_class_and_all_columns(odd_docs):
     assert len(ids) == len(set(ids)) and 1 in ids and 2 not in ids and {3, 6, 7, 8} <= set(ids) and not {4, 5} & set(ids)
 
 
+def test_keep_first_keeps_a_row_of_every_class_whatever_its_ids(spark):
+    """Null ids, one id with unlike texts, and repeated rows with and without an id."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{n}" for n in rng.integers(0, 10 ** 6, 40)) for _ in range(9)]
+    rows = [(None, t, "x") for t in texts[:5]] * 2 + [(None, texts[5], "x"), (4, texts[5], "x"), (4, texts[5], "a"), (9, texts[5], "x")]
+    rows += [(5, texts[6], "x"), (5, texts[7], "x"), (2, texts[6], "x"), (5, texts[8], "x"), (None, texts[8], "x")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, `a.b` string").repartition(3)
+    kept = simhash.keep_first(docs)
+    want = [(None, t, "x") for t in texts[:5]] + [(4, texts[5], "a"), (2, texts[6], "x"), (5, texts[7], "x"), (5, texts[8], "x")]
+    assert sorted(map(str, kept.collect())) == sorted(map(str, spark.createDataFrame(want, docs.schema).collect()))
+
+
 def plain_targets(sizes):
     names = sorted(s for s in sizes if s is not None) + ([None] if None in sizes else [])
     weight = {s: (1, 2, 3)[i % 3] for i, s in enumerate(names)}
