@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .runtime import drawn, held_out, ship
+from .runtime import drawn, drawn_rows, held_out, ship
 
 WINDOW = 48
 UNITS = 8
@@ -145,9 +145,16 @@ def train(codes: np.ndarray, labels: np.ndarray, classes: int, steps: int = STEP
 
 
 def fit(docs: DataFrame, rows: int = TRAIN_DOCS) -> tuple[list[str], Network] | None:
-    """Languages in order, and the network; from at most ``rows`` documents outside the held-out fold."""
+    """Languages in order, and the network; from at most ``rows`` rows outside the held-out fold.
+
+    Rows equal in id, language and text count once.
+    """
     usable = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    chosen = drawn(usable.select("doc_id").distinct(), "doc_id", rows)
+    keys = ["doc_id", "lang", "tie"]
+    own = usable.select("doc_id", "lang", F.xxhash64("text").alias("tie"), "text")
+    ids = drawn(usable.select("doc_id").distinct(), "doc_id", rows)
+    chosen = drawn_rows(own.select(*keys), ids, rows)
+    texts = own.join(F.broadcast(chosen), keys).groupBy(*keys).agg(F.first("text").alias("text"))
     # Windows are cut where the text is: what reaches the driver is bounded by documents and windows of each.
     ship(docs.sparkSession)
 
@@ -163,7 +170,7 @@ def fit(docs: DataFrame, rows: int = TRAIN_DOCS) -> tuple[list[str], Network] |
                     out.append(raw[i * WINDOW:(i + 1) * WINDOW])
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(out, pa.binary())], names=["lang", "window"])
 
-    data = (usable.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id").select("text", "lang")
+    data = (texts.select("text", "lang")
             .mapInArrow(cut, "lang string, window binary").orderBy(F.xxhash64("window"), "window", "lang").toPandas())
     if not len(data):
         return None

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .runtime import drawn, held_out, kept_rows, ship, stored
+from .runtime import drawn, drawn_rows, held_out, kept_rows, ship, stored
 
 #: Rows at most that a fit reads: trusted positives, and unlabelled texts.
 POSITIVE_ROWS = 10_000
@@ -149,17 +149,20 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int
 
 
 def fit(stats: DataFrame, labels: DataFrame) -> tuple[Network, float] | None:
-    """Learn from rows outside the held-out fold; at most POSITIVE_ROWS and UNLABELLED_ROWS reach the driver."""
+    """Learn from rows outside the held-out fold; at most POSITIVE_ROWS and UNLABELLED_ROWS reach the driver.
+
+    Rows equal in id and statistics count once.
+    """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
     good = usable.groupBy("doc_id").agg(F.min("quality").alias("y")).where("y = 1").select("doc_id")
     ids = stats.select("doc_id").where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).distinct()
 
-    def collected(chosen: DataFrame) -> np.ndarray:
-        rows = stats.join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "x").select("x").toPandas()["x"]
+    def collected(chosen: DataFrame, limit: int) -> np.ndarray:
+        rows = drawn_rows(stats, chosen, limit).orderBy(F.xxhash64("doc_id"), "doc_id", "x").select("x").toPandas()["x"]
         return np.array([np.asarray(r) for r in rows]) if len(rows) else np.empty((0, N_FEATURES))
 
-    positive = collected(drawn(good, "doc_id", POSITIVE_ROWS))
-    unlabelled = collected(drawn(ids, "doc_id", UNLABELLED_ROWS))
+    positive = collected(drawn(good, "doc_id", POSITIVE_ROWS), POSITIVE_ROWS)
+    unlabelled = collected(drawn(ids, "doc_id", UNLABELLED_ROWS), UNLABELLED_ROWS)
     if not len(positive) or not len(unlabelled):
         return None
     prior = class_prior(positive, unlabelled)

@@ -57,6 +57,15 @@ def drawn(ids: DataFrame, column: str, rows: int) -> DataFrame:
     return ids.orderBy(F.xxhash64(column), column).limit(rows)
 
 
+def drawn_rows(rows: DataFrame, chosen: DataFrame, limit: int) -> DataFrame:
+    """The rows of the ids in ``chosen``, equal rows once: at most ``limit``, the same on each run, those whose hash is least.
+
+    An id may have any number of rows, so bounding ids doesn't bound rows. Equal rows are folded before the shuffle.
+    """
+    own = rows.join(F.broadcast(chosen), "doc_id").distinct()
+    return own.orderBy(F.xxhash64(*own.columns), *own.columns).limit(limit)
+
+
 def whole_row(df: DataFrame) -> Column:
     """All columns as one, so that columns added beside it clash with none of them."""
     return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .runtime import drawn, held_out, kept_rows, ship, stored
+from .runtime import drawn, drawn_rows, held_out, kept_rows, ship, stored
 
 SIZES = (4, 5, 6, 8)
 #: Training rows at most; the sample is the same on each run.
@@ -71,11 +71,14 @@ class Lookup:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
-    """text and y of labelled documents outside the held-out fold, ``rows`` of the label rows at most."""
+    """text and y of labelled documents outside the held-out fold, ``rows`` at most; rows equal in id and text count once."""
     usable = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
     usable = usable.groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
-    chosen = drawn(usable, "doc_id", rows)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "y")
+    # Rows are chosen by the hash of the text; only the texts chosen are then read, each where it is.
+    own = docs.select("doc_id", F.xxhash64("text").alias("tie"), "text")
+    chosen = drawn_rows(own.select("doc_id", "tie"), drawn(usable, "doc_id", rows), rows)
+    texts = own.join(F.broadcast(chosen), ["doc_id", "tie"]).groupBy("doc_id", "tie")
+    return texts.agg(F.first("text").alias("text"), F.first("y").alias("y")).select("text", "y")
 
 
 def class_counts(rows: DataFrame) -> DataFrame:

@@ -61,6 +61,38 @@ def test_kept_rows_are_those_not_predicted(medium):
     assert {r.doc_id for r in toxicity.keep_clean(docs, labels).collect()} == {r.doc_id for r in docs.collect()} - bad
 
 
+@pytest.fixture(scope="module")
+def one_id(spark):
+    """A few ids, of which one has 300 rows: 200 with one text and 100 unlike texts."""
+    rows = [(1, "the same text again", "en")] * 200 + [(1, f"other text {i} of {i * i}", "en") for i in range(100)]
+    rows += [(i, f"a line of its own {i}", "de") for i in range(2, 40)]
+    labels = [(i, int(i % 2), int(i % 3 == 1)) for i in range(1, 40)]
+    return (spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4).cache(),
+            spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+
+
+def test_an_id_that_repeats_does_not_pass_the_bounds(one_id, monkeypatch):
+    docs, labels = one_id
+    rows = [r.text for r in toxicity.training_rows(docs, labels, "toxic", 60).collect()]
+    assert len(rows) == 60 and rows.count("the same text again") <= 1
+    every = [r.text for r in toxicity.training_rows(docs, labels, "toxic", 1000).collect()]
+    assert sorted(every) == sorted(set(every)) and len(every) > 100
+    assert sorted(rows) == sorted(r.text for r in toxicity.training_rows(docs.repartition(7), labels, "toxic", 60).collect())
+
+    seen = []
+    monkeypatch.setattr(pu_quality, "POSITIVE_ROWS", 15)
+    monkeypatch.setattr(pu_quality, "UNLABELLED_ROWS", 25)
+    monkeypatch.setattr(pu_quality, "class_prior", lambda p, u: seen.append((len(p), len(u))) or 0.5)
+    monkeypatch.setattr(pu_quality, "train", lambda p, u, prior: seen.append((len(p), len(u))))
+    pu_quality.ship(docs.sparkSession)
+    pu_quality.fit(pu_quality.measured(docs), labels)
+    assert seen == [(15, 25), (15, 25)]
+
+    monkeypatch.setattr(langid, "train", lambda codes, labels, classes: len(codes))
+    assert langid.fit(docs, 20)[1] == 20  # each of these texts is one window
+    assert langid.fit(docs, 1000)[1] < 150
+
+
 def test_gradients_through_time():
     """Against finite differences."""
     rng = np.random.default_rng(0)
