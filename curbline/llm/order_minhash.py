@@ -1,8 +1,10 @@
 """Order MinHash fingerprints, whose likeness follows edit distance.
 
-A text is its words; its k-mers are runs of ``K`` words, each with the number of its earlier occurrences, so
-that repeats count. All numbered k-mers are hashed once and dealt by hash over ``SLOTS`` slots. Each slot
-selects the ``PICKED`` least hashes, puts them back into the order in which they stand in the text, and hashes
+The k-mers of a text are its runs of ``POINTS`` code points, whatever its script or white space, each with the
+number of its earlier occurrences, so that repeats count. ``fingerprint`` also has a form over words, which the
+query does not use. All numbered k-mers are hashed once and dealt by hash over ``SLOTS`` slots. Each slot
+selects the ``PICKED`` least hashes (one permutation for all slots; a slot with fewer k-mers hashes the whole set
+of the text anew and selects from it), puts them back into the order in which they stand in the text, and hashes
 that tuple. Two texts agree in a slot if they share its least k-mers in the same order: adding, losing or
 moving text all lower the likeness. Everything is built-in array functions inside one row; long texts take
 time in proportion to length (and its logarithm) and never meet other rows.
@@ -11,8 +13,8 @@ Likeness: with m of the slots that either text fills in agreement, j = m ** (1 /
 in common among all, and 2 j / (1 + j) the share of a text that the other has.
 
 Defined results: null is the empty text; texts without words have the empty fingerprint, and are 1 alike; a
-text of fewer than ``K`` words is one k-mer; slots without a k-mer are told by a mark of their own;
-equal texts have equal fingerprints. Repeated rows are fingerprinted each. The next row of the last one
+text of fewer than ``POINTS`` code points is one k-mer; in the form over words slots stay sparse, and those without a
+k-mer are told by a mark of their own; equal texts have equal fingerprints. Repeated rows are fingerprinted each. The next row of the last one
 is the first; of one row, it itself. Null ids come first, and equal ids follow each other by text hash.
 """
 
@@ -24,6 +26,8 @@ from .ordering import numbered
 from .runtime import stored
 
 K = 2
+#: Code points of a k-mer.
+POINTS = 5
 PICKED = 2
 SLOTS = 48
 #: Hex digits of a slot.
@@ -35,16 +39,20 @@ def _bound(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def fingerprint(text: Column) -> Column:
-    """SLOTS hash tuples of DIGITS hex digits each, as one string."""
-    words = F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+def fingerprint(text: Column, points: bool = False) -> Column:
+    """SLOTS hash tuples of DIGITS hex digits each, as one string: over words, or with ``points`` over code points."""
+    known, k = F.coalesce(text, F.lit("")), POINTS if points else K
+    if points:
+        pieces = F.when(known.rlike(r"[^\x20\x09-\x0D]"), F.split(known, "")).otherwise(F.array().cast("array<string>"))
+    else:
+        pieces = F.filter(F.split(known, r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
     def grams(w: Column) -> Column:
         """(hash, position) of every k-mer, in the order of the hashes."""
-        count = F.greatest(F.size(w) - (K - 1), F.least(F.size(w), F.lit(1)))
+        count = F.greatest(F.size(w) - (k - 1), F.least(F.size(w), F.lit(1)))
         return F.sort_array(F.transform(
             F.slice(w, F.lit(1), count),
-            lambda first, i: F.struct(F.xxhash64(first, *[F.get(w, i + j) for j in range(1, K)]).alias("h"), i.alias("p"))))
+            lambda first, i: F.struct(F.xxhash64(first, *[F.get(w, i + j) for j in range(1, k)]).alias("h"), i.alias("p"))))
 
     def numbered(g: Column) -> Column:
         """(slot, hash, position), in that order, with the occurrence in the hash."""
@@ -58,23 +66,32 @@ def fingerprint(text: Column) -> Column:
             F.pmod(x["h"], F.lit(SLOTS)).cast("int").alias("s"), x["h"].alias("h"), x["p"].alias("p"))))
 
     def tuples(n: Column) -> Column:
-        """slot and the place of its first k-mer in ``n``, then the hash of its least, by position."""
+        """The fingerprint: for each slot the hash of its least k-mers in ``n``, by position."""
         starts = F.filter(F.transform(n, lambda x, i: F.when((i == 0) | (x["s"] != F.get(n, i - 1)["s"]), i)),
                           lambda i: i.isNotNull())
 
+        def digits(picked: Column) -> Column:
+            return F.right(F.hex(F.xxhash64(F.transform(F.sort_array(picked), lambda x: x["h"]))), F.lit(DIGITS))
+
         def of(first: Column, r: Column, s: Column) -> Column:
             length = F.least(F.coalesce(F.get(s, r + 1), F.size(n)) - first, F.lit(PICKED))
-            picked = F.sort_array(F.transform(F.slice(n, first + 1, length), lambda x: F.struct(x["p"], x["h"])))
-            return F.struct(F.get(n, first)["s"].alias("s"), F.right(F.hex(F.xxhash64(F.transform(picked, lambda x: x["h"]))), F.lit(DIGITS)).alias("d"))
+            picked = F.transform(F.slice(n, first + 1, length), lambda x: F.struct(x["p"], x["h"]))
+            return F.struct(F.get(n, first)["s"].alias("s"), F.when(~F.lit(points) | (length == PICKED), digits(picked)).alias("d"))
+
+        def anew(i: Column) -> Column:
+            """The tuple of slot ``i`` from all k-mers of the text, hashed for this slot."""
+            every = F.sort_array(F.transform(n, lambda x: F.struct(F.xxhash64(x["h"], i).alias("h"), x["p"].alias("p"))))
+            return digits(F.transform(F.slice(every, 1, PICKED), lambda x: F.struct(x["p"], x["h"])))
 
-        return _bound(starts, lambda s: F.transform(s, lambda first, r: of(first, r, s)))
+        def written(m: Column) -> Column:
+            missing = anew if points else (lambda i: F.lit("-" * DIGITS))
+            return F.when(F.size(m) == 0, F.lit("")).otherwise(F.array_join(
+                F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda i: F.coalesce(m[i], missing(i))), ""))
 
-    def written(t: Column) -> Column:
-        by_slot = F.map_from_entries(t)
-        return _bound(by_slot, lambda m: F.when(F.size(m) == 0, F.lit("")).otherwise(F.array_join(
-            F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda i: F.coalesce(m[i], F.lit("-" * DIGITS))), "")))
+        own = _bound(starts, lambda s: F.transform(s, lambda first, r: of(first, r, s)))
+        return _bound(F.map_from_entries(own), written)
 
-    return _bound(words, lambda w: _bound(grams(w), lambda g: _bound(numbered(g), lambda n: written(tuples(n)))))
+    return _bound(pieces, lambda w: _bound(grams(w), lambda g: _bound(numbered(g), tuples)))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -118,7 +135,7 @@ def documents_fingerprints(docs: DataFrame) -> DataFrame:
     rows = docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(0)).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text", F.col("doc_id").isNull()))
     own = stored(rows.select("doc_id", "key", "tie", F.length("text").cast("bigint").alias("n_chars"),
-                             fingerprint(F.col("text")).alias("fp")), "fingerprints")
+                             fingerprint(F.col("text"), points=True).alias("fp")), "fingerprints")
     pairs = stored(successors(own.select("doc_id", "key", "tie", "n_chars")), "pairs")
     # Rows equal in id and text share a text here; each keeps its own row in ``pairs``.
     texts = rows.groupBy("key", "tie").agg(F.first("text").alias("text"))
@@ -136,7 +153,7 @@ def documents_fingerprints(docs: DataFrame) -> DataFrame:
               .select("h.doc_id", "h.key", "h.tie", "n_chars", "next_fp",
                       F.concat(F.substr("text", F.lit(1), (F.col("n_chars") - quarter).cast("int")), "head").alias("edited")))
     edited = edited.select("doc_id", "key", "tie", "n_chars", "next_fp", F.sha2("edited", 256).alias("edited_sha256"),
-                           fingerprint(F.col("edited")).alias("edited_fingerprint"))
+                           fingerprint(F.col("edited"), points=True).alias("edited_fingerprint"))
     out = edited.alias("e").join(fps.alias("o"), same("e", "o"))
     return out.select("e.doc_id", "n_chars", "edited_sha256", F.col("o.fp").alias("fingerprint"), "edited_fingerprint",
                       likeness(F.col("o.fp"), F.col("edited_fingerprint")).alias("near_edited"),

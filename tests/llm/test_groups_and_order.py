@@ -195,6 +195,23 @@ def test_fingerprint_follows_the_definition(spark):
     assert 0.5 < near < 1.0  # the same words, in another order
 
 
+def test_texts_without_white_space_are_alike_after_an_edit(spark):
+    """Long and short texts of any script, and a change in every second word."""
+    rng = np.random.default_rng(6)
+    texts = ["".join(chr(c) for c in rng.integers(0x4E00, 0x9000, n)) for n in (900, 120, 40)]
+    texts.append("".join(chr(c) for c in rng.integers(97, 123, 2000)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = {r.doc_id: r for r in order_minhash.documents_fingerprints(docs).collect()}
+    assert all(len(r.fingerprint) == order_minhash.SLOTS * order_minhash.DIGITS and "-" not in r.fingerprint for r in rows.values())
+    assert all(r.near_edited > 0.4 and r.near_next < 0.3 for r in rows.values())
+    words = ["".join(chr(c) for c in rng.integers(97, 123, 12)) for _ in range(200)]
+    changed = [w[:6] + "#" + w[7:] if i % 2 else w for i, w in enumerate(words)]
+    pair = spark.createDataFrame([(" ".join(words), " ".join(changed))], "a string, b string")
+    near = [order_minhash.likeness(*(order_minhash.fingerprint(F.col(c), points) for c in "ab")) for points in (False, True)]
+    over_words, over_points = pair.select(*near).first()
+    assert over_words == 0.0 and over_points > 0.4
+
+
 @pytest.mark.parametrize("factor, least", [(1.0, 1.0), (vptree.FACTOR, 0.98), (0.7, 0.5)])
 def test_search_against_brute_force(spark, factor, least, monkeypatch):
     monkeypatch.setattr(vptree, "SHARD_ROWS", 400)
