@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, mixing, order_minhash, packing, pu_quality, sharding, simhash, token_store, toxicity, vptree
+from . import langid, mixing, order_minhash, packing, prefix_trie, pu_quality, sharding, simhash, token_store, toxicity, vptree
 from .runtime import table
 
 
@@ -50,6 +50,44 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.written_and_read(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_toxicity, op2_vantage_point_trees, op3_entropy_balancing, op4_simhash, op5_best_fit_packing, op6_byte_gru, op7_order_minhash, op8_quality, op9_byte_shards, op10_token_files)}
-
-ORACLES: dict[str, str] = {}
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {q.__name__: q for q in (op1_toxicity, op2_vantage_point_trees, op3_entropy_balancing, op4_simhash, op5_best_fit_packing, op6_byte_gru, op7_order_minhash, op8_quality, op9_byte_shards, op10_token_files, op11_prefix_trie)}
+
+ORACLES: dict[str, str] = {
+    # CRC-32 of the decimal id bit by bit; a sequence is the list of its turns' digests; leaves and weights are summed over all prefixes.
+    "op11_prefix_trie": """
+        WITH turns AS (
+            SELECT conv_id, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest, strlen(coalesce(text, '')) AS size,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+            FROM conversations WHERE conv_id IS NOT NULL),
+        own AS (
+            SELECT conv_id, list({'digest': digest, 'size': size} ORDER BY pos) AS seq,
+                   xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+                       lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)),
+                           lambda r, i: xor(r >> 1, 3988292384 * (r & 1)))), 4294967295) % 9 AS h
+            FROM turns GROUP BY conv_id),
+        rebuilt AS (
+            SELECT o.conv_id, list_concat(coalesce(b.seq, [])[1:o.h], o.seq[o.h + 1:]) AS seq
+            FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 5),
+        prefixes AS (
+            SELECT conv_id AS member, d, array_to_string(list_transform(seq[1:d], lambda t: t.digest), '') AS path,
+                   array_to_string(list_transform(seq[1:d - 1], lambda t: t.digest), '') AS above, len(seq) AS own_length,
+                   CASE WHEN d > 0 THEN seq[d].size ELSE 0 END AS size
+            FROM (SELECT *, unnest(range(len(seq) + 1)) AS d FROM rebuilt)),
+        nodes AS (
+            SELECT path, any_value(above) AS above, any_value(d) AS depth, min(member) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+                   sha256(coalesce(string_agg(member::VARCHAR, ',' ORDER BY member) FILTER (d = own_length), '')) AS ends_sha256
+            FROM prefixes GROUP BY path),
+        children AS (SELECT above AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY above),
+        own_sums AS (
+            SELECT n.*, coalesce(c.n, 0) AS n_children, (n.n_convs - 1) * n.size AS saved FROM nodes n LEFT JOIN children c USING (path)),
+        sums AS (
+            SELECT p.path, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+            FROM own_sums o JOIN prefixes p ON p.member = o.conv_id AND p.d <= o.depth GROUP BY p.path)
+        SELECT o.conv_id, o.depth::BIGINT AS depth, a.conv_id AS parent_conv_id, o.n_convs, o.n_children, s.n_leaves,
+               s.saved_tokens::BIGINT AS saved_tokens, o.ends_sha256
+        FROM own_sums o JOIN sums s USING (path) LEFT JOIN nodes a ON o.depth > 0 AND a.path = o.above""",
+}
