@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, mixing, order_minhash, packing, prefix_trie, pu_quality, sharding, simhash, token_store, toxicity, vptree
+from . import langid, mixing, order_minhash, packing, prefix_trie, pu_quality, sharding, simhash, token_alignment, token_store, toxicity, vptree
 from .runtime import table
 
 
@@ -54,7 +54,11 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
 
-QUERIES = {q.__name__: q for q in (op1_toxicity, op2_vantage_point_trees, op3_entropy_balancing, op4_simhash, op5_best_fit_packing, op6_byte_gru, op7_order_minhash, op8_quality, op9_byte_shards, op10_token_files, op11_prefix_trie)}
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {q.__name__: q for q in (op1_toxicity, op2_vantage_point_trees, op3_entropy_balancing, op4_simhash, op5_best_fit_packing, op6_byte_gru, op7_order_minhash, op8_quality, op9_byte_shards, op10_token_files, op11_prefix_trie, op12_token_alignment)}
 
 ORACLES: dict[str, str] = {
     # CRC-32 of the decimal id bit by bit; a sequence is the list of its turns' digests; leaves and weights are summed over all prefixes.

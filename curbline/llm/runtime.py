@@ -71,6 +71,22 @@ def whole_row(df: DataFrame) -> Column:
     return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
 
 
+def byte_slices(batch, column: int, most: int = 4 << 20):
+    """``batch`` in slices of about ``most`` bytes of the string or binary ``column``, one row at least.
+
+    What a worker makes of a batch is a multiple of its text: batches of 64 MB would not fit beside each other.
+    """
+    import numpy as np
+    import pyarrow.compute as pc
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        end = int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + most, "right"))
+        end = min(max(end, at + 1), at + 2_048)
+        yield batch.slice(at, end - at)
+        at = min(end, batch.num_rows)
+
+
 def kept_rows(docs: DataFrame, keep) -> DataFrame:
     """``docs`` without the rows whose text ``keep`` (texts to booleans) refuses, all columns as they were."""
     at = docs.columns.index("text")

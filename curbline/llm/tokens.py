@@ -28,7 +28,7 @@ def packed(ids) -> bytes:
     return out.tobytes()
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The letter that stands for a byte in these vocabularies: itself where it prints, else the next from 256 on."""
     printed = [*range(0x21, 0x7f), *range(0xa1, 0xad), *range(0xae, 0x100)]
     hidden = [b for b in range(256) if b not in set(printed)]
@@ -61,7 +61,7 @@ class Encoder:
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.spaced = self.whole.encode("a b", add_special_tokens=False).tokens[1][0] == "Ġ"
         self.cut = self._spaced if self.spaced else self._words
-        self.letters = {chr(b): c for b, c in _byte_letters().items()}
+        self.letters = {chr(b): c for b, c in byte_letters().items()}
         self.pieces, self.runs = _Memory(self._piece), _Memory(self._run)
 
     def _words(self, text: str) -> list[str] | None:
