@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, mixing, order_minhash, packing, prefix_trie, pu_quality, sharding, simhash, token_alignment, token_store, toxicity, vptree
+from . import langid, mixing, order_minhash, packing, prefix_trie, pu_quality, sharding, simhash, token_alignment, token_store, toxicity, vector_tiles, vptree
 from .runtime import table
 
 
@@ -58,7 +58,11 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_toxicity, op2_vantage_point_trees, op3_entropy_balancing, op4_simhash, op5_best_fit_packing, op6_byte_gru, op7_order_minhash, op8_quality, op9_byte_shards, op10_token_files, op11_prefix_trie, op12_token_alignment)}
+def op13_vector_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_tiles.near_copies(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {q.__name__: q for q in (op1_toxicity, op2_vantage_point_trees, op3_entropy_balancing, op4_simhash, op5_best_fit_packing, op6_byte_gru, op7_order_minhash, op8_quality, op9_byte_shards, op10_token_files, op11_prefix_trie, op12_token_alignment, op13_vector_tiles)}
 
 ORACLES: dict[str, str] = {
     # CRC-32 of the decimal id bit by bit; a sequence is the list of its turns' digests; leaves and weights are summed over all prefixes.
@@ -94,4 +98,19 @@ ORACLES: dict[str, str] = {
         SELECT o.conv_id, o.depth::BIGINT AS depth, a.conv_id AS parent_conv_id, o.n_convs, o.n_children, s.n_leaves,
                s.saved_tokens::BIGINT AS saved_tokens, o.ends_sha256
         FROM own_sums o JOIN sums s USING (path) LEFT JOIN nodes a ON o.depth > 0 AND a.path = o.above""",
+    # Every pair of a label in double precision, then what is reachable from each vector.
+    "op13_vector_tiles": """
+        WITH RECURSIVE vectors AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS v, row_number() OVER () AS r FROM embeddings),
+        usable AS (
+            SELECT * FROM vectors WHERE label IS NOT NULL AND len(v) > 0 AND list_bool_and(list_transform(v, lambda x: x IS NOT NULL AND isfinite(x)))
+                AND list_bool_or(list_transform(v, lambda x: x <> 0))),
+        links AS (
+            SELECT a.r AS a, b.r AS b FROM usable a JOIN usable b ON a.label = b.label AND len(a.v) = len(b.v) AND a.r <> b.r
+            WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+        reached(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b),
+        least AS (SELECT a, min(v.vec_id) AS vec_id FROM reached JOIN vectors v ON v.r = b GROUP BY a),
+        degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT v.vec_id, coalesce(n, 0) AS n_links, least(v.vec_id, l.vec_id) AS component_id, coalesce(v.vec_id <= coalesce(l.vec_id, v.vec_id), false) AS kept
+        FROM vectors v LEFT JOIN least l ON l.a = v.r LEFT JOIN degrees d ON d.a = v.r""",
 }
