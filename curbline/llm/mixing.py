@@ -13,7 +13,8 @@ largest document. Of some starting points of the rounding each source takes the
 
 Defined results: null text has size 0; documents of size 0 are taken neither once nor more often; a
 source is a value of ``source``, null being the last one; repeated rows each count; ties in size are ordered
-by hashed id, and a table without rows gives no rows. Other columns are not read, and ``mixed`` hands them on.
+by hashed id, and a table without rows gives no rows. Other columns are not read, and ``mixed`` hands them on: of rows
+equal in id and text, those of the row whose other columns are least as text.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ ROUNDS = 80
 #: Starting points tried for the rounding.
 STARTS = 48
 _CLOSE = 1e-7
+_FIXED = "decimal(38,9)"
 
 
 def words(text: Column) -> Column:
@@ -87,9 +89,10 @@ def balance(counts: DataFrame, sources: DataFrame, most: float = MOST) -> DataFr
         return counts.join(state.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
 
     for _ in range(ROUNDS):
+        # Sums of doubles depend on the order in which they arrive; these are the same on each run.
         sums = joined(state).groupBy(*columns).agg(
-            F.sum(F.col("n") * size * rate).alias("got"),
-            F.sum(F.when(tilted < most, F.col("n") * size * x * tilted).otherwise(0.0)).alias("slope"))
+            F.sum((F.col("n") * size * rate).cast(_FIXED)).cast("double").alias("got"),
+            F.sum(F.when(tilted < most, F.col("n") * size * x * tilted).otherwise(0.0).cast(_FIXED)).cast("double").alias("slope"))
         over = F.col("got") - F.col("target")
         low = F.when(over < 0, multiplier).otherwise(F.col("low"))
         high = F.when(over < 0, F.col("high")).otherwise(multiplier)
@@ -105,6 +108,8 @@ def balance(counts: DataFrame, sources: DataFrame, most: float = MOST) -> DataFr
         remove_folder(counts.sparkSession, last)  # the round before; nothing reads it any more
         if state.where(~F.col("done")).isEmpty():
             break
+    else:
+        raise RuntimeError(f"multipliers did not settle in {ROUNDS} rounds")
     return joined(state).select("source", "size", "n", "target", "own", rate.alias("rate"))
 
 
@@ -125,11 +130,14 @@ def starting(rates: DataFrame, sources: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST) -> DataFrame:
     """doc_id, text_hash, source, size, source_size, target, rate, copies for every row of ``docs``."""
     rows = stored(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.col("source").cast("string"),
-                              words(F.col("text")).alias("size")), "mix-sizes")
+                              words(F.col("text")).alias("size")).withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
     salts = max(1, -(-rows.count() // GROUP_ROWS))
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_hash", F.lit("salt")), F.lit(salts)))
+    # Rows equal in id and text are one row with a number of copies from here on, until each gets its share.
+    equal = ["source", "size", "doc_id", "text_hash"]
+    folded = stored(rows.groupBy(*equal).agg(F.count("*").alias("m")).withColumn(
+        "salt", F.pmod(F.xxhash64("doc_id", "text_hash", F.lit("salt")), F.lit(salts))), "mix-folded")
     group = ["source", "size", "salt"]
-    salted = stored(rows.groupBy(*group).agg(F.count("*").alias("n")), "mix-counts")
+    salted = stored(folded.groupBy(*group).agg(F.sum("m").alias("n")), "mix-counts")
     counts = salted.groupBy("source", "size").agg(F.sum("n").alias("n"))
     own = counts.groupBy("source").agg(
         F.sum(F.col("size") * F.col("n")).alias("own"), F.sum(F.when(F.col("size") > 0, F.col("n")).otherwise(0)).alias("docs"))
@@ -147,16 +155,30 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST) -
     bases = (bases.alias("b").join(rates.alias("r"), same[0] & same[1], "left")
              .join(sources.alias("s"), F.col("b.source").eqNullSafe(F.col("s.source")))
              .select("b.*", "rate", "offset", "start", F.col("own").alias("source_size"), "target"))
-    place = Window.partitionBy(*group).orderBy(F.xxhash64("doc_id", "text_hash"), "doc_id")
-    numbered = rows.withColumn("nth", F.row_number().over(place) - 1)
-    at = F.col("base") + F.col("nth")
+    place = Window.partitionBy(*group).orderBy(F.xxhash64("doc_id", "text_hash"), "doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
+    folded = folded.withColumn("first", F.coalesce(F.sum("m").over(place), F.lit(0)))
+    match = [F.col(f"f.{c}").eqNullSafe(F.col(f"b.{c}")) for c in group]
+    folded = (folded.alias("f").join(bases.alias("b"), match[0] & match[1] & match[2])
+              .select(*[F.col(f"f.{c}").alias(f"_{c}") for c in equal], (F.col("base") + F.col("first")).alias("first"),
+                      "rate", "offset", "start", "source_size", "target"))
+    # Equal rows are numbered in pieces of the input, with sums before: which one gets which number makes no difference.
+    pieces = rows.withColumn("piece", F.shiftright("row", 11))
+    before = Window.partitionBy(*equal).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    counted = pieces.groupBy(*equal, "piece").agg(F.count("*").alias("k"))
+    repeated = counted.withColumn("earlier", F.coalesce(F.sum("k").over(before), F.lit(0))).where("k > 1 or earlier > 0").drop("k")
+    inside = Window.partitionBy(*equal, "piece").orderBy("row")
+    same = [F.col(f"p.{c}").eqNullSafe(F.col(f"q.{c}")) for c in (*equal, "piece")]
+    numbered = (pieces.withColumn("inside", F.row_number().over(inside) - 1).alias("p")
+                .join(repeated.alias("q"), same[0] & same[1] & same[2] & same[3] & same[4], "left")
+                .select(*[f"p.{c}" for c in equal], (F.coalesce("earlier", F.lit(0)) + F.col("inside")).alias("nth")))
+    at = F.col("first") + F.col("nth")
     # The end of a row is computed as the next one's start is, so that the steps add up.
     start = F.floor(F.col("start") + F.col("offset") + at * part)
     end = F.floor(F.col("start") + F.col("offset") + (at + 1) * part)
     copies = F.coalesce(F.least(F.floor("rate") + end - start, F.lit(most)), F.lit(0)).cast("int")
-    match = [F.col(f"n.{c}").eqNullSafe(F.col(f"b.{c}")) for c in group]
-    return (numbered.alias("n").join(bases.alias("b"), match[0] & match[1] & match[2])
-            .select("doc_id", "text_hash", "n.source", "n.size", "source_size", "target", F.coalesce("rate", F.lit(0.0)).alias("rate"),
+    match = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in equal]
+    return (numbered.join(folded, match[0] & match[1] & match[2] & match[3])
+            .select("doc_id", "text_hash", "source", "size", "source_size", "target", F.coalesce("rate", F.lit(0.0)).alias("rate"),
                     copies.alias("copies")))
 
 
@@ -164,8 +186,10 @@ def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST)
     """``docs`` with each row as often as the mix takes it, columns unchanged."""
     taken = (mix(docs, weights, most).groupBy(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
              .agg(F.sum("copies").cast("int").alias("times")).where("times > 0"))
+    others = [F.col("row")[c] for c in docs.columns if c not in ("doc_id", "text")]
+    rest = F.to_json(F.struct(*others), {"ignoreNullFields": "false"}) if others else F.lit("")
     rows = docs.select(whole_row(docs).alias("row"), F.col("doc_id").alias("own"), F.xxhash64("text").alias("tie"))
-    # Rows equal in id and text stand for each other: the first of them carries the copies of all.
-    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("own", "tie").orderBy("tie"))).where("nth = 1")
+    # Rows equal in id and text stand for each other: the least by its other columns carries the copies of all.
+    rows = rows.groupBy("own", "tie").agg(F.min_by("row", rest).alias("row"))
     joined = rows.join(taken, F.col("own").eqNullSafe(F.col("id")) & F.col("tie").eqNullSafe(F.col("hash")))
     return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
