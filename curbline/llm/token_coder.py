@@ -7,6 +7,8 @@ candidate" the three orders' probabilities of it are mixed, with weights that fo
 this block. An id that is not the candidate is coded in three steps of 5, 5 and 6 bits by adaptive order-0
 tables. All this drives a carry-less range coder with 48 bits of state and 16-bit output units.
 
+A block's checksum is that of its coded bytes: damage is found before it is decoded. Ids must be below 65,536.
+
 Blocks are coded side by side, as lanes of numpy arrays; coder and decoder share every step. Only
 additions, products, quotients and shifts are used, so that every machine gets the same bits.
 """
@@ -19,7 +21,8 @@ import zlib
 import numpy as np
 
 BLOCK = 4096
-MAGIC = b"CTM1"
+MAGIC = b"CTM2"
+_HEAD = "<4sIIQ"
 #: Stands for a null document id.
 NULL_ID = -(1 << 63)
 _ORDER2, _ORDER1, _COUNTS, _LAST = 4096, 2048, 1024, 512
@@ -197,31 +200,37 @@ def encode(doc_ids: list[int], raw: list[bytes]) -> bytes:
         coder = Lanes(lanes, None, BLOCK)
         coder.run(grid, lengths)
         blocks = coder.finish()
-    head = struct.pack("<4sIIQ", MAGIC, len(raw), lanes, len(ids))
+    head = struct.pack(_HEAD, MAGIC, len(raw), lanes, len(ids))
     directory = np.array(doc_ids, "<i8").tobytes() + counts.astype("<u4").tobytes()
-    index = b"".join(struct.pack("<III", int(n), len(b), zlib.crc32(ids[i * BLOCK:i * BLOCK + n].astype("<u4").tobytes()))
-                     for i, (n, b) in enumerate(zip(lengths.tolist(), blocks)))
+    index = b"".join(struct.pack("<III", int(n), len(b), zlib.crc32(b)) for n, b in zip(lengths.tolist(), blocks))
     return b"".join([head, directory, index, struct.pack("<I", zlib.crc32(head + directory + index)), *blocks])
 
 
 def decode(section: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document ids, their numbers of ids, and all ids; raises ValueError where a checksum differs."""
-    magic, docs, lanes, total = struct.unpack_from("<4sIIQ", section)
-    at = struct.calcsize("<4sIIQ")
+    """Document ids, their numbers of ids, and all ids. Any damage is a ValueError, found before anything is decoded.
+
+    Sizes in the header are held against the length of the section before they are used, then the header against its
+    checksum, then each block's coded bytes against theirs.
+    """
+    at = struct.calcsize(_HEAD)
+    if len(section) < at + 4:
+        raise ValueError("damaged section: too short")
+    magic, docs, lanes, total = struct.unpack_from(_HEAD, section)
     body = at + 12 * docs + 12 * lanes
-    if magic != MAGIC or zlib.crc32(section[:body]) != struct.unpack_from("<I", section, body)[0]:
+    if magic != MAGIC or len(section) < body + 4 or zlib.crc32(section[:body]) != struct.unpack_from("<I", section, body)[0]:
         raise ValueError("damaged header")
     doc_ids = np.frombuffer(section, "<i8", docs, at)
     counts = np.frombuffer(section, "<u4", docs, at + 8 * docs).astype(np.int64)
     index = np.frombuffer(section, "<u4", 3 * lanes, at + 12 * docs).reshape(lanes, 3).astype(np.int64)
+    ends = body + 4 + np.cumsum(index[:, 1])
+    if len(section) != (ends[-1] if lanes else body + 4) or counts.sum() != total or index[:, 0].sum() != total:
+        raise ValueError("damaged section: lengths differ")
     if not lanes:
         return doc_ids, counts, np.empty(0, np.int64)
-    starts = body + 4 + np.concatenate([[0], np.cumsum(index[:-1, 1])])
     units = np.zeros((lanes, int(index[:, 1].max()) // 2 + 4), np.uint16)
-    for i, (start, size) in enumerate(zip(starts.tolist(), index[:, 1].tolist())):
-        units[i, :size // 2] = np.frombuffer(section, "<u2", size // 2, start)
-    grid = Lanes(lanes, units, BLOCK).run(None, index[:, 0])
-    for i, (n, _, crc) in enumerate(index.tolist()):
-        if zlib.crc32(grid[i, :n].astype("<u4").tobytes()) != crc:
+    for i, (end, (_, size, crc)) in enumerate(zip(ends.tolist(), index.tolist())):
+        if zlib.crc32(section[end - size:end]) != crc:
             raise ValueError(f"block {i} is damaged")
+        units[i, :size // 2] = np.frombuffer(section, "<u2", size // 2, end - size)
+    grid = Lanes(lanes, units, BLOCK).run(None, index[:, 0])
     return doc_ids, counts, np.concatenate([grid[i, :n] for i, n in enumerate(index[:, 0].tolist())])

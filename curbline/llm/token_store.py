@@ -6,7 +6,7 @@ Parquet folder, so that Spark commits them, retries tasks, and reads them from a
 sections independently and takes the place of a document from prefix sums over tasks, sections and rows.
 
 Defined results: null texts hold the end id alone; null ids come first; ids that repeat follow each other in
-the order of their texts; a damaged section raises an error; a table without rows gives files without
+the order of their texts' hashes; a damaged section raises an error; a table without rows gives files without
 sections. Only ``doc_id`` and ``text`` are read.
 """
 
@@ -59,7 +59,9 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
         if names:
             yield row(section)
 
-    ordered = docs.select(F.col("doc_id").cast("bigint"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows that repeat an id are told apart by their number, so that a hot id is cut like any other range.
+    rows = docs.select(F.col("doc_id").cast("bigint"), "text", F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("row"))
+    ordered = rows.repartitionByRange("doc_id", "tie", "row").sortWithinPartitions("doc_id", "tie", "row").select("doc_id", "text")
     ordered.mapInArrow(encode, SECTIONS).write.option("compression", "none").parquet(path)
     return path
 
