@@ -21,18 +21,19 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from .runtime import byte_slices, ship, stored
-from .tokens import byte_letters, default_path
+from .tokens import Encoder, byte_letters, default_path, packed
 
 #: Rows of a slice of the pair counts, which tasks hold while they look up (17 bytes each).
 PAIRS = 4_000_000
-#: Units longer than this, in code points, are not remembered; and of the others so many at most.
-_LONG, _REMEMBERED = 48, 300_000
+#: Units longer than this, in code points, are not remembered; of the others two generations of so many, about.
+_LONG, _REMEMBERED = 48, 160_000
 #: Code points of a window of a long text.
 WINDOW = 1 << 19
 MEASURES = ("n_a", "n_b", "n_groups", "n_links")
@@ -61,7 +62,9 @@ class Aligner:
         self.space = self.b.piece_to_id(_MARK)
         #: Cuts are safe if no piece goes on across one.
         self.cuts = not any(_MARK in p.lstrip(_MARK) or "\n" in p for p in pieces)
+        self.encoder = Encoder(a_path, special=False)
         self.known: dict[str, tuple | None] = {}
+        self.before: dict[str, tuple | None] = {}
 
     def units(self, spaced: str) -> list[str]:
         """Parts of space + text, each white space and what follows it; more white space may lie inside."""
@@ -79,57 +82,73 @@ class Aligner:
             yield spaced[at:cut.start() if cut else None]
             at = cut.start() if cut else len(spaced)
 
-    def _b_ids(self, unit: str) -> list[int] | None:
-        if unit == " ":
-            return [self.space]
-        if unit[0] == " ":
-            return self.b.encode(unit[1:])
-        ids = self.b.encode(unit)  # with a space that is not there, as a token of its own
-        return ids[1:] if ids[:1] == [self.space] else None
-
-    def aligned(self, unit: str) -> tuple[str, bytes, bytes] | None:
-        """Groups, codes of all links, and measures; None if the tokens do not spell ``unit``."""
-        a, b = self.a.encode(unit, add_special_tokens=False).ids, self._b_ids(unit)
-        raw = unit.encode()
-        if b is None or b"".join(map(self.a_bytes.__getitem__, a)) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
+    def _b_ids(self, units: list[str]) -> list[list[int] | None]:
+        """Ids of B for each unit. The model puts a space before a text; where the unit has none, that token goes."""
+        coded = self.b.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
+        return [([self.space] if u == " " else ids) if u[0] == " " else ids[1:] if ids[:1] == [self.space] else None
+                for u, ids in zip(units, coded)]
+
+    def _a_ids(self, unit: str) -> tuple[int, ...]:
+        raw = self.encoder.piece(unit)
+        return struct.unpack(f"<{len(raw) // 4}I", raw)
+
+    def aligned(self, unit: str, a, b) -> tuple[str, bytes, bytes] | None:
+        """Groups, codes of all links, and measures of ids of A and B; None if they do not spell ``unit``."""
+        raw, a_bytes, b_bytes, width = unit.encode(), self.a_bytes, self.b_bytes, self.width
+        if b is None or b"".join([a_bytes[x] for x in a]) != raw or b"".join([b_bytes[y] for y in b]) != raw:
             return None
-        groups, links, i, j, first_a, first_b = [], [], 0, 0, 0, 0
-        end_a, end_b = len(self.a_bytes[a[0]]), len(self.b_bytes[b[0]])
+        groups, links, i, j, own_a, own_b, n_a = [], [], 0, 0, "", "", len(a)
+        x, y = a[0], b[0]
+        end_a, end_b = len(a_bytes[x]), len(b_bytes[y])
         while True:
-            links.append(a[i] * self.width + b[j])
-            step_a, step_b = end_a <= end_b, end_b <= end_a
-            if step_a and step_b:
-                groups.append(f"{','.join(map(str, a[first_a:i + 1]))}|{','.join(map(str, b[first_b:j + 1]))}")
-                first_a, first_b = i + 1, j + 1
-                if first_a == len(a):
+            links.append(x * width + y)
+            if end_a == end_b:
+                groups.append(f"{own_a}{x}|{own_b}{y}")
+                i, j, own_a, own_b = i + 1, j + 1, "", ""
+                if i == n_a:
                     break
-            if step_a:
+                x, y = a[i], b[j]
+                end_a, end_b = end_a + len(a_bytes[x]), end_b + len(b_bytes[y])
+            elif end_a < end_b:
+                own_a += f"{x},"
                 i += 1
-                end_a += len(self.a_bytes[a[i]])
-            if step_b:
+                x = a[i]
+                end_a += len(a_bytes[x])
+            else:
+                own_b += f"{y},"
                 j += 1
-                end_b += len(self.b_bytes[b[j]])
-        return ";".join(groups), np.array(links, "<u4").tobytes(), np.array([len(a), len(b), len(groups), len(links)], "<i8").tobytes()
-
-    def _unit(self, unit: str) -> tuple[str, bytes, bytes] | None:
-        if len(unit) > _LONG:
-            return self.aligned(unit)
-        if unit not in self.known:
-            if len(self.known) >= _REMEMBERED:
-                self.known.clear()
-            self.known[unit] = self.aligned(unit)
-        return self.known[unit]
+                y = b[j]
+                end_b += len(b_bytes[y])
+        return ";".join(groups), packed(links), struct.pack("<4q", n_a, len(b), len(groups), len(links))
+
+    def _units(self, units: list[str]) -> list[tuple[str, bytes, bytes] | None]:
+        """``aligned`` of each, remembered: what was not met lately falls out, a generation at a time."""
+        known, before = self.known, self.before
+        fresh = []
+        for u in dict.fromkeys(units):
+            if u not in known:
+                if u in before:
+                    known[u] = before[u]
+                else:
+                    fresh.append(u)
+        known.update((u, self.aligned(u, self._a_ids(u), b)) for u, b in zip(fresh, self._b_ids(fresh) if fresh else ()))
+        own = list(map(known.__getitem__, units))
+        for u in fresh:
+            if len(u) > _LONG:
+                del known[u]
+        if len(known) > _REMEMBERED:
+            self.before, self.known = known, {}
+        return own
 
     def __call__(self, text: str | None):
         if not text or _MARK in text:
             return None
-        found = self._whole(map(self.units, self.windows(" " + text)), self._unit)
-        return found or self._whole([[" " + text]], self.aligned)
+        found = self._whole(self._units(self.units(w)) for w in self.windows(" " + text))
+        return found or self._whole([[self.aligned(" " + text, self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text))]])
 
-    def _whole(self, windows, of):
+    def _whole(self, windows):
         measures, state, sep, codes, numbers = np.zeros(4, np.int64), hashlib.sha256(), "", [], []
-        for units in windows:
-            own = list(map(of, units))
+        for own in windows:
             if None in own:
                 return None
             groups, links, sums = zip(*own)
