@@ -16,10 +16,12 @@ _ROWS_BITS = 33
 def numbered(df: DataFrame, *order: str, label: str = "ordered") -> DataFrame:
     """``df`` stored in the order of ``order``, with ``chunk`` (range, ascending) and ``nth`` (row in it, from 0).
 
-    The numbers are made once, as the rows are written, so a repeated task reads the same.
+    The numbers are made once, as the rows are written, so a repeated task reads the same. Rows equal in ``order`` are
+    told apart by their place in the input: however many they are, they are cut into ranges like any others.
     """
     at = F.monotonically_increasing_id()
-    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", at)
+    placed = df.withColumn("_row", at)
+    ordered = placed.repartitionByRange(*order, "_row").sortWithinPartitions(*order, "_row").drop("_row").withColumn("_at", at)
     return (stored(ordered, label).withColumn("chunk", F.shiftright("_at", _ROWS_BITS))
             .withColumn("nth", F.col("_at").bitwiseAND((1 << _ROWS_BITS) - 1)).drop("_at"))
 
