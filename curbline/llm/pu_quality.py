@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .runtime import drawn, drawn_rows, held_out, kept_rows, ship, stored
+from .runtime import byte_slices, drawn, drawn_rows, held_out, kept_rows, ship, stored
 
 #: Rows at most that a fit reads: trusted positives, and unlabelled texts.
 POSITIVE_ROWS = 10_000
@@ -65,8 +65,9 @@ def measured(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         for batch in batches:
-            x = [statistics(t).tolist() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "x"])
+            for part in byte_slices(batch, 1):
+                x = [statistics(t).tolist() for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "x"])
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, x array<double>")
 

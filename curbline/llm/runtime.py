@@ -18,8 +18,15 @@ _shipped: "weakref.WeakSet" = weakref.WeakSet()
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
 
+#: Bytes of a batch on its way to a Python worker: the engine's default of 64 MB fills small executors, at both ends.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, which may not have it installed. Once per context."""
+    """Send this package to the executors, which may not have it installed, once per context; and bound batches by bytes."""
+    if spark.conf.get(_BATCH).rstrip("b") == str(64 << 20):
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
     context = spark.sparkContext
     if context in _shipped:
         return
@@ -53,8 +60,17 @@ def held_out(doc_id: Column) -> Column:
 
 
 def drawn(ids: DataFrame, column: str, rows: int) -> DataFrame:
-    """At most ``rows`` of ``ids``, the same on each run: those whose hashed id is least."""
-    return ids.orderBy(F.xxhash64(column), column).limit(rows)
+    """At most ``rows`` of ``ids``, the same on each run: those whose hashed id is least.
+
+    Every task of a limit sends as many rows as it asks for to one task. So where there are many ids, a bound on the
+    hash that leaves about twice as many as are wanted comes first; it changes nothing unless it leaves too few, and then goes.
+    """
+    hashed = F.xxhash64(column)
+    n = ids.count()
+    if n > 8 * rows:
+        below = ids.where(hashed < F.lit(-(1 << 63) + int((1 << 64) * 2 * rows / n)))
+        ids = below if below.count() >= rows else ids
+    return ids.orderBy(hashed, column).limit(rows)
 
 
 def drawn_rows(rows: DataFrame, chosen: DataFrame, limit: int) -> DataFrame:
@@ -94,8 +110,7 @@ def kept_rows(docs: DataFrame, keep) -> DataFrame:
     def run(batches):
         import pyarrow as pa
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
+            for part in byte_slices(batch, at):
                 yield part.filter(pa.array(keep(part.column(at).to_pylist()), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .components import components
-from .runtime import ship, stored, whole_row
+from .runtime import byte_slices, ship, stored, whole_row
 
 BITS, SEGMENTS, WIDTH = 64, 4, 16
 DISTANCE = 3
@@ -58,8 +58,9 @@ def fingerprints(docs: DataFrame, tie: Column | None = None) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         for batch in batches:
-            fps = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps.view(np.int64))], names=["doc_id", "tie", "fp"])
+            for part in byte_slices(batch, 1):
+                fps = np.array([fingerprint(t) for t in part.column(1).to_pylist()], dtype=np.uint64)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(fps.view(np.int64))], names=["doc_id", "tie", "fp"])
 
     tie = F.lit(0).cast("bigint") if tie is None else tie
     return docs.select(F.col("doc_id").cast("bigint"), "text", tie.alias("tie")).mapInArrow(run, "doc_id bigint, tie bigint, fp bigint")

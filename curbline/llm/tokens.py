@@ -17,6 +17,8 @@ _PIECES = re.compile(r"\s*\S+|\s+")
 _LETTERS = "".join(map(re.escape, (c for c in map(chr, range(0x250)) if unicodedata.category(c)[0] == "L" and c != "İ")))
 #: Pieces of these letters, ASCII digits and signs fall into runs, whatever else the tokenizer cuts at.
 _SIGNS = "".join(map(re.escape, (c for c in map(chr, range(0x21, 0x7f)) if not c.isalnum() and c != "'")))
+#: Longer pieces are not remembered.
+_LONG = 64
 _RUNS = re.compile(f" ?(?:[{_LETTERS}]+|[0-9]+|[{_SIGNS}]+)")
 
 
@@ -36,33 +38,43 @@ def byte_letters() -> dict[int, str]:
 
 
 class _Memory(dict):
-    """Computes what it does not hold yet."""
+    """Computes what it does not hold yet. It holds two generations of about ``room`` bytes, so what was met lately stays."""
 
-    def __init__(self, compute):
+    def __init__(self, compute, room: int):
         super().__init__()
-        self.compute = compute
+        self.compute, self.room, self.used, self.before = compute, room, 0, {}
 
     def __missing__(self, key):
-        value = self[key] = self.compute(key)
+        value = self.before.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(key) <= _LONG:
+            cost = len(key) + len(value) + 160
+            if self.used + cost > self.room:
+                self.before, self.used = dict(self), 0
+                self.clear()
+            self[key] = value
+            self.used += cost
         return value
 
 
 class Encoder:
     """``Encoder(path)(texts)``: one bytes object of little-endian 32-bit ids per text.
 
-    ``most`` bounds what is remembered, not the result. Null is an empty text.
+    ``room`` bounds the bytes that are remembered (six times as much in all), not the result. Null is an empty text. Without ``special`` the strings of special tokens
+    are plain text.
     """
 
-    def __init__(self, path: str, most: int = 800_000):
+    def __init__(self, path: str, room: int = 32 << 20, special: bool = True):
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(path)
+        self.whole.encode_special_tokens = not special
         self.model = self.whole.model
-        self.most = most
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()] if special else []
         self.spaced = self.whole.encode("a b", add_special_tokens=False).tokens[1][0] == "Ġ"
         self.cut = self._spaced if self.spaced else self._words
         self.letters = {chr(b): c for b, c in byte_letters().items()}
-        self.pieces, self.runs = _Memory(self._piece), _Memory(self._run)
+        self.pieces, self.runs = _Memory(self.piece, room), _Memory(self._run, 2 * room)
 
     def _words(self, text: str) -> list[str] | None:
         """White space yields no id: the pieces are the words."""
@@ -81,7 +93,7 @@ class Encoder:
     def _encoded(self, text: str) -> bytes:
         return packed(self.whole.encode(text, add_special_tokens=False).ids)
 
-    def _piece(self, piece: str) -> bytes:
+    def piece(self, piece: str) -> bytes:
         """Pieces share their runs ("the", "the,", "the."), so runs are remembered too."""
         runs = _RUNS.findall(piece)
         if sum(map(len, runs)) != len(piece) or "<" in piece and any(s in piece for s in self.special):
@@ -101,9 +113,6 @@ class Encoder:
         return packed([t.id for t in self.model.tokenize(run)])
 
     def __call__(self, texts) -> list[bytes]:
-        if len(self.pieces) > self.most or len(self.runs) > self.most:
-            self.pieces.clear()
-            self.runs.clear()
         get, out = self.pieces.__getitem__, []
         for text in texts:
             pieces = self.cut(text) if text else []

@@ -19,9 +19,13 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .runtime import drawn, drawn_rows, held_out, kept_rows, ship, stored
+from .runtime import byte_slices, drawn, drawn_rows, held_out, kept_rows, ship, stored
 
 SIZES = (4, 5, 6, 8)
+#: Code points of a long text that are hashed at a time.
+WINDOW = 1 << 18
+#: Features of some texts that are folded at a time.
+_FOLDED = 2_000_000
 #: Training rows at most; the sample is the same on each run.
 TRAIN_ROWS = 8_000
 FEATURES = 10_000
@@ -29,27 +33,27 @@ THRESHOLD = 0.3
 _SPACE = re.compile(r"\s+")
 
 
-def ngram_hashes(text: str | None) -> list[np.ndarray]:
-    """For each size, the hash of the n-gram at every position."""
-    code = np.frombuffer((" " + _SPACE.sub(" ", (text or "").lower()) + " ").encode("utf-32-le", "replace"), dtype=np.uint32)
-    out = []
-    for size in SIZES:
-        n = len(code) - size + 1
-        if n <= 0:
-            continue
-        h = np.full(n, size, dtype=np.uint32)
-        for i in range(size):
-            h *= np.uint32(0x9E3779B1)
-            h += code[i:i + n]
-        h ^= h >> np.uint32(15)
-        h *= np.uint32(0x85EBCA77)
-        h ^= h >> np.uint32(13)
-        out.append(h)
-    return out
+def ngram_hashes(text: str | None) -> Iterator[np.ndarray]:
+    """The hash of the n-gram at every position, for each size; a long text in windows that share their ends."""
+    known = " " + _SPACE.sub(" ", (text or "").lower()) + " "
+    for first in range(0, max(1, len(known) - max(SIZES) + 1), WINDOW):
+        code = np.frombuffer(known[first:first + WINDOW + max(SIZES) - 1].encode("utf-32-le", "replace"), dtype=np.uint32)
+        for size in SIZES:
+            n = len(code) - size + 1
+            if n <= 0:
+                continue
+            h = np.full(n, size, dtype=np.uint32)
+            for i in range(size):
+                h *= np.uint32(0x9E3779B1)
+                h += code[i:i + n]
+            h ^= h >> np.uint32(15)
+            h *= np.uint32(0x85EBCA77)
+            h ^= h >> np.uint32(13)
+            yield h
 
 
 def features(text: str | None) -> np.ndarray:
-    found = ngram_hashes(text)
+    found = [np.unique(h) for h in ngram_hashes(text)]
     return np.unique(np.concatenate(found)) if found else np.empty(0, np.uint32)
 
 
@@ -82,21 +86,30 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int) ->
 
 
 def class_counts(rows: DataFrame) -> DataFrame:
-    """feature, and in how many toxic and other rows it occurs; summed over some hundred rows before it is shuffled."""
+    """feature, and in how many toxic and other rows it occurs; summed over some texts before it is shuffled."""
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
+
+        def folded(own: list[np.ndarray], labels: list[int]):
+            names, where = np.unique(np.concatenate(own), return_inverse=True)
+            toxic = np.repeat(np.array(labels) == 1, [len(o) for o in own])
+            ones = np.bincount(where[toxic], minlength=len(names))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(names.astype(np.int64)), pa.array(ones), pa.array(np.bincount(where, minlength=len(names)) - ones)],
+                names=["feature", "ones", "zeros"])
+
+        own, labels, held = [], [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                own = [features(t) for t in part.column(0).to_pylist()]
-                toxic = np.repeat(part.column(1).to_numpy(zero_copy_only=False), list(map(len, own)))
-                names, every = np.unique(np.concatenate(own), return_counts=True)
-                ones = np.zeros(len(names), np.int64)
-                with_toxic, n = np.unique(np.concatenate(own)[toxic == 1], return_counts=True)
-                ones[np.searchsorted(names, with_toxic)] = n
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names.astype(np.int64)), pa.array(ones), pa.array(every - ones)],
-                    names=["feature", "ones", "zeros"])
+            for part in byte_slices(batch, 0):
+                for text, y in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    own.append(features(text))
+                    labels.append(y)
+                    held += len(own[-1])
+                    if held > _FOLDED:
+                        yield folded(own, labels)
+                        own, labels, held = [], [], 0
+        if own:
+            yield folded(own, labels)
 
     return rows.mapInArrow(count, "feature bigint, ones bigint, zeros bigint").groupBy("feature").agg(
         F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
@@ -164,8 +177,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, keep: int =
         import pyarrow as pa
         look = Lookup(hashes)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([look(t).tolist() for t in batch.column(0).to_pylist()], pa.list_(pa.int64())),
-                                              batch.column(1)], names=["at", "y"])
+            for part in byte_slices(batch, 0):
+                yield pa.RecordBatch.from_arrays([pa.array([look(t).tolist() for t in part.column(0).to_pylist()], pa.list_(pa.int64())),
+                                                  part.column(1)], names=["at", "y"])
 
     data = train.mapInArrow(rows_of, "at array<bigint>, y int").toPandas()
     lengths = np.array([len(a) for a in data["at"]], dtype=np.int64)
@@ -184,9 +198,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         hashes, weights, intercept = shared.value
         look = Lookup(hashes)
         for batch in batches:
-            z = np.array([weights[look(t)].sum() + intercept for t in batch.column(1).to_pylist()], dtype=np.float64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -35, 35))))],
-                                             names=["doc_id", "score"])
+            for part in byte_slices(batch, 1):
+                z = np.array([weights[look(t)].sum() + intercept for t in part.column(1).to_pylist()], dtype=np.float64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -35, 35))))],
+                                                 names=["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, score double")
 

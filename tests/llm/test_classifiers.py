@@ -128,3 +128,32 @@ def test_ngrams_are_counted_once_and_found_again():
     assert toxicity.features(text.upper()).tolist() == known.tolist() and len(known) == len(set(known))
     assert toxicity.Lookup(known)(text).tolist() == list(range(len(known)))
     assert len(toxicity.Lookup(np.empty(0, np.uint32))(text)) == 0
+
+
+def test_long_texts_are_hashed_in_windows(monkeypatch):
+    text = " ".join(f"word{i % 91} Ünï{i}" for i in range(900))
+    whole = toxicity.features(text)
+    for window in (5, 64, 1_000):
+        monkeypatch.setattr(toxicity, "WINDOW", window)
+        assert np.array_equal(toxicity.features(text), whole)
+    assert len(toxicity.features("")) == 0 and len(toxicity.features("ab")) == 1
+
+
+def test_batches_are_cut_by_bytes():
+    import pyarrow as pa
+    from curbline.llm.runtime import byte_slices
+    texts = ["a" * 100, None, "", "b" * 5_000, "c" * 10, "d" * 10] + ["e"] * 5_000
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["i", "text"])
+    parts = list(byte_slices(batch, 1, 1_000))
+    assert [t for p in parts for t in p.column(1).to_pylist()] == texts and all(p.num_rows for p in parts)
+    assert all(sum(len(t or "") for t in p.column(1).to_pylist()) <= 1_000 or p.num_rows == 1 for p in parts)
+
+
+def test_a_bound_on_hashes_draws_the_same_ids(spark):
+    from curbline.llm.runtime import drawn
+    from pyspark.sql import functions as F
+    ids = spark.range(20_000).withColumnRenamed("id", "doc_id")
+    least = [r.doc_id for r in ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(50).collect()]
+    assert [r.doc_id for r in drawn(ids, "doc_id", 50).collect()] == least
+    hot = ids.select((F.col("doc_id") % 3).alias("doc_id"))
+    assert drawn(hot, "doc_id", 50).count() == 50

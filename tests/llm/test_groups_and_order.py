@@ -241,3 +241,48 @@ def test_few_vectors_and_none(spark):
     frame = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.0]), (20, [0.5, 0.5, 1.0])], "vec_id bigint, embedding array<float>")
     assert [tuple(r) for r in vptree.search(frame, F.col("vec_id") % 20 == 0).collect()] == [(0, 1, 1, 1.0)]
     assert vptree.search(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_repeated_rows_and_ids_lose_no_neighbour(spark):
+    """A query row twice, a candidate row six times, and an id with two unlike vectors."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(61, 6))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(20, x[20].tolist())] + [(7, x[7].tolist())] * 5 + [(40, (-x[40]).tolist())]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    got = defaultdict(list)
+    for r in vptree.search(frame, F.col("vec_id") % 20 == 0, factor=1.0).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    assert set(got) == {0, 20, 40, 60} and len(got[40]) == 40
+    for q in (0, 20, 60):
+        scores = sorted([(-float(x[i] @ x[q]), i) for i in range(61) if i != q] + [(float(x[40] @ x[q]), 40)])
+        assert got[q] == [i for _, i in scores[:20]]
+
+
+def test_mix_agrees_over_partitionings_and_splits_a_hot_row(spark):
+    rows = [(1, "one two three four five", "a")] * 3_000 + [(i, " ".join(["w"] * (1 + i % 9)), "ab"[i % 2]) for i in range(2, 4_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    runs = [Counter(tuple(r) for r in mixing.mix(docs.repartition(n)).select("doc_id", "size", "target", "copies").collect()) for n in (3, 11)]
+    assert runs[0] == runs[1]
+    taken, target = defaultdict(int), {}
+    for r in mixing.mix(docs.coalesce(2)).collect():
+        taken[r.source] += r.size * r.copies
+        target[r.source] = r.target
+    assert all(abs(taken[s] - target[s]) <= 9 for s in target)
+
+
+def test_equal_rows_are_cut_into_ranges_like_others(spark):
+    """A third of the rows are equal: no range holds many more than its share."""
+    from curbline.llm.ordering import numbered
+    docs = spark.createDataFrame([(5,)] * 4_000 + [(i,) for i in range(8_000)], "doc_id bigint").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in numbered(docs, "doc_id").groupBy("chunk").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 12_000 and max(sizes) < 2 * 12_000 / 4
+
+
+def test_mixed_keeps_the_row_that_is_least_by_its_other_columns(spark):
+    docs = spark.createDataFrame([(1, "same text", "a", x) for x in ("z", None, "b", "y")] * 5 + [(2, "other", "b", "q")], "doc_id bigint, text string, source string, more string")
+    rows = [{tuple(r) for r in mixing.mixed(docs.repartition(n)).where("doc_id = 1").collect()} for n in (2, 5)]
+    assert rows[0] == rows[1] and len(rows[0]) == 1

@@ -27,6 +27,6 @@ def test_stages_chain_and_equal_their_operators(spark):
 
 def test_registered_queries():
     import __spark_entry__
-    assert {f"op{n}_" for n in range(1, 11)} == {n.split("_")[0] + "_" for n in queries.QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {n.split("_")[0] + "_" for n in queries.QUERIES}
     assert set(queries.QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
     assert packing.CAPACITY == 4096

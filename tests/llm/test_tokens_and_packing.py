@@ -19,7 +19,7 @@ def test_encoder_equals_the_library(name, small):
     texts = ["".join(rnd.choices(PARTS, k=rnd.randint(0, 14))) for _ in range(3000)]
     texts += [r.text for r in small[0].select("text").limit(60).collect()]
     whole = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
-    assert tokens.Encoder(path, most=50)(texts) == [tokens.packed(e.ids) for e in whole]
+    assert tokens.Encoder(path, room=9_000)(texts) == [tokens.packed(e.ids) for e in whole]
 
 
 def check_packed(rows, docs, capacity):
@@ -84,11 +84,17 @@ def test_coder_learns_repeats_and_notices_damage():
     ids = tokens.packed(list(range(100, 140)) * 300)
     section = token_coder.encode([7], [ids])
     assert len(section) < len(ids) / 20
-    for at in (3, 30, len(section) // 2):
-        broken = bytearray(section)
-        broken[at] ^= 64
+    for at in range(len(section)):
+        for bit in (1, 64):
+            broken = bytearray(section)
+            broken[at] ^= bit
+            with pytest.raises(ValueError):
+                token_coder.decode(bytes(broken))
+    for cut in (0, 10, 30, len(section) - 1):
         with pytest.raises(ValueError):
-            token_coder.decode(bytes(broken))
+            token_coder.decode(section[:cut])
+    with pytest.raises(ValueError):
+        token_coder.decode(section + b"\0")
     with pytest.raises(ValueError):
         token_coder.encode([1], [tokens.packed([70_000])])
 
