@@ -22,18 +22,19 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from .runtime import byte_slices, ship, stored
-from .tokens import Encoder, byte_letters, default_path, packed
+from .tokens import Encoder, byte_letters, default_path
 
 #: Rows of a slice of the pair counts, which tasks hold while they look up (17 bytes each).
 PAIRS = 4_000_000
 #: Units longer than this, in code points, are not remembered; of the others two generations of so many, about.
-_LONG, _REMEMBERED = 48, 160_000
+_LONG, _REMEMBERED = 48, 240_000
 #: Code points of a window of a long text.
 WINDOW = 1 << 19
 MEASURES = ("n_a", "n_b", "n_groups", "n_links")
@@ -59,6 +60,7 @@ class Aligner:
         self.width = self.b.vocab_size()
         pieces = [self.b.id_to_piece(i) for i in range(self.width)]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_MARK, " ").encode() for i, p in enumerate(pieces)]
+        self.a_size, self.b_size = list(map(len, self.a_bytes)), list(map(len, self.b_bytes))
         self.space = self.b.piece_to_id(_MARK)
         #: Cuts are safe if no piece goes on across one.
         self.cuts = not any(_MARK in p.lstrip(_MARK) or "\n" in p for p in pieces)
@@ -88,40 +90,47 @@ class Aligner:
         return [([self.space] if u == " " else ids) if u[0] == " " else ids[1:] if ids[:1] == [self.space] else None
                 for u, ids in zip(units, coded)]
 
-    def _a_ids(self, unit: str) -> tuple[int, ...]:
+    def _a_ids(self, unit: str) -> list[int]:
+        if unit.isascii() and unit[0] == " " and unit[1:].isalpha():  # a word needs the merges alone
+            return [t.id for t in self.a.model.tokenize("Ġ" + unit[1:])]
         raw = self.encoder.piece(unit)
-        return struct.unpack(f"<{len(raw) // 4}I", raw)
+        return list(struct.unpack(f"<{len(raw) // 4}I", raw))
 
-    def aligned(self, unit: str, a, b) -> tuple[str, bytes, bytes] | None:
-        """Groups, codes of all links, and measures of ids of A and B; None if they do not spell ``unit``."""
-        raw, a_bytes, b_bytes, width = unit.encode(), self.a_bytes, self.b_bytes, self.width
-        if b is None or b"".join([a_bytes[x] for x in a]) != raw or b"".join([b_bytes[y] for y in b]) != raw:
+    def aligned(self, unit: str, a: list[int], b: list[int] | None) -> tuple[str, bytes, int] | None:
+        """Groups, codes of all links, and tokens of A; None if the tokens do not spell ``unit``.
+
+        Each link but a group's last steps on by one token, so there are as many links as tokens without the groups.
+        """
+        raw, a_size, b_size, width = unit.encode(), self.a_size, self.b_size, self.width
+        if b is None or b"".join([self.b_bytes[y] for y in b]) != raw or b"".join([self.a_bytes[x] for x in a]) != raw:
             return None
-        groups, links, i, j, own_a, own_b, n_a = [], [], 0, 0, "", "", len(a)
+        if len(a) == 1 and len(b) == 1:
+            return f"{a[0]}|{b[0]}", array("I", (a[0] * width + b[0],)).tobytes(), 1
+        groups, links, i, j, own_a, own_b, n_a = "", [], 0, 0, "", "", len(a)
         x, y = a[0], b[0]
-        end_a, end_b = len(a_bytes[x]), len(b_bytes[y])
+        ahead = a_size[x] - b_size[y]  # how much farther the token of A ends
         while True:
             links.append(x * width + y)
-            if end_a == end_b:
-                groups.append(f"{own_a}{x}|{own_b}{y}")
+            if not ahead:
+                groups += f"{own_a}{x}|{own_b}{y}"
                 i, j, own_a, own_b = i + 1, j + 1, "", ""
                 if i == n_a:
-                    break
+                    return groups, array("I", links).tobytes(), n_a
+                groups += ";"
                 x, y = a[i], b[j]
-                end_a, end_b = end_a + len(a_bytes[x]), end_b + len(b_bytes[y])
-            elif end_a < end_b:
+                ahead = a_size[x] - b_size[y]
+            elif ahead < 0:
                 own_a += f"{x},"
                 i += 1
                 x = a[i]
-                end_a += len(a_bytes[x])
+                ahead += a_size[x]
             else:
                 own_b += f"{y},"
                 j += 1
                 y = b[j]
-                end_b += len(b_bytes[y])
-        return ";".join(groups), packed(links), struct.pack("<4q", n_a, len(b), len(groups), len(links))
+                ahead -= b_size[y]
 
-    def _units(self, units: list[str]) -> list[tuple[str, bytes, bytes] | None]:
+    def _units(self, units: list[str]) -> list[tuple[str, bytes, int] | None]:
         """``aligned`` of each, remembered: what was not met lately falls out, a generation at a time."""
         known, before = self.known, self.before
         fresh = []
@@ -147,21 +156,22 @@ class Aligner:
         return found or self._whole([[self.aligned(" " + text, self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text))]])
 
     def _whole(self, windows):
-        measures, state, sep, codes, numbers = np.zeros(4, np.int64), hashlib.sha256(), "", [], []
+        n_a, n_groups, n_links, state, sep, codes, numbers = 0, 0, 0, hashlib.sha256(), "", [], []
         for own in windows:
             if None in own:
                 return None
-            groups, links, sums = zip(*own)
-            state.update((sep + ";".join(groups)).encode())
-            measures += np.frombuffer(b"".join(sums), "<i8").reshape(-1, 4).sum(0)
-            code, n = np.unique(np.frombuffer(b"".join(links), "<u4"), return_counts=True)
+            groups, links, sizes = zip(*own)
+            groups, links = (sep + ";".join(groups)).encode(), np.frombuffer(b"".join(links), "=u4")
+            state.update(groups)
+            n_a, n_groups, n_links = n_a + sum(sizes), n_groups + groups.count(b"|"), n_links + len(links)
+            code, n = np.unique(links, return_counts=True)
             codes.append(code)
             numbers.append(n)
             sep = ";"
         if len(codes) > 1:
             code, where = np.unique(np.concatenate(codes), return_inverse=True)
             codes, numbers = [code], [np.bincount(where, np.concatenate(numbers), len(code))]
-        return measures, state.hexdigest(), codes[0], numbers[0].astype("<u4")
+        return np.array([n_a, n_links - n_a + n_groups, n_groups, n_links]), state.hexdigest(), codes[0], numbers[0].astype("<u4")
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
