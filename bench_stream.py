@@ -17,30 +17,22 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent / "tests"))
 
 import arrival  # noqa: E402
-from curbline import schemas, streaming  # noqa: E402
+from curbline import streaming  # noqa: E402
 from curbline.session import build_session, scratch_dir  # noqa: E402
-from curbline.sources.star_tables import trip_events  # noqa: E402
+from curbline.sources.star_tables import contract_events  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 FILES = int(os.environ.get("BENCH_FILES", "10"))
 
 
-def contract_events(spark):
-    """Table events in the full contract; columns the table lacks are NULL."""
-    events = trip_events(spark, SF_DIR)
-    timed = events.withColumns({c: F.col("dropoff_datetime") for c in ("pickup_datetime", "event_produced_at")})
-    return timed.select(*(F.col(f.name) if f.name in timed.columns else F.lit(None).cast(f.dataType).alias(f.name)
-                          for f in schemas.TRIP_EVENT))
-
-
 def main() -> None:
     spark = build_session("bench_stream", f"local[{CPUS}]", **{
         "spark.sql.shuffle.partitions": CPUS, "spark.driver.memory": "16g",
         "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     root = scratch_dir(spark, "bench_stream")
-    events = contract_events(spark)
+    events = contract_events(spark, SF_DIR)
     low, high = events.agg(F.min("dropoff_datetime"), F.max("dropoff_datetime")).first()
     arrivals = events.withColumn("arrival_time", F.col("dropoff_datetime"))
     arrival.write_in_arrival_order(arrivals, f"{root}/in", (high - low) / FILES + timedelta(seconds=1))

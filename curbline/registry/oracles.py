@@ -44,6 +44,10 @@ _TRIP_MD5 = _md5("epoch_us(pickup_datetime)", "epoch_us(dropoff_datetime)", "pic
                  "dropoff_zone_id", "CAST(CAST(total_amount AS DECIMAL(18,4)) * 10000 AS BIGINT)")
 _GATE = """pickup_datetime < dropoff_datetime AND fare_amount >= 0 AND total_amount >= 0
     AND payment_type IN (1, 2, 3, 4, 5, 6) AND pickup_zone_id IS NOT NULL AND dropoff_zone_id IS NOT NULL"""
+# Of copies, one the gate accepts, then the most complete, then by value.
+_VALID_FIRST = """NOT COALESCE(fare_amount >= 0, FALSE), NOT COALESCE(payment_type IN (1, 2, 3, 4, 5, 6), FALSE),
+    CAST(passenger_count IS NULL AS INTEGER) + CAST(trip_distance IS NULL AS INTEGER) + CAST(fare_amount IS NULL AS INTEGER)
+      + CAST(tip_amount IS NULL AS INTEGER) + CAST(payment_type IS NULL AS INTEGER)"""
 _MARCH = "year = 1998 AND month = 3"
 
 _cte("raw_once", [], """
@@ -64,7 +68,10 @@ _cte("raw_once", [], """
   FROM lineitem""")
 _cte("raw_trips", ["raw_once"], """
   SELECT * FROM raw_once UNION ALL SELECT * FROM raw_once WHERE l_orderkey % 211 = 0
-  UNION ALL SELECT * REPLACE (CAST(NULL AS DOUBLE) AS fare_amount) FROM raw_once WHERE l_orderkey % 211 <> 0 AND l_orderkey % 223 = 0""")
+  UNION ALL SELECT * REPLACE (CAST(NULL AS DOUBLE) AS fare_amount, passenger_count - 1 AS passenger_count)
+    FROM raw_once WHERE l_orderkey % 211 <> 0 AND l_orderkey % 223 = 0
+  UNION ALL SELECT * REPLACE (9 AS payment_type, passenger_count - 1 AS passenger_count)
+    FROM raw_once WHERE l_orderkey % 211 <> 0 AND l_orderkey % 223 <> 0 AND l_orderkey % 227 = 0""")
 _cte("bronze", ["raw_trips"], """
   SELECT tpep_pickup_datetime AS pickup_datetime, tpep_dropoff_datetime AS dropoff_datetime,
     CAST(PULocationID AS INTEGER) AS pickup_zone_id, CAST(DOLocationID AS INTEGER) AS dropoff_zone_id,
@@ -82,7 +89,7 @@ _cte("tagged", ["bronze"], """
 _cte("silver", ["tagged"], f"""
   SELECT * EXCLUDE (_reject_reason) FROM tagged WHERE _reject_reason IS NULL
   QUALIFY row_number() OVER (PARTITION BY {_KEY}, year, month
-    ORDER BY passenger_count NULLS LAST, trip_distance NULLS LAST, fare_amount NULLS LAST,
+    ORDER BY {_VALID_FIRST}, passenger_count NULLS LAST, trip_distance NULLS LAST, fare_amount NULLS LAST,
              tip_amount NULLS LAST, payment_type NULLS LAST) = 1""")
 
 
@@ -94,7 +101,7 @@ def _staged(name: str, source: str, where: str = "TRUE") -> None:
     total_amount, payment_type, year, month
   FROM (SELECT * FROM {source} WHERE {where} AND {_GATE}
         QUALIFY row_number() OVER (PARTITION BY {_KEY}
-          ORDER BY passenger_count NULLS LAST, trip_distance NULLS LAST, fare_amount NULLS LAST,
+          ORDER BY {_VALID_FIRST}, passenger_count NULLS LAST, trip_distance NULLS LAST, fare_amount NULLS LAST,
                    tip_amount NULLS LAST, payment_type NULLS LAST, year, month) = 1)""")
 
 
@@ -152,6 +159,11 @@ def _hop(name: str, minutes: int, slide: int) -> None:
 
 
 _hop("hop", 30, 5)
+_hop("stream_hop", 12 * 60, 2 * 60)
+# A stream that has run to its end has closed what ended before its newest event less the delay.
+_cte("closed", ["trip_events"], """
+  SELECT max(dropoff_datetime) FILTER (pickup_zone_id IS NOT NULL) - INTERVAL 150 SECOND AS closed_at FROM trip_events""")
+_cte("closed_demand", ["demand", "closed"], "SELECT * FROM demand WHERE window_end <= (SELECT closed_at FROM closed)")
 _hop("wide", 36 * 60, 6 * 60)
 _cte("batch_recount", ["fct"], """
   SELECT time_bucket(INTERVAL 5 MINUTE, dropoff_datetime) AS window_start, pickup_zone_id, count(*) AS batch_count
@@ -271,7 +283,7 @@ SELECT reason, count(*) AS rows FROM (
         "stg_dedup": _with(["bronze"], f"""
 SELECT * FROM bronze WHERE {_GATE}
 QUALIFY row_number() OVER (PARTITION BY {_KEY}
-  ORDER BY passenger_count NULLS LAST, trip_distance NULLS LAST, fare_amount NULLS LAST,
+  ORDER BY {_VALID_FIRST}, passenger_count NULLS LAST, trip_distance NULLS LAST, fare_amount NULLS LAST,
            tip_amount NULLS LAST, payment_type NULLS LAST, year, month) = 1"""),
         "stg_trips": _with(["fct"], "SELECT * FROM fct"),
         "fct_trips_month": _with(["fct_march"], "SELECT * FROM fct_march"),
@@ -295,6 +307,23 @@ QUALIFY row_number() OVER (PARTITION BY trip_id ORDER BY deviation_ratio DESC, z
 SELECT * FROM demand WHERE window_end > (SELECT max(window_end) FROM demand) - INTERVAL 6 HOUR"""),
         "anomaly_feed": _with(["wide_anomalies"], """
 SELECT * FROM wide_anomalies ORDER BY dropoff_datetime DESC, trip_id, deviation_ratio DESC LIMIT 50"""),
+        "stream_zone_demand": _with(["closed_demand"], "SELECT * FROM closed_demand"),
+        "stream_restart": _with(["closed_demand"], "SELECT * FROM closed_demand"),
+        "stream_fare_anomalies": _with(["trip_events", "stream_hop", "closed"], """
+SELECT e.trip_id, e.dropoff_datetime, e.pickup_zone_id, e.fare_amount, z.zone_avg_fare,
+  e.fare_amount / NULLIF(z.zone_avg_fare, 0) AS deviation_ratio
+FROM trip_events e JOIN stream_hop z ON e.pickup_zone_id = z.pickup_zone_id
+  AND e.dropoff_datetime >= z.window_start AND e.dropoff_datetime < z.window_end
+WHERE e.fare_amount > 3 * z.zone_avg_fare AND z.window_end <= (SELECT closed_at FROM closed)"""),
+        "contract_split": _with(["trip_events"], f"""
+SELECT violation, pickup_zone_id, count(*) AS messages, {_sum("fare_amount")} AS fares,
+  date_trunc('millisecond', min(dropoff_datetime)) AS first, date_trunc('millisecond', max(dropoff_datetime)) AS last
+FROM (SELECT violation, CASE WHEN violation IS NULL THEN pickup_zone_id END AS pickup_zone_id,
+        CASE WHEN violation IS NULL THEN fare_amount END AS fare_amount, CASE WHEN violation IS NULL THEN dropoff_datetime END AS dropoff_datetime
+      FROM (SELECT *, CASE WHEN n IN (7, 13, 17) THEN 'malformed' WHEN n = 11 THEN 'missing trip_id'
+                           WHEN n = 19 THEN 'missing trip_id' END AS violation
+            FROM (SELECT *, CAST(substr(trip_id, 2) AS BIGINT) % 40 AS n FROM trip_events)))
+GROUP BY ALL"""),
         "batch_recount": _with(["batch_recount"], "SELECT * FROM batch_recount"),
         "reconcile": _with(["drifts"], "SELECT * FROM drifts"),
         "reconcile_top": _with(["drifts"], """

@@ -11,7 +11,7 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .. import schemas
+from .. import schemas, streaming
 from ..fixed import PAYMENT_TYPES
 from ..functions import exact_avg, exact_sum
 from ..operators import checks, measures, reconcile as recon, sinks
@@ -28,7 +28,7 @@ from ..plans.marts import build_checks, not_null_checks, unique_checks
 from ..session import scratch_dir
 from ..sources import read_month
 from ..sources.files import read_zone_lookup
-from ..sources.star_tables import raw_trips, raw_trips_with_fee, trip_events, zone_lookup
+from ..sources.star_tables import contract_events, event_messages, raw_trips, raw_trips_with_fee, trip_events, zone_lookup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -239,6 +239,77 @@ def dq_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return checks.duplicate_count(to_events(raw_trips(spark, sf)), "trip_id")
 
 
+#: Slices of the event table that a stream reads one after the other, and the files of each.
+SLICES, SLICE_FILES = 4, 4
+
+
+def _slices(spark: SparkSession, sf: str, messages: bool = False) -> tuple[str, Callable[[range], None]]:
+    """A new folder, and what writes slices of the event table, in the order of their time, where a stream finds them."""
+    root = scratch_dir(spark, "stream")
+    events = event_messages(spark, sf) if messages else contract_events(spark, sf)
+    bounds = tuple(events.agg(F.min("dropoff_datetime"), F.max("dropoff_datetime")).first())
+    return root, lambda only: streaming.write_in_slices(events, f"{root}/in", bounds, SLICES, SLICE_FILES, only, as_text=messages)
+
+
+def _state_partitions(spark: SparkSession, sf: str) -> int:
+    """Partitions of a stream's state: its rows are fixed at the first start, so they follow the size of the table."""
+    return max(4, trip_events(spark, sf).count() // 2_000_000)
+
+
+def _run_speed_layer(spark: SparkSession, sf: str, root: str, name: str) -> None:
+    """Drain what lies in the source into the landing table, and that into one result."""
+    source = streaming.read_event_files(spark, f"{root}/in", SLICE_FILES)
+    streaming.drained(streaming.start_landing(source, f"{root}/landing", f"{root}/cp/landing", rollover=None))
+    events = streaming.read_landed_events(spark, f"{root}/landing", SLICE_FILES)
+    result = streaming.zone_demand_stream(events) if name == "zone_demand" else streaming.fare_anomaly_stream(events, *STREAM_HOP, salts=4)
+    streaming.drained(streaming.start_file_sink(result, f"{root}/{name}", f"{root}/cp/{name}", rollover=None,
+                                                state_partitions=_state_partitions(spark, sf)))
+
+
+#: Wide enough for the events of the table, which are hours apart in a zone.
+STREAM_HOP = (timedelta(hours=12), timedelta(hours=2))
+
+
+def stream_zone_demand(spark: SparkSession, sf: str) -> DataFrame:
+    """The demand stream run over the whole event table: the windows it has closed."""
+    root, write = _slices(spark, sf)
+    write(range(SLICES))
+    _run_speed_layer(spark, sf, root, "zone_demand")
+    return _read_back(spark, f"{root}/zone_demand")
+
+
+def stream_fare_anomalies(spark: SparkSession, sf: str) -> DataFrame:
+    """The anomaly stream run over the whole event table: what its closed windows hold."""
+    root, write = _slices(spark, sf)
+    write(range(SLICES))
+    _run_speed_layer(spark, sf, root, "fare_anomalies")
+    return _read_back(spark, f"{root}/fare_anomalies")
+
+
+def stream_restart(spark: SparkSession, sf: str) -> DataFrame:
+    """The demand stream stopped after half of the files and started again from its checkpoint when the others are there."""
+    root, write = _slices(spark, sf)
+    for half in (range(SLICES // 2), range(SLICES // 2, SLICES)):
+        write(half)
+        _run_speed_layer(spark, sf, root, "zone_demand")
+    return _read_back(spark, f"{root}/zone_demand")
+
+
+def contract_split(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON messages, some damaged, through the landing table: events by zone, dead letters by what is wrong with them."""
+    root, write = _slices(spark, sf, messages=True)
+    write(range(SLICES))
+    decoded = streaming.decode_json(streaming.read_json_lines(spark, f"{root}/in", SLICE_FILES))
+    streaming.drained(streaming.start_landing(decoded, f"{root}/landing", f"{root}/cp/landing", rollover=None))
+    events, dead = streaming.landed_events(spark, f"{root}/landing"), streaming.dead_letters(spark, f"{root}/landing")
+    good = events.groupBy("pickup_zone_id").agg(
+        F.count("*").alias("messages"), exact_sum("fare_amount").alias("fares"), F.min("dropoff_datetime").alias("first"),
+        F.max("dropoff_datetime").alias("last")).withColumn("violation", F.lit(None).cast("string"))
+    # What a damaged message still says is not an event's; its text is counted.
+    bad = dead.groupBy(F.col("_violation").alias("violation")).agg(F.count("value").alias("messages"))
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
 QUERIES: dict[str, Query] = {
     # Lake
     "bronze_normalize": bronze,
@@ -274,6 +345,11 @@ QUERIES: dict[str, Query] = {
     "fare_anomalies_once": fare_anomalies_once,
     "live_demand": lambda spark, sf: live_demand(zone_demand(trip_events(spark, sf)), timedelta(hours=6)),
     "anomaly_feed": lambda spark, sf: anomaly_feed(fare_anomalies(trip_events(spark, sf), *WIDE_HOP)),
+    # Speed layer, as streams that run to their end
+    "stream_zone_demand": stream_zone_demand,
+    "stream_fare_anomalies": stream_fare_anomalies,
+    "stream_restart": stream_restart,
+    "contract_split": contract_split,
     # Reconciliation
     "batch_recount": lambda spark, sf: recount(fct(spark, sf)),
     "reconcile": reconcile,

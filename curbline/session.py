@@ -85,6 +85,11 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(place)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, place = _file_system(spark, path)
+    fs.mkdirs(place)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a working folder made by ``scratch_dir``, with all it holds."""
     if "/curbline/" not in path and not (_local_root and path.startswith(_local_root)):

@@ -56,12 +56,8 @@ def contract_violation(df: DataFrame) -> Column:
     return F.coalesce(*rules)
 
 
-def tag_violations(df: DataFrame) -> DataFrame:
-    return df.withColumn(VIOLATION, contract_violation(df))
-
-
 def split_contract(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(events, dead letters). Works on streams and on batches, before and after the wire."""
-    tagged = tag_violations(df)
+    tagged = df.withColumn(VIOLATION, contract_violation(df))
     events = tagged.where(F.col(VIOLATION).isNull()).select(*TRIP_EVENT.names)
     return events, tagged.where(F.col(VIOLATION).isNotNull()).drop(_CORRUPT)

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..fixed import (ALLOWED_LATENESS, ANOMALY_FACTOR, DEMAND_WINDOW, FILE_ROLLOVER, HOP_SIZE, HOP_SLIDE,
                      WATERMARK)
-from ..functions import exact_avg, interval_us, ratio
+from ..functions import exact_rest, exact_total, exact_units, interval_us, ratio
 from ..functions.clock import interval_text
 from ..operators.demand import zone_demand
 from ..schemas import FARE_ANOMALIES
+from .landing import read_landed_events, start_landing
+from .sink import drained, start_file_sink
 
 # Spark has one delay: the out-of-orderness bound plus the allowed lateness.
 DELAY = WATERMARK + ALLOWED_LATENESS
@@ -32,6 +33,21 @@ def zone_demand_stream(events: DataFrame, size: timedelta = DEMAND_WINDOW, delay
     return zone_demand(events.withWatermark("dropoff_datetime", interval_text(delay)), size)
 
 
+def hop_average_stream(events: DataFrame, size: timedelta = HOP_SIZE, slide: timedelta = HOP_SLIDE, delay: timedelta = DELAY) -> DataFrame:
+    """hop (window), pickup_zone_id, zone_avg_fare for every hopping window, each when it has closed.
+
+    Two aggregates in a row: an event enters the state of one pane, the slide-wide window it lies in; a closed
+    pane, one row, enters the size/slide hopping windows around it. An event that comes after its pane has closed is late for all
+    of them, as it is for the demand of that window.
+    """
+    units = exact_units("fare_amount")
+    panes = (events.where(F.col("pickup_zone_id").isNotNull()).withWatermark("dropoff_datetime", interval_text(delay))
+             .groupBy(F.window("dropoff_datetime", interval_text(slide)).alias("slice"), "pickup_zone_id")
+             .agg(F.sum(units).alias("units"), F.sum(exact_rest("fare_amount")).alias("rest"), F.count(units).alias("fares")))
+    return (panes.groupBy(F.window(F.window_time("slice"), interval_text(size), interval_text(slide)).alias("hop"), "pickup_zone_id")
+            .agg(ratio(exact_total(F.sum("units"), F.sum("rest")), F.sum("fares")).alias("zone_avg_fare")))
+
+
 def fare_anomaly_stream(events: DataFrame, size: timedelta = HOP_SIZE, slide: timedelta = HOP_SLIDE,
                         factor: float = ANOMALY_FACTOR, delay: timedelta = DELAY, salts: int = 16) -> DataFrame:
     """Events above ``factor`` times the average of a hopping window around them.
@@ -43,15 +59,11 @@ def fare_anomaly_stream(events: DataFrame, size: timedelta = HOP_SIZE, slide: ti
     state partitions, over which the events of one busy zone are spread.
     """
     fare, known_zone = F.col("fare_amount"), F.col("pickup_zone_id").isNotNull()
-    size_text, slide_text = interval_text(size), interval_text(slide)
     shift, step = interval_us(size - slide), interval_us(slide)
-
     pane_start = F.unix_micros("hop.start") + shift
     pane = F.struct(F.timestamp_micros("pane_us").alias("start"),
                     F.timestamp_micros(F.col("pane_us") + step).alias("end")).alias("pane")
-    averages = (events.where(known_zone).withWatermark("dropoff_datetime", interval_text(delay))
-                .groupBy(F.window("dropoff_datetime", size_text, slide_text).alias("hop"), "pickup_zone_id")
-                .agg(exact_avg("fare_amount").alias("zone_avg_fare"))
+    averages = (hop_average_stream(events, size, slide, delay)
                 .select("pickup_zone_id", "zone_avg_fare",
                         F.explode(F.sequence(pane_start, pane_start + shift, F.lit(step))).alias("pane_us"))
                 .select("pickup_zone_id", "zone_avg_fare", pane,
@@ -60,7 +72,7 @@ def fare_anomaly_stream(events: DataFrame, size: timedelta = HOP_SIZE, slide: ti
     closes_at = F.timestamp_micros(F.unix_micros("dropoff_datetime") + shift)
     priced = (events.where(known_zone & fare.isNotNull() & ~F.isnan(fare))
               .withColumn("closes_at", closes_at).withWatermark("closes_at", interval_text(delay))
-              .select(F.window("closes_at", slide_text).alias("pane"), "pickup_zone_id", "trip_id", "fare_amount",
+              .select(F.window("closes_at", interval_text(slide)).alias("pane"), "pickup_zone_id", "trip_id", "fare_amount",
                       "dropoff_datetime", F.pmod(F.xxhash64("trip_id"), F.lit(salts)).cast("int").alias("salt")))
     return (priced.join(averages, ["pane", "pickup_zone_id", "salt"])
             .where(fare > factor * F.col("zone_avg_fare"))
@@ -68,48 +80,21 @@ def fare_anomaly_stream(events: DataFrame, size: timedelta = HOP_SIZE, slide: ti
             .select(*FARE_ANOMALIES.names))
 
 
-@contextmanager
-def _idle_batches(spark: SparkSession, enabled: bool):
-    """A query keeps the setting it was started under."""
-    key = "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(enabled).lower())
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
-def start_file_sink(df: DataFrame, path: str, checkpoint: str, rollover: timedelta | None = FILE_ROLLOVER,
-                    files: int | None = None, idle_batches: bool = True, name: str | None = None) -> StreamingQuery:
-    """Exactly-once Parquet sink that closes files every ``rollover``; None drains what is there.
-
-    ``files`` is the number of files per rollover; without it each shuffle partition writes its own.
-    ``idle_batches=False`` lets time move with the data alone: a window closes with the next data and
-    not while the source is idle, and the query sees the same batches as an audit of the source.
-    """
-    out = df.repartition(files) if files else df
-    writer = out.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-    if name:
-        writer = writer.queryName(name)
-    trigger = ({"availableNow": True} if rollover is None
-               else {"processingTime": f"{rollover // timedelta(seconds=1)} seconds"})
-    with _idle_batches(df.sparkSession, idle_batches):
-        return writer.trigger(**trigger).start()
-
-
-def start_speed_layer(events: DataFrame, out: str, checkpoints: str, rollover: timedelta | None = FILE_ROLLOVER,
+def start_speed_layer(decoded: DataFrame, out: str, checkpoints: str, rollover: timedelta | None = FILE_ROLLOVER,
                       delay: timedelta = DELAY, hop: tuple[timedelta, timedelta] = (HOP_SIZE, HOP_SLIDE),
                       idle_batches: bool = True, demand_files: int | None = None, anomaly_files: int | None = None,
-                      salts: int = 16) -> list[StreamingQuery]:
-    """Both results of one source, each a query with a checkpoint of its own.
+                      salts: int = 16, max_files: int | None = None, state_partitions: int | None = None) -> list[StreamingQuery]:
+    """The landing table of a decoded source, and both results of its events, each with a checkpoint of its own.
 
-    Demand is a few rows per zone and window and anomalies grow with the trips; ``demand_files`` and
-    ``anomaly_files`` bound the files per rollover, without them each shuffle partition writes its own.
+    With ``rollover=None`` the source is drained first, then the results are. Demand is a few rows per zone and window and
+    anomalies grow with the trips; ``demand_files`` and ``anomaly_files`` bound the files per rollover, without them
+    each shuffle partition writes its own. ``max_files`` bounds the landed files of a result's batch.
     """
-    return [
-        start_file_sink(zone_demand_stream(events, delay=delay), f"{out}/zone_demand_5min",
-                        f"{checkpoints}/zone_demand_5min", rollover, demand_files, idle_batches),
-        start_file_sink(fare_anomaly_stream(events, *hop, delay=delay, salts=salts), f"{out}/fare_anomalies",
-                        f"{checkpoints}/fare_anomalies", rollover, anomaly_files, idle_batches),
-    ]
+    landing = start_landing(decoded, f"{out}/landing", f"{checkpoints}/landing", rollover)
+    if rollover is None:
+        drained(landing)
+    events = read_landed_events(decoded.sparkSession, f"{out}/landing", max_files)
+    results = {"zone_demand_5min": (zone_demand_stream(events, delay=delay), demand_files),
+               "fare_anomalies": (fare_anomaly_stream(events, *hop, delay=delay, salts=salts), anomaly_files)}
+    return [landing, *(start_file_sink(df, f"{out}/{name}", f"{checkpoints}/{name}", rollover, files, idle_batches, state_partitions=state_partitions)
+                       for name, (df, files) in results.items())]

@@ -101,6 +101,10 @@ def test_survivor_is_the_smallest_complete_row_whatever_the_order(make_trips):
 def test_a_valid_copy_always_reaches_the_fact_table(make_trips):
     rows = make_trips(dict(fare_amount=None), {}, dict(tip_amount=None))
     assert [r.fare_amount for r in staging.stage_trips(first_per_key(rows, schemas.TRIP_KEY)).collect()] == [15.0]
+    # Copies that also differ in a column before: by values alone the first would win, and the trip would be gone.
+    for poor in (dict(passenger_count=1, fare_amount=None), dict(passenger_count=1, payment_type=9), dict(passenger_count=1, payment_type=None)):
+        rows = make_trips(poor, dict(passenger_count=2, tip_amount=None))
+        assert [r.passenger_count for r in staging.stage_trips(first_per_key(rows, schemas.TRIP_KEY)).collect()] == [2]
 
 
 def test_null_keys_group_like_values(make_trips):

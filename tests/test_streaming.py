@@ -2,6 +2,7 @@
 
 import json
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -46,7 +47,10 @@ def test_streams_equal_the_batch(spark, make_events, dirs):
     write_files(make_events, dirs("in"), rows[:50], rows[50:100], rows[100:], [("flush", FLUSH, 1, 1.0)],
                 [("flush2", FLUSH + SECOND, 1, 1.0)])
     events = streaming.read_event_files(spark, dirs("in"), max_files=1)
-    drain(*streaming.start_speed_layer(events, dirs("out"), dirs("cp"), rollover=None))
+    landing, *results = streaming.start_speed_layer(events, dirs("out"), dirs("cp"), rollover=None, max_files=1)
+    drain(landing, *results)
+    # The source is read and judged once, whatever reads the landing table.
+    assert sum(p.numInputRows for p in landing.recentProgress) == len(rows) + 2
     closed = make_events(*rows)
     assert as_set(spark.read.parquet(dirs("out/zone_demand_5min"))) == as_set(zone_demand(closed))
     assert spark.read.parquet(dirs("out/zone_demand_5min")).dtypes == [
@@ -66,16 +70,17 @@ def test_disorder_inside_the_delay_changes_nothing(spark, make_events, dirs):
     assert as_set(spark.read.parquet(dirs("out/fare_anomalies"))) == as_set(fare_anomalies(make_events(*rows)))
 
 
-def test_event_after_some_of_its_windows_closed_is_judged_by_their_averages(spark, make_events, dirs):
+def test_event_after_its_pane_closed_is_judged_but_enters_no_average(spark, make_events, dirs):
     quiet = [(f"q{m}", START + m * MIN, 1, 1.0) for m in (1, 2, 3)]
-    # 00:15 closes the windows that end at 00:05 and 00:10; the spike of 00:04 comes after that.
+    # 00:15 closes the pane that ends at 00:05; the spike of 00:04 comes after that, the next one in time.
     write_files(make_events, dirs("in"), quiet, [("x", START + 15 * MIN, 1, 1.0)], [("y", START + 15 * MIN, 2, 1.0)],
-                [("spike", START + 4 * MIN, 1, 50.0)], [("f", FLUSH, 1, 1.0)], [("g", FLUSH + SECOND, 1, 1.0)])
+                [("late", START + 4 * MIN, 1, 50.0), ("spike", START + 14 * MIN, 1, 50.0)], [("f", FLUSH, 1, 1.0)], [("g", FLUSH + SECOND, 1, 1.0)])
     events = streaming.read_event_files(spark, dirs("in"), max_files=1)
     drain(streaming.start_file_sink(streaming.fare_anomaly_stream(events), dirs("out"), dirs("cp"), None))
     rows = spark.read.parquet(dirs("out")).collect()
-    assert {r.trip_id for r in rows} == {"spike"}
-    assert sorted(r.zone_avg_fare for r in rows) == [1.0, 1.0, 10.8, 10.8, 10.8, 13.25]
+    late = sorted(r.zone_avg_fare for r in rows if r.trip_id == "late")
+    assert late == [1.0, 1.0, 10.8, 10.8, 10.8, 13.25]
+    assert {r.trip_id for r in rows} == {"late", "spike"}
 
 
 def test_restart_adds_nothing_and_then_only_what_is_new(spark, make_events, dirs):
@@ -144,68 +149,80 @@ def test_producer_side_contract(spark, make_events):
     assert (valid.count(), dead.first()["_violation"]) == (0, "missing trip_id")
 
 
-LATE_CASES = [
-    [("a", START + 1 * MIN, 1, 1.0)],
-    [("b", START + 20 * MIN, 1, 1.0)],                 # newest so far 00:20, watermark 00:17:30
-    [("c", START + 3 * MIN, 1, 1.0)],                  # judged by batch 0 alone: in time
-    [("d", START + 4 * MIN, 1, 1.0),                   # window ended 00:05: late
-     ("e", START + 16 * MIN, 1, 1.0),                  # window ends 00:20: still open
-     ("n", START + 2 * MIN, None, 1.0),                # late without a zone
-     (None, START + 21 * MIN, 1, 1.0)],                # breaks the contract
-    [("f", FLUSH, 1, 1.0)],
-    [("g", FLUSH + SECOND, 1, 1.0)],
-]
+def test_landing_holds_every_message_once_also_after_a_crash(spark, make_events, dirs):
+    """The commit of the last batch is taken away, as if the driver had died before it: the batch runs again, the table stays."""
+    write_files(make_events, dirs("in"), [("a", START, 1, 1.0), (None, START, 1, 1.0)], [("b", START + MIN, None, 2.0)])
 
+    def land():
+        query = streaming.start_landing(streaming.read_event_files(spark, dirs("in"), max_files=1), dirs("landing"), dirs("cp"), rollover=None)
+        drain(query)
+        return sum(p.numInputRows for p in query.recentProgress)
+
+    assert land() == 3
+    last = max((Path(dirs("cp")) / "commits").glob("[0-9]*"), key=lambda f: int(f.name))
+    last.unlink()
+    last.with_name(f".{last.name}.crc").unlink(missing_ok=True)
+    land()
+    assert sorted(r.trip_id for r in streaming.landed_events(spark, dirs("landing")).collect()) == ["a", "b"]
+    assert [r._violation for r in streaming.dead_letters(spark, dirs("landing")).collect()] == ["missing trip_id"]
 
-def test_late_rows_are_exactly_those_the_windows_drop(spark, make_events, dirs):
-    write_files(make_events, dirs("in"), *LATE_CASES)
-    events = streaming.read_event_files(spark, dirs("in"), max_files=1)
-    audit = streaming.start_audit(events, dirs("audit"), dirs("cp/audit"), rollover=None)
-    valid, _ = streaming.split_contract(events)
-    demand = streaming.start_file_sink(streaming.zone_demand_stream(valid), dirs("out"), dirs("cp/demand"), None,
-                                       idle_batches=False)
-    drain(audit, demand)
-    late = {r.trip_id for r in spark.read.parquet(dirs("audit/late")).collect()}
-    dead = spark.read.parquet(dirs("audit/dead_letters")).collect()
-    assert late == {"d", "n"} and [r._violation for r in dead] == ["missing trip_id"]
-    counted = spark.read.parquet(dirs("out")).agg(F.sum("trip_count")).first()[0]
-    dropped = sum(op.numRowsDroppedByWatermark for p in demand.recentProgress for op in p.stateOperators)
-    # a b c e are counted, d is dropped, n has no zone, f and g are still open.
-    assert (counted, dropped) == (4, 1)
+
+def test_a_result_restarts_in_the_middle_of_a_batch(spark, make_events, dirs):
+    rows = [(f"t{i}", START + i * MIN, 1, 1.0) for i in range(60)]
+
+    def run():
+        drain(*streaming.start_speed_layer(streaming.read_event_files(spark, dirs("in"), max_files=1), dirs("out"), dirs("cp"), rollover=None, max_files=1))
+
+    write_files(make_events, dirs("in"), rows[:20], rows[20:40])
+    run()
+    for name in ("zone_demand_5min", "fare_anomalies"):
+        last = max((Path(dirs("cp")) / name / "commits").glob("[0-9]*"), key=lambda f: int(f.name))
+        last.unlink()
+        last.with_name(f".{last.name}.crc").unlink(missing_ok=True)
+    write_files(make_events, dirs("in"), rows[40:], [("f", FLUSH, 1, 1.0)])
+    run()
+    assert as_set(spark.read.parquet(dirs("out/zone_demand_5min"))) == as_set(zone_demand(make_events(*rows)))
+
+
+def test_an_event_enters_the_averages_state_once(spark, make_events, dirs):
+    """Rows of the first aggregate's state: one for each pane, however many events and windows lie over it."""
+    rows = [(f"e{i}", START + timedelta(seconds=6 * i), 1 + i % 2, 1.0) for i in range(600)]
+    write_files(make_events, dirs("in"), rows[:300], rows[300:], [("f", FLUSH, 1, 1.0)])
+    stream = streaming.read_event_files(spark, dirs("in"), max_files=1)
+    query = streaming.start_file_sink(streaming.fare_anomaly_stream(stream, salts=2), dirs("out"), dirs("cp"), None)
+    drain(query)
+    aggregates = [[op for op in p.stateOperators if op.operatorName == "stateStoreSave"] for p in query.recentProgress]
+    assert all(len(ops) == 2 for ops in aggregates)
+    # Two zones and six panes in each half hour; updates of a batch are panes, not events times windows.
+    assert max(min(op.numRowsTotal for op in ops) for ops in aggregates) <= 2 * 8
+    assert all(op.numRowsUpdated <= 2 * 18 for ops in aggregates for op in ops)
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_no_event_is_lost_between_windows_and_side_outputs(spark, make_events, dirs, seed):
-    """Disorder in three bands: inside the watermark, inside the lateness, beyond both."""
+def test_no_event_is_lost_between_windows_and_late_counts(spark, make_events, dirs, seed):
+    """Disorder in three bands: inside the watermark, inside the lateness, beyond both; stopped in between."""
     rows = [(f"t{i}", START + timedelta(seconds=24 * i), 1 + i % 3, 1.0) for i in range(600)]
     events = arrival.disorder(make_events(*rows), fraction=0.3, longest=timedelta(minutes=40), seed=seed)
     arrived = events.where("arrival_time < TIMESTAMP '2024-01-01 02:00:00'")
+    dropped = 0
 
     def run():
         stream = streaming.read_event_files(spark, dirs("in"), max_files=1)
-        drain(streaming.start_audit(stream, dirs("audit"), dirs("cp/a"), rollover=None),
-              streaming.start_file_sink(streaming.zone_demand_stream(stream), dirs("out"), dirs("cp/d"), None,
-                                        idle_batches=False))
+        _, demand, _ = queries = streaming.start_speed_layer(stream, dirs("out"), dirs("cp"), rollover=None, max_files=1)
+        drain(*queries)
+        return sum(op.numRowsDroppedByWatermark for p in demand.recentProgress for op in p.stateOperators)
 
-    # Both queries stop in between and start again.
     assert arrival.write_in_arrival_order(arrived, dirs("in"), timedelta(minutes=30)) == 4
-    run()
+    dropped += run()
     rest = events.where("arrival_time >= TIMESTAMP '2024-01-01 02:00:00'")
     assert arrival.write_in_arrival_order(rest, dirs("in"), timedelta(minutes=30)) >= 4
     write_files(make_events, dirs("in"), [("f1", FLUSH, 1, 1.0)], [("f2", FLUSH + SECOND, 1, 1.0)])
-    run()
-    late = spark.read.parquet(dirs("audit/late")).count()
-    counted = spark.read.parquet(dirs("out")).agg(F.sum("trip_count")).first()[0]
-    assert late > 0 and counted + late == len(rows)
-
-
-def test_audit_of_a_repeated_batch_changes_nothing(spark, make_events, dirs):
-    from curbline.streaming.audit import audit_batch
-    for n, rows in enumerate(LATE_CASES):
-        for _ in range(2):
-            audit_batch(make_events(*rows), n, dirs("audit"))
-    assert {r.trip_id for r in spark.read.parquet(dirs("audit/late")).collect()} == {"d", "n"}
-    assert spark.read.parquet(dirs("audit/dead_letters")).count() == 1
+    dropped += run()
+    demand = spark.read.parquet(dirs("out/zone_demand_5min"))
+    landed = streaming.landed_events(spark, dirs("out/landing"))
+    late = streaming.late_counts(landed, demand, FLUSH - MIN).agg(F.sum("late")).first()[0]
+    counted = demand.agg(F.sum("trip_count")).first()[0]
+    assert late and counted + late == len(rows) and dropped > 0
 
 
 def test_disorder_is_repeatable_and_within_bounds(spark, make_events):
@@ -227,14 +244,26 @@ def test_replays_are_counted_once_if_asked(spark, make_events, dirs):
     assert [r.trip_count for r in spark.read.parquet(dirs("out")).collect()] == [2]
 
 
-def test_json_lines_to_windows_and_dead_letters(spark, dirs):
+def test_json_lines_to_events_and_dead_letters(spark, dirs):
     poison = wire_line(trip_id="p", dropoff_datetime=9_200_000_000_000_000_000)
     lines = [wire_line(trip_id="a"), "broken", poison, wire_line(trip_id="b")]
     spark.createDataFrame([(v,) for v in lines], "value string").coalesce(1).write.text(dirs("in"))
     decoded = streaming.decode_json(streaming.read_json_lines(spark, dirs("in")))
-    drain(streaming.start_audit(decoded, dirs("audit"), dirs("cp"), rollover=None))
-    dead = spark.read.parquet(dirs("audit/dead_letters")).collect()
+    drain(streaming.start_landing(decoded, dirs("landing"), dirs("cp"), rollover=None))
+    dead = streaming.dead_letters(spark, dirs("landing")).collect()
     assert sorted((r.value, r._violation) for r in dead) == sorted([("broken", "malformed"), (poison, "malformed")])
+    assert sorted(r.trip_id for r in streaming.landed_events(spark, dirs("landing")).collect()) == ["a", "b"]
+
+
+def test_slices_are_written_in_the_order_of_time(spark, make_events, dirs):
+    rows = [(f"t{i}", START + i * MIN, 1, 1.0) for i in range(40)] + [("none", None, 1, 1.0)]
+    events = make_events(*rows)
+    for only in (range(0, 1), range(1, 4)):
+        streaming.write_in_slices(events, dirs("in"), (START, START + 39 * MIN), 4, files=2, only=only)
+    assert spark.read.parquet(dirs("in")).count() == 41
+    files = sorted(Path(dirs("in")).glob("part-*"), key=lambda f: f.stat().st_mtime_ns)
+    first = [min(r.dropoff_datetime or START for r in spark.read.parquet(str(f)).collect()) for f in files]
+    assert len(files) == 8 and first[:2] < first[2:4] < first[4:6] < first[6:]
 
 
 def test_delay_is_watermark_plus_lateness():
