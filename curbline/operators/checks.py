@@ -37,7 +37,8 @@ class Check:
     warns: Callable[[Column], Column] | None = None
 
 
-def _verdict(check: Check, observed: Column) -> Column:
+def verdict(check: Check, observed: Column) -> Column:
+    """The row of a check, as a struct."""
     status = F.when(observed.isNull(), "not_evaluated").when(check.passes(observed), "pass")
     if check.warns:
         status = status.when(check.warns(observed), "warn")
@@ -47,7 +48,7 @@ def _verdict(check: Check, observed: Column) -> Column:
 
 def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     metrics = df.agg(*(c.metric().cast("double").alias(f"m{i}") for i, c in enumerate(checks)))
-    verdicts = [_verdict(c, F.col(f"m{i}")) for i, c in enumerate(checks)]
+    verdicts = [verdict(c, F.col(f"m{i}")) for i, c in enumerate(checks)]
     return metrics.select(F.inline(F.array(*verdicts)))
 
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..fixed import DEMAND_WINDOW, DRIFT_LOOKBACK, DRIFT_ROWS, DRIFT_SAMPLE, DRIFT_TOLERANCE
 from ..functions.clock import moment, slice_start
+from ..schemas import FCT_TRIPS
+from .check_states import month_rows, months_where
 from .demand import recount
 
 
@@ -23,6 +25,19 @@ def since(df: DataFrame, ts: str, as_of: datetime | Column, lookback: timedelta,
     return df.where(F.col(ts) >= slice_start(moment(as_of) - F.lit(lookback), size))
 
 
+def recent_trips(spark: SparkSession, table: str, months: DataFrame, as_of: datetime | Column, lookback: timedelta = DRIFT_LOOKBACK,
+                 size: timedelta = DEMAND_WINDOW) -> DataFrame:
+    """``since`` of a month-partitioned fact table, opening only folders that hold such trips.
+
+    ``months`` has the span of dropoffs in each folder (``check_states.spans``): a folder holds what its file brought, so the
+    calendar does not say where the trips of the last day are.
+    """
+    bound = slice_start(moment(as_of) - F.lit(lookback), size)
+    found = months_where(months, F.col("last_dropoff") >= bound)
+    rows = month_rows(spark, table, found) if found else spark.createDataFrame([], FCT_TRIPS)
+    return since(rows, "dropoff_datetime", as_of, lookback, size)
+
+
 def compare_layers(batch_counts: DataFrame, speed: DataFrame) -> DataFrame:
     """Counts of both layers and their relative difference, for every window either layer knows."""
     counted = speed.select("window_start", "pickup_zone_id", F.col("trip_count").alias("speed_count"))

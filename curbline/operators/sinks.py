@@ -34,13 +34,14 @@ def months_of(df: DataFrame) -> list[Month]:
     return sorted(found)
 
 
-def replace_partition(df: DataFrame, path: str) -> None:
+def replace_partition(df: DataFrame, path: str, file_rows: int | None = None) -> None:
     """Replace every month that ``df`` holds rows of, all other months stay.
 
-    For frames of one or few months: each task writes one file per month it sees.
+    For frames of one or few months: each task writes one file per month it sees, or several of at most ``file_rows``.
     """
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*MONTH_KEYS).parquet(path))
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = writer.option("maxRecordsPerFile", file_rows) if file_rows else writer
+    writer.partitionBy(*MONTH_KEYS).parquet(path)
 
 
 def by_month(df: DataFrame) -> DataFrame:
@@ -103,12 +104,14 @@ def _checked_updates(staged: DataFrame, key: str) -> None:
 
 def merge_upsert(spark: SparkSession, updates: DataFrame, path: str, key: str = "trip_sk",
                  same_time: str | None = "pickup_datetime",
-                 layout: Callable[[DataFrame], DataFrame] = by_month) -> list[Month]:
+                 layout: Callable[[DataFrame], DataFrame] = by_month,
+                 overlapping: Callable[[DataFrame], list[Month]] | None = None) -> list[Month]:
     """Insert new keys, replace known ones; the first call builds the table. Returns months rewritten.
 
     Only months that gain rows or lose a replaced row are rewritten. To find them, keys are compared
     in the time span of the updates only: ``same_time`` is a time that rows of one key share, as a trip's
-    key is made from it; None if the key has no such column. Rows that vanished upstream stay in the
+    key is made from it; None if the key has no such column. ``overlapping`` may name, for the updates, the months of the table
+    that can hold such a time, from an index; only their folders are opened then. Rows that vanished upstream stay in the
     table; ``replace_months`` is the writer that removes them. Updates that repeat a key, or have no
     month, raise before anything is written.
     """
@@ -123,7 +126,8 @@ def merge_upsert(spark: SparkSession, updates: DataFrame, path: str, key: str =
         if target is None:
             replace_partition(layout(staged), path)
             return months
-        months = sorted(set(months) | set(months_of(replaced_rows(target, staged, key, same_time))))
+        probed = target.where(in_months(overlapping(staged))) if overlapping else target
+        months = sorted(set(months) | set(months_of(replaced_rows(probed, staged, key, same_time))))
         if months:
             kept = target.where(in_months(months)).join(staged.select(key), key, "left_anti")
             replace_months(layout(kept.unionByName(staged)), path, months)
@@ -133,14 +137,13 @@ def merge_upsert(spark: SparkSession, updates: DataFrame, path: str, key: str =
 
 
 def clustered(trips: DataFrame) -> DataFrame:
-    """Order fact rows by pickup day, so files cover few days each and scans skip the others.
+    """Order fact rows by pickup time, so that a file covers a short span and a predicate on time opens few files.
 
-    A rebalance gathers a day and cuts it where it outgrows one task. A range partitioning would
-    first compute the whole input once more to sample it.
+    Rows are cut into ranges, which adaptive execution merges with their neighbours only: a shuffle by the hash of the day would
+    put days far apart into one file, whose footer then excludes nothing. Trips of one moment are cut by key.
     """
-    return (trips.withColumn("_day", F.to_date("pickup_datetime"))
-            .hint("rebalance", *MONTH_KEYS, "_day").drop("_day")
-            .sortWithinPartitions(*MONTH_KEYS, "pickup_datetime"))
+    order = [*MONTH_KEYS, "pickup_datetime", *(["trip_sk"] if "trip_sk" in trips.columns else [])]
+    return trips.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def full_refresh(df: DataFrame, table: str) -> None:

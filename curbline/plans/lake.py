@@ -35,6 +35,8 @@ class Lake:
     fct_trips = property(lambda self: self.path("marts/fct_trips"))
     dim_zones = property(lambda self: self.path("marts/dim_zones"))
     dim_date = property(lambda self: self.path("marts/dim_date"))
+    states = property(lambda self: self.path("checks/states"))
+    journal = property(lambda self: self.path("checks/journal"))
     run_history = property(lambda self: self.path("checks/run_history"))
 
 

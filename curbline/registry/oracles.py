@@ -72,22 +72,23 @@ _cte("raw_trips", ["raw_once"], """
     FROM raw_once WHERE l_orderkey % 211 <> 0 AND l_orderkey % 223 = 0
   UNION ALL SELECT * REPLACE (9 AS payment_type, passenger_count - 1 AS passenger_count)
     FROM raw_once WHERE l_orderkey % 211 <> 0 AND l_orderkey % 223 <> 0 AND l_orderkey % 227 = 0""")
-_cte("bronze", ["raw_trips"], """
+def _lake(prefix: str, raw: str) -> None:
+    _cte(prefix + "bronze", [raw], f"""
   SELECT tpep_pickup_datetime AS pickup_datetime, tpep_dropoff_datetime AS dropoff_datetime,
     CAST(PULocationID AS INTEGER) AS pickup_zone_id, CAST(DOLocationID AS INTEGER) AS dropoff_zone_id,
     CAST(passenger_count AS INTEGER) AS passenger_count, CAST(trip_distance AS DOUBLE) AS trip_distance,
     fare_amount, tip_amount, total_amount, CAST(payment_type AS INTEGER) AS payment_type,
     CAST(NULL AS DOUBLE) AS airport_fee, year, month
-  FROM raw_trips""")
-_cte("tagged", ["bronze"], """
+  FROM {raw}""")
+    _cte(prefix + "tagged", [prefix + "bronze"], f"""
   SELECT *, CASE WHEN pickup_datetime IS NULL THEN 'null_pickup'
                  WHEN dropoff_datetime IS NULL THEN 'null_dropoff'
                  WHEN dropoff_datetime <= pickup_datetime THEN 'zero_or_negative_duration'
                  WHEN fare_amount < 0 THEN 'negative_fare'
                  WHEN trip_distance > 200 THEN 'absurd_distance' END AS _reject_reason
-  FROM bronze""")
-_cte("silver", ["tagged"], f"""
-  SELECT * EXCLUDE (_reject_reason) FROM tagged WHERE _reject_reason IS NULL
+  FROM {prefix}bronze""")
+    _cte(prefix + "silver", [prefix + "tagged"], f"""
+  SELECT * EXCLUDE (_reject_reason) FROM {prefix}tagged WHERE _reject_reason IS NULL
   QUALIFY row_number() OVER (PARTITION BY {_KEY}, year, month
     ORDER BY {_VALID_FIRST}, passenger_count NULLS LAST, trip_distance NULLS LAST, fare_amount NULLS LAST,
              tip_amount NULLS LAST, payment_type NULLS LAST) = 1""")
@@ -105,8 +106,15 @@ def _staged(name: str, source: str, where: str = "TRUE") -> None:
                    tip_amount NULLS LAST, payment_type NULLS LAST, year, month) = 1)""")
 
 
+_lake("", "raw_trips")
 _staged("fct", "silver")
 _staged("fct_march", "silver", _MARCH)
+# Two months whose fares are of a usual size and whose zones are all known, as the chain's gates want them.
+_cte("chain_raw", ["raw_trips"], """
+  SELECT * REPLACE (PULocationID % 25 AS PULocationID, floor(fare_amount / 10) / 100 AS fare_amount, floor(total_amount / 10) / 100 AS total_amount)
+  FROM raw_trips WHERE year = 1998 AND month IN (2, 3)""")
+_lake("chain_", "chain_raw")
+_staged("chain_fct", "chain_silver")
 _cte("zones", [], """
   SELECT n_nationkey AS zone_id, r_name AS borough, n_name AS zone_name,
     CASE WHEN n_nationkey % 5 = 0 THEN 'Yellow Zone' ELSE 'Boro Zone' END AS service_zone
@@ -220,6 +228,39 @@ def _age(column: str, as_of: str) -> str:
 _TRIPS_AS_OF, _EVENTS_AS_OF = "2002-01-01 00:00:00", "2024-01-31 00:00:00"
 
 
+def _model_checks(fct: str) -> list[str]:
+    """The checks that gate the models, over any fact table."""
+    return [
+        *(_null_check("fct_trips", fct, c) for c in ("trip_sk", "pickup_zone_id", "trip_duration_minutes")),
+        _check("accepted_values(fct_trips.payment_type)",
+               "count(*) FILTER (WHERE payment_type NOT IN (1, 2, 3, 4, 5, 6))", "o = 0", "= 0", fct),
+        _check("zero_duration_trips", "count(*) FILTER (WHERE pickup_datetime >= dropoff_datetime)",
+               "o = 0", "= 0", fct),
+        _null_check("dim_zones", "zones", "zone_id"), _null_check("dim_date", "dates", "date_day"),
+        *(_check(f"unique({t}.{c})", "count(*)", "o = 0", "= 0", _repeated(s, c))
+          for t, s, c in (("fct_trips", fct, "trip_sk"), ("dim_zones", "zones", "zone_id"),
+                      ("dim_date", "dates", "date_day"))),
+        _check("relationships(fct_trips.pickup_zone_id)", "count(*)", "o = 0", "= 0",
+               f"(SELECT * FROM {fct} WHERE pickup_zone_id NOT IN (SELECT zone_id FROM zones))")]
+
+
+def _fact_checks(fct: str) -> list[str]:
+    """The checks of the loaded fact table, freshness aside."""
+    return [
+        _check("row_count(fct_trips)", "count(*)", "o > 0", "> 0", fct),
+        _check("missing_count(fare_amount)", "count(*) - count(fare_amount)", "o = 0", "= 0", fct),
+        _check("min(fare_amount)", "min(fare_amount)", "o >= 0", ">= 0", fct),
+        _check("max(trip_duration_minutes)", "max(trip_duration_minutes)", "o < 300", "< 300", fct),
+        _check("invalid_percent(payment_type)",
+               "100.0 * count(*) FILTER (WHERE payment_type NOT IN (1, 2, 3, 4, 5, 6)) / count(*)",
+               "o < 0.1", "< 0.1%", fct),
+        _check("avg(fare_amount)", _avg("fare_amount"), "o BETWEEN 5 AND 60", "between 5 and 60", fct)]
+
+
+def _no_repeats(fct: str) -> str:
+    return _check("duplicate_count(trip_sk)", "count(*)", "o = 0", "= 0", _repeated(fct, "trip_sk"))
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "bronze_normalize": _with(["bronze"], "SELECT * FROM bronze"),
@@ -325,6 +366,7 @@ FROM (SELECT violation, CASE WHEN violation IS NULL THEN pickup_zone_id END AS p
             FROM (SELECT *, CAST(substr(trip_id, 2) AS BIGINT) % 40 AS n FROM trip_events)))
 GROUP BY ALL"""),
         "batch_recount": _with(["batch_recount"], "SELECT * FROM batch_recount"),
+        "reconcile_pruned": _with(["drifts_day"], "SELECT * FROM drifts_day"),
         "reconcile": _with(["drifts"], "SELECT * FROM drifts"),
         "reconcile_top": _with(["drifts"], """
 SELECT * FROM drifts ORDER BY rel_diff DESC, window_start, zone_id LIMIT 50"""),
@@ -377,18 +419,7 @@ FROM fct LEFT JOIN zones ON pickup_zone_id = zones.zone_id GROUP BY borough, zon
         "dq_zero_duration": _with(["bronze"], _check(
             "zero_duration_trips", "count(*)", "o = 0", "= 0",
             "(SELECT * FROM bronze WHERE pickup_datetime >= dropoff_datetime)")),
-        "build_checks": _with(["fct", "zones", "dates"], _all(
-            *(_null_check("fct_trips", "fct", c) for c in ("trip_sk", "pickup_zone_id", "trip_duration_minutes")),
-            _check("accepted_values(fct_trips.payment_type)",
-                   "count(*) FILTER (WHERE payment_type NOT IN (1, 2, 3, 4, 5, 6))", "o = 0", "= 0", "fct"),
-            _check("zero_duration_trips", "count(*) FILTER (WHERE pickup_datetime >= dropoff_datetime)",
-                   "o = 0", "= 0", "fct"),
-            _null_check("dim_zones", "zones", "zone_id"), _null_check("dim_date", "dates", "date_day"),
-            *(_check(f"unique({t}.{c})", "count(*)", "o = 0", "= 0", _repeated(s, c))
-              for t, s, c in (("fct_trips", "fct", "trip_sk"), ("dim_zones", "zones", "zone_id"),
-                              ("dim_date", "dates", "date_day"))),
-            _check("relationships(fct_trips.pickup_zone_id)", "count(*)", "o = 0", "= 0",
-                   "(SELECT * FROM fct WHERE pickup_zone_id NOT IN (SELECT zone_id FROM zones))"))),
+        "build_checks": _with(["fct", "zones", "dates"], _all(*_model_checks("fct"))),
         "dq_source_freshness": _with(["bronze"], _check(
             "freshness(_ingested_at)",
             _age("CAST(CAST(dropoff_datetime AS DATE) + 1 AS TIMESTAMP)", _TRIPS_AS_OF), "o <= 26",
@@ -397,15 +428,24 @@ FROM fct LEFT JOIN zones ON pickup_zone_id = zones.zone_id GROUP BY borough, zon
             _check("freshness(pickup_datetime)", _age("pickup_datetime", _TRIPS_AS_OF), "o < 26", "< 26h", "fct"),
             _check("freshness(window_end)", _age("window_end", _EVENTS_AS_OF), "o < 0.25", "< 0.25h", "demand"))),
         "dq_scan": _with(["fct", "demand"], _all(
-            _check("row_count(fct_trips)", "count(*)", "o > 0", "> 0", "fct"),
-            _check("missing_count(fare_amount)", "count(*) - count(fare_amount)", "o = 0", "= 0", "fct"),
-            _check("min(fare_amount)", "min(fare_amount)", "o >= 0", ">= 0", "fct"),
-            _check("max(trip_duration_minutes)", "max(trip_duration_minutes)", "o < 300", "< 300", "fct"),
-            _check("invalid_percent(payment_type)",
-                   "100.0 * count(*) FILTER (WHERE payment_type NOT IN (1, 2, 3, 4, 5, 6)) / count(*)",
-                   "o < 0.1", "< 0.1%", "fct"),
-            _check("avg(fare_amount)", _avg("fare_amount"), "o BETWEEN 5 AND 60", "between 5 and 60", "fct"),
-            _check("row_count(rt_zone_demand)", "count(*)", "o > 0", "> 0", "demand"))),
+            *_fact_checks("fct"), _check("row_count(rt_zone_demand)", "count(*)", "o > 0", "> 0", "demand"))),
+        "check_states": _with(["fct", "zones", "dates"], _all(*_model_checks("fct"), *_fact_checks("fct"), _no_repeats("fct"))),
+        "clustered_files": _with(["fct"], """
+SELECT CAST(pickup_datetime AS DATE) AS day, count(*) AS trips, TRUE AS no_more_files FROM fct GROUP BY 1"""),
+        "month_chain": _with(["chain_fct", "zones"], f"""
+SELECT "check" AS item, status, observed FROM ({_all(*_fact_checks("chain_fct"), _no_repeats("chain_fct"))})
+UNION ALL SELECT 'trips ' || year || '-' || month, NULL, CAST(count(*) AS DOUBLE) FROM chain_fct GROUP BY year, month
+UNION ALL SELECT 'revenue ' || year || '-' || month, NULL, {_sum("total_amount")} FROM chain_fct GROUP BY year, month"""),
+        "model_graph": _with(["fct", "zones", "dates"], """
+SELECT * FROM (VALUES
+  ('dim_zones', 'table', 'built', NULL, NULL), ('dim_date', 'table', 'built', NULL, NULL),
+  ('fct_trips', 'table', 'failed', 'relationships(fct_trips.pickup_zone_id)', NULL), ('stg_trips', 'view', 'built', NULL, NULL),
+  ('monthly_revenue', 'table', 'built', NULL, NULL), ('trips_by_borough', 'table', 'skipped', NULL, 'fct_trips'),
+  ('borough_share', 'view', 'skipped', NULL, 'fct_trips')) AS m(model, kind, status, failed_check, stopped_by)
+LEFT JOIN (
+  SELECT 'dim_zones' AS model, count(*) AS row_count FROM zones UNION ALL SELECT 'dim_date', count(*) FROM dates
+  UNION ALL SELECT 'stg_trips', count(*) FROM fct UNION ALL SELECT 'fct_trips', count(*) FROM fct
+  UNION ALL SELECT 'monthly_revenue', count(DISTINCT (year, month)) FROM fct) USING (model)"""),
         "dq_duplicates": _with(["sane"], _check(
             "duplicate_count(trip_id)", "count(*)", "o = 0", "= 0",
             f"(SELECT {_TRIP_MD5} FROM sane GROUP BY 1 HAVING count(*) > 1)")),

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .. import schemas, streaming
 from ..fixed import PAYMENT_TYPES
 from ..functions import exact_avg, exact_sum
-from ..operators import checks, measures, reconcile as recon, sinks
+from ..operators import check_states, checks, layout, measures, reconcile as recon, sinks
 from ..operators.anomalies import anomaly_feed, fare_anomalies
 from ..operators.demand import hop_average, live_demand, recount, zone_demand
 from ..operators.dimensions import dim_date, dim_zones, spine_between, trip_day_bounds
@@ -23,10 +24,12 @@ from ..operators.normalize import normalize_trips, out_of_month
 from ..operators.rules import reject_reason, run_metrics, split_valid, trip_rules
 from ..operators.staging import gate_rejects, stage_month, stage_trips, staging_loss, trip_gate
 from ..operators.dedup import first_per_key
+from ..plans import Lake, Model, backfill, run_graph
 from ..plans.lake import clean_trips
-from ..plans.marts import build_checks, not_null_checks, unique_checks
+from ..plans.marts import build_checks, fct_contract, not_null_checks, unique_checks
 from ..session import scratch_dir
 from ..sources import read_month
+from ..sources.catalog import register_view
 from ..sources.files import read_zone_lookup
 from ..sources.star_tables import contract_events, event_messages, raw_trips, raw_trips_with_fee, trip_events, zone_lookup
 
@@ -239,6 +242,99 @@ def dq_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return checks.duplicate_count(to_events(raw_trips(spark, sf)), "trip_id")
 
 
+def _fact_table(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """A fact table built from all months but one, and then that one, with the states of its months."""
+    path = scratch_dir(spark, "fact-table")
+    table, stored = f"{path}/fct", f"{path}/states"
+    gold = silver(spark, sf)
+    in_month = (F.col("year") == RUN_MONTH.year) & (F.col("month") == RUN_MONTH.month)
+    for updates in (stage_trips(gold.where(~in_month)), stage_month(gold, RUN_MONTH)):
+        check_states.update_states(spark, table, stored, sinks.merge_upsert(spark, updates, table, layout=sinks.clustered))
+    return table, stored
+
+
+def check_states_query(spark: SparkSession, sf: str) -> DataFrame:
+    """All checks of the fact table from the states of its months; the checks of the dimensions beside them."""
+    _, stored = _fact_table(spark, sf)
+    wanted = [*fct_contract(), *check_states.key_checks(), *[c for c in checks.fact_checks(TRIPS_AS_OF) if not c.name.startswith("freshness")]]
+    zone, day = zones(spark, sf), dates(spark, sf)
+    return checks.all_checks(
+        check_states.judged(spark, stored, wanted), check_states.known_zones(spark, stored, zone),
+        checks.run_checks(zone, [checks.not_null("zone_id", "dim_zones")]), checks.run_checks(day, [checks.not_null("date_day", "dim_date")]),
+        checks.unique(zone, "zone_id", "dim_zones"), checks.unique(day, "date_day", "dim_date"))
+
+
+def reconcile_pruned(spark: SparkSession, sf: str) -> DataFrame:
+    """The drift of the last day, opening only the folders of the fact table that hold trips of that day."""
+    table, stored = _fact_table(spark, sf)
+    recent = recon.recent_trips(spark, table, check_states.spans(spark, stored), DAY_AS_OF)
+    return recon.reconcile(recent, _speed(spark, sf), DAY_AS_OF)
+
+
+def clustered_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Trips of each day, and whether a predicate on that day opens no more files of the clustered table than of a plain one."""
+    trips, path = fct(spark, sf), scratch_dir(spark, "clustered_files")
+    # Plain is the order in which trips come in: none.
+    unordered = sinks.by_month(trips).sortWithinPartitions(*schemas.MONTH_KEYS, F.xxhash64("trip_sk"))
+    for name, laid_out in (("plain", unordered), ("clustered", sinks.clustered(trips))):
+        sinks.replace_partition(laid_out, f"{path}/{name}", file_rows=100)
+    days = _read_back(spark, f"{path}/plain").groupBy(F.to_date("pickup_datetime").alias("day")).agg(F.count("*").alias("trips"))
+    plain, near = (layout.files_met(layout.file_spans(_read_back(spark, f"{path}/{name}"), "pickup_datetime"), days) for name in ("plain", "clustered"))
+    both = plain.withColumnRenamed("files", "plain").join(near.select("day", "files"), "day")
+    return both.select("day", "trips", (F.col("files") <= F.col("plain")).alias("no_more_files"))
+
+
+def month_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """Two months through the whole chain. The second one fails its runtime gate at first and goes on from there."""
+    root = scratch_dir(spark, "month_chain")
+    months = [date(1998, 2, 1), date(1998, 3, 1)]
+    usual = {c: F.floor(F.col(c) / 10) / 100 for c in ("fare_amount", "total_amount")}
+    raw = raw_trips(spark, sf).withColumns({**usual, "PULocationID": F.col("PULocationID") % 25})
+    for m in months:
+        raw.where((F.col("year") == m.year) & (F.col("month") == m.month)).drop("year", "month").write.parquet(f"{root}/raw/{m:%Y-%m}")
+    zone_lookup(spark, sf).write.csv(f"{root}/zones", header=True, quoteAll=True)
+    lake = Lake(f"{root}/lake")
+
+    def run(as_of: Callable[[date], datetime]) -> None:
+        backfill(spark, lake, lambda m: f"{root}/raw/{m:%Y-%m}", months, f"{root}/zones", (date(1998, 1, 1), date(1999, 1, 1)), as_of)
+
+    after = {m: datetime(m.year, m.month + 1, 1) for m in months}
+    try:
+        run(lambda m: after[m] + timedelta(days=40 if m == months[1] else 0))
+        raise AssertionError("trips 40 days old passed as fresh")
+    except checks.CheckFailed:
+        run(after.__getitem__)
+    trips = _read_back(spark, lake.fct_trips)
+    named = F.concat_ws("-", "year", "month")
+    totals = trips.groupBy("year", "month").agg(F.count("*").cast("double").alias("trips"), exact_sum("total_amount").alias("revenue"))
+    totals = totals.select(F.inline(F.array(*[F.struct(F.concat(F.lit(f"{c} "), named).alias("item"), F.lit(None).cast("string").alias("status"), F.col(c).alias("observed"))
+                                              for c in ("trips", "revenue")])))
+    wanted = [c for c in checks.fact_checks(after[months[1]]) if not c.name.startswith("freshness")] + check_states.key_checks()[1:]
+    judged = check_states.judged(spark, lake.states, wanted).select(F.col("check").alias("item"), "status", "observed")
+    return totals.unionByName(judged)
+
+
+def model_graph(spark: SparkSession, sf: str) -> DataFrame:
+    """The marts as declared models. A zone that the dimension lacks fails the fact table: what reads it is left out, the rest is built."""
+    register_view(silver(spark, sf), "gold_trips", "lake")
+    register_view(zone_lookup(spark, sf), "zone_lookup", "lake")
+    models = [
+        Model("borough_share", lambda r: r["trips_by_borough"].withColumn("share", F.col("trips") / F.sum("trips").over(Window.partitionBy())), ("trips_by_borough",)),
+        Model("trips_by_borough", lambda r: measures.borough_drilldown(r["fct_trips"], r["dim_zones"]), ("fct_trips", "dim_zones"), "table"),
+        Model("fct_trips", lambda r: r["stg_trips"], ("stg_trips", "dim_zones"), "table",
+              lambda df, r: checks.all_checks(checks.run_checks(df, fct_contract()),
+                                              checks.relationships(df, "pickup_zone_id", r["dim_zones"], "zone_id", "fct_trips"))),
+        Model("stg_trips", lambda r: stage_trips(r["lake.gold_trips"]), ("lake.gold_trips",)),
+        Model("dim_zones", lambda r: dim_zones(r["lake.zone_lookup"]), ("lake.zone_lookup",), "table",
+              lambda df, r: checks.unique(df, "zone_id", "dim_zones")),
+        Model("dim_date", lambda r: dates(spark, sf), (), "table", lambda df, r: checks.unique(df, "date_day", "dim_date")),
+        Model("monthly_revenue", lambda r: r["stg_trips"].groupBy("year", "month").agg(exact_sum("total_amount").alias("revenue")), ("stg_trips",), "table"),
+    ]
+    report = run_graph(spark, models, scratch_dir(spark, "models"))
+    counts = [spark.table(r.model).agg(F.lit(r.model).alias("model"), F.count("*").alias("row_count")) for r in report.where("status <> 'skipped'").collect()]
+    return report.join(reduce(DataFrame.unionByName, counts), "model", "left")
+
+
 #: Slices of the event table that a stream reads one after the other, and the files of each.
 SLICES, SLICE_FILES = 4, 4
 
@@ -333,6 +429,9 @@ QUERIES: dict[str, Query] = {
     "fct_trips_merge": fct_trips_merge,
     "fct_trips_merge_moved": fct_trips_merge_moved,
     "clustered_write": clustered_write,
+    "clustered_files": clustered_files,
+    "model_graph": model_graph,
+    "month_chain": month_chain,
     "zone_csv": zone_csv,
     "dim_zones": zones,
     "dim_date": dates,
@@ -354,6 +453,7 @@ QUERIES: dict[str, Query] = {
     "batch_recount": lambda spark, sf: recount(fct(spark, sf)),
     "reconcile": reconcile,
     "reconcile_day": reconcile_day,
+    "reconcile_pruned": reconcile_pruned,
     "reconcile_gate": lambda spark, sf: recon.verdict(reconcile_day(spark, sf)),
     "reconcile_top": lambda spark, sf: recon.worst_drifts(reconcile(spark, sf)),
     # Dashboards
@@ -374,6 +474,7 @@ QUERIES: dict[str, Query] = {
         fct(spark, sf), "pickup_zone_id", zones(spark, sf), "zone_id", "fct_trips"),
     "dq_zero_duration": lambda spark, sf: checks.run_checks(bronze(spark, sf), [checks.zero_duration()]),
     "build_checks": lambda spark, sf: build_checks(fct(spark, sf), zones(spark, sf), dates(spark, sf)),
+    "check_states": check_states_query,
     "dq_source_freshness": lambda spark, sf: checks.run_checks(
         _bronze_stamped(spark, sf), [checks.source_freshness(TRIPS_AS_OF)]),
     "dq_freshness": dq_freshness,

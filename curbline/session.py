@@ -90,6 +90,20 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(place)
 
 
+def list_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Name, size and time of the files at ``path``, a file or a folder."""
+    fs, place = _file_system(spark, path)
+    if not fs.exists(place):
+        return []
+    found = [fs.getFileStatus(place)] if fs.getFileStatus(place).isFile() else [s for s in fs.listStatus(place) if s.isFile()]
+    return sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in found)
+
+
+def remove_tree(spark: SparkSession, path: str) -> None:
+    fs, place = _file_system(spark, path)
+    fs.delete(place, True)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a working folder made by ``scratch_dir``, with all it holds."""
     if "/curbline/" not in path and not (_local_root and path.startswith(_local_root)):

@@ -1,0 +1,183 @@
+"""States of months, spans, layout of files, declared models and the journal."""
+
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import ts
+from curbline import schemas
+from curbline.operators import check_states, checks, layout, reconcile, sinks
+from curbline.operators.staging import stage_trips
+from curbline.plans import GraphError, Model, run_graph
+from curbline.plans.graph import ordered
+from curbline.plans.journal import Journal
+from curbline.plans.marts import fct_contract
+from curbline.sources.catalog import register_view
+
+AS_OF = datetime(2024, 7, 1)
+
+
+def staged(make_trips, *rows):
+    """Fact rows; each row of ``rows`` is (year, month of the file, pickup, total)."""
+    full = [dict(year=y, month=m, pickup_datetime=p, dropoff_datetime=str(ts(p).replace(minute=50)), total_amount=float(t)) for y, m, p, t in rows]
+    return stage_trips(make_trips(*full))
+
+
+def month_of_trips(make_trips, month, n=20):
+    return staged(make_trips, *[(2024, month, f"2024-{month:02d}-{1 + i % 27:02d} 10:00:00", 10 + i) for i in range(n)])
+
+
+def as_rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_states_judge_as_the_whole_table_does(spark, make_trips, tmp_path):
+    table, states = str(tmp_path / "fct"), str(tmp_path / "states")
+    zones = spark.createDataFrame([(1,), (2,)], "zone_id int")
+    wanted = [*fct_contract(), check_states.key_checks()[0], *checks.fact_checks(AS_OF)]
+    for month in (1, 2, 3, 2):
+        check_states.update_states(spark, table, states, sinks.merge_upsert(spark, month_of_trips(make_trips, month, 10 + month), table))
+        fct = spark.read.schema(schemas.FCT_TRIPS).parquet(table)
+        plain = checks.all_checks(checks.run_checks(fct, [*fct_contract(), *checks.fact_checks(AS_OF)]), checks.unique(fct, "trip_sk", "fct_trips"))
+        assert as_rows(check_states.judged(spark, states, wanted, AS_OF)) == as_rows(plain)
+        assert as_rows(check_states.known_zones(spark, states, zones)) == as_rows(
+            checks.relationships(fct, "pickup_zone_id", zones, "zone_id", "fct_trips"))
+
+
+def repeats(spark, states):
+    return check_states.judged(spark, states, [check_states.key_checks()[0]]).first()["observed"]
+
+
+def test_keys_that_repeat_are_found_inside_and_across_months(spark, make_trips, tmp_path):
+    table, states = str(tmp_path / "fct"), str(tmp_path / "states")
+
+    def put(df, months):
+        sinks.replace_months(df, table, months)
+        check_states.update_states(spark, table, states, months)
+
+    # One trip lies in the files of both months, one twice in the first.
+    january = staged(make_trips, (2024, 1, "2024-01-31 10:00:00", 1), (2024, 1, "2024-01-05 10:00:00", 2), (2024, 1, "2024-01-06 10:00:00", 3))
+    twice = january.unionByName(january.where("total_amount = 3"))
+    february = staged(make_trips, (2024, 2, "2024-01-31 10:00:00", 1), (2024, 2, "2024-02-05 10:00:00", 2))
+    put(twice, [(2024, 1)])
+    assert repeats(spark, states) == 1
+    put(february, [(2024, 2)])
+    assert repeats(spark, states) == 2
+    put(january, [(2024, 1)])
+    assert repeats(spark, states) == 1
+    put(february.where("total_amount = 2"), [(2024, 2)])
+    assert repeats(spark, states) == 0
+    # Both months written at once.
+    put(twice.unionByName(february), [(2024, 1), (2024, 2)])
+    assert repeats(spark, states) == 2
+    put(january.limit(0), [(2024, 1)])
+    assert repeats(spark, states) == 0
+
+
+def test_a_month_reads_its_own_files_however_many_there_are(spark, make_trips, tmp_path, monkeypatch):
+    table, states, read = str(tmp_path / "fct"), str(tmp_path / "states"), []
+    real = check_states.read_month
+    monkeypatch.setattr(check_states, "read_month", lambda spark, path, y, m, schema: read.append((y, m)) or real(spark, path, y, m, schema))
+    for month in range(1, 7):
+        months = sinks.merge_upsert(spark, month_of_trips(make_trips, month), table)
+        read.clear()
+        check_states.update_states(spark, table, states, months)
+        assert read == [(2024, month)]
+        files = check_states.month_rows(spark, table, months).inputFiles()
+        assert files and all(f"month={month}/" in f for f in files)
+
+
+def test_spans_open_the_folders_that_hold_the_last_day(spark, make_trips, tmp_path):
+    """A trip of the last day lies in the file of an early month; the folders between are not opened."""
+    table, states = str(tmp_path / "fct"), str(tmp_path / "states")
+    rows = [(2024, m, f"2024-{m:02d}-10 10:00:00", m) for m in range(1, 7)] + [(2024, 2, "2024-06-10 10:10:00", 50)]
+    fct = staged(make_trips, *rows)
+    sinks.replace_partition(fct, table)
+    check_states.update_states(spark, table, states, [(2024, m) for m in range(1, 7)])
+    as_of = datetime(2024, 6, 11)
+    recent = reconcile.recent_trips(spark, table, check_states.spans(spark, states), as_of)
+    assert {f.split("month=")[1][0] for f in recent.inputFiles()} == {"2", "6"}
+    assert as_rows(recent) == as_rows(reconcile.since(spark.read.schema(schemas.FCT_TRIPS).parquet(table), "dropoff_datetime", as_of, reconcile.DRIFT_LOOKBACK))
+    assert reconcile.recent_trips(spark, table, check_states.spans(spark, states), datetime(2025, 1, 1)).isEmpty()
+
+
+def test_a_merge_probes_only_months_that_can_hold_the_trips(spark, make_trips, tmp_path):
+    table = str(tmp_path / "fct")
+    sinks.merge_upsert(spark, staged(make_trips, (2024, 1, "2024-01-10 10:00:00", 1), (2024, 2, "2024-02-10 10:00:00", 2)), table)
+    moved = staged(make_trips, (2024, 3, "2024-01-10 10:00:00", 1))
+    assert sinks.merge_upsert(spark, moved, table, overlapping=lambda staged: [(2024, 1)]) == [(2024, 1), (2024, 3)]
+    assert spark.read.parquet(table).groupBy("month").count().orderBy("month").collect() == [(2, 1), (3, 1)]
+
+
+def test_clustered_files_are_met_by_few_days(spark, make_trips, tmp_path):
+    rows = [(2024, 1, f"2024-01-{1 + i % 28:02d} {i % 20:02d}:00:00", i) for i in range(560)]
+    trips = staged(make_trips, *rows).repartition(4)
+    met = {}
+    for name, df in (("plain", trips.coalesce(1).sortWithinPartitions(F.xxhash64("trip_sk"))), ("clustered", sinks.clustered(trips))):
+        sinks.replace_partition(df, str(tmp_path / name), file_rows=40)
+        table = spark.read.parquet(str(tmp_path / name))
+        days = table.select(F.to_date("pickup_datetime").alias("day")).distinct()
+        spans = layout.file_spans(table, "pickup_datetime")
+        assert spans.agg(F.sum("row_count")).first()[0] == 560
+        met[name] = {r.day: r.files for r in layout.files_met(spans, days).collect()}
+    assert len(met["plain"]) == len(met["clustered"]) == 28
+    assert sum(met["clustered"].values()) * 4 < sum(met["plain"].values())
+
+
+def test_models_are_ordered_and_contradictions_refused():
+    def m(name, *reads):
+        return Model(name, lambda r: None, reads)
+
+    assert [x.name for x in ordered([m("c", "a", "b"), m("b", "a", "raw.t"), m("a"), m("d")])] == ["a", "d", "b", "c"]
+    with pytest.raises(GraphError, match="read each other"):
+        ordered([m("a", "c"), m("b", "a"), m("c", "b")])
+    with pytest.raises(GraphError, match="declared twice"):
+        ordered([m("a"), m("a")])
+    with pytest.raises(GraphError, match="nothing declares"):
+        ordered([m("a", "b")])
+
+
+def test_a_failing_check_stops_only_what_depends_on_it(spark, tmp_path):
+    register_view(spark.range(5), "numbers", "raw")
+
+    def more(name):
+        return lambda r: r[name].withColumn("id", F.col("id") + 1)
+
+    bad = lambda df, r: checks.assert_empty(df, "no_rows")
+    models = [Model("last", more("middle"), ("middle", "other")), Model("middle", more("first"), ("first",)),
+              Model("first", lambda r: r["raw.numbers"], ("raw.numbers",), "table", bad),
+              Model("other", lambda r: r["raw.numbers"], ("raw.numbers",), "table", lambda df, r: checks.run_checks(df, [checks.row_count("other")]))]
+    report = {r.model: tuple(r)[1:] for r in run_graph(spark, models, str(tmp_path)).collect()}
+    assert report == {"first": ("table", "failed", "no_rows", None), "middle": ("view", "skipped", None, "first"),
+                      "last": ("view", "skipped", None, "first"), "other": ("table", "built", None, None)}
+    assert spark.read.parquet(str(tmp_path / "other")).count() == 5 and spark.table("first").count() == 5
+    # A model gets what it says it reads, and nothing else.
+    with pytest.raises(KeyError):
+        run_graph(spark, [Model("a", lambda r: r["raw.numbers"])], str(tmp_path / "again"))
+
+
+def test_a_journal_goes_on_where_a_run_stopped(spark, tmp_path):
+    done = []
+
+    def steps(source, broken):
+        journal = Journal(spark, str(tmp_path), date(2024, 1, 1), source)
+        done.clear()
+        journal.step("a", lambda: done.append("a") or {"n": 1.5})
+        if broken:
+            journal.step("b", lambda: 1 / 0)
+        journal.step("b", lambda: done.append("b"))
+        return journal.step("c", lambda: done.append("c") or [1, 2])
+
+    with pytest.raises(ZeroDivisionError):
+        steps("x", True)
+    assert done == ["a"]
+    assert steps("x", False) == [1, 2] and done == ["b", "c"]
+    assert steps("x", False) == [1, 2] and done == []
+    assert steps("another file", False) == [1, 2] and done == ["a", "b", "c"]
+    # Steps after one that ran again are stale, though their entries are of the same file.
+    steps("x", False)
+    assert done == ["a", "b", "c"]
+    journal = Journal(spark, str(tmp_path), date(2024, 1, 1), "x")
+    journal.forget()
+    assert Journal(spark, str(tmp_path), date(2024, 1, 1), "x").found == {}
