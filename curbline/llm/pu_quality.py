@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .runtime import byte_slices, drawn, drawn_rows, held_out, kept_rows, ship, stored
+from .runtime import byte_slices, drawn, drawn_rows, held_out, kept_rows, ship, stored, tidy
 
 #: Rows at most that a fit reads: trusted positives, and unlabelled texts.
 POSITIVE_ROWS = 10_000
@@ -69,7 +69,7 @@ def measured(docs: DataFrame) -> DataFrame:
                 x = [statistics(t).tolist() for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "x"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, x array<double>")
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(tidy(run), "doc_id bigint, x array<double>")
 
 
 class Network:
@@ -185,7 +185,7 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
             z = net.forward(x)[0] if net else np.zeros(len(x))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sigmoid(z))], names=["doc_id", "score"])
 
-    return stats.mapInArrow(run, "doc_id bigint, score double").select(
+    return stats.mapInArrow(tidy(run), "doc_id bigint, score double").select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
 

@@ -87,6 +87,38 @@ def whole_row(df: DataFrame) -> Column:
     return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
 
 
+#: What operators keep in a worker between its tasks, by operator; a worker serves one stage after the other.
+kept_in_worker: dict[str, dict] = {}
+
+
+def _give_back() -> None:
+    """Free memory goes back to the machine; allocators would keep it for a next time."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not this allocator
+        pass
+
+
+def tidy(run):
+    """``run`` (batches to batches) that starts without what other operators left in the worker, and leaves nothing itself."""
+    def tidied(batches):
+        for kept in kept_in_worker.values():
+            kept.clear()
+        _give_back()
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return tidied
+
+
 def byte_slices(batch, column: int, most: int = 4 << 20):
     """``batch`` in slices of about ``most`` bytes of the string or binary ``column``, one row at least.
 
@@ -113,4 +145,4 @@ def kept_rows(docs: DataFrame, keep) -> DataFrame:
             for part in byte_slices(batch, at):
                 yield part.filter(pa.array(keep(part.column(at).to_pylist()), pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

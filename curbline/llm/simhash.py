@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .components import components
-from .runtime import byte_slices, ship, stored, whole_row
+from .runtime import byte_slices, ship, stored, tidy, whole_row
 
 BITS, SEGMENTS, WIDTH = 64, 4, 16
 DISTANCE = 3
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, tie: Column | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(fps.view(np.int64))], names=["doc_id", "tie", "fp"])
 
     tie = F.lit(0).cast("bigint") if tie is None else tie
-    return docs.select(F.col("doc_id").cast("bigint"), "text", tie.alias("tie")).mapInArrow(run, "doc_id bigint, tie bigint, fp bigint")
+    return docs.select(F.col("doc_id").cast("bigint"), "text", tie.alias("tie")).mapInArrow(tidy(run), "doc_id bigint, tie bigint, fp bigint")
 
 
 def _segment(fp: Column, i: int) -> Column:

@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .runtime import byte_slices, ship, stored
+from .runtime import byte_slices, kept_in_worker, ship, stored
 from .tokens import Encoder, byte_letters, default_path
 
 #: Rows of a slice of the pair counts, which tasks hold while they look up (17 bytes each).
@@ -174,7 +174,7 @@ class Aligner:
         return np.array([n_a, n_links - n_a + n_groups, n_groups, n_links]), state.hexdigest(), codes[0], numbers[0].astype("<u4")
 
 
-_aligners: dict[tuple[str, str], Aligner] = {}
+_aligners: dict[tuple[str, str], Aligner] = kept_in_worker.setdefault("aligners", {})
 
 
 def aligner(a_path: str, b_path: str) -> Aligner:

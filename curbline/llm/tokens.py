@@ -11,6 +11,8 @@ import sys
 import unicodedata
 from array import array
 
+from .runtime import kept_in_worker
+
 _ODD = re.compile("[\x1c-\x1f]")
 _GAPS = re.compile(r"\s\s")
 _PIECES = re.compile(r"\s*\S+|\s+")
@@ -120,7 +122,7 @@ class Encoder:
         return out
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[str, Encoder] = kept_in_worker.setdefault("encoders", {})
 
 
 def encoder(path: str) -> Encoder:

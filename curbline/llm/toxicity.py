@@ -19,13 +19,13 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .runtime import byte_slices, drawn, drawn_rows, held_out, kept_rows, ship, stored
+from .runtime import byte_slices, drawn, drawn_rows, held_out, kept_rows, ship, stored, tidy
 
 SIZES = (4, 5, 6, 8)
 #: Code points of a long text that are hashed at a time.
 WINDOW = 1 << 18
 #: Features of some texts that are folded at a time.
-_FOLDED = 2_000_000
+_FOLDED = 600_000
 #: Training rows at most; the sample is the same on each run.
 TRAIN_ROWS = 8_000
 FEATURES = 10_000
@@ -111,7 +111,7 @@ def class_counts(rows: DataFrame) -> DataFrame:
         if own:
             yield folded(own, labels)
 
-    return rows.mapInArrow(count, "feature bigint, ones bigint, zeros bigint").groupBy("feature").agg(
+    return rows.mapInArrow(tidy(count), "feature bigint, ones bigint, zeros bigint").groupBy("feature").agg(
         F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
 
 
@@ -181,7 +181,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, keep: int =
                 yield pa.RecordBatch.from_arrays([pa.array([look(t).tolist() for t in part.column(0).to_pylist()], pa.list_(pa.int64())),
                                                   part.column(1)], names=["at", "y"])
 
-    data = train.mapInArrow(rows_of, "at array<bigint>, y int").toPandas()
+    data = train.mapInArrow(tidy(rows_of), "at array<bigint>, y int").toPandas()
     lengths = np.array([len(a) for a in data["at"]], dtype=np.int64)
     at = np.concatenate([np.asarray(a, np.int64) for a in data["at"]]) if lengths.sum() else np.empty(0, np.int64)
     w, b = logistic(np.concatenate([[0], np.cumsum(lengths)]), at, ratios, data["y"].to_numpy(np.float64))
@@ -203,7 +203,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -35, 35))))],
                                                  names=["doc_id", "score"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, score double")
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(tidy(run), "doc_id bigint, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
