@@ -51,23 +51,22 @@ class _Memory(dict):
         if value is None:
             value = self.compute(key)
         if len(key) <= _LONG:
-            cost = len(key) + len(value) + 160
-            if self.used + cost > self.room:
+            self[key] = value
+            self.used += len(key) + len(value) + 160
+            if self.used > self.room:
                 self.before, self.used = dict(self), 0
                 self.clear()
-            self[key] = value
-            self.used += cost
         return value
 
 
 class Encoder:
     """``Encoder(path)(texts)``: one bytes object of little-endian 32-bit ids per text.
 
-    ``room`` bounds the bytes that are remembered (six times as much in all), not the result. Null is an empty text. Without ``special`` the strings of special tokens
+    ``room`` bounds the bytes that are remembered (four times as much in all), not the result. Null is an empty text. Without ``special`` the strings of special tokens
     are plain text.
     """
 
-    def __init__(self, path: str, room: int = 32 << 20, special: bool = True):
+    def __init__(self, path: str, room: int = 80 << 20, special: bool = True):
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = not special
@@ -76,7 +75,7 @@ class Encoder:
         self.spaced = self.whole.encode("a b", add_special_tokens=False).tokens[1][0] == "Ġ"
         self.cut = self._spaced if self.spaced else self._words
         self.letters = {chr(b): c for b, c in byte_letters().items()}
-        self.pieces, self.runs = _Memory(self.piece, room), _Memory(self._run, 2 * room)
+        self.pieces, self.runs = _Memory(self.piece, room), _Memory(self._run, room)
 
     def _words(self, text: str) -> list[str] | None:
         """White space yields no id: the pieces are the words."""
