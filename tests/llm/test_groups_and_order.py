@@ -195,6 +195,47 @@ def test_fingerprint_follows_the_definition(spark):
     assert 0.5 < near < 1.0  # the same words, in another order
 
 
+def plain_hash(*values):
+    """The engine's xxhash64 over columns: each value with the hash so far as the seed. Ints have four bytes, in a tuple eight."""
+    h = 42
+    for v in values:
+        raw = v.encode() if isinstance(v, str) else v[0].to_bytes(8, "little", signed=True) if isinstance(v, tuple) else v.to_bytes(4, "little")
+        h = xxhash.xxh64_intdigest(raw, h)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def plain_order_minhash(text):
+    """Order MinHash over runs of code points, as the docstring tells it."""
+    k, picked = order_minhash.POINTS, order_minhash.PICKED
+    if not re.search(r"[^\x20\x09-\x0D]", text or ""):
+        return ""
+    grams = [plain_hash(*text[i:i + k]) for i in range(max(len(text) - k + 1, 1))]
+    seen, numbered = Counter(), []
+    for at, h in enumerate(grams):
+        numbered.append((plain_hash((h,), seen[h]), at))
+        seen[h] += 1
+    slots = defaultdict(list)
+    for h, at in numbered:
+        slots[h % order_minhash.SLOTS].append((h, at))
+    out = []
+    for i in range(order_minhash.SLOTS):
+        least = sorted(slots[i])[:picked]
+        if len(least) < picked:  # the slot selects from the whole set, hashed for it
+            least = sorted((plain_hash((h,), i), at) for h, at in numbered)[:picked]
+        tuple_hash = plain_hash(*[(h,) for h, _ in sorted(least, key=lambda x: x[1])])
+        out.append(f"{tuple_hash & (1 << 64) - 1:X}"[-order_minhash.DIGITS:])
+    return "".join(out)
+
+
+def test_order_minhash_equals_a_plain_version(spark):
+    rng = np.random.default_rng(11)
+    texts = ["a", "abcd", "abcde", "the cat sat on the mat, the cat sat", " \t ", "", None, "ab " * 90, "日本語のテキストはここにあります。" * 3]
+    texts += ["".join(chr(c) for c in rng.integers(97, 103, n)) for n in (30, 200, 900)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in rows.select(order_minhash.fingerprint(F.col("t"), points=True)).collect()]
+    assert got == [plain_order_minhash(t) for t in texts]
+
+
 def test_texts_without_white_space_are_alike_after_an_edit(spark):
     """Long and short texts of any script, and a change in every second word."""
     rng = np.random.default_rng(6)
