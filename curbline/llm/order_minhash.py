@@ -9,13 +9,19 @@ that tuple. Two texts agree in a slot if they share its least k-mers in the same
 moving text all lower the likeness. Everything is built-in array functions inside one row; long texts take
 time in proportion to length (and its logarithm) and never meet other rows.
 
+A k-mer is 33 bits of hash with its place in the lower 31, one long: equal k-mers stand together after a plain sort,
+and an index inside such a run is the occurrence. Of the numbered k-mers only those whose hash lies below a bound
+that leaves some ``LEFT`` to a slot are kept and sorted again. Where that leaves a slot short, all are kept: the
+bound changes the time and never the result.
+
 Likeness: with m of the slots that either text fills in agreement, j = m ** (1 / PICKED) estimates the share of k-mers
 in common among all, and 2 j / (1 + j) the share of a text that the other has.
 
 Defined results: null is the empty text; texts without words have the empty fingerprint, and are 1 alike; a
 text of fewer than ``POINTS`` code points is one k-mer; in the form over words slots stay sparse, and those without a
-k-mer are told by a mark of their own; equal texts have equal fingerprints. Repeated rows are fingerprinted each. The next row of the last one
-is the first; of one row, it itself. Null ids come first, and equal ids follow each other by text hash.
+k-mer are told by a mark of their own; equal texts have equal fingerprints. Repeated rows are one computation with a
+row each. The next row of the last one is the first; of one row, it itself. Null ids come first, and equal ids follow
+each other by text hash.
 """
 
 from __future__ import annotations
@@ -32,6 +38,11 @@ PICKED = 2
 SLOTS = 48
 #: Hex digits of a slot.
 DIGITS = 4
+#: Numbered k-mers that the bound leaves to a slot, about.
+LEFT = 12
+#: A packed k-mer has its place in the text below, its hash above.
+_PLACE_BITS = 31
+_PLACE = (1 << _PLACE_BITS) - 1
 
 
 def _bound(value: Column, use) -> Column:
@@ -39,59 +50,157 @@ def _bound(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def _worded(text: Column) -> Column:
+    return text.rlike(r"[^\x20\x09-\x0D]")
+
+
+def _runs_of_points(text: Column) -> Column:
+    """Every run of POINTS code points: none in a shorter text."""
+    return F.regexp_extract_all(text, F.lit("(?s)(?=(.{%d}))." % POINTS), F.lit(1))
+
+
+def kmers(text: Column) -> Column:
+    """The k-mers of ``text`` over code points, as strings: at least one."""
+    return F.when(F.length(text) >= POINTS, _runs_of_points(text)).otherwise(F.array(text))
+
+
+def word_kmers(text: Column) -> Column:
+    """Runs of K words; all words if fewer."""
+    def runs(w: Column) -> Column:
+        count = F.greatest(F.size(w) - (K - 1), F.lit(1))
+        return F.transform(F.slice(w, F.lit(1), count), lambda _, i: F.array_join(F.slice(w, i + 1, K), " "))
+
+    return _bound(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != ""),
+                  lambda w: F.when(F.size(w) == 0, F.array(text)).otherwise(runs(w)))
+
+
+def packed(grams: Column, ahead: Column | None = None) -> Column:
+    """A long for every k-mer: bits of its hash, then its place, ``ahead`` more than its index."""
+    place = (lambda i: i) if ahead is None else (lambda i: i + ahead)
+    return F.transform(grams, lambda x, i: F.xxhash64(x).bitwiseAND(F.lit(~_PLACE)).bitwiseOR(place(i).cast("bigint")))
+
+
+def _kept(s: Column, share: Column, own: Column, stays: Column) -> Column:
+    """(slot, hash, place) of the numbered k-mers in the least ``share`` of hashes, from sorted packed ones.
+
+    ``s`` may hold two texts that begin alike: places below ``own`` are of the first, those below ``stays`` and from
+    ``own`` on of the second. So the second numbers its k-mers from ``own`` on without those of the first in between.
+    Most k-mers occur once and are tested in one pass; the others are cut into their runs.
+    """
+    below = F.when(share >= 1, F.lit((1 << 63) - 1)).otherwise((share * float(1 << 63) * 2 - float(1 << 63)).cast("bigint"))
+
+    def place(x: Column) -> Column:
+        return x.bitwiseAND(F.lit(_PLACE)).cast("int")
+
+    def same(x: Column, other: Column) -> Column:
+        return F.shiftright(x.bitwiseXOR(other), _PLACE_BITS).eqNullSafe(F.lit(0).cast("bigint"))
+
+    def hashed(x: Column, nth: Column) -> Column:
+        return F.xxhash64(F.shiftright(x, _PLACE_BITS), nth)
+
+    def in_runs(some: Column, ends: Column, limit: Column) -> Column:
+        def run(first: Column, r: Column) -> Column:
+            last = F.get(ends, r + 1) - 1
+
+            def chosen(nth) -> Column:
+                kept = F.filter(F.sequence(first, last), lambda i: hashed(F.get(some, i), nth(i)) <= limit)
+                return F.transform(kept, lambda i: F.struct(
+                    F.pmod(hashed(F.get(some, i), nth(i)), F.lit(SLOTS)).cast("int").alias("s"),
+                    hashed(F.get(some, i), nth(i)).alias("h"), place(F.get(some, i)).alias("p")))
+
+            def of_two(between: Column) -> Column:
+                return chosen(lambda i: i - first - F.when(place(F.get(some, i)) >= own, between).otherwise(F.lit(0)))
+
+            between = F.size(F.filter(F.sequence(first, last), lambda i: (place(F.get(some, i)) >= stays) & (place(F.get(some, i)) < own)))
+            return F.when(place(F.get(some, last)) < own, chosen(lambda i: i - first)).otherwise(_bound(between, of_two))
+
+        return F.flatten(F.transform(F.slice(ends, F.lit(1), F.size(ends) - 1), run))
+
+    def tested(limit: Column) -> Column:
+        some = F.filter(s, lambda x, i: (hashed(x, F.lit(0)) <= limit) | same(x, F.get(s, i - 1)) | same(x, F.get(s, i + 1)))
+        # Where runs start, and the end.
+        ends = lambda k: F.filter(F.sequence(F.lit(0), F.size(k)), lambda i: ~same(F.get(k, i), F.get(k, i - 1)))
+        none = F.array().cast("array<struct<s:int,h:bigint,p:int>>")
+        return _bound(some, lambda k: F.when(F.size(k) == 0, none).otherwise(_bound(ends(k), lambda a: in_runs(k, a, limit))))
+
+    return _bound(below, tested)
+
+
+def _share(kmers_of_text: Column) -> Column:
+    return F.lit(float(LEFT * SLOTS)) / kmers_of_text
+
+
+def tuples(n: Column, missing=None) -> Column:
+    """The fingerprint: for each slot the hash of its least k-mers in ``n``, which is in order, by place.
+
+    ``missing`` makes the digits of a slot with fewer than PICKED of them; without, they are of the fewer.
+    """
+    starts = F.filter(F.transform(n, lambda x, i: F.when((i == 0) | (x["s"] != F.get(n, i - 1)["s"]), i)),
+                      lambda i: i.isNotNull())
+
+    def of(first: Column, r: Column, s: Column) -> Column:
+        length = F.least(F.coalesce(F.get(s, r + 1), F.size(n)) - first, F.lit(PICKED))
+        picked = F.transform(F.slice(n, first + 1, length), lambda x: F.struct(x["p"], x["h"]))
+        return F.struct(F.get(n, first)["s"].alias("s"), F.when(F.lit(missing is None) | (length == PICKED), _digits(picked)).alias("d"))
+
+    def written(m: Column) -> Column:
+        other = missing or (lambda i: F.lit("-" * DIGITS))
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda i: F.coalesce(m[i], other(i))), "")
+
+    own = _bound(starts, lambda s: F.transform(s, lambda first, r: of(first, r, s)))
+    return _bound(F.map_from_entries(own), written)
+
+
+def _digits(picked: Column) -> Column:
+    """The digits of a slot, from its (place, hash)."""
+    return F.right(F.hex(F.xxhash64(F.transform(F.sort_array(picked), lambda x: x["h"]))), F.lit(DIGITS))
+
+
+def _anew(n: Column):
+    """For a slot, the tuple from all k-mers of the text, ``n``, hashed for this slot."""
+    def digits(i: Column) -> Column:
+        every = F.sort_array(F.transform(n, lambda x: F.struct(F.xxhash64(x["h"], i).alias("h"), x["p"].alias("p"))))
+        return _digits(F.transform(F.slice(every, 1, PICKED), lambda x: F.struct(x["p"], x["h"])))
+
+    return digits
+
+
 def fingerprint(text: Column, points: bool = False) -> Column:
     """SLOTS hash tuples of DIGITS hex digits each, as one string: over words, or with ``points`` over code points."""
-    known, k = F.coalesce(text, F.lit("")), POINTS if points else K
-    if points:
-        pieces = F.when(known.rlike(r"[^\x20\x09-\x0D]"), F.split(known, "")).otherwise(F.array().cast("array<string>"))
-    else:
-        pieces = F.filter(F.split(known, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-
-    def grams(w: Column) -> Column:
-        """(hash, position) of every k-mer, in the order of the hashes."""
-        count = F.greatest(F.size(w) - (k - 1), F.least(F.size(w), F.lit(1)))
-        return F.sort_array(F.transform(
-            F.slice(w, F.lit(1), count),
-            lambda first, i: F.struct(F.xxhash64(first, *[F.get(w, i + j) for j in range(1, k)]).alias("h"), i.alias("p"))))
-
-    def numbered(g: Column) -> Column:
-        """(slot, hash, position), in that order, with the occurrence in the hash."""
-        starts = F.filter(F.transform(g, lambda x, i: F.when((i == 0) | (x["h"] != F.get(g, i - 1)["h"]), i)),
-                          lambda i: i.isNotNull())
-        runs = _bound(starts, lambda s: F.transform(s, lambda first, r: F.slice(
-            g, first + 1, F.coalesce(F.get(s, r + 1), F.size(g)) - first)))
-        hashed = F.flatten(F.transform(runs, lambda run: F.transform(run, lambda x, nth: F.struct(
-            F.xxhash64(x["h"], nth).alias("h"), x["p"].alias("p")))))
-        return F.sort_array(F.transform(hashed, lambda x: F.struct(
-            F.pmod(x["h"], F.lit(SLOTS)).cast("int").alias("s"), x["h"].alias("h"), x["p"].alias("p"))))
-
-    def tuples(n: Column) -> Column:
-        """The fingerprint: for each slot the hash of its least k-mers in ``n``, by position."""
-        starts = F.filter(F.transform(n, lambda x, i: F.when((i == 0) | (x["s"] != F.get(n, i - 1)["s"]), i)),
-                          lambda i: i.isNotNull())
-
-        def digits(picked: Column) -> Column:
-            return F.right(F.hex(F.xxhash64(F.transform(F.sort_array(picked), lambda x: x["h"]))), F.lit(DIGITS))
-
-        def of(first: Column, r: Column, s: Column) -> Column:
-            length = F.least(F.coalesce(F.get(s, r + 1), F.size(n)) - first, F.lit(PICKED))
-            picked = F.transform(F.slice(n, first + 1, length), lambda x: F.struct(x["p"], x["h"]))
-            return F.struct(F.get(n, first)["s"].alias("s"), F.when(~F.lit(points) | (length == PICKED), digits(picked)).alias("d"))
-
-        def anew(i: Column) -> Column:
-            """The tuple of slot ``i`` from all k-mers of the text, hashed for this slot."""
-            every = F.sort_array(F.transform(n, lambda x: F.struct(F.xxhash64(x["h"], i).alias("h"), x["p"].alias("p"))))
-            return digits(F.transform(F.slice(every, 1, PICKED), lambda x: F.struct(x["p"], x["h"])))
-
-        def written(m: Column) -> Column:
-            missing = anew if points else (lambda i: F.lit("-" * DIGITS))
-            return F.when(F.size(m) == 0, F.lit("")).otherwise(F.array_join(
-                F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda i: F.coalesce(m[i], missing(i))), ""))
-
-        own = _bound(starts, lambda s: F.transform(s, lambda first, r: of(first, r, s)))
-        return _bound(F.map_from_entries(own), written)
-
-    return _bound(pieces, lambda w: _bound(grams(w), lambda g: _bound(numbered(g), tuples)))
+    known, end = F.coalesce(text, F.lit("")), F.lit(_PLACE)
+    grams = kmers(known) if points else word_kmers(known)
+    every = _bound(F.sort_array(packed(grams)), lambda s: F.sort_array(_kept(s, F.lit(1.0), end, end)))
+    return F.when(_worded(known), _bound(every, lambda n: tuples(n, _anew(n) if points else None))).otherwise(F.lit(""))
+
+
+def with_fingerprints(df: DataFrame, text: str, edited: str, stays: Column) -> DataFrame:
+    """``df`` with fp and edited_fp, the fingerprints over code points of two texts that share their first ``stays`` points.
+
+    K-mers of the common part are hashed, sorted and numbered once. Every sort is a column of its own, where the
+    engine sorts plain longs by generated code. A fingerprint that the bound leaves short is made again from all k-mers.
+    """
+    # Runs that end in the part that stays are those of the text; the others begin in its last POINTS - 1 points.
+    common = F.greatest(stays - (POINTS - 1), F.lit(0))
+    tail = F.when(F.col("_common") > 0, _runs_of_points(F.substr(edited, F.col("_common") + 1))).otherwise(kmers(F.col(edited)))
+    df = df.withColumn("_common", common).withColumn("_longs", packed(kmers(F.col(text)))).withColumn("_own", F.size("_longs"))
+    df = df.withColumn("_tail", packed(tail, F.col("_own")))
+    df = df.withColumn("_share", _share(F.least(F.col("_own"), F.col("_common") + F.size("_tail"))))
+    df = df.withColumn("_longs", F.sort_array(F.concat("_longs", "_tail"))).drop("_tail")
+
+    def kept(share: Column) -> Column:
+        return _bound(F.col("_longs"), lambda s: _bound(F.col("_own"), lambda own: _bound(
+            F.col("_common"), lambda common: _kept(s, share, own, common))))
+
+    sides = {"fp": (text, lambda x: x["p"] < F.col("_own")),
+             "edited_fp": (edited, lambda x: (x["p"] < F.col("_common")) | (x["p"] >= F.col("_own")))}
+    df = df.withColumn("_kept", kept(F.col("_share")))
+    df = df.withColumns({f"_{name}": F.sort_array(F.filter("_kept", of)) for name, (_, of) in sides.items()})
+    df = df.withColumns({name: _bound(F.col(f"_{name}"), lambda n: tuples(n, lambda i: F.lit(""))) for name in sides})
+    for name, (words, of) in sides.items():
+        every = F.when(F.col("_share") >= 1, F.col(f"_{name}")).otherwise(F.sort_array(F.filter(kept(F.lit(1.0)), of)))
+        df = df.withColumn(name, F.when(~_worded(F.col(words)), F.lit("")).when(F.length(name) == SLOTS * DIGITS, F.col(name))
+                           .otherwise(_bound(every, lambda n: tuples(n, _anew(n)))))
+    return df.drop("_common", "_own", "_share", "_longs", "_kept", *[f"_{name}" for name in sides])
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -129,32 +238,28 @@ def documents_fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for every row.
 
     The edited text has the last quarter of the code points replaced by as many (or all) of the next document's first.
+    Both fingerprints of a text are made in one row: k-mers that lie in the unchanged part are hashed once.
     """
     doc_id = F.col("doc_id").cast("bigint")
-    # Neither key nor tie is null, so all joins below are on one plain equality, and texts are shuffled once.
+    # Neither key nor tie is null, so all joins below are on plain equalities.
     rows = docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(0)).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text", F.col("doc_id").isNull()))
-    own = stored(rows.select("doc_id", "key", "tie", F.length("text").cast("bigint").alias("n_chars"),
-                             fingerprint(F.col("text"), points=True).alias("fp")), "fingerprints")
-    pairs = stored(successors(own.select("doc_id", "key", "tie", "n_chars")), "pairs")
-    # Rows equal in id and text share a text here; each keeps its own row in ``pairs``.
+    pairs = stored(successors(rows.select("doc_id", "key", "tie", F.length("text").cast("bigint").alias("n_chars"))), "pairs")
+    # Rows equal in id and text follow each other, so however many they are, they and their successors are two cases at most.
+    names = ["key", "tie", "next_key", "next_tie"]
+    cases = pairs.groupBy(*names).agg(F.first("n_chars").alias("n_chars"))
     texts = rows.groupBy("key", "tie").agg(F.first("text").alias("text"))
-    fps = own.groupBy("key", "tie").agg(F.first("fp").alias("fp"))
-
-    def same(a: str, b: str, key: str = "key", tie: str = "tie") -> Column:
-        return (F.col(f"{a}.{key}") == F.col(f"{b}.key")) & (F.col(f"{a}.{tie}") == F.col(f"{b}.tie"))
 
     quarter = F.floor(F.col("n_chars") / 4).cast("int")
-    heads = (pairs.alias("p").join(texts.alias("t"), same("p", "t", "next_key", "next_tie"))
-             .select("p.*", F.substr("text", F.lit(1), quarter).alias("head")))
-    heads = (heads.alias("h").join(fps.alias("n"), same("h", "n", "next_key", "next_tie"))
-             .select("h.*", F.col("n.fp").alias("next_fp")))
-    edited = (heads.alias("h").join(texts.alias("t"), same("h", "t"))
-              .select("h.doc_id", "h.key", "h.tie", "n_chars", "next_fp",
-                      F.concat(F.substr("text", F.lit(1), (F.col("n_chars") - quarter).cast("int")), "head").alias("edited")))
-    edited = edited.select("doc_id", "key", "tie", "n_chars", "next_fp", F.sha2("edited", 256).alias("edited_sha256"),
-                           fingerprint(F.col("edited"), points=True).alias("edited_fingerprint"))
-    out = edited.alias("e").join(fps.alias("o"), same("e", "o"))
-    return out.select("e.doc_id", "n_chars", "edited_sha256", F.col("o.fp").alias("fingerprint"), "edited_fingerprint",
-                      likeness(F.col("o.fp"), F.col("edited_fingerprint")).alias("near_edited"),
-                      likeness(F.col("o.fp"), F.col("next_fp")).alias("near_next"))
+    heads = (texts.withColumnsRenamed({"key": "next_key", "tie": "next_tie"}).join(cases, ["next_key", "next_tie"])
+             .select(*names, "n_chars", F.substr("text", F.lit(1), quarter).alias("head")))
+    both = (heads.join(texts, ["key", "tie"]).withColumn("stays", (F.col("n_chars") - quarter).cast("int"))
+            .withColumn("edited", F.concat(F.substr("text", F.lit(1), F.col("stays")), "head"))
+            .withColumn("edited_sha256", F.sha2("edited", 256)))
+    made = with_fingerprints(both, "text", "edited", F.col("stays"))
+    made = stored(made.select(*names, "edited_sha256", "fp", "edited_fp"), "fingerprints")
+    following = made.groupBy(F.col("key").alias("next_key"), F.col("tie").alias("next_tie")).agg(F.first("fp").alias("next_fp"))
+    made = made.join(following, ["next_key", "next_tie"])
+    return pairs.join(made, names).select(
+        "doc_id", "n_chars", "edited_sha256", F.col("fp").alias("fingerprint"), F.col("edited_fp").alias("edited_fingerprint"),
+        likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"), likeness(F.col("fp"), F.col("next_fp")).alias("near_next"))

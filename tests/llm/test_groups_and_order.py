@@ -209,7 +209,7 @@ def plain_order_minhash(text):
     k, picked = order_minhash.POINTS, order_minhash.PICKED
     if not re.search(r"[^\x20\x09-\x0D]", text or ""):
         return ""
-    grams = [plain_hash(*text[i:i + k]) for i in range(max(len(text) - k + 1, 1))]
+    grams = [plain_hash(text[i:i + k]) >> 31 for i in range(max(len(text) - k + 1, 1))]
     seen, numbered = Counter(), []
     for at, h in enumerate(grams):
         numbered.append((plain_hash((h,), seen[h]), at))
@@ -236,6 +236,22 @@ def test_order_minhash_equals_a_plain_version(spark):
     assert got == [plain_order_minhash(t) for t in texts]
 
 
+def test_both_fingerprints_of_documents_equal_the_plain_version(spark, monkeypatch):
+    """Texts that share their beginning with the edited one, with repeats in all three parts; also where bounds leave slots short."""
+    rng = np.random.default_rng(12)
+    texts = ["".join(chr(c) for c in rng.integers(97, 97 + letters, n)) for letters, n in ((2, 1500), (3, 700), (26, 3000), (26, 90), (4, 4000))]
+    texts += ["", "abcd", "abcde", "abcdefg", " \t ", "a" * 1200, "ab" * 700, "\U0001f600é日" * 300, "word and " * 120, "  " * 400 + "x"]
+    texts = [texts[i] for i in rng.permutation(len(texts))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for left in (order_minhash.LEFT, 3):
+        monkeypatch.setattr(order_minhash, "LEFT", left)
+        rows = {r.doc_id: r for r in order_minhash.documents_fingerprints(docs).collect()}
+        for i, t in enumerate(texts):
+            q = len(t) // 4
+            edited = t[:len(t) - q] + texts[(i + 1) % len(texts)][:q]
+            assert rows[i].fingerprint == plain_order_minhash(t) and rows[i].edited_fingerprint == plain_order_minhash(edited), t[:20]
+
+
 def test_texts_without_white_space_are_alike_after_an_edit(spark):
     """Long and short texts of any script, and a change in every second word."""
     rng = np.random.default_rng(6)
