@@ -252,6 +252,21 @@ def test_both_fingerprints_of_documents_equal_the_plain_version(spark, monkeypat
             assert rows[i].fingerprint == plain_order_minhash(t) and rows[i].edited_fingerprint == plain_order_minhash(edited), t[:20]
 
 
+def test_a_third_of_the_rows_equal_is_two_cases(spark, monkeypatch):
+    """Rows equal in id and text, also with a null id: each keeps its row, and only the last of them is followed by another text."""
+    same = [(7, "one and the same text " * 9)] * 200 + [(None, "without an id " * 5)] * 50
+    docs = spark.createDataFrame(same + [(i, f"text number {i} of some length, {i * i}") for i in range(8, 300)], "doc_id bigint, text string").repartition(6)
+    computed = []
+    made = order_minhash.with_fingerprints
+    monkeypatch.setattr(order_minhash, "with_fingerprints", lambda df, *a: computed.append(df.count()) or made(df, *a))
+    rows = order_minhash.documents_fingerprints(docs).collect()
+    assert len(rows) == 542 and computed == [296]
+    for doc_id, text in set(same):
+        own = [r for r in rows if r.doc_id == doc_id]
+        assert len(own) == same.count((doc_id, text)) and {r.fingerprint for r in own} == {plain_order_minhash(text)}
+        assert sorted(r.near_next for r in own)[1:] == [1.0] * (len(own) - 1) and min(r.near_next for r in own) < 0.5
+
+
 def test_texts_without_white_space_are_alike_after_an_edit(spark):
     """Long and short texts of any script, and a change in every second word."""
     rng = np.random.default_rng(6)
