@@ -6,13 +6,14 @@ query does not use. All numbered k-mers are hashed once and dealt by hash over `
 selects the ``PICKED`` least hashes (one permutation for all slots; a slot with fewer k-mers hashes the whole set
 of the text anew and selects from it), puts them back into the order in which they stand in the text, and hashes
 that tuple. Two texts agree in a slot if they share its least k-mers in the same order: adding, losing or
-moving text all lower the likeness. Everything is built-in array functions inside one row; long texts take
-time in proportion to length (and its logarithm) and never meet other rows.
+moving text all lower the likeness. Documents are ordered, joined and compared by DataFrame operations; the two
+fingerprints of a text come from numpy arrays in the task (``minhash_arrays``). ``fingerprint`` is the same as a column
+of array functions. Long texts take time in proportion to length (and its logarithm) and never meet other rows.
 
 A k-mer is 33 bits of hash with its place in the lower 31, one long: equal k-mers stand together after a plain sort,
-and an index inside such a run is the occurrence. Of the numbered k-mers only those whose hash lies below a bound
-that leaves some ``LEFT`` to a slot are kept and sorted again. Where that leaves a slot short, all are kept: the
-bound changes the time and never the result.
+and the place inside such a run is the occurrence. Of the numbered k-mers only those whose hash lies below a bound
+that leaves some ``LEFT`` to a slot are kept. Where that leaves a slot short, the bound grows until all are kept: it
+changes the time and never the result.
 
 Likeness: with m of the slots that either text fills in agreement, j = m ** (1 / PICKED) estimates the share of k-mers
 in common among all, and 2 j / (1 + j) the share of a text that the other has.
@@ -28,8 +29,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from . import minhash_arrays
 from .ordering import numbered
-from .runtime import stored
+from .runtime import byte_slices, ship, stored, tidy
 
 K = 2
 #: Code points of a k-mer.
@@ -74,60 +76,28 @@ def word_kmers(text: Column) -> Column:
                   lambda w: F.when(F.size(w) == 0, F.array(text)).otherwise(runs(w)))
 
 
-def packed(grams: Column, ahead: Column | None = None) -> Column:
-    """A long for every k-mer: bits of its hash, then its place, ``ahead`` more than its index."""
-    place = (lambda i: i) if ahead is None else (lambda i: i + ahead)
-    return F.transform(grams, lambda x, i: F.xxhash64(x).bitwiseAND(F.lit(~_PLACE)).bitwiseOR(place(i).cast("bigint")))
+def packed(grams: Column) -> Column:
+    """A long for every k-mer: bits of its hash, then its place."""
+    return F.transform(grams, lambda x, i: F.xxhash64(x).bitwiseAND(F.lit(~_PLACE)).bitwiseOR(i.cast("bigint")))
 
 
-def _kept(s: Column, share: Column, own: Column, stays: Column) -> Column:
-    """(slot, hash, place) of the numbered k-mers in the least ``share`` of hashes, from sorted packed ones.
-
-    ``s`` may hold two texts that begin alike: places below ``own`` are of the first, those below ``stays`` and from
-    ``own`` on of the second. So the second numbers its k-mers from ``own`` on without those of the first in between.
-    Most k-mers occur once and are tested in one pass; the others are cut into their runs.
-    """
-    below = F.when(share >= 1, F.lit((1 << 63) - 1)).otherwise((share * float(1 << 63) * 2 - float(1 << 63)).cast("bigint"))
-
-    def place(x: Column) -> Column:
-        return x.bitwiseAND(F.lit(_PLACE)).cast("int")
-
-    def same(x: Column, other: Column) -> Column:
-        return F.shiftright(x.bitwiseXOR(other), _PLACE_BITS).eqNullSafe(F.lit(0).cast("bigint"))
-
+def _numbered(s: Column) -> Column:
+    """(slot, hash, place) of the numbered k-mers, from sorted packed ones."""
     def hashed(x: Column, nth: Column) -> Column:
         return F.xxhash64(F.shiftright(x, _PLACE_BITS), nth)
 
-    def in_runs(some: Column, ends: Column, limit: Column) -> Column:
-        def run(first: Column, r: Column) -> Column:
-            last = F.get(ends, r + 1) - 1
-
-            def chosen(nth) -> Column:
-                kept = F.filter(F.sequence(first, last), lambda i: hashed(F.get(some, i), nth(i)) <= limit)
-                return F.transform(kept, lambda i: F.struct(
-                    F.pmod(hashed(F.get(some, i), nth(i)), F.lit(SLOTS)).cast("int").alias("s"),
-                    hashed(F.get(some, i), nth(i)).alias("h"), place(F.get(some, i)).alias("p")))
+    def starts(x: Column, i: Column) -> Column:
+        return F.when(F.get(s, i - 1) >= x.bitwiseAND(F.lit(~_PLACE)), F.lit(None)).otherwise(i)
 
-            def of_two(between: Column) -> Column:
-                return chosen(lambda i: i - first - F.when(place(F.get(some, i)) >= own, between).otherwise(F.lit(0)))
-
-            between = F.size(F.filter(F.sequence(first, last), lambda i: (place(F.get(some, i)) >= stays) & (place(F.get(some, i)) < own)))
-            return F.when(place(F.get(some, last)) < own, chosen(lambda i: i - first)).otherwise(_bound(between, of_two))
+    def in_runs(ends: Column) -> Column:
+        def run(first: Column, r: Column) -> Column:
+            return F.transform(F.sequence(first, F.get(ends, r + 1) - 1), lambda i: F.struct(
+                F.pmod(hashed(F.get(s, i), i - first), F.lit(SLOTS)).cast("int").alias("s"),
+                hashed(F.get(s, i), i - first).alias("h"), F.get(s, i).bitwiseAND(F.lit(_PLACE)).cast("int").alias("p")))
 
         return F.flatten(F.transform(F.slice(ends, F.lit(1), F.size(ends) - 1), run))
 
-    def tested(limit: Column) -> Column:
-        some = F.filter(s, lambda x, i: (hashed(x, F.lit(0)) <= limit) | same(x, F.get(s, i - 1)) | same(x, F.get(s, i + 1)))
-        # Where runs start, and the end.
-        ends = lambda k: F.filter(F.sequence(F.lit(0), F.size(k)), lambda i: ~same(F.get(k, i), F.get(k, i - 1)))
-        none = F.array().cast("array<struct<s:int,h:bigint,p:int>>")
-        return _bound(some, lambda k: F.when(F.size(k) == 0, none).otherwise(_bound(ends(k), lambda a: in_runs(k, a, limit))))
-
-    return _bound(below, tested)
-
-
-def _share(kmers_of_text: Column) -> Column:
-    return F.lit(float(LEFT * SLOTS)) / kmers_of_text
+    return _bound(F.concat(F.array_compact(F.transform(s, starts)), F.array(F.size(s))), in_runs)
 
 
 def tuples(n: Column, missing=None) -> Column:
@@ -167,40 +137,31 @@ def _anew(n: Column):
 
 def fingerprint(text: Column, points: bool = False) -> Column:
     """SLOTS hash tuples of DIGITS hex digits each, as one string: over words, or with ``points`` over code points."""
-    known, end = F.coalesce(text, F.lit("")), F.lit(_PLACE)
+    known = F.coalesce(text, F.lit(""))
     grams = kmers(known) if points else word_kmers(known)
-    every = _bound(F.sort_array(packed(grams)), lambda s: F.sort_array(_kept(s, F.lit(1.0), end, end)))
+    every = _bound(F.sort_array(packed(grams)), lambda s: F.sort_array(_numbered(s)))
     return F.when(_worded(known), _bound(every, lambda n: tuples(n, _anew(n) if points else None))).otherwise(F.lit(""))
 
 
-def with_fingerprints(df: DataFrame, text: str, edited: str, stays: Column) -> DataFrame:
-    """``df`` with fp and edited_fp, the fingerprints over code points of two texts that share their first ``stays`` points.
+def with_fingerprints(df: DataFrame, text: str, edited: str) -> DataFrame:
+    """``df`` with the fingerprints over code points of its columns ``text`` and ``edited`` in their places.
 
-    K-mers of the common part are hashed, sorted and numbered once. Every sort is a column of its own, where the
-    engine sorts plain longs by generated code. A fingerprint that the bound leaves short is made again from all k-mers.
+    The same as ``fingerprint`` with ``points``, by numpy arrays in the tasks: array functions are interpreted for each
+    element, which costs a multiple at this volume.
     """
-    # Runs that end in the part that stays are those of the text; the others begin in its last POINTS - 1 points.
-    common = F.greatest(stays - (POINTS - 1), F.lit(0))
-    tail = F.when(F.col("_common") > 0, _runs_of_points(F.substr(edited, F.col("_common") + 1))).otherwise(kmers(F.col(edited)))
-    df = df.withColumn("_common", common).withColumn("_longs", packed(kmers(F.col(text)))).withColumn("_own", F.size("_longs"))
-    df = df.withColumn("_tail", packed(tail, F.col("_own")))
-    df = df.withColumn("_share", _share(F.least(F.col("_own"), F.col("_common") + F.size("_tail"))))
-    df = df.withColumn("_longs", F.sort_array(F.concat("_longs", "_tail"))).drop("_tail")
-
-    def kept(share: Column) -> Column:
-        return _bound(F.col("_longs"), lambda s: _bound(F.col("_own"), lambda own: _bound(
-            F.col("_common"), lambda common: _kept(s, share, own, common))))
-
-    sides = {"fp": (text, lambda x: x["p"] < F.col("_own")),
-             "edited_fp": (edited, lambda x: (x["p"] < F.col("_common")) | (x["p"] >= F.col("_own")))}
-    df = df.withColumn("_kept", kept(F.col("_share")))
-    df = df.withColumns({f"_{name}": F.sort_array(F.filter("_kept", of)) for name, (_, of) in sides.items()})
-    df = df.withColumns({name: _bound(F.col(f"_{name}"), lambda n: tuples(n, lambda i: F.lit(""))) for name in sides})
-    for name, (words, of) in sides.items():
-        every = F.when(F.col("_share") >= 1, F.col(f"_{name}")).otherwise(F.sort_array(F.filter(kept(F.lit(1.0)), of)))
-        df = df.withColumn(name, F.when(~_worded(F.col(words)), F.lit("")).when(F.length(name) == SLOTS * DIGITS, F.col(name))
-                           .otherwise(_bound(every, lambda n: tuples(n, _anew(n)))))
-    return df.drop("_common", "_own", "_share", "_longs", "_kept", *[f"_{name}" for name in sides])
+    ship(df.sparkSession)
+    names, parameters = df.columns, (POINTS, SLOTS, PICKED, LEFT)
+    at = names.index(text)
+
+    def run(batches):
+        import pyarrow as pa
+        for batch in batches:
+            for part in byte_slices(batch, at):
+                columns = [pa.array([minhash_arrays.fingerprint(t, *parameters) for t in c.cast(pa.binary()).to_pylist()], pa.string())
+                           if name in (text, edited) else c for name, c in zip(names, part.columns)]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return df.mapInArrow(tidy(run), df.schema)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -238,7 +199,6 @@ def documents_fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for every row.
 
     The edited text has the last quarter of the code points replaced by as many (or all) of the next document's first.
-    Both fingerprints of a text are made in one row: k-mers that lie in the unchanged part are hashed once.
     """
     doc_id = F.col("doc_id").cast("bigint")
     # Neither key nor tie is null, so all joins below are on plain equalities.
@@ -256,8 +216,8 @@ def documents_fingerprints(docs: DataFrame) -> DataFrame:
     both = (heads.join(texts, ["key", "tie"]).withColumn("stays", (F.col("n_chars") - quarter).cast("int"))
             .withColumn("edited", F.concat(F.substr("text", F.lit(1), F.col("stays")), "head"))
             .withColumn("edited_sha256", F.sha2("edited", 256)))
-    made = with_fingerprints(both, "text", "edited", F.col("stays"))
-    made = stored(made.select(*names, "edited_sha256", "fp", "edited_fp"), "fingerprints")
+    made = with_fingerprints(both.select(*names, "edited_sha256", F.col("text").alias("fp"), F.col("edited").alias("edited_fp")), "fp", "edited_fp")
+    made = stored(made, "fingerprints")
     following = made.groupBy(F.col("key").alias("next_key"), F.col("tie").alias("next_tie")).agg(F.first("fp").alias("next_fp"))
     made = made.join(following, ["next_key", "next_tie"])
     return pairs.join(made, names).select(

@@ -8,7 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from curbline.llm import mixing, order_minhash, sharding, simhash, vptree
+from curbline.llm import minhash_arrays, mixing, order_minhash, sharding, simhash, vptree
 from curbline.llm.components import components
 from odd_rows import no_docs, odd_docs, small  # noqa: F401
 
@@ -252,6 +252,19 @@ def test_both_fingerprints_of_documents_equal_the_plain_version(spark, monkeypat
             assert rows[i].fingerprint == plain_order_minhash(t) and rows[i].edited_fingerprint == plain_order_minhash(edited), t[:20]
 
 
+@pytest.mark.parametrize("window", [1, 7, 64])
+def test_windows_of_a_long_text_change_nothing(window, monkeypatch):
+    """Runs of equal k-mers and code points of all lengths across window ends, and a bound that must grow."""
+    rng = np.random.default_rng(14)
+    texts = ["a" * 300, "ab" * 200, "a\u00e9\u65e5\U0001f600" * 60, "x", "\U0001f600\u65e5", "one two three " * 20]
+    texts += ["".join(chr(c) for c in rng.choice([97, 98, 0xE9, 0x65E5, 0x1F600], 800))]
+    monkeypatch.setattr(minhash_arrays, "WINDOW", window)
+    for t in texts:
+        for left in (1, 12):
+            got = minhash_arrays.fingerprint(t.encode(), order_minhash.POINTS, order_minhash.SLOTS, order_minhash.PICKED, left)
+            assert got == plain_order_minhash(t), t[:20]
+
+
 def test_a_third_of_the_rows_equal_is_two_cases(spark, monkeypatch):
     """Rows equal in id and text, also with a null id: each keeps its row, and only the last of them is followed by another text."""
     same = [(7, "one and the same text " * 9)] * 200 + [(None, "without an id " * 5)] * 50
