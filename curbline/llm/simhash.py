@@ -6,6 +6,10 @@ every l: 0, then 1, 2, 3 in all. The first two conditions make the join key: the
 half of the next segment, since one bit at most differs there. Pairs that meet on a key are checked for the
 rest of the chain, and then in full.
 
+A key that more than ``CROWDED`` fingerprints share is made longer: the 40 bits that it leaves out differ in 3 at most, so
+of four parts of them one agrees, and each part makes a longer key. So the pairs that meet on a key don't grow with
+the corpus, and no link is lost. Parts are of ``LONGER`` bits: keys have 24, 34, 41 and at last 46 bits.
+
 Fingerprints, not documents, are joined: exact copies meet once. Within a key the fingerprints close to
 the smallest one are linked to it first; keys whose fingerprints then share one hub are done, and in the others
 only those outside the key's largest group are compared with the rest. So a group of near copies costs a
@@ -30,6 +34,9 @@ BITS, SEGMENTS, WIDTH = 64, 4, 16
 DISTANCE = 3
 SEED = 42
 SHINGLE = 3
+#: Fingerprints of a key beyond which it is made longer, and by how many bits, time after time.
+CROWDED = 1_000
+LONGER = (10, 7, 5)
 
 
 def fingerprint(text: str | None, seed: int = SEED, k: int = SHINGLE) -> int:
@@ -96,11 +103,47 @@ def near(a: Column, b: Column, distance: int = DISTANCE) -> Column:
     return chains & (differ <= distance)
 
 
+def _left_out(key: Column, fp: Column) -> Column:
+    """The 40 bits of ``fp`` that are not in a ``key`` of ``keyed``."""
+    chain = F.shiftright(key, 24).cast("int")
+    turn = F.shiftright(chain, 1) * WIDTH
+    # A shift by 64 is one by 0.
+    turned = F.call_function("shiftrightunsigned", fp, turn).bitwiseOR(F.call_function("shiftleft", fp, BITS - turn))
+    upper = F.shiftleft(F.shiftrightunsigned(turned, 32), 8).bitwiseOR(F.shiftrightunsigned(turned, 16).bitwiseAND(0xFF))
+    return F.when(chain.bitwiseAND(1) == 0, F.shiftrightunsigned(turned, 24)).otherwise(upper)
+
+
+def _longer(crowded: DataFrame, bits: int) -> DataFrame:
+    """key, fp, rest: for each key four longer ones, each with another part of ``rest``, which keeps what is left of it."""
+    key, rest = F.col("key"), F.col("rest")
+    longer = []
+    for j in range(DISTANCE + 1):
+        part = F.shiftrightunsigned(rest, j * bits).bitwiseAND((1 << bits) - 1)
+        lower = rest.bitwiseAND((1 << j * bits) - 1)
+        remaining = F.shiftleft(F.shiftrightunsigned(rest, (j + 1) * bits), j * bits).bitwiseOR(lower)
+        longer.append(F.struct((F.shiftleft(F.shiftleft(key, 2) + j, bits) + part).alias("key"), remaining.alias("rest")))
+    return crowded.select(F.explode(F.array(*longer)).alias("l"), "fp").select("l.key", "fp", "l.rest")
+
+
+def meetings(fps: DataFrame) -> DataFrame:
+    """key, fp, hub: the fingerprints that share a key with others, and the smallest of that key."""
+    keys, met = keyed(fps).withColumn("rest", _left_out(F.col("key"), F.col("fp"))), None
+    for level, bits in enumerate((*LONGER, None)):
+        # Keys of unlike lengths are told apart by their length.
+        shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("hub")).where("n > 1")
+        here = stored(keys.join(shared, "key"), "keys")
+        own = here if bits is None else here.where(F.col("n") <= CROWDED)
+        settled = own.select(F.struct(F.lit(level).alias("level"), "key").alias("key"), "fp", "hub")
+        met = settled if met is None else met.unionByName(settled)
+        crowded = here.where(F.col("n") > CROWDED)
+        if bits is None or crowded.isEmpty():
+            return met
+        keys = _longer(crowded, bits)
+
+
 def links(fps: DataFrame) -> DataFrame:
     """a, b: links within the distance that connect what is connected. ``fps`` has distinct fp."""
-    keys = keyed(fps)
-    shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("hub")).where("n > 1").drop("n")
-    met = stored(keys.join(shared, "key"), "keys")
+    met = meetings(fps)
     stars = stored(met.where(F.col("fp") != F.col("hub")).where(near(F.col("fp"), F.col("hub")))
                    .select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct(), "stars")
     # Fingerprints with the same nearest hub are connected; more need not be known here.

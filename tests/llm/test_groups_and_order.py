@@ -195,6 +195,48 @@ def test_fingerprint_follows_the_definition(spark):
     assert 0.5 < near < 1.0  # the same words, in another order
 
 
+@pytest.mark.parametrize("crowded", [2, 40, 10_000])
+def test_crowded_keys_lose_no_link(spark, crowded, monkeypatch):
+    """Fingerprints that share keys of every length, with near ones at 1 to 3 bits, in chains that lead on."""
+    monkeypatch.setattr(simhash, "CROWDED", crowded)
+    rng = np.random.default_rng(15)
+    fps = set()
+    for shared in (24, 34, 46, 60):
+        base = int(rng.integers(0, 1 << 62))
+        turn = int(rng.integers(0, 64))
+        for _ in range(30):
+            own = base ^ (int(rng.integers(0, 1 << 62)) & ((1 << 64 - shared) - 1))
+            own = (own << turn | own >> 64 - turn) & (1 << 64) - 1
+            for flips in (0, 1, 2, 3):
+                for bit in rng.choice(64, flips, replace=False):
+                    own ^= 1 << int(bit)
+                fps.add(own)
+    fps = sorted(x - (1 << 64) if x >> 63 else x for x in fps)
+    met = simhash.meetings(spark.createDataFrame([(x,) for x in fps], "fp bigint"))
+    together = defaultdict(set)
+    for r in met.collect():
+        together[tuple(r.key)].add(r.fp)
+    pairs = {(a, b) for group in together.values() for a in group for b in group if a < b}
+    near = {(a, b) for i, a in enumerate(fps) for b in fps[i + 1:] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 3}
+    assert near and near <= pairs
+    labels = {x: x for x in fps}
+
+    def root(x):
+        while labels[x] != x:
+            x = labels[x]
+        return x
+
+    for a, b in near:
+        labels[root(a)] = root(b)
+    whole = {frozenset(y for y in fps if root(y) == r) for r in {root(x) for x in fps}}
+    found = {x: x for x in fps}
+    labels = found
+    for r in simhash.links(spark.createDataFrame([(x,) for x in fps], "fp bigint")).collect():
+        assert (min(r.a, r.b), max(r.a, r.b)) in near
+        labels[root(r.a)] = root(r.b)
+    assert {frozenset(y for y in fps if root(y) == r) for r in {root(x) for x in fps}} == whole
+
+
 def plain_hash(*values):
     """The engine's xxhash64 over columns: each value with the hash so far as the seed. Ints have four bytes, in a tuple eight."""
     h = 42
