@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
+def rows_a_file(rows: int, least: int, files: int) -> int:
+    """Rows of a file so that ``rows`` lie in about ``files`` files: a fixed number would make files, each with its cost, grow with the table."""
+    return max(least, -(-rows // files))
+
+
 def file_spans(table: DataFrame, time: str) -> DataFrame:
     """file, first, last, row_count: the span of days of each file of a table read from files."""
     day = F.to_date(time)

@@ -5,7 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import ts
+from conftest import DATA, ts
 from curbline import schemas
 from curbline.operators import check_states, checks, layout, reconcile, sinks
 from curbline.operators.staging import stage_trips
@@ -13,6 +13,7 @@ from curbline.plans import GraphError, Model, run_graph
 from curbline.plans.graph import ordered
 from curbline.plans.journal import Journal
 from curbline.plans.marts import fct_contract
+from curbline.registry import queries
 from curbline.sources.catalog import register_view
 
 AS_OF = datetime(2024, 7, 1)
@@ -125,6 +126,24 @@ def test_clustered_files_are_met_by_few_days(spark, make_trips, tmp_path):
     assert sum(met["clustered"].values()) * 4 < sum(met["plain"].values())
 
 
+def test_files_of_a_layout_do_not_grow_with_the_table(spark, tmp_path, monkeypatch):
+    """Eight copies of the lines with keys of their own: files hold more rows, and a day still meets fewer clustered ones."""
+    line = spark.read.parquet(f"{DATA}/sf0.01/lineitem.parquet")
+    eight = line.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(7))))
+    eight.withColumn("l_orderkey", F.col("l_orderkey") + 15_000 * F.col("i")).drop("i").coalesce(2).write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(queries, "scratch_dir", lambda spark, label: str(tmp_path / label))
+    monkeypatch.setattr(queries, "LAID_OUT_FILES", 1_000)
+    result = queries.clustered_files(spark, str(tmp_path)).collect()
+    assert result and all(r.no_more_files for r in result)
+    trips = sum(r.trips for r in result)
+    for name in ("plain", "clustered"):
+        files = spark.read.parquet(str(tmp_path / "clustered_files" / name)).groupBy(F.col("_metadata.file_path")).count().collect()
+        assert sum(r["count"] for r in files) == trips and max(r["count"] for r in files) <= -(-trips // 1_000)
+        # And what is left over in each month and range; files of 100 rows were more than 2,500.
+        assert len(files) < 1_200 and trips > 250_000
+    assert [layout.rows_a_file(n, least=100, files=5_000) for n in (0, 500_000, 500_001, 30_000_000)] == [100, 100, 101, 6_000]
+
+
 def test_models_are_ordered_and_contradictions_refused():
     def m(name, *reads):
         return Model(name, lambda r: None, reads)
