@@ -3,8 +3,10 @@ from pyspark.sql import functions as F
 
 from conftest import final_plan
 from curbline.operators import sinks
+from curbline.operators.dedup import repeated_hashes
 from curbline.operators.staging import stage_trips
 from curbline.plans.lake import bad_months
+from curbline.registry import queries
 
 
 def months(spark, path):
@@ -104,6 +106,25 @@ def test_merge_refuses_bad_updates_before_it_writes(spark, make_trips, path, bad
     assert months(spark, path) == {(2024, 1): 1}
 
 
+def test_keys_are_compared_only_where_their_hashes_repeat(spark):
+    rows = spark.createDataFrame([("a",), ("b",), ("a",), (None,), ("c",), (None,)], "k string")
+    alike = rows.join(repeated_hashes(rows, "k"), F.xxhash64("k") == F.col("_hash"), "left_semi")
+    assert sorted(alike.collect(), key=str) == sorted([("a",), ("a",), (None,), (None,)], key=str)
+    plan = final_plan(repeated_hashes(rows, "k"))
+    assert "hashpartitioning(_hash" in plan and "hashpartitioning(k" not in plan
+
+
+def test_trips_are_staged_by_one_shuffle_and_as_silver_would_have_them(spark, make_trips, monkeypatch):
+    """Copies in one month and in two, complete and not, valid and not."""
+    trips = make_trips(*[dict(total_amount=float(n % 7), fare_amount=[None, 5.0, -1.0, 6.0][n % 4], payment_type=[1, 9, 2][n % 3],
+                              passenger_count=[None, 2, 1][n % 5 % 3], tip_amount=[None, 1.0][n % 2], month=1 + n % 2) for n in range(210)])
+    monkeypatch.setattr(queries, "bronze", lambda spark, sf: trips.drop("_ingested_at"))
+    fct = queries.fct(spark, "")
+    assert final_plan(fct).split("== Initial Plan ==")[0].count("Exchange hashpartitioning") == 1
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(fct) == rows(stage_trips(queries.silver(spark, ""))) and fct.count() == 7
+
+
 def test_merge_leaves_no_working_folder(spark, make_trips, path, tmp_path, monkeypatch):
     monkeypatch.setattr(sinks, "scratch_dir", lambda spark, label: str(tmp_path / "curbline" / label))
     for _ in range(2):
