@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import final_plan
+from conftest import DATA, final_plan
 from curbline.operators import sinks
 from curbline.operators.dedup import repeated_hashes
 from curbline.operators.staging import stage_trips
@@ -125,6 +125,14 @@ def test_trips_are_staged_by_one_shuffle_and_as_silver_would_have_them(spark, ma
     assert rows(fct) == rows(stage_trips(queries.silver(spark, ""))) and fct.count() == 7
 
 
+def test_a_moved_month_is_read_from_the_table(spark, tmp_path, monkeypatch):
+    read, merge = [], sinks.merge_upsert
+    monkeypatch.setattr(queries, "scratch_dir", lambda spark, label: str(tmp_path / label))
+    monkeypatch.setattr(sinks, "merge_upsert", lambda spark, updates, path: read.append(updates.inputFiles()) or merge(spark, updates, path))
+    queries.fct_trips_merge_moved(spark, str(DATA / "sf0.001"))
+    assert len(read) == 2 and read[1] and all("fct_trips_merge_moved/year=1998/month=3/" in f for f in read[1])
+
+
 def test_merge_leaves_no_working_folder(spark, make_trips, path, tmp_path, monkeypatch):
     monkeypatch.setattr(sinks, "scratch_dir", lambda spark, label: str(tmp_path / "curbline" / label))
     for _ in range(2):
