@@ -21,9 +21,10 @@ from ..fixed import PAYMENT_TYPES
 from ..functions import exact_rest, exact_total, exact_units, ratio
 from ..functions.clock import age_hours, moment
 from ..schemas import FCT_TRIPS, MONTH_KEYS
+from ..session import remove_folder, scratch_dir
 from ..sources.files import read_month, read_table
 from . import checks
-from .dedup import duplicate_keys
+from .dedup import duplicate_keys, repeated_hashes
 from .sinks import Month, by_month, in_months, replace_months
 
 NOT_NULL = ["trip_sk", "pickup_zone_id", "trip_duration_minutes", "fare_amount"]
@@ -49,11 +50,6 @@ def _partials() -> dict[str, tuple[Column, str]]:
     }
 
 
-def month_metrics(trips: DataFrame) -> DataFrame:
-    """One row of partials for each month."""
-    return trips.groupBy(*MONTH_KEYS).agg(*(agg.alias(name) for name, (agg, _) in _partials().items()))
-
-
 def month_rows(spark: SparkSession, table: str, months: list[Month]) -> DataFrame:
     """The rows of ``months``: of a few, no other folder is listed; of many, one scan of the table whose folders are pruned."""
     if len(months) > FEW_MONTHS:
@@ -62,10 +58,6 @@ def month_rows(spark: SparkSession, table: str, months: list[Month]) -> DataFram
     return reduce(DataFrame.unionByName, parts)
 
 
-def _by_day(trips: DataFrame) -> DataFrame:
-    return trips.groupBy(*MONTH_KEYS, F.to_date("pickup_datetime").alias("day")).agg(F.count("*").alias("row_count"))
-
-
 def _shared_days(days: DataFrame, months: list[Month]) -> list:
     """Other months that hold a day of ``months``, with the days they share: rows by calendar days, few."""
     own = F.array(*[F.lit(12 * y + m) for y, m in months])
@@ -75,24 +67,54 @@ def _shared_days(days: DataFrame, months: list[Month]) -> list:
     return shared.groupBy("at").agg(F.min("day").alias("first"), F.max("day").alias("last"), F.collect_set("day").alias("days")).collect()
 
 
-def update_states(spark: SparkSession, table: str, states: str, months: list[Month]) -> None:
-    """Bring the states of ``months`` up to date, from their rows and the days they share with other months."""
-    if not months:
-        return
-    rows, version = month_rows(spark, table, months), uuid.uuid4().hex
-    replace_months(month_metrics(rows).withColumn("version", F.lit(version)), f"{states}/{METRICS}", months)
-    replace_months(by_month(_by_day(rows)), f"{states}/{DAYS}", months)
-    replace_months(by_month(rows.groupBy(*MONTH_KEYS, "pickup_zone_id").agg(F.count("*").alias("row_count"))), f"{states}/{ZONES}", months)
-    known = rows.where(F.col("trip_sk").isNotNull())
+def _parts(trips: DataFrame) -> DataFrame:
+    """Partials by month, pickup day and zone: rows by the calendar and the zones, from which the three states are merged."""
+    return trips.groupBy(*MONTH_KEYS, F.to_date("pickup_datetime").alias("day"), "pickup_zone_id").agg(
+        *(agg.alias(name) for name, (agg, _) in _partials().items()))
+
+
+def _merges() -> list[Column]:
+    merges = {"sum": F.sum, "min": F.min, "max": F.max}
+    return [merges[how](name).alias(name) for name, (_, how) in _partials().items()]
+
+
+def _repeats_of(known: DataFrame, version: str) -> DataFrame:
+    """Keys that repeat inside a month, and those that several of the months written hold (a list by calendar months)."""
     at = (F.col("year") * 12 + F.col("month")).alias("at")
-    # Keys that repeat inside a month, and those that several of the months written hold (a list by calendar months).
     inside = duplicate_keys(known, [*MONTH_KEYS, "trip_sk"]).select(
         *MONTH_KEYS, "trip_sk", F.lit(None).cast("int").alias("other"), F.lit(None).cast("string").alias("other_version"))
     across = known.select(at, "trip_sk").groupBy("trip_sk").agg(F.collect_set("at").alias("ats")).where(F.size("ats") > 1)
     across = across.select("trip_sk", "ats", F.explode("ats").alias("at")).select("trip_sk", "at", F.explode("ats").alias("other")).where("at <> other")
-    found = inside.unionByName(across.select(
+    return inside.unionByName(across.select(
         F.expr("cast((at - 1) div 12 as int)").alias("year"), F.expr("cast((at - 1) % 12 + 1 as int)").alias("month"), "trip_sk", "other",
         F.lit(version).alias("other_version")))
+
+
+def update_states(spark: SparkSession, table: str, states: str, months: list[Month]) -> None:
+    """Bring the states of ``months`` up to date, from their rows and the days they share with other months."""
+    if not months:
+        return
+    working = scratch_dir(spark, "states")
+    try:
+        _update_states(spark, table, states, months, working)
+    finally:
+        remove_folder(spark, working)
+
+
+def _update_states(spark: SparkSession, table: str, states: str, months: list[Month], working: str) -> None:
+    rows, version = month_rows(spark, table, months), uuid.uuid4().hex
+    # The rows are read twice, for the partials and for the keys; both results are written once.
+    _parts(rows).write.parquet(f"{working}/parts")
+    parts = spark.read.parquet(f"{working}/parts")
+    replace_months(parts.groupBy(*MONTH_KEYS).agg(*_merges()).withColumn("version", F.lit(version)), f"{states}/{METRICS}", months)
+    for by, state in (("day", DAYS), ("pickup_zone_id", ZONES)):
+        replace_months(by_month(parts.groupBy(*MONTH_KEYS, by).agg(F.sum("row_count").alias("row_count"))), f"{states}/{state}", months)
+    known = rows.where(F.col("trip_sk").isNotNull())
+    repeated_hashes(known, "trip_sk").write.parquet(f"{working}/suspects")
+    suspects = spark.read.schema("_hash bigint").parquet(f"{working}/suspects")
+    found = []
+    if not suspects.isEmpty():
+        found.append(_repeats_of(known.join(suspects, F.xxhash64("trip_sk") == F.col("_hash"), "left_semi"), version))
     versions = spark.read.parquet(f"{states}/{METRICS}").select((F.col("year") * 12 + F.col("month")).alias("other"), F.col("version").alias("other_version"))
     for hit in _shared_days(spark.read.parquet(f"{states}/{DAYS}"), months):
         year, month = (hit["at"] - 1) // 12, (hit["at"] - 1) % 12 + 1
@@ -101,10 +123,11 @@ def update_states(spark: SparkSession, table: str, states: str, months: list[Mon
         span = (F.col("pickup_datetime") >= F.lit(hit["first"]).cast("timestamp")) & (F.col("pickup_datetime") < F.date_add(F.lit(hit["last"]), 1).cast("timestamp"))
         theirs = read_month(spark, table, year, month, FCT_TRIPS).where(span & day.isin(hit["days"])).select("trip_sk")
         mine = known.where(day.isin(hit["days"])).select(*MONTH_KEYS, "trip_sk").join(theirs, "trip_sk", "left_semi")
-        found = found.unionByName(mine.withColumn("other", F.lit(hit["at"])).join(versions, "other", "left").select(found.columns))
+        found.append(mine.withColumn("other", F.lit(hit["at"])).join(versions, "other", "left").select(*MONTH_KEYS, "trip_sk", "other", "other_version"))
     # Hits name the versions of both months, so those of months since written again count for nothing and may stay.
-    if not found.isEmpty():
-        found.distinct().withColumn("version", F.lit(version)).write.mode("append").parquet(f"{states}/{REPEATED}")
+    repeats = reduce(DataFrame.unionByName, found) if found else None
+    if repeats is not None and not repeats.isEmpty():
+        repeats.distinct().withColumn("version", F.lit(version)).write.mode("append").parquet(f"{states}/{REPEATED}")
 
 
 def merged(spark: SparkSession, states: str) -> DataFrame:
@@ -121,8 +144,7 @@ def merged(spark: SparkSession, states: str) -> DataFrame:
         live = repeated.join(own.select(F.col("at").alias("other"), "current"), "other", "left").where(
             F.col("other").isNull() | (F.col("other_version") == F.col("current")))
         counted = live.agg(F.count_distinct("trip_sk").alias("repeated"))
-    merges = {"sum": F.sum, "min": F.min, "max": F.max}
-    whole = metrics.agg(*(merges[how](name).alias(name) for name, (_, how) in _partials().items()))
+    whole = metrics.agg(*_merges())
     return whole.withColumn("_one", F.lit(1)).join(counted.withColumn("_one", F.lit(1)), "_one").drop("_one")
 
 

@@ -89,6 +89,30 @@ def test_a_month_reads_its_own_files_however_many_there_are(spark, make_trips, t
         assert files and all(f"month={month}/" in f for f in files)
 
 
+def test_states_are_merged_from_one_pass_and_keys_compared_only_where_hashes_repeat(spark, make_trips, tmp_path, monkeypatch):
+    table, states, compared = str(tmp_path / "fct"), str(tmp_path / "states"), []
+    real, parts = check_states._repeats_of, check_states._parts
+    monkeypatch.setattr(check_states, "_repeats_of", lambda *a: compared.append("keys") or real(*a))
+    monkeypatch.setattr(check_states, "_parts", lambda *a: compared.append("parts") or parts(*a))
+    trips = make_trips(*[dict(total_amount=float(n), month=1 + n % 2, pickup_zone_id=[1, None, 3][n % 3], fare_amount=[None, 5.0, 7.25][n % 3],
+                              payment_type=[1, 9][n % 2], pickup_datetime=[None, "2024-01-05 10:00:00", "2024-01-07 09:00:00"][n % 3]) for n in range(30)])
+    keyed = trips.withColumns({"trip_sk": F.col("total_amount").cast("string"), "trip_duration_minutes": F.lit(5).cast("bigint")}).select(*schemas.FCT_TRIPS.names)
+    months = [(2024, 1), (2024, 2)]
+    sinks.replace_months(keyed, table, months)
+    check_states.update_states(spark, table, states, months)
+    assert compared == ["parts"] and repeats(spark, states) == 0
+    rows = spark.read.schema(schemas.FCT_TRIPS).parquet(table)
+    metrics = rows.groupBy(*schemas.MONTH_KEYS).agg(*(agg.alias(name) for name, (agg, _) in check_states._partials().items()))
+    stored = spark.read.parquet(f"{states}/metrics").select(*metrics.columns)
+    assert sorted(map(str, stored.collect())) == sorted(map(str, metrics.collect())) and stored.dtypes == metrics.dtypes
+    for state, by in (("days", F.to_date("pickup_datetime").alias("day")), ("zones", F.col("pickup_zone_id"))):
+        plain = rows.groupBy(*schemas.MONTH_KEYS, by).agg(F.count("*").alias("row_count"))
+        assert sorted(map(str, spark.read.parquet(f"{states}/{state}").select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
+    sinks.replace_months(keyed.unionByName(keyed.where("total_amount < 3")), table, months)
+    check_states.update_states(spark, table, states, months)
+    assert compared == ["parts", "parts", "keys"] and repeats(spark, states) == 3
+
+
 def test_spans_open_the_folders_that_hold_the_last_day(spark, make_trips, tmp_path):
     """A trip of the last day lies in the file of an early month; the folders between are not opened."""
     table, states = str(tmp_path / "fct"), str(tmp_path / "states")
