@@ -1,11 +1,13 @@
 """Models declared by name, with what they read and what must hold of them.
 
 A model says which models and sources it reads and gets just those; the order of building follows. A model whose checks
-fail stops what depends on it, directly or further on, and nothing else. Small models are views, large ones tables.
+fail stops what depends on it, directly or further on, and nothing else. Small models are views, large ones tables. Of a view
+that several models read the rows are kept during the run, so that it is computed once.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from graphlib import CycleError, TopologicalSorter
@@ -26,7 +28,7 @@ class GraphError(ValueError):
 class Model:
     """``build`` and ``checks`` get the frames named in ``reads`` ("group.table" is a source); ``checks`` also the model itself.
 
-    ``kind`` is "view", computed where it is read, or "table", written once to a folder of its own.
+    ``kind`` is "view", computed where it is read if one model reads it, or "table", written once to a folder of its own.
     """
 
     name: str
@@ -65,10 +67,12 @@ def run_graph(spark: SparkSession, models: Iterable[Model], root: str) -> DataFr
 
     Built models are registered as views of their names. A failed model is built, for a look at its rows, but nothing reads it.
     """
+    models = ordered(models)
+    readers = Counter(r for m in models for r in set(m.reads))
     built: dict[str, DataFrame] = {}
     stopped: dict[str, str] = {}
     report = []
-    for m in ordered(models):
+    for m in models:
         cause = next((stopped[r] for r in m.reads if r in stopped), None)
         if cause:
             stopped[m.name] = cause
@@ -76,9 +80,10 @@ def run_graph(spark: SparkSession, models: Iterable[Model], root: str) -> DataFr
             continue
         refs = {r: named_source(spark, *r.split(".", 1)) if "." in r else built[r] for r in m.reads}
         frame = m.build(refs)
-        if m.kind == "table":
-            frame.write.mode("overwrite").parquet(f"{root}/{m.name}")
-            frame = spark.read.schema(frame.schema).parquet(f"{root}/{m.name}")
+        if m.kind == "table" or readers[m.name] > 1:
+            folder = f"{root}/{m.name}" if m.kind == "table" else f"{root}/_views/{m.name}"
+            frame.write.mode("overwrite").parquet(folder)
+            frame = spark.read.schema(frame.schema).parquet(folder)
         register_view(frame, m.name)
         failed = sorted(r.check for r in m.checks(frame, refs).where(F.col("status") == "fail").collect()) if m.checks else []
         if failed:

@@ -200,6 +200,25 @@ def test_a_failing_check_stops_only_what_depends_on_it(spark, tmp_path):
         run_graph(spark, [Model("a", lambda r: r["raw.numbers"])], str(tmp_path / "again"))
 
 
+def test_a_view_that_several_models_read_is_computed_once(spark, tmp_path):
+    register_view(spark.range(6), "few_numbers", "raw")
+    rows = spark.sparkContext.accumulator(0)
+
+    def seen(df):
+        def count(parts):
+            for part in parts:
+                rows.add(part.num_rows)
+                yield part
+        return df.mapInArrow(count, "id bigint")
+
+    models = [Model("shared", lambda r: seen(r["raw.few_numbers"]), ("raw.few_numbers",)), Model("alone", lambda r: r["shared"], ("shared",)),
+              Model("left", lambda r: r["shared"].where("id < 2"), ("shared",), "table"), Model("right", lambda r: r["alone"], ("alone",), "table")]
+    report = run_graph(spark, models, str(tmp_path)).collect()
+    assert [(r.model, r.kind, r.status) for r in report] == [("shared", "view", "built"), ("alone", "view", "built"), ("left", "table", "built"), ("right", "table", "built")]
+    assert [spark.table(n).count() for n in ("shared", "alone", "left", "right")] == [6, 6, 2, 6]
+    assert rows.value == 6
+
+
 def test_a_journal_goes_on_where_a_run_stopped(spark, tmp_path):
     done = []
 
