@@ -30,7 +30,9 @@ from .sinks import Month, by_month, in_months, replace_months
 NOT_NULL = ["trip_sk", "pickup_zone_id", "trip_duration_minutes", "fare_amount"]
 #: Months that are read folder by folder.
 FEW_MONTHS = 4
-METRICS, DAYS, ZONES, REPEATED = "metrics", "days", "zones", "repeated"
+METRICS, DAYS, ZONES, REPEATED, SPANS = "metrics", "days", "zones", "repeated", "spans"
+#: The partials that say where the trips of a time lie.
+_SPAN = ["first_pickup", "newest", "first_dropoff", "last_dropoff"]
 
 
 def _partials() -> dict[str, tuple[Column, str]]:
@@ -90,6 +92,15 @@ def _repeats_of(known: DataFrame, version: str) -> DataFrame:
         F.lit(version).alias("other_version")))
 
 
+def update_spans(spark: SparkSession, table: str, states: str, months: list[Month]) -> None:
+    """Bring the spans of ``months`` up to date, for a reader that opens folders and judges nothing: one pass over two times, no keys."""
+    if not months:
+        return
+    aggregates = _partials()
+    spans_of = month_rows(spark, table, months).groupBy(*MONTH_KEYS).agg(*(aggregates[name][0].alias(name) for name in _SPAN))
+    replace_months(spans_of, f"{states}/{SPANS}", months)
+
+
 def update_states(spark: SparkSession, table: str, states: str, months: list[Month]) -> None:
     """Bring the states of ``months`` up to date, from their rows and the days they share with other months."""
     if not months:
@@ -182,9 +193,12 @@ def known_zones(spark: SparkSession, states: str, zones: DataFrame) -> DataFrame
     return checks.run_checks(orphans, [check])
 
 
-def spans(spark: SparkSession, states: str) -> DataFrame:
-    """year, month and the first and last pickup and dropoff in each month's folder, whatever month the trips are of."""
-    return spark.read.parquet(f"{states}/{METRICS}").select(
+def spans(spark: SparkSession, states: str, state: str = METRICS) -> DataFrame:
+    """year, month and the first and last pickup and dropoff in each month's folder, whatever month the trips are of.
+
+    From the metrics of ``update_states``, or with ``state`` SPANS from what ``update_spans`` keeps.
+    """
+    return spark.read.parquet(f"{states}/{state}").select(
         *MONTH_KEYS, "first_pickup", F.col("newest").alias("last_pickup"), "first_dropoff", "last_dropoff")
 
 

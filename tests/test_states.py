@@ -127,6 +127,28 @@ def test_spans_open_the_folders_that_hold_the_last_day(spark, make_trips, tmp_pa
     assert reconcile.recent_trips(spark, table, check_states.spans(spark, states), datetime(2025, 1, 1)).isEmpty()
 
 
+def test_spans_alone_are_those_of_the_states(spark, make_trips, tmp_path):
+    table, states = str(tmp_path / "fct"), str(tmp_path / "states")
+    months = [(2024, 1), (2024, 2)]
+    for rows in ([(2024, 1, "2024-01-10 10:00:00", 1), (2024, 1, "2024-03-10 10:00:00", 2), (2024, 2, "2024-02-10 10:00:00", 3)],
+                 [(2024, 1, "2024-01-20 10:00:00", 4)]):
+        # The second time one month is written again and the other one emptied.
+        sinks.replace_months(staged(make_trips, *rows), table, months)
+        check_states.update_states(spark, table, states, months)
+        check_states.update_spans(spark, table, states, months)
+        assert as_rows(check_states.spans(spark, states, check_states.SPANS)) == as_rows(check_states.spans(spark, states))
+    assert check_states.spans(spark, states).count() == 1
+
+
+def test_the_pruned_drift_keeps_spans_and_compares_no_keys_for_them(spark, monkeypatch):
+    def no_keys(*_):
+        raise AssertionError("keys compared for the states")
+
+    monkeypatch.setattr(check_states, "repeated_hashes", no_keys)
+    sf = str(DATA / "sf0.001")
+    assert as_rows(queries.reconcile_pruned(spark, sf)) == as_rows(queries.reconcile_day(spark, sf))
+
+
 def test_a_merge_probes_only_months_that_can_hold_the_trips(spark, make_trips, tmp_path):
     table = str(tmp_path / "fct")
     sinks.merge_upsert(spark, staged(make_trips, (2024, 1, "2024-01-10 10:00:00", 1), (2024, 2, "2024-02-10 10:00:00", 2)), table)
