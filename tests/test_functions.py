@@ -42,6 +42,21 @@ def test_sums_are_exact_and_independent_of_order(spark, cents):
         assert got.a == (sum(known) / 100 / len(known) if known else None)
 
 
+@pytest.mark.parametrize("cents", [
+    [1, 154_818_537], [-1, -154_818_537], [90_000_001, -90_000_000, 1], [10 ** 9, 10 ** 9 - 1, 7], [3] * 5 + [13_743_895_347_199, -13_743_895_347_100],
+    [999_999_999] * 40])
+def test_large_amounts_are_summed_to_the_cent(spark, cents):
+    for order in (cents, cents[::-1]):
+        got = spark.createDataFrame([(c / 100,) for c in order], "x double").repartition(3).agg(exact_sum("x").alias("s"), exact_avg("x").alias("a")).first()
+        assert (got.s, got.a) == (sum(cents) / 100, sum(cents) / 100 / len(cents))
+
+
+def test_sums_beyond_the_count_do_not_raise(spark):
+    from curbline.functions import exact_total
+    full = 9_223_372_036_854_775_000
+    assert one(spark, t=exact_total(F.lit(full), F.lit(2.0 ** 40))) == pytest.approx(full / 1e4 + 2.0 ** 40)
+
+
 def test_a_time_without_zone_is_utc_wherever_the_driver_runs(spark, monkeypatch):
     from datetime import datetime, timezone
     import time
