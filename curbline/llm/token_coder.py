@@ -1,16 +1,16 @@
-"""Adaptive context-mixing range coder for token ids, in independently reset, checksummed blocks.
+"""Context-mixing coder for token ids, in independent, checksummed blocks.
 
-A block of ids starts from nothing. Contexts of the last two ids (order 2) and of the last one (order 1)
-each predict the id that followed last time, with a confidence; a table of counts (order 0) says how frequent an
-id was. The prediction of the highest order that has one is the candidate. For the flag "it is the
-candidate" the three orders' probabilities of it are mixed, with weights that follow how well each order did in
-this block. An id that is not the candidate is coded in three steps of 5, 5 and 6 bits by adaptive order-0
-tables. All this drives a carry-less range coder with 48 bits of state and 16-bit output units.
+A section is modelled before it is coded. Contexts of the last two ids (order 2, hashed) and of the last one (order 1) each
+predict the id that follows them most often, with a class for how often it does; order 0 is how frequent each other id is.
+The surer order's prediction is the candidate. For the flag "it is the candidate" both orders are mixed: its chance is that of
+the pair of classes, and of whether the orders agree. An id that is not the candidate is coded by the order-0 frequencies.
+All this drives a range variant of asymmetric numeral systems with 32 bits of state and 16-bit units.
 
-A block's checksum is that of its coded bytes: damage is found before it is decoded. Ids must be below 65,536.
+The models stand in front of the blocks; every block starts from them alone. A block's checksum is that of its coded bytes,
+the header's covers the models: damage is found before anything is decoded. Ids must be below 65,536.
 
-Blocks are coded side by side, as lanes of numpy arrays; coder and decoder share every step. Only
-additions, products, quotients and shifts are used, so that every machine gets the same bits.
+Blocks are coded side by side, as lanes of numpy arrays. Only integers decide what is decoded, so that every machine gets the
+same ids.
 """
 
 from __future__ import annotations
@@ -20,190 +20,224 @@ import zlib
 
 import numpy as np
 
-BLOCK = 4096
-MAGIC = b"CTM2"
-_HEAD = "<4sIIQ"
+#: Ids of a block at most, at least, and how many blocks a section has before they grow longer.
+BLOCK, _SHORT, _LANES = 1024, 256, 4096
+MAGIC = b"CTM3"
+_HEAD = "<4sIIQI"
 #: Stands for a null document id.
 NULL_ID = -(1 << 63)
-_ORDER2, _ORDER1, _COUNTS, _LAST = 4096, 2048, 1024, 512
-#: Bits of the three steps, and contexts of each.
-_STEPS = ((5, 1), (5, 32), (6, _LAST))
-_MASK, _TOP, _BOTTOM = np.uint64((1 << 48) - 1), np.uint64(1 << 32), np.uint64(1 << 24)
-_U16 = np.uint64(16)
-
-
-def _targets(bits: int) -> np.ndarray:
-    """Row s: cumulative frequencies out of 2 ** 15 that give symbol s nearly all."""
-    n = 1 << bits
-    return np.array([[i if i <= s else (1 << 15) - n + i for i in range(n)] for s in range(n)], dtype=np.int16)
-
-
-_TARGETS = [_targets(bits) for bits, _ in _STEPS]
-
-
-class Lanes:
-    """State of ``n`` blocks. ``units`` is None to encode, or each lane's 16-bit units, to decode."""
-
-    def __init__(self, n: int, units: np.ndarray | None, length: int):
-        self.n, self.all = n, np.arange(n)
-        self.low = np.zeros(n, np.uint64)
-        self.range = np.full(n, _MASK, np.uint64)
-        self.at = np.zeros(n, np.int64)
-        self.decoding = units is not None
-        # A flag costs 10 bits at most, and a symbol 15: below four units an id.
-        self.units = units if self.decoding else np.zeros((n, 4 * length + 8), np.uint16)
-        if self.decoding:
-            self.code = np.zeros(n, np.uint64)
-            for i in range(3):
-                self.code = self.code << _U16 | units[:, i].astype(np.uint64)
-            self.at += 3
-        self.tables = [np.tile((np.arange(1 << b) << 15 - b).astype(np.int16), (n * size, 1)) for b, size in _STEPS]
-        self.id2, self.sure2 = np.zeros(n * _ORDER2, np.uint16), np.zeros(n * _ORDER2, np.uint8)
-        self.id1, self.sure1 = np.zeros(n * _ORDER1, np.uint16), np.zeros(n * _ORDER1, np.uint8)
-        self.counts = np.zeros(n * _COUNTS, np.float32)
-        start = np.array([0.02, 0.25, 0.5, 0.75], np.float32)
-        self.right2, self.right1 = np.tile(start, n), np.tile(start, n)
-        self.weights = np.full((3, n), 1 / 3, np.float32)
-        self.last1, self.last2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
-
-    def _narrow(self, lanes: np.ndarray, start: np.ndarray, freq: np.ndarray, bits: int) -> None:
-        """Keep the part [start, start + freq) of 2 ** bits, and move settled units out or in."""
-        r = self.range.take(lanes) >> np.uint64(bits)
-        low = self.low.take(lanes) + r * start.astype(np.uint64)
-        rng = r * freq.astype(np.uint64)
-        self.low[lanes], self.range[lanes] = low, rng
-        settled = (low ^ (low + rng)) < _TOP
-        todo = np.flatnonzero(settled | (rng < _BOTTOM))
-        while len(todo):
-            own, lo, rg, ok = lanes[todo], low[todo], rng[todo], settled[todo]
-            # The range straddles a unit's border: give up the part beyond it.
-            rg = np.where(ok, rg, (~lo + np.uint64(1)) & (_BOTTOM - np.uint64(1)))
-            at = self.at[own]
-            if self.decoding:
-                self.code[own] = (self.code[own] << _U16 | self.units[own, at].astype(np.uint64)) & _MASK
-            else:
-                self.units[own, at] = (lo >> np.uint64(32)).astype(np.uint16)
-            self.at[own] = at + 1
-            lo, rg = (lo << _U16) & _MASK, rg << _U16
-            low[todo], rng[todo] = lo, rg
-            self.low[own], self.range[own] = lo, rg
-            s = (lo ^ (lo + rg)) < _TOP
-            settled[todo] = s
-            todo = todo[s | (rg < _BOTTOM)]
-
-    def _position(self, lanes: np.ndarray, bits: int) -> np.ndarray:
-        """Where the code stands among 2 ** bits."""
-        r = self.range.take(lanes) >> np.uint64(bits)
-        return np.minimum((self.code.take(lanes) - self.low.take(lanes)) // r, np.uint64((1 << bits) - 1)).astype(np.int64)
-
-    def _flag(self, lanes: np.ndarray, chance: np.ndarray, hit: np.ndarray | None) -> np.ndarray:
-        yes = np.clip(chance * 65536, 64, 65536 - 64).astype(np.int64)
-        if hit is None:
-            hit = self._position(lanes, 16) < yes
-        self._narrow(lanes, np.where(hit, 0, yes), np.where(hit, yes, 65536 - yes), 16)
-        return hit
-
-    def _mixed(self, lanes: np.ndarray, chances: list[np.ndarray], hit: np.ndarray | None) -> np.ndarray:
-        """Code a flag by the weighted mean of ``chances``, and move the weights to those that foresaw it."""
-        own = [w.take(lanes) for w in self.weights]
-        parts = [w * c for w, c in zip(own, chances)]
-        chance = parts[0] + parts[1] + parts[2]
-        hit = self._flag(lanes, chance, hit)
-        total = np.float32(0.97) / np.where(hit, chance, 1 - chance)
-        for w, o, p in zip(self.weights, own, parts):
-            w[lanes] = np.where(hit, p, o - p) * total + np.float32(0.01)
-        return hit
-
-    def _symbol(self, lanes: np.ndarray, level: int, context: np.ndarray, symbol: np.ndarray | None) -> np.ndarray:
-        bits, contexts = _STEPS[level]
-        row = lanes * contexts + context
-        table, width = self.tables[level], 1 << bits
-        now = table.take(row, 0)
-        if symbol is None:
-            symbol = (now <= self._position(lanes, 15).astype(np.int16)[:, None]).sum(1, dtype=np.int64) - 1
-        flat, pick = now.ravel(), self.all[:len(lanes)] * width + symbol
-        start = flat.take(pick).astype(np.int64)
-        end = np.where(symbol == width - 1, 1 << 15, flat.take(pick + 1, mode="clip").astype(np.int64))
-        self._narrow(lanes, start, end - start, 15)
-        now += (_TARGETS[level].take(symbol, 0) - now) >> 4
-        table[row] = now
-        return symbol
-
-    def step(self, lanes: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
-        """Code one id in each of ``lanes``; returns the ids."""
-        one, two = self.last1.take(lanes), self.last2.take(lanes)
-        at2 = lanes * _ORDER2 + ((one * 40503 + two * 30011) >> 4 & _ORDER2 - 1)
-        at1 = lanes * _ORDER1 + (one * 40503 >> 3 & _ORDER1 - 1)
-        p2, p1 = self.id2.take(at2), self.id1.take(at1)
-        s2, s1 = self.sure2.take(at2), self.sure1.take(at1)
-        r2, r1 = lanes * 4 + s2, lanes * 4 + s1
-        c2, c1 = self.right2.take(r2), self.right1.take(r1)
-        candidate = np.where(s2 > 0, p2, p1)
-        few = np.float32(0.1)
-        zero = (self.counts.take(lanes * _COUNTS + (candidate & _COUNTS - 1)) + np.float32(0.01)) * np.float32(1 / (self.seen + 16))
-        hit = self._mixed(lanes, [np.where(p2 == candidate, c2, few * (1 - c2)), np.where(p1 == candidate, c1, few * (1 - c1)), zero],
-                          None if ids is None else ids == candidate)
-        out = candidate.astype(np.int64)
-        rest = np.flatnonzero(~hit)
-        if len(rest):
-            own, known, value, left = lanes.take(rest), None if ids is None else ids.take(rest), 0, 16
-            for level, (bits, contexts) in enumerate(_STEPS):
-                left -= bits
-                # The last step's contexts are hashed.
-                context = value if level < 2 else value * 40503 >> 3 & contexts - 1
-                value = value << bits | self._symbol(own, level, context, None if known is None else known >> left & (1 << bits) - 1)
-            out[rest] = value
-        # What was right gets surer; what was wrong is doubted, then replaced.
-        for right, table, sure, at, p, s, r, c in ((self.right2, self.id2, self.sure2, at2, p2, s2, r2, c2),
-                                                   (self.right1, self.id1, self.sure1, at1, p1, s1, r1, c1)):
-            good = out == p
-            right[r] = c + (good - c) * np.float32(0.06)
-            doubted = s > 1
-            sure[at] = np.where(good, np.minimum(s + 1, 3), np.where(doubted, s - 1, 1))
-            table[at] = np.where(doubted, p, out)
-        self.counts[lanes * _COUNTS + (out & _COUNTS - 1)] += 1
-        self.last2[lanes], self.last1[lanes] = one, out
-        return out
-
-    def run(self, ids: np.ndarray | None, lengths: np.ndarray) -> np.ndarray:
-        """Code all blocks; ``ids`` is (lane, position), ``lengths`` falls from lane to lane."""
-        out = np.zeros((self.n, int(lengths[0]) if len(lengths) else 0), np.int64) if ids is None else ids
-        for t in range(int(lengths[0])):
-            self.seen = t
-            lanes = self.all[:int(np.searchsorted(-lengths, -t, "left"))]
-            got = self.step(lanes, None if ids is None else ids[lanes, t])
-            if ids is None:
-                out[lanes, t] = got
-        return out
-
-    def finish(self) -> list[bytes]:
-        """Units of each lane, three more to settle the state."""
-        for _ in range(3):
-            self.units[self.all, self.at] = (self.low >> np.uint64(32)).astype(np.uint16)
-            self.at += 1
-            self.low = (self.low << _U16) & _MASK
-        return [self.units[i, :k].astype("<u2").tobytes() for i, k in enumerate(self.at.tolist())]
+#: Contexts that came less often predict nothing.
+_LEAST = 4
+#: Classes of an order; 0 predicts nothing.
+_CLASSES = 16
+#: Rows of chances, and what marks a row whose candidate was right.
+_ROWS = _HIT = 2 * _CLASSES ** 2
+#: Positions of a section that are learnt from at once.
+_SPAN = 16
+_WHOLE = 1 << 16
+_HASH, _SHIFT, _HALF = np.uint32(2654435761), np.uint32(7), np.uint32(16)
+_LOW = np.uint32(_WHOLE - 1)
+#: A share of everything, from the start: changes no state.
+_NOTHING = np.uint32((_WHOLE - 1) << 16)
+
+
+def _context2(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """16 bits of the last id and the one before it, both times ``_HASH``."""
+    return (one + (two << _SHIFT)) >> _HALF
+
+
+def _predictions(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of 65,536 contexts the id that follows most often, and the class of its share. Sorts ``pairs`` of both."""
+    best, classes = np.zeros(_WHOLE, np.uint16), np.zeros(_WHOLE, np.uint8)
+    pairs.sort()
+    first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
+    times, pairs = np.diff(first, append=len(pairs)), pairs[first]
+    own = pairs >> _HALF
+    group = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+    top = np.maximum.reduceat(times << 16 | (pairs & _LOW), group)
+    total, hits = np.add.reduceat(times, group), top >> 16
+    # A class for each half bit of the odds.
+    level = np.clip(np.rint(2 * np.log2((hits + 0.5) / (total - hits + 0.5))) + 8, 0, _CLASSES - 1)
+    kept = (total >= _LEAST) & (level > 0)
+    at = own[group][kept]
+    best[at], classes[at] = top[kept] & int(_LOW), level[kept]
+    return best, classes
+
+
+def _frequencies(counts: np.ndarray) -> np.ndarray:
+    """Shares of 65,536 for the ids that occur, one at least for each."""
+    total, present = int(counts.sum()), int((counts > 0).sum())
+    shares = np.where(counts > 0, 1 + counts * (_WHOLE - present) // max(total, 1), 0)
+    shares[counts.argmax()] += _WHOLE - shares.sum()
+    return shares
+
+
+class Models:
+    """What a section's blocks share, from its parts as stored."""
+
+    def __init__(self, id2, class2, id1, class1, chance, shares):
+        self.parts = [a.astype(t) for a, t in zip((id2, class2, id1, class1, chance, shares), ("<u2", "u1", "<u2", "u1", "<u2", "<u4"))]
+        # Candidate and, above it, class, of each context.
+        self.two, self.one = (c.astype(np.uint32) << _HALF | i for i, c in ((id2, class2), (id1, class1)))
+        self.chance = chance.astype(np.uint32)
+        shares = shares.astype(np.int64)
+        #: Of each id: its share less one, and below that where it begins.
+        self.steps = ((shares.clip(1) - 1) << 16 | (np.cumsum(shares) - shares) & (_WHOLE - 1)).astype(np.uint32)
+
+    def stored(self) -> bytes:
+        return zlib.compress(b"".join(a.tobytes() for a in self.parts), 4)
+
+    @classmethod
+    def of(cls, stored: bytes) -> Models:
+        raw, parts, at = zlib.decompress(stored), [], 0
+        for n, kind in ((_WHOLE, "<u2"), (_WHOLE, "u1"), (_WHOLE, "<u2"), (_WHOLE, "u1"), (_ROWS, "<u2"), (_WHOLE, "<u4")):
+            parts.append(np.frombuffer(raw, kind, n, at))
+            at += parts[-1].nbytes
+        return cls(*parts)
+
+    def candidate(self, one: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The candidate after ``one`` in the order-2 ``context``, and the row of its chance."""
+        e2, e1 = self.two.take(context, mode="clip"), self.one.take(one, mode="clip")
+        row = ((e2 >> _HALF) << np.uint32(4) | e1 >> _HALF) << np.uint32(1)
+        return np.maximum(e2, e1) & _LOW, row | (((e2 ^ e1) & _LOW) == 0)
+
+
+def _learn(grid: np.ndarray, lengths: np.ndarray) -> tuple[Models, np.ndarray]:
+    """The models of ``grid`` (position, lane), and for each id the row of its chance, with ``_HIT`` if it is the candidate."""
+    steps, lanes = grid.shape
+    pad = np.zeros((steps + 2, lanes), np.uint16)
+    pad[2:] = grid
+    pairs2, pairs1 = np.empty(grid.shape, np.uint32), np.empty(grid.shape, np.uint32)
+    parts = [slice(t, min(t + _SPAN, steps)) for t in range(0, steps, _SPAN)]
+
+    def contexts(part):
+        one = pad[part.start + 1:part.stop + 1].astype(np.uint32)
+        two = pad[part.start:part.stop].astype(np.uint32)
+        return one, _context2(one * _HASH, two * _HASH), grid[part].astype(np.uint32)
+
+    for part in parts:
+        one, context, ids = contexts(part)
+        np.bitwise_or(context << _HALF, ids, out=pairs2[part])
+        np.bitwise_or(one << _HALF, ids, out=pairs1[part])
+    # Only the last lane may be shorter.
+    if lengths[-1] < steps:
+        known = np.ones(grid.shape, bool)
+        known[lengths[-1]:, -1] = False
+        pairs2, pairs1 = pairs2[known], pairs1[known]
+    (id2, class2), (id1, class1) = _predictions(pairs2.reshape(-1)), _predictions(pairs1.reshape(-1))
+    models = Models(id2, class2, id1, class1, np.ones(_ROWS, np.uint16), np.zeros(_WHOLE, np.int64))
+    rows = np.empty(grid.shape, np.uint16)
+    seen, missed = np.zeros(2 * _HIT, np.int64), np.zeros(_WHOLE + 1, np.int64)
+    for part in parts:
+        one, context, ids = contexts(part)
+        candidate, row = models.candidate(one, context)
+        hit = candidate == ids
+        rows[part] = row | hit * np.uint32(_HIT)
+        own, left = rows[part].ravel(), np.where(hit, np.uint32(_WHOLE), ids).ravel()
+        if lengths[-1] < part.stop:
+            own, left = own[known[part].ravel()], left[known[part].ravel()]
+        seen += np.bincount(own, minlength=2 * _HIT)
+        missed += np.bincount(left, minlength=_WHOLE + 1)
+    hits, others = seen[_HIT:], seen[:_HIT]
+    chance = np.clip((hits * 2 + 1) * _WHOLE // ((hits + others) * 2 + 2), 1, _WHOLE - 1)
+    return Models(id2, class2, id1, class1, chance, _frequencies(missed[:-1])), rows
+
+
+def _active(lengths: np.ndarray, t: int) -> int:
+    """How many lanes have a ``t``-th id: only the last may be shorter."""
+    return len(lengths) - (t >= lengths[-1])
+
+
+def _encode(grid: np.ndarray, lengths: np.ndarray) -> tuple[Models, list[bytes]]:
+    """The models and the coded blocks of ``grid`` (position, lane)."""
+    models, rows = _learn(grid, lengths)
+    steps, lanes = grid.shape
+    state = np.full(lanes, _WHOLE, np.uint32)
+    # A flag and an id take a unit each at most. Units are written from the end of a lane's row on, backwards.
+    width = 2 * steps + 2
+    units, at = np.zeros(lanes * width, np.uint16), np.arange(1, lanes + 1) * width
+
+    def push(x: np.ndarray, share: np.ndarray, start: np.ndarray) -> np.ndarray:
+        own = np.flatnonzero(x >> _HALF >= share)
+        if len(own):
+            place, value = at.take(own) - 1, x.take(own)
+            units[place], at[own], x[own] = value, place, value >> _HALF
+        # Below 2 ** 16, and exact: both are whole and below 2 ** 53.
+        times = (x / share).astype(np.int32).view(np.uint32)
+        return x + times * (np.uint32(_WHOLE) - share) + start
+
+    # Coded backwards, so that it is decoded forwards.
+    for t in range(steps - 1, -1, -1):
+        n = _active(lengths, t)
+        row = rows[t, :n]
+        hit = row >= _HIT
+        step = np.where(hit, _NOTHING, models.steps.take(grid[t, :n], mode="clip"))
+        x = push(state[:n], (step >> _HALF) + np.uint32(1), step & _LOW)
+        chance = models.chance.take(row & np.uint16(_HIT - 1), mode="clip")
+        state[:n] = push(x, np.where(hit, chance, np.uint32(_WHOLE) - chance), chance * ~hit)
+    rest = units.astype("<u2", copy=False)
+    return models, [struct.pack("<I", x) + rest[a:b].tobytes()
+                    for x, a, b in zip(state.tolist(), at.tolist(), range(width, (lanes + 1) * width, width))]
+
+
+def _decode(models: Models, coded: bytes, sizes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The ids (position, lane) of the blocks, ``sizes`` bytes each, that ``coded`` holds one after the other."""
+    lanes, steps = len(sizes), int(lengths[0])
+    units = np.append(np.frombuffer(coded, "<u2"), np.zeros(2, np.uint16))
+    at = (np.cumsum(sizes) - sizes) // 2
+    state = units[at] | units[at + 1].astype(np.uint32) << _HALF
+    at += 2
+    out = np.zeros((steps, lanes), np.uint16)
+    owner = np.repeat(np.arange(_WHOLE, dtype=np.uint16), models.parts[-1].astype(np.int64))
+    one, hashed = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
+    for t in range(steps):
+        n = _active(lengths, t)
+        if n < len(one):
+            one, hashed, state, at = one[:n], hashed[:n], state[:n], at[:n]
+        before, hashed = hashed, one * _HASH
+        candidate, row = models.candidate(one, _context2(hashed, before))
+        chance = models.chance.take(row, mode="clip")
+        slot = state & _LOW
+        hit = slot < chance
+        state = np.where(hit, chance, np.uint32(_WHOLE) - chance) * (state >> _HALF) + slot - chance * ~hit
+        few = np.flatnonzero(state < _WHOLE)
+        if len(few):
+            place = at[few]
+            state[few] = state[few] << _HALF | units[place]
+            at[few] = place + 1
+        slot = state & _LOW
+        one = owner.take(slot, mode="clip")
+        step = np.where(hit, _NOTHING, models.steps.take(one, mode="clip"))
+        one = np.where(hit, candidate, one)
+        state = ((step >> _HALF) + np.uint32(1)) * (state >> _HALF) + slot - (step & _LOW)
+        few = state < _WHOLE
+        state = np.where(few, state << _HALF | units.take(at, mode="clip"), state)
+        at += few
+        out[t, :n] = one
+    return out
 
 
 def encode(doc_ids: list[int], raw: list[bytes]) -> bytes:
-    """A file section: directory of documents, then their ids (little-endian 32-bit in ``raw``, below 65,536) in blocks."""
+    """A file section: directory of documents, models, then the ids (little-endian 32-bit in ``raw``, below 65,536) in blocks."""
     counts = np.array([len(r) // 4 for r in raw], np.int64)
-    ids = np.frombuffer(b"".join(raw), "<u4").astype(np.int64)
-    if len(ids) and ids.max() >= 1 << 16:
+    ids = np.frombuffer(b"".join(raw), "<u4")
+    if len(ids) and ids.max() >= _WHOLE:
         raise ValueError("ids must fit 16 bits")
-    lanes = -(-len(ids) // BLOCK)
-    lengths = np.minimum(BLOCK, len(ids) - BLOCK * np.arange(lanes))
-    grid = np.zeros((lanes, BLOCK), np.int64)
-    grid.ravel()[:len(ids)] = ids
-    blocks = []
+    # A step takes its time even with few lanes, so small sections have short blocks.
+    block = min(BLOCK, max(_SHORT, -(-len(ids) // _LANES)))
+    lanes = -(-len(ids) // block)
+    lengths = np.minimum(block, len(ids) - block * np.arange(lanes))
+    stored, blocks = b"", []
     if lanes:
-        coder = Lanes(lanes, None, BLOCK)
-        coder.run(grid, lengths)
-        blocks = coder.finish()
-    head = struct.pack(_HEAD, MAGIC, len(raw), lanes, len(ids))
+        grid = np.zeros((lanes, int(lengths[0])), np.uint16)
+        grid.ravel()[:len(ids)] = ids
+        models, blocks = _encode(np.ascontiguousarray(grid.T), lengths)
+        stored = models.stored()
+    head = struct.pack(_HEAD, MAGIC, len(raw), lanes, len(ids), len(stored))
     directory = np.array(doc_ids, "<i8").tobytes() + counts.astype("<u4").tobytes()
     index = b"".join(struct.pack("<III", int(n), len(b), zlib.crc32(b)) for n, b in zip(lengths.tolist(), blocks))
-    return b"".join([head, directory, index, struct.pack("<I", zlib.crc32(head + directory + index)), *blocks])
+    first = head + directory + index + stored
+    return b"".join([first, struct.pack("<I", zlib.crc32(first)), *blocks])
 
 
 def decode(section: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -215,8 +249,8 @@ def decode(section: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at = struct.calcsize(_HEAD)
     if len(section) < at + 4:
         raise ValueError("damaged section: too short")
-    magic, docs, lanes, total = struct.unpack_from(_HEAD, section)
-    body = at + 12 * docs + 12 * lanes
+    magic, docs, lanes, total, stored = struct.unpack_from(_HEAD, section)
+    body = at + 12 * docs + 12 * lanes + stored
     if magic != MAGIC or len(section) < body + 4 or zlib.crc32(section[:body]) != struct.unpack_from("<I", section, body)[0]:
         raise ValueError("damaged header")
     doc_ids = np.frombuffer(section, "<i8", docs, at)
@@ -227,10 +261,8 @@ def decode(section: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         raise ValueError("damaged section: lengths differ")
     if not lanes:
         return doc_ids, counts, np.empty(0, np.int64)
-    units = np.zeros((lanes, int(index[:, 1].max()) // 2 + 4), np.uint16)
     for i, (end, (_, size, crc)) in enumerate(zip(ends.tolist(), index.tolist())):
         if zlib.crc32(section[end - size:end]) != crc:
             raise ValueError(f"block {i} is damaged")
-        units[i, :size // 2] = np.frombuffer(section, "<u2", size // 2, end - size)
-    grid = Lanes(lanes, units, BLOCK).run(None, index[:, 0])
-    return doc_ids, counts, np.concatenate([grid[i, :n] for i, n in enumerate(index[:, 0].tolist())])
+    grid = _decode(Models.of(section[body - stored:body]), section[body + 4:], index[:, 1], index[:, 0])
+    return doc_ids, counts, np.ascontiguousarray(grid.T).ravel()[:total]

@@ -14,6 +14,8 @@ from array import array
 from .runtime import kept_in_worker
 
 _ODD = re.compile("[\x1c-\x1f]")
+#: Stands where a text is cut, as texts that have it are not.
+_BORDER = "\x1f"
 _GAPS = re.compile(r"\s\s")
 _PIECES = re.compile(r"\s*\S+|\s+")
 _LETTERS = "".join(map(re.escape, (c for c in map(chr, range(0x250)) if unicodedata.category(c)[0] == "L" and c != "İ")))
@@ -22,6 +24,7 @@ _SIGNS = "".join(map(re.escape, (c for c in map(chr, range(0x21, 0x7f)) if not c
 #: Longer pieces are not remembered.
 _LONG = 64
 _RUNS = re.compile(f" ?(?:[{_LETTERS}]+|[0-9]+|[{_SIGNS}]+)")
+_WORD = re.compile(f" ?[{_LETTERS}]+")
 
 
 def packed(ids) -> bytes:
@@ -62,11 +65,11 @@ class _Memory(dict):
 class Encoder:
     """``Encoder(path)(texts)``: one bytes object of little-endian 32-bit ids per text.
 
-    ``room`` bounds the bytes that are remembered (four times as much in all), not the result. Null is an empty text. Without ``special`` the strings of special tokens
+    ``room`` bounds the bytes that are remembered (twice as much in all), not the result. Null is an empty text. Without ``special`` the strings of special tokens
     are plain text.
     """
 
-    def __init__(self, path: str, room: int = 80 << 20, special: bool = True):
+    def __init__(self, path: str, room: int = 120 << 20, special: bool = True):
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = not special
@@ -75,7 +78,7 @@ class Encoder:
         self.spaced = self.whole.encode("a b", add_special_tokens=False).tokens[1][0] == "Ġ"
         self.cut = self._spaced if self.spaced else self._words
         self.letters = {chr(b): c for b, c in byte_letters().items()}
-        self.pieces, self.runs = _Memory(self.piece, room), _Memory(self._run, room)
+        self.pieces = _Memory(self.piece, room)
 
     def _words(self, text: str) -> list[str] | None:
         """White space yields no id: the pieces are the words."""
@@ -88,23 +91,23 @@ class Encoder:
         if _GAPS.search(text):
             return _PIECES.findall(text)
         # Single gaps: the second form is as right and much faster. Other gaps stay inside a piece.
-        first, *rest = text.replace("\n", " \n").split(" ")
-        return [*([first] if first else []), *[p if p[:1] == "\n" else " " + p for p in rest]]
+        pieces = text.replace(" ", _BORDER + " ").replace("\n", _BORDER + "\n").split(_BORDER)
+        return pieces if pieces[0] else pieces[1:]
 
     def _encoded(self, text: str) -> bytes:
         return packed(self.whole.encode(text, add_special_tokens=False).ids)
 
     def piece(self, piece: str) -> bytes:
-        """Pieces share their runs ("the", "the,", "the."), so runs are remembered too."""
+        """Pieces share their runs ("the", "the,", "the."), which are remembered like pieces."""
+        if _WORD.fullmatch(piece):
+            return self._word(piece)
         runs = _RUNS.findall(piece)
-        if sum(map(len, runs)) != len(piece) or "<" in piece and any(s in piece for s in self.special):
+        if len(runs) < 2 or sum(map(len, runs)) != len(piece) or "<" in piece and any(s in piece for s in self.special):
             return self._encoded(piece)
-        return b"".join(map(self.runs.__getitem__, runs))
+        return b"".join(map(self.pieces.__getitem__, runs))
 
-    def _run(self, run: str) -> bytes:
+    def _word(self, run: str) -> bytes:
         """Runs of Latin letters need no more than case, byte letters and the merges of the model."""
-        if not run.lstrip(" ").isalpha():
-            return self._encoded(run)
         if not self.spaced:
             run = run.lower()
         if run.isascii():
