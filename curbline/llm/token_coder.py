@@ -107,18 +107,15 @@ def _learn(grid: np.ndarray, lengths: np.ndarray) -> tuple[Models, np.ndarray]:
     steps, lanes = grid.shape
     pad = np.zeros((steps + 2, lanes), np.uint16)
     pad[2:] = grid
+    contexts = np.empty(grid.shape, np.uint16)
     pairs2, pairs1 = np.empty(grid.shape, np.uint32), np.empty(grid.shape, np.uint32)
     parts = [slice(t, min(t + _SPAN, steps)) for t in range(0, steps, _SPAN)]
 
-    def contexts(part):
-        one = pad[part.start + 1:part.stop + 1].astype(np.uint32)
-        two = pad[part.start:part.stop].astype(np.uint32)
-        return one, _context2(one * _HASH, two * _HASH), grid[part].astype(np.uint32)
-
     for part in parts:
-        one, context, ids = contexts(part)
-        np.bitwise_or(context << _HALF, ids, out=pairs2[part])
-        np.bitwise_or(one << _HALF, ids, out=pairs1[part])
+        hashed = pad[part.start:part.stop + 1].astype(np.uint32) * _HASH
+        contexts[part] = context = _context2(hashed[1:], hashed[:-1])
+        np.bitwise_or(context << _HALF, grid[part], out=pairs2[part])
+        np.bitwise_or(pad[part.start + 1:part.stop + 1].astype(np.uint32) << _HALF, grid[part], out=pairs1[part])
     # Only the last lane may be shorter.
     if lengths[-1] < steps:
         known = np.ones(grid.shape, bool)
@@ -129,8 +126,8 @@ def _learn(grid: np.ndarray, lengths: np.ndarray) -> tuple[Models, np.ndarray]:
     rows = np.empty(grid.shape, np.uint16)
     seen, missed = np.zeros(2 * _HIT, np.int64), np.zeros(_WHOLE + 1, np.int64)
     for part in parts:
-        one, context, ids = contexts(part)
-        candidate, row = models.candidate(one, context)
+        ids = grid[part]
+        candidate, row = models.candidate(pad[part.start + 1:part.stop + 1], contexts[part])
         hit = candidate == ids
         rows[part] = row | hit * np.uint32(_HIT)
         own, left = rows[part].ravel(), np.where(hit, np.uint32(_WHOLE), ids).ravel()
